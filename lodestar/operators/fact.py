@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.keys import date_key, surrogate_key
@@ -27,7 +27,7 @@ def customer_id_bridge(bronze_customers: DataFrame) -> DataFrame:
 
 def build_fact(orders: DataFrame, customers: DataFrame, items: DataFrame,
                customer_link: str = "deduped", bronze_customers: DataFrame | None = None,
-               as_of=None) -> DataFrame:
+               as_of=None, sales_amount: Column | None = None) -> DataFrame:
     """Denormalise orders, customers and items into fact rows.
 
     ``customer_link``:
@@ -36,6 +36,8 @@ def build_fact(orders: DataFrame, customers: DataFrame, items: DataFrame,
       * ``all_ids``: join through :func:`customer_id_bridge` over the raw
         customers, so every order of a known customer id is kept.
 
+    ``sales_amount`` overrides the amount expression (default: the item price).
+
     Join order: orders meet the narrow customer projection first (a broadcast
     when the planner's size estimate allows it, else a shuffle on
     customer_id), then the much larger items on order_id.  Lines are shuffled
@@ -50,7 +52,8 @@ def build_fact(orders: DataFrame, customers: DataFrame, items: DataFrame,
     else:
         raise ValueError(f"unknown customer_link {customer_link!r}")
     o = orders.select("order_id", "customer_id", "order_purchase_timestamp")
-    i = items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
+    i = items.drop(*[c for c in ("_updated_timestamp", "_load_timestamp", "customer_id")
+                     if c in items.columns])
     base = o.join(cust, on="customer_id", how="inner").join(i, on="order_id", how="inner")
     return base.select(
         F.col("order_id"),
@@ -58,7 +61,7 @@ def build_fact(orders: DataFrame, customers: DataFrame, items: DataFrame,
         surrogate_key("customer_unique_id").alias("customer_sk"),
         surrogate_key("product_id").alias("product_sk"),
         date_key("order_purchase_timestamp").alias("order_date_sk"),
-        F.col("price").alias("sales_amount"),
+        (F.col("price") if sales_amount is None else sales_amount).alias("sales_amount"),
         F.col("freight_value"),
         stamp_value(as_of).alias("_updated_timestamp"),
     )

@@ -8,7 +8,7 @@ divided as double and fixed to 10 decimals before rounding.
 
 from __future__ import annotations
 
-from lodestar.sources.tables import CATEGORY_TRANSLATION_ROWS
+from lodestar.sources.tables import CATEGORY_TRANSLATION_ROWS, LINE_ORDER
 
 
 def _values(rows) -> str:
@@ -21,18 +21,26 @@ def _customer_uid(identity: str) -> str:
     return "concat_ws('-', CAST(c_nationkey AS VARCHAR), c_mktsegment)"
 
 
-def bronze_ctes(identity: str = "account") -> list[str]:
+def _item_id(renumber: bool) -> str:
+    if not renumber:
+        return "l_linenumber"
+    order = ", ".join(LINE_ORDER)
+    return f"CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {order}) AS INTEGER)"
+
+
+def bronze_ctes(identity: str = "account", renumber: bool = False) -> list[str]:
     return [
         """bronze_orders AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS customer_id,
          o_orderstatus AS order_status,
          strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS order_purchase_timestamp
   FROM orders)""",
-        """bronze_items AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS order_item_id,
+        f"""bronze_items AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS order_id, {_item_id(renumber)} AS order_item_id,
          CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id,
          CAST(l_extendedprice AS DECIMAL(18,2)) AS price,
-         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS freight_value
+         CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(18,4)) AS freight_value,
+         CAST(l_discount AS DECIMAL(4,2)) AS discount
   FROM lineitem)""",
         f"""bronze_customers AS (
   SELECT CAST(c_custkey AS VARCHAR) AS customer_id, {_customer_uid(identity)} AS customer_unique_id,
@@ -99,8 +107,9 @@ GOLD_CTES = [
 ]
 
 
-def with_star(body: str, identity: str = "account", extra: list[str] | None = None) -> str:
-    ctes = bronze_ctes(identity) + SILVER_CTES + GOLD_CTES + (extra or [])
+def with_star(body: str, identity: str = "account", extra: list[str] | None = None,
+              renumber: bool = False) -> str:
+    ctes = bronze_ctes(identity, renumber) + SILVER_CTES + GOLD_CTES + (extra or [])
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
@@ -159,6 +168,101 @@ GROUP BY p.product_category_name
 HAVING SUM(f.sales_amount) > 1000"""
 
 
+# ---- quality -------------------------------------------------------------------
+
+def uniqueness_sql(table: str, keys: list[str], name: str, severity: str = "CRITICAL") -> str:
+    k = ", ".join(keys)
+    surplus = "COALESCE(SUM(n), 0) - COUNT(*)"
+    return f"""SELECT '{name}' AS table_name, 'UNIQUENESS' AS rule_type, '{",".join(keys)}' AS column_checked,
+       CAST({surplus} AS BIGINT) AS failing_record_count,
+       CAST(COUNT(CASE WHEN n > 1 THEN 1 END) AS BIGINT) AS duplicate_key_count,
+       CASE WHEN {surplus} = 0 THEN 'PASS' ELSE 'FAIL' END AS status, '{severity}' AS severity
+FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {k}) g"""
+
+
+def orphans_sql(fact: str, fk: str, dim: str, pk: str, name: str, severity: str = "CRITICAL") -> str:
+    return f"""SELECT '{name}' AS table_name, 'REFERENTIAL_INTEGRITY' AS rule_type, '{fk}' AS column_checked,
+       CAST(COUNT(*) AS BIGINT) AS failing_record_count, CAST(NULL AS BIGINT) AS duplicate_key_count,
+       CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, '{severity}' AS severity
+FROM {fact} f WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.{fk})"""
+
+
+STANDARD_SUITE = "\nUNION ALL\n".join([
+    uniqueness_sql("dim_customer", ["customer_sk"], "dim_customer"),
+    uniqueness_sql("dim_product", ["product_sk"], "dim_product"),
+    uniqueness_sql("dim_date", ["date_sk"], "dim_date"),
+    orphans_sql("fact_sales", "customer_sk", "dim_customer", "customer_sk", "fact_sales"),
+    orphans_sql("fact_sales", "product_sk", "dim_product", "product_sk", "fact_sales"),
+    orphans_sql("fact_sales", "order_date_sk", "dim_date", "date_sk", "fact_sales"),
+])
+
+DQ_UNIQUENESS = "\nUNION ALL\n".join([
+    uniqueness_sql("dim_customer", ["customer_sk"], "dim_customer"),
+    uniqueness_sql("dim_product", ["product_sk"], "dim_product"),
+    uniqueness_sql("dim_date", ["date_sk"], "dim_date"),
+    uniqueness_sql("fact_sales", ["order_id", "order_item_id"], "fact_sales"),
+    uniqueness_sql("silver_customers", ["customer_city"], "silver_customers", "WARNING"),
+])
+
+FIXED_CALENDAR = """dim_date_fixed AS (
+  SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk
+  FROM generate_series(TIMESTAMP '2016-01-01', TIMESTAMP '2020-12-31', INTERVAL 1 DAY) g(d))"""
+KNOWN_PRODUCTS = """dim_product_known AS (SELECT * FROM dim_product WHERE product_category_name != 'unknown')"""
+
+DQ_ORPHANS = "\nUNION ALL\n".join([
+    orphans_sql("fact_sales", "order_date_sk", "dim_date_fixed", "date_sk", "fact_sales"),
+    orphans_sql("fact_sales", "product_sk", "dim_product_known", "product_sk", "fact_sales", "WARNING"),
+    orphans_sql("fact_sales", "customer_sk", "dim_customer", "customer_sk", "fact_sales"),
+])
+
+# ---- customer link modes -----------------------------------------------------------
+
+BRIDGE = """bridge AS (
+  SELECT customer_id, min(customer_unique_id) AS customer_unique_id FROM bronze_customers
+  WHERE customer_id IS NOT NULL AND customer_unique_id IS NOT NULL GROUP BY customer_id)"""
+FACT_ALL_IDS = """fact_all_ids AS (
+  SELECT o.order_id, i.order_item_id, sha256(b.customer_unique_id) AS customer_sk,
+         sha256(i.product_id) AS product_sk,
+         CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) AS order_date_sk,
+         i.price AS sales_amount, i.freight_value
+  FROM silver_orders o JOIN bridge b ON o.customer_id = b.customer_id
+  JOIN silver_items i ON o.order_id = i.order_id)"""
+
+LINK_MODES = """
+SELECT 'deduped' AS customer_link, COUNT(*) AS fact_rows, COUNT(DISTINCT order_id) AS orders,
+       COUNT(DISTINCT customer_sk) AS customers FROM fact_sales
+UNION ALL
+SELECT 'all_ids', COUNT(*), COUNT(DISTINCT order_id), COUNT(DISTINCT customer_sk) FROM fact_all_ids"""
+
+FACT_OUT = """SELECT order_id, order_item_id, customer_sk, product_sk, order_date_sk,
+       CAST(sales_amount AS DOUBLE) AS sales_amount, CAST(freight_value AS DOUBLE) AS freight_value"""
+
+# ---- upsert --------------------------------------------------------------------------
+
+FACT_NET = """fact_net AS (
+  SELECT o.order_id, i.order_item_id, sha256(c.customer_unique_id) AS customer_sk,
+         sha256(i.product_id) AS product_sk,
+         CAST(strftime(o.order_purchase_timestamp, '%Y%m%d') AS INTEGER) AS order_date_sk,
+         CAST(i.price * (1 - i.discount) AS DECIMAL(18,2)) AS sales_amount, i.freight_value
+  FROM silver_orders o JOIN silver_customers c ON o.customer_id = c.customer_id
+  JOIN silver_items i ON o.order_id = i.order_id)"""
+UPSERT = FACT_OUT + """
+FROM (SELECT * FROM fact_sales t
+      WHERE t.order_date_sk < 20000101
+        AND NOT EXISTS (SELECT 1 FROM fact_net u
+                        WHERE u.order_date_sk >= 19990101
+                          AND u.order_id = t.order_id AND u.order_item_id = t.order_item_id)
+      UNION ALL
+      SELECT * FROM fact_net WHERE order_date_sk >= 19990101) x"""
+
+ADHOC = f"""
+SELECT c.customer_city, d.calendar_year, COUNT(DISTINCT f.order_id) AS orders,
+       {r2('SUM(f.sales_amount)')} AS revenue
+FROM fact_sales f JOIN dim_customer c ON f.customer_sk = c.customer_sk
+JOIN dim_date d ON f.order_date_sk = d.date_sk
+GROUP BY c.customer_city, d.calendar_year"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "fact_build": with_star("""SELECT order_id, order_item_id, customer_sk, product_sk, order_date_sk,
        CAST(sales_amount AS DOUBLE) AS sales_amount, CAST(freight_value AS DOUBLE) AS freight_value
@@ -171,6 +275,38 @@ FROM fact_sales"""),
     "customer_ltv": with_star(CUSTOMER_LTV),
     "customer_ltv_window": with_star(CUSTOMER_LTV),
     "category_freight": with_star(CATEGORY_FREIGHT),
+    "silver_customers": with_star("SELECT * FROM silver_customers", identity="household"),
+    "silver_orders": with_star("SELECT * FROM silver_orders"),
+    "orders_unparsed": with_star("""SELECT COUNT(CASE WHEN order_purchase_timestamp IS NOT NULL
+    AND TRY_CAST(order_purchase_timestamp AS TIMESTAMP) IS NULL THEN 1 END) AS order_purchase_timestamp_nulled
+FROM bronze_orders"""),
+    "silver_products": with_star("SELECT * FROM silver_products"),
+    "silver_items": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value, CAST(discount AS DOUBLE) AS discount
+FROM silver_items"""),
+    "dim_customer": with_star("SELECT * FROM dim_customer"),
+    "dim_product": with_star("SELECT * FROM dim_product"),
+    "customer_link_modes": with_star(LINK_MODES, identity="household", extra=[BRIDGE, FACT_ALL_IDS]),
+    "fact_all_ids": with_star(FACT_OUT + " FROM fact_all_ids", identity="household",
+                              extra=[BRIDGE, FACT_ALL_IDS]),
+    "dq_ledger": with_star(STANDARD_SUITE),
+    "dq_uniqueness": with_star(DQ_UNIQUENESS),
+    "dq_orphans": with_star(DQ_ORPHANS, extra=[FIXED_CALENDAR, KNOWN_PRODUCTS]),
+    "duplicate_keys": with_star("""SELECT order_id, order_item_id, COUNT(*) AS row_count
+FROM fact_sales GROUP BY order_id, order_item_id HAVING COUNT(*) > 1"""),
+    "fact_upsert": with_star(UPSERT, extra=[FACT_NET], renumber=True),
+    "fact_upsert_twice": with_star(UPSERT, extra=[FACT_NET], renumber=True),
+    "sales_summary": with_star(EXECUTIVE_KPIS),
+    "monthly_trends": with_star(f"SELECT * FROM ({MONTHLY_SALES}) v ORDER BY sales_year DESC, sales_month DESC LIMIT 12"),
+    "yoy_report": with_star(YOY_GROWTH),
+    "top_customers": with_star(f"SELECT * FROM ({CUSTOMER_LTV}) v ORDER BY ltv_rank, customer_sk LIMIT 50"),
+    "ltv_decile": with_star(f"SELECT * FROM ({CUSTOMER_LTV}) v WHERE ltv_decile = 2 ORDER BY ltv_rank, customer_sk LIMIT 500"),
+    "top_categories": with_star(f"SELECT * FROM ({CATEGORY_FREIGHT}) v ORDER BY freight_to_revenue_ratio DESC, product_category_name LIMIT 20"),
+    "adhoc_sql": with_star(ADHOC),
+    "csv_roundtrip": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value FROM bronze_items"""),
+    "zorder_layout": with_star(FACT_OUT + " FROM fact_sales"),
+    "pipeline_run": with_star(STANDARD_SUITE, renumber=True),
 }
 
 

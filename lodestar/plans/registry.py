@@ -11,9 +11,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import uuid
+
+from lodestar.functions.json import rows_as_json
+from lodestar.functions.money import MONEY
+from lodestar.operators import cleaning, dims, layout, quality
+from lodestar.operators import fact as fact_ops
+from lodestar.operators import upsert as upsert_ops
 from lodestar.operators.stamps import without_stamps
-from lodestar.plans import views
+from lodestar.plans import named, pipeline, sqlguard, views
 from lodestar.plans.star import star_from_tables
+from lodestar.session import scratch_root
+from lodestar.sources import csv as csv_source
+from lodestar.sources import schemas, sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +72,206 @@ def q_category_freight(spark, sf):
     return views.category_freight(s.fact, s.dim_product)
 
 
+# ---- silver and dimensions ----------------------------------------------------
+
+def q_silver_customers(spark, sf):
+    """Person-level dedup: the household identity maps many customer ids to one person."""
+    b = tables.bronze_customers(spark, sf, identity="household")
+    return without_stamps(cleaning.clean_customers(b))
+
+
+def q_silver_orders(spark, sf):
+    return without_stamps(cleaning.clean_orders(tables.bronze_orders(spark, sf)))
+
+
+def q_orders_unparsed(spark, sf):
+    return cleaning.unparsed_timestamps(tables.bronze_orders(spark, sf))
+
+
+def q_silver_products(spark, sf):
+    return without_stamps(cleaning.localize_products(tables.bronze_products(spark, sf),
+                                                     tables.category_translation(spark)))
+
+
+def q_silver_items(spark, sf):
+    out = without_stamps(cleaning.clean_items(tables.bronze_order_items(spark, sf)))
+    return _money_as_double(out, ["price", "freight_value", "discount"])
+
+
+def q_dim_customer(spark, sf):
+    return without_stamps(star_from_tables(spark, sf).dim_customer)
+
+
+def q_dim_product(spark, sf):
+    return without_stamps(star_from_tables(spark, sf).dim_product)
+
+
+def q_customer_link_modes(spark, sf):
+    """Fact size under both customer-link modes (household identity)."""
+    parts = []
+    for mode in ("deduped", "all_ids"):
+        f = star_from_tables(spark, sf, identity="household", customer_link=mode).fact
+        parts.append(f.agg(F.lit(mode).alias("customer_link"),
+                           F.count(F.lit(1)).alias("fact_rows"),
+                           F.count_distinct("order_id").alias("orders"),
+                           F.count_distinct("customer_sk").alias("customers")))
+    return parts[0].unionByName(parts[1])
+
+
+def q_fact_all_ids(spark, sf):
+    f = star_from_tables(spark, sf, identity="household", customer_link="all_ids").fact
+    return _money_as_double(without_stamps(f), ["sales_amount", "freight_value"])
+
+
+# ---- quality --------------------------------------------------------------------
+
+def _ledger_out(df: DataFrame) -> DataFrame:
+    return df.drop("audit_timestamp")
+
+
+def q_dq_ledger(spark, sf):
+    s = star_from_tables(spark, sf)
+    return _ledger_out(quality.standard_suite(s.fact, s.dim_customer, s.dim_product, s.dim_date).ledger())
+
+
+def q_dq_uniqueness(spark, sf):
+    s = star_from_tables(spark, sf)
+    v = quality.Validator()
+    v.check_uniqueness(s.dim_customer, "customer_sk", "dim_customer")
+    v.check_uniqueness(s.dim_product, "product_sk", "dim_product")
+    v.check_uniqueness(s.dim_date, "date_sk", "dim_date")
+    v.check_uniqueness(s.fact, ["order_id", "order_item_id"], "fact_sales")
+    v.check_uniqueness(s.silver_customers, "customer_city", "silver_customers", severity="WARNING")
+    return _ledger_out(v.ledger())
+
+
+def q_dq_orphans(spark, sf):
+    """Orphans against a fixed calendar (the reference's 2016-2020 bounds: facts
+    outside it are orphans) and against the products with a known category."""
+    s = star_from_tables(spark, sf)
+    v = quality.Validator()
+    v.check_referential_integrity(s.fact, dims.dim_date(spark), "order_date_sk", "date_sk",
+                                  "fact_sales", "dim_date_2016_2020")
+    known = s.dim_product.where(F.col("product_category_name") != "unknown")
+    v.check_referential_integrity(s.fact, known, "product_sk", "product_sk", "fact_sales",
+                                  "dim_product_known", severity="WARNING")
+    v.check_referential_integrity(s.fact, s.dim_customer, "customer_sk", "customer_sk",
+                                  "fact_sales", "dim_customer")
+    return _ledger_out(v.ledger())
+
+
+def q_duplicate_keys(spark, sf):
+    return quality.duplicate_keys(star_from_tables(spark, sf).fact, ["order_id", "order_item_id"])
+
+
+# ---- upsert ---------------------------------------------------------------------
+
+UPSERT_TARGET_BEFORE = 20000101   # yesterday's load: orders before 2000
+UPSERT_UPDATES_FROM = 19990101    # today's batch: orders from 1999 on, net of discount
+
+
+def _upsert_inputs(spark, sf):
+    s = star_from_tables(spark, sf, renumber=True)
+    target = without_stamps(s.fact).where(F.col("order_date_sk") < UPSERT_TARGET_BEFORE)
+    net = (F.col("price") * (F.lit(1) - F.col("discount"))).cast(MONEY)
+    restated = fact_ops.build_fact(s.silver_orders, s.silver_customers, s.silver_items,
+                                   sales_amount=net)
+    updates = without_stamps(restated).where(F.col("order_date_sk") >= UPSERT_UPDATES_FROM)
+    return target, updates
+
+
+def _scratch(spark, name):
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _fact_upsert(spark, sf, runs):
+    target, updates = _upsert_inputs(spark, sf)
+    path = _scratch(spark, "fact_upsert")
+    upsert_ops.upsert(target, path, fact_ops.FACT_KEYS)
+    out = None
+    for _ in range(runs):
+        out = upsert_ops.upsert(updates, path, fact_ops.FACT_KEYS)
+    return _money_as_double(out, ["sales_amount", "freight_value"])
+
+
+def q_fact_upsert(spark, sf):
+    return _fact_upsert(spark, sf, 1)
+
+
+def q_fact_upsert_twice(spark, sf):
+    return _fact_upsert(spark, sf, 2)
+
+
+# ---- named reads, guarded SQL, JSON ---------------------------------------------
+
+def q_sales_summary(spark, sf):
+    return named.run_named(star_from_tables(spark, sf), "sales_summary")
+
+
+def q_monthly_trends(spark, sf):
+    return named.run_named(star_from_tables(spark, sf), "monthly_trends", months=12)
+
+
+def q_yoy_report(spark, sf):
+    return named.run_named(star_from_tables(spark, sf), "yoy_growth")
+
+
+def q_top_customers(spark, sf):
+    return named.run_named(star_from_tables(spark, sf), "top_customers", limit=50)
+
+
+def q_ltv_decile(spark, sf):
+    return named.run_named(star_from_tables(spark, sf), "top_customers", limit=500, decile=2)
+
+
+def q_top_categories(spark, sf):
+    return named.run_named(star_from_tables(spark, sf), "category_analysis", limit=20)
+
+
+ADHOC_SQL = """
+SELECT c.customer_city, d.calendar_year,
+       COUNT(DISTINCT f.order_id) AS orders,
+       CAST(ROUND(SUM(f.sales_amount), 2) AS DOUBLE) AS revenue
+FROM lodestar_fact_sales f
+JOIN lodestar_dim_customer c ON f.customer_sk = c.customer_sk
+JOIN lodestar_dim_date d ON f.order_date_sk = d.date_sk
+GROUP BY c.customer_city, d.calendar_year
+"""
+
+
+def q_adhoc_sql(spark, sf):
+    sinks.publish_views(spark, star_from_tables(spark, sf).tables(), prefix="lodestar_")
+    return sqlguard.read_only_sql(spark, ADHOC_SQL)
+
+
+def q_result_json(spark, sf):
+    s = star_from_tables(spark, sf)
+    return rows_as_json(views.monthly_sales(s.fact, s.dim_date, ordered=False))
+
+
+# ---- CSV, layout, whole run -----------------------------------------------------
+
+def q_csv_roundtrip(spark, sf):
+    """Items written as CSV, ingested back with the declared schema."""
+    items = tables.bronze_order_items(spark, sf).drop("discount")
+    folder = _scratch(spark, "csv")
+    items.write.mode("overwrite").option("header", "true").csv(f"{folder}/order_items.csv")
+    back = csv_source.ingest_csv(spark, f"{folder}/order_items.csv", schemas.ORDER_ITEMS)
+    return _money_as_double(without_stamps(back), ["price", "freight_value"])
+
+
+def q_zorder_layout(spark, sf):
+    f = without_stamps(star_from_tables(spark, sf).fact)
+    out = layout.cluster_by(f, ["order_date_sk", "customer_sk", "product_sk"])
+    return _money_as_double(out, ["sales_amount", "freight_value"])
+
+
+def q_pipeline_run(spark, sf):
+    res = pipeline.run_pipeline(spark, tables.bronze_tables(spark, sf, renumber=True),
+                                _scratch(spark, "pipeline"))
+    return _ledger_out(res.ledger)
+
+
 QUERIES: dict[str, Query] = {
     "fact_build": q_fact_build,
     "dim_date": q_dim_date,
@@ -72,6 +282,32 @@ QUERIES: dict[str, Query] = {
     "customer_ltv": q_customer_ltv,
     "customer_ltv_window": q_customer_ltv_window,
     "category_freight": q_category_freight,
+    "silver_customers": q_silver_customers,
+    "silver_orders": q_silver_orders,
+    "orders_unparsed": q_orders_unparsed,
+    "silver_products": q_silver_products,
+    "silver_items": q_silver_items,
+    "dim_customer": q_dim_customer,
+    "dim_product": q_dim_product,
+    "customer_link_modes": q_customer_link_modes,
+    "fact_all_ids": q_fact_all_ids,
+    "dq_ledger": q_dq_ledger,
+    "dq_uniqueness": q_dq_uniqueness,
+    "dq_orphans": q_dq_orphans,
+    "duplicate_keys": q_duplicate_keys,
+    "fact_upsert": q_fact_upsert,
+    "fact_upsert_twice": q_fact_upsert_twice,
+    "sales_summary": q_sales_summary,
+    "monthly_trends": q_monthly_trends,
+    "yoy_report": q_yoy_report,
+    "top_customers": q_top_customers,
+    "ltv_decile": q_ltv_decile,
+    "top_categories": q_top_categories,
+    "adhoc_sql": q_adhoc_sql,
+    "result_json": q_result_json,
+    "csv_roundtrip": q_csv_roundtrip,
+    "zorder_layout": q_zorder_layout,
+    "pipeline_run": q_pipeline_run,
 }
 
 

@@ -49,8 +49,8 @@ def star_from_bronze(spark: SparkSession, bronze: dict[str, DataFrame],
 
 def star_from_tables(spark: SparkSession, base: str, identity: str = "account",
                      customer_link: str = "deduped", calendar: tuple[str, str] | None = None,
-                     as_of=None) -> Star:
-    return star_from_bronze(spark, tables.bronze_tables(spark, base, identity),
+                     as_of=None, renumber: bool = False) -> Star:
+    return star_from_bronze(spark, tables.bronze_tables(spark, base, identity, renumber),
                             customer_link, calendar, as_of)
 
 

@@ -8,7 +8,7 @@ and filter pushdown.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.money import MONEY, MONEY_PRODUCT
@@ -41,16 +41,33 @@ def bronze_orders(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def bronze_order_items(spark: SparkSession, base: str) -> DataFrame:
+# Total order of the line columns used to renumber lines within an order.
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+              "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
+
+
+def bronze_order_items(spark: SparkSession, base: str, renumber: bool = False) -> DataFrame:
+    """Order items from lineitem; price and freight (price x tax) in decimal.
+
+    The test data's (l_orderkey, l_linenumber) is not unique.  ``renumber``
+    gives each line of an order its position 1..n by ``LINE_ORDER`` instead,
+    which makes (order_id, order_item_id) a key for the upsert.
+    """
     li = read_table(spark, base, "lineitem")
     price = li.l_extendedprice.cast(MONEY)
+    if renumber:
+        item_id = F.row_number().over(
+            Window.partitionBy("l_orderkey").orderBy(*[F.col(c) for c in LINE_ORDER])).cast("int")
+    else:
+        item_id = li.l_linenumber
     return li.select(
         li.l_orderkey.cast("string").alias("order_id"),
-        li.l_linenumber.alias("order_item_id"),
+        item_id.alias("order_item_id"),
         li.l_partkey.cast("string").alias("product_id"),
         li.l_suppkey.cast("string").alias("seller_id"),
         price.alias("price"),
         (price * li.l_tax.cast("decimal(4,2)")).cast(MONEY_PRODUCT).alias("freight_value"),
+        li.l_discount.cast("decimal(4,2)").alias("discount"),
     )
 
 
@@ -93,11 +110,12 @@ def category_translation(spark: SparkSession) -> DataFrame:
         "product_category_name string, product_category_name_english string")
 
 
-def bronze_tables(spark: SparkSession, base: str, identity: str = "account") -> dict[str, DataFrame]:
+def bronze_tables(spark: SparkSession, base: str, identity: str = "account",
+                  renumber: bool = False) -> dict[str, DataFrame]:
     """All five raw roles over the driver's tables."""
     return {
         "orders": bronze_orders(spark, base),
-        "order_items": bronze_order_items(spark, base),
+        "order_items": bronze_order_items(spark, base, renumber),
         "customers": bronze_customers(spark, base, identity),
         "products": bronze_products(spark, base),
         "category_translation": category_translation(spark),
