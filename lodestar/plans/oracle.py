@@ -270,10 +270,11 @@ FROM fact_sales"""),
     "dim_date": with_star("SELECT * FROM dim_date"),
     "monthly_sales": with_star(MONTHLY_SALES),
     "executive_kpis": with_star(EXECUTIVE_KPIS),
-    "executive_kpis_expand": with_star(EXECUTIVE_KPIS),
+    "executive_kpis_preagg": with_star(EXECUTIVE_KPIS),
     "yoy_growth": with_star(YOY_GROWTH),
     "customer_ltv": with_star(CUSTOMER_LTV),
     "customer_ltv_window": with_star(CUSTOMER_LTV),
+    "customer_ltv_scaled": with_star(CUSTOMER_LTV),
     "category_freight": with_star(CATEGORY_FREIGHT),
     "silver_customers": with_star("SELECT * FROM silver_customers", identity="household"),
     "silver_orders": with_star("SELECT * FROM silver_orders"),

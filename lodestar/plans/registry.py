@@ -50,8 +50,8 @@ def q_executive_kpis(spark, sf):
     return views.executive_kpis(star_from_tables(spark, sf).fact)
 
 
-def q_executive_kpis_expand(spark, sf):
-    return views.executive_kpis(star_from_tables(spark, sf).fact, strategy="expand")
+def q_executive_kpis_preagg(spark, sf):
+    return views.executive_kpis(star_from_tables(spark, sf).fact, strategy="preagg")
 
 
 def q_yoy_growth(spark, sf):
@@ -60,6 +60,10 @@ def q_yoy_growth(spark, sf):
 
 
 def q_customer_ltv(spark, sf):
+    return views.customer_ltv(star_from_tables(spark, sf).fact, strategy="auto")
+
+
+def q_customer_ltv_scaled(spark, sf):
     return views.customer_ltv(star_from_tables(spark, sf).fact, strategy="scaled")
 
 
@@ -277,10 +281,11 @@ QUERIES: dict[str, Query] = {
     "dim_date": q_dim_date,
     "monthly_sales": q_monthly_sales,
     "executive_kpis": q_executive_kpis,
-    "executive_kpis_expand": q_executive_kpis_expand,
+    "executive_kpis_preagg": q_executive_kpis_preagg,
     "yoy_growth": q_yoy_growth,
     "customer_ltv": q_customer_ltv,
     "customer_ltv_window": q_customer_ltv_window,
+    "customer_ltv_scaled": q_customer_ltv_scaled,
     "category_freight": q_category_freight,
     "silver_customers": q_silver_customers,
     "silver_orders": q_silver_orders,

@@ -1,96 +1,152 @@
 """The five reporting views as DataFrame functions.
 
-Money is summed in decimal and rounded half-up to 2 places at the end
-(``r2``); ratios divide doubles and are rounded the same way.  Every tie in
-an ordering that feeds a ntile or a limit gets the row key as tiebreak.
+Money is summed exactly (integer minor units, see ``exact_sum_parts``) and
+rounded half-up to 2 places at the end (``r2``); ratios divide doubles and
+are rounded the same way.  Every tie in an ordering that feeds a ntile or a
+limit gets the row key as tiebreak.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from lodestar.functions.money import r2, r2_ratio
+from lodestar.functions.money import (exact_sum_parts, exact_sum_value, merge_sum_parts, r2,
+                                      r2_ratio, sum_part_names)
 from lodestar.operators.ranking import rank_globally, rank_in_one_window
 
+# Above this many ranked rows the LTV ranking runs range-partitioned.
+WINDOW_MAX_ROWS = 1_000_000
 
-def executive_kpis(fact: DataFrame, strategy: str = "preagg") -> DataFrame:
+
+class _Sum:
+    """An exact money sum: aggregate expressions plus the value after aggregation."""
+
+    def __init__(self, df: DataFrame, column: str, name: str):
+        dt = df.schema[column].dataType
+        self.name = name
+        self.scale = dt.scale if isinstance(dt, DecimalType) and dt.precision <= 18 else None
+        self.column = column
+
+    def parts(self) -> list[Column]:
+        if self.scale is None:
+            return [F.sum(self.column).alias(self.name)]
+        return exact_sum_parts(self.column, self.name, self.scale)
+
+    def merge(self) -> list[Column]:
+        if self.scale is None:
+            return [F.sum(self.name).alias(self.name)]
+        return merge_sum_parts(self.name)
+
+    def value(self) -> Column:
+        if self.scale is None:
+            return F.col(self.name)
+        return exact_sum_value(self.name, self.scale)
+
+    def columns(self) -> list[str]:
+        return [self.name] if self.scale is None else sum_part_names(self.name)
+
+
+def _sort_small(df: DataFrame, *order: Column) -> DataFrame:
+    """Order a result whose size is bounded by the calendar (months, years).
+
+    One task sorts it; no range-partitioning sample job for a few rows.
+    """
+    return df.coalesce(1).sortWithinPartitions(*order)
+
+
+def executive_kpis(fact: DataFrame, strategy: str = "expand") -> DataFrame:
     """Lifetime orders, customers, revenue and average order value; one row.
 
-    ``expand``: one aggregate with two distinct counts (Spark expands every
-    line into one row per distinct column).  ``preagg``: lines are first
-    combined per (order, customer) -- map-side, so the shuffle carries about
-    one row per order -- and the distinct counts run on that.
+    ``expand`` (default): one aggregate with two distinct counts; Spark
+    expands each line into one row per distinct column and combines map-side,
+    so the shuffle carries about one row per order and per customer.
+    ``preagg``: lines are first combined per (order, customer), then the
+    distinct counts run on that; one more shuffle of order-level rows.
     """
-    src = fact
-    amount = "sales_amount"
+    rev = _Sum(fact, "sales_amount", "_rev")
     if strategy == "preagg":
-        src = fact.groupBy("order_id", "customer_sk").agg(F.sum("sales_amount").alias("_s"))
-        amount = "_s"
-    elif strategy != "expand":
+        per_order = fact.groupBy("order_id", "customer_sk").agg(*rev.parts())
+        agg = per_order.agg(F.count_distinct("order_id").alias("total_lifetime_orders"),
+                            F.count_distinct("customer_sk").alias("total_unique_customers"),
+                            *rev.merge())
+    elif strategy == "expand":
+        agg = fact.agg(F.count_distinct("order_id").alias("total_lifetime_orders"),
+                       F.count_distinct("customer_sk").alias("total_unique_customers"),
+                       *rev.parts())
+    else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    agg = src.agg(
-        F.count_distinct("order_id").alias("total_lifetime_orders"),
-        F.count_distinct("customer_sk").alias("total_unique_customers"),
-        F.sum(amount).alias("_revenue"),
-    )
     return agg.select(
         "total_lifetime_orders",
         "total_unique_customers",
-        r2(F.col("_revenue")).alias("total_lifetime_revenue"),
-        r2_ratio(F.col("_revenue"), F.col("total_lifetime_orders")).alias("average_order_value"),
+        r2(rev.value()).alias("total_lifetime_revenue"),
+        r2_ratio(rev.value(), F.col("total_lifetime_orders")).alias("average_order_value"),
     )
 
 
 def _dated(fact: DataFrame, dates: DataFrame) -> DataFrame:
-    """Inner join with the calendar; the calendar has one row per day, so the
-    planner broadcasts it by its size estimate."""
+    """Inner join with the calendar.  The calendar has one row per day; the
+    planner broadcasts it by its size estimate (a stored calendar is a few
+    KB), otherwise it falls back to a shuffle join."""
     d = dates.select("date_sk", "calendar_year", "calendar_month")
     return fact.join(d, fact["order_date_sk"] == d["date_sk"], "inner")
 
 
 def monthly_sales(fact: DataFrame, dates: DataFrame, ordered: bool = True) -> DataFrame:
+    sales, freight = _Sum(fact, "sales_amount", "_s"), _Sum(fact, "freight_value", "_f")
     out = (_dated(fact, dates)
            .groupBy(F.col("calendar_year").alias("sales_year"),
                     F.col("calendar_month").alias("sales_month"))
            .agg(F.count_distinct("order_id").alias("total_orders"),
                 F.count("order_item_id").alias("total_items_sold"),
-                r2(F.sum("sales_amount")).alias("total_revenue"),
-                r2(F.sum("freight_value")).alias("total_freight_cost")))
-    return out.orderBy(F.desc("sales_year"), F.desc("sales_month")) if ordered else out
+                *sales.parts(), *freight.parts())
+           .select("sales_year", "sales_month", "total_orders", "total_items_sold",
+                   r2(sales.value()).alias("total_revenue"),
+                   r2(freight.value()).alias("total_freight_cost")))
+    return _sort_small(out, F.desc("sales_year"), F.desc("sales_month")) if ordered else out
 
 
 def yoy_growth(fact: DataFrame, dates: DataFrame, ordered: bool = True) -> DataFrame:
     """Revenue per year against the previous *row* (a missing year compares
     with the last year present).  The window sees one row per calendar year."""
-    yearly = (_dated(fact, dates).groupBy("calendar_year")
-              .agg(F.sum("sales_amount").alias("_t")))
+    sales = _Sum(fact, "sales_amount", "_s")
+    yearly = (_dated(fact, dates).groupBy("calendar_year").agg(*sales.parts())
+              .select("calendar_year", sales.value().alias("_t")))
     prev = F.lag("_t").over(Window.orderBy("calendar_year"))
     out = (yearly.withColumn("_p", prev)
            .select("calendar_year",
                    r2(F.col("_t")).alias("current_revenue"),
                    r2(F.col("_p")).alias("previous_year_revenue"),
                    r2_ratio(F.col("_t") - F.col("_p"), F.col("_p"), 100).alias("yoy_growth_percentage")))
-    return out.orderBy(F.desc("calendar_year")) if ordered else out
+    return _sort_small(out, F.desc("calendar_year")) if ordered else out
 
 
 def customer_metrics(fact: DataFrame) -> DataFrame:
     """Per customer: distinct orders and unrounded lifetime value (> 0 only)."""
+    sales = _Sum(fact, "sales_amount", "_s")
     return (fact.groupBy("customer_sk")
-            .agg(F.count_distinct("order_id").alias("total_orders"),
-                 F.sum("sales_amount").alias("_ltv"))
+            .agg(F.count_distinct("order_id").alias("total_orders"), *sales.parts())
+            .select("customer_sk", "total_orders", sales.value().alias("_ltv"))
             .where(F.col("_ltv") > 0))
 
 
-def customer_ltv(fact: DataFrame, strategy: str = "scaled", ordered: bool = True,
-                 num_partitions: int | None = None) -> DataFrame:
+def customer_ltv(fact: DataFrame, strategy: str = "auto", ordered: bool = True,
+                 num_partitions: int | None = None, window_max_rows: int | None = None) -> DataFrame:
     """Customers ranked by lifetime value: decile (ntile 10, ties broken by
     customer_sk) and dense rank (ties share a rank).
 
-    ``scaled`` ranks range-partitioned slices in parallel; ``window`` is the
-    plain single-task window.  Both give the same result.
+    ``scaled`` ranks range-partitioned slices in parallel (no single-task
+    window); ``window`` is the plain SQL window.  ``auto`` checkpoints the
+    per-customer rows to the session's checkpoint folder (computed once,
+    lineage cut), counts at most ``window_max_rows + 1`` of them, and picks
+    ``window`` only below that bound.  All give the same result.
     """
     m = customer_metrics(fact)
+    if strategy == "auto":
+        bound = window_max_rows or WINDOW_MAX_ROWS
+        m = m.checkpoint(eager=True)
+        strategy = "window" if m.limit(bound + 1).count() <= bound else "scaled"
     if strategy == "scaled":
         ranked = rank_globally(m, "_ltv", "customer_sk", 10, "ltv_decile", "ltv_rank",
                                num_partitions=num_partitions)
@@ -108,22 +164,23 @@ def category_freight(fact: DataFrame, products: DataFrame, ordered: bool = True,
     """Freight cost relative to revenue per known category with revenue > 1000.
 
     Lines are aggregated per product before the product join (map-side
-    combine, one row per product and task in the shuffle); the per-product
-    partial counts and sums add up to exactly the per-category totals, also
-    when a product key occurs twice in the dimension.
+    combine: one row per product and task in the shuffle, and the join sees
+    one row per product instead of one per line); the per-product partial
+    counts and sums add up to exactly the per-category totals, also when a
+    product key occurs twice in the dimension.
     """
+    sales, freight = _Sum(fact, "sales_amount", "_s"), _Sum(fact, "freight_value", "_f")
     per_product = fact.groupBy("product_sk").agg(
-        F.count("order_item_id").alias("_n"),
-        F.sum("sales_amount").alias("_s"),
-        F.sum("freight_value").alias("_f"))
+        F.count("order_item_id").alias("_n"), *sales.parts(), *freight.parts())
     cats = (products.select("product_sk", "product_category_name")
             .where(F.col("product_category_name") != "unknown"))
     out = (per_product.join(cats, "product_sk")
            .groupBy("product_category_name")
-           .agg(F.sum("_n").alias("items_sold"), F.sum("_s").alias("_s"), F.sum("_f").alias("_f"))
-           .where(F.col("_s") > min_revenue)
+           .agg(F.sum("_n").alias("items_sold"), *sales.merge(), *freight.merge())
+           .withColumns({"_sv": sales.value(), "_fv": freight.value()})
+           .where(F.col("_sv") > min_revenue)
            .select("product_category_name", "items_sold",
-                   r2(F.col("_s")).alias("total_revenue"),
-                   r2(F.col("_f")).alias("total_freight_cost"),
-                   r2_ratio(F.col("_f"), F.col("_s"), 100).alias("freight_to_revenue_ratio")))
+                   r2(F.col("_sv")).alias("total_revenue"),
+                   r2(F.col("_fv")).alias("total_freight_cost"),
+                   r2_ratio(F.col("_fv"), F.col("_sv"), 100).alias("freight_to_revenue_ratio")))
     return out.orderBy(F.desc("freight_to_revenue_ratio"), "product_category_name") if ordered else out

@@ -20,6 +20,13 @@ LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Local mode runs every task inside the driver JVM.
+    "spark.driver.memory": "16g",
+    # Static broadcast only for tables whose estimated size is tiny; larger
+    # joins are planned as shuffle joins and AQE turns them into broadcasts
+    # when the measured shuffle output is small (a runtime size check).
+    "spark.sql.autoBroadcastJoinThreshold": str(2 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
 }
 
 

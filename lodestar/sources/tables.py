@@ -31,8 +31,22 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the session's task slots.
+
+    The driver's tables are single files with one row group, which Spark
+    reads in one task; everything downstream of a broadcast join would then
+    run in that task too.  A warehouse table has many splits and is left
+    untouched.  The repartition has an explicit count, so AQE keeps it.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def bronze_orders(spark: SparkSession, base: str) -> DataFrame:
-    o = read_table(spark, base, "orders")
+    o = spread(read_table(spark, base, "orders"))
     return o.select(
         o.o_orderkey.cast("string").alias("order_id"),
         o.o_custkey.cast("string").alias("customer_id"),
@@ -53,7 +67,7 @@ def bronze_order_items(spark: SparkSession, base: str, renumber: bool = False) -
     gives each line of an order its position 1..n by ``LINE_ORDER`` instead,
     which makes (order_id, order_item_id) a key for the upsert.
     """
-    li = read_table(spark, base, "lineitem")
+    li = spread(read_table(spark, base, "lineitem"))
     price = li.l_extendedprice.cast(MONEY)
     if renumber:
         item_id = F.row_number().over(

@@ -23,17 +23,22 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self._known: int | None = None   # newest committed version seen by this writer
+        self._staged: int | None = None  # newest version folder written by this writer
 
     def _data_path(self, version: int) -> str:
         return f"{self.path}/data/v={version:08d}"
 
     def current_version(self) -> int | None:
+        if self._known is not None:
+            return self._known
         try:
             commits = self.spark.read.schema(_COMMIT_SCHEMA).json(f"{self.path}/_commits")
         except AnalysisException:
             return None
         row = commits.agg(F.max("version").alias("v")).collect()[0]
-        return None if row["v"] is None else int(row["v"])
+        self._known = None if row["v"] is None else int(row["v"])
+        return self._known
 
     def exists(self) -> bool:
         return self.current_version() is not None
@@ -48,10 +53,13 @@ class VersionedTable:
               commit: bool = True) -> int:
         """Write ``df`` as the next version; make it current unless ``commit=False``."""
         v = (self.current_version() or 0) + 1
+        if self._staged is not None and self._staged >= v:
+            v = self._staged + 1
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self._data_path(v))
+        self._staged = v
         if commit:
             self.commit(v, note)
         return v
@@ -60,3 +68,4 @@ class VersionedTable:
         stamp = _dt.datetime.now(_dt.timezone.utc).isoformat()
         rec = self.spark.createDataFrame([(version, stamp, note)], _COMMIT_SCHEMA)
         rec.coalesce(1).write.mode("overwrite").json(f"{self.path}/_commits/c={version:08d}")
+        self._known = max(version, self._known or 0)
