@@ -1,0 +1,25 @@
+"""The upsert applied per micro-batch of a file stream."""
+
+import os
+
+from lodestar.sources.versioned import VersionedTable
+from lodestar.streaming import upsert_each_batch
+
+
+def test_file_stream_upserts(spark, scratch):
+    src = f"{scratch}/in"
+    os.makedirs(src)
+    spark.createDataFrame([("o1", 1, 10), ("o2", 1, 20)], "order_id string, order_item_id int, amount int") \
+        .write.mode("append").parquet(src)
+    schema = "order_id string, order_item_id int, amount int"
+    q = (spark.readStream.schema(schema).parquet(src).writeStream
+         .foreachBatch(upsert_each_batch(f"{scratch}/fact", ["order_id", "order_item_id"]))
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    spark.createDataFrame([("o2", 1, 99)], schema).write.mode("append").parquet(src)
+    q = (spark.readStream.schema(schema).parquet(src).writeStream
+         .foreachBatch(upsert_each_batch(f"{scratch}/fact", ["order_id", "order_item_id"]))
+         .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    rows = sorted(tuple(r) for r in VersionedTable(spark, f"{scratch}/fact").read().collect())
+    assert rows == [("o1", 1, 10), ("o2", 1, 99)]
