@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.sources.partitioned import PartitionedTable
 from lodestar.sources.versioned import VersionedTable
 
 
@@ -56,3 +57,49 @@ def upsert(updates: DataFrame, path: str, keys: Sequence[str],
         note = "initial load"
     table.write(merged, partition_by=partition_by, note=note)
     return table.read()
+
+
+def touched_partitions(target: DataFrame, updates: DataFrame, keys: Sequence[str],
+                       partition_col: str, rows_move: bool = True) -> tuple[list[str], list[str]]:
+    """Partitions an upsert must rewrite, and those it leaves empty.
+
+    Always the partitions of the update rows.  With ``rows_move`` also the
+    partitions holding target rows whose key is updated (a correction may
+    change the partition value); that needs one pass over the target's key
+    and partition columns, aggregated per partition (bounded result).
+    Without it only the updated partitions' rows are read.
+    """
+    keys = list(keys)
+    upd_parts = {str(r[0]) for r in updates.select(partition_col).distinct().collect()}
+    if not rows_move:
+        return sorted(upd_parts), []
+    matched = (target.select(*keys, partition_col)
+               .join(updates.select(*keys).withColumn("_hit", F.lit(1)), keys, "left")
+               .groupBy(partition_col)
+               .agg(F.count(F.lit(1)).alias("_rows"), F.count("_hit").alias("_hits"))
+               .where(F.col("_hits") > 0)
+               .collect())
+    from_target = {str(r[0]): (r["_rows"], r["_hits"]) for r in matched}
+    emptied = sorted(v for v, (n, h) in from_target.items() if n == h and v not in upd_parts)
+    return sorted(upd_parts | set(from_target)), emptied
+
+
+def upsert_partitioned(updates: DataFrame, path: str, keys: Sequence[str], partition_col: str,
+                       rows_move: bool = True) -> DataFrame:
+    """Keyed upsert that rewrites only the touched partitions of the table.
+
+    Untouched partitions are neither read nor written; the new version
+    shares their files with the previous one.
+    """
+    assert_unique_keys(updates, keys)
+    table = PartitionedTable(updates.sparkSession, path, partition_col)
+    if not table.exists():
+        parts = sorted({str(r[0]) for r in updates.select(partition_col).distinct().collect()})
+        table.write_partitions(updates, parts, note="initial load")
+        return table.read()
+    target = table.read()
+    touched, _ = touched_partitions(target, updates, keys, partition_col, rows_move)
+    scope = target.where(F.col(partition_col).cast("string").isin(touched))
+    merged = merge_rows(scope, updates, keys)
+    table.write_partitions(merged, touched, note="upsert")
+    return table.read()

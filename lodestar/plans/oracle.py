@@ -297,6 +297,7 @@ FROM silver_items"""),
 FROM fact_sales GROUP BY order_id, order_item_id HAVING COUNT(*) > 1"""),
     "fact_upsert": with_star(UPSERT, extra=[FACT_NET], renumber=True),
     "fact_upsert_twice": with_star(UPSERT, extra=[FACT_NET], renumber=True),
+    "fact_upsert_partitioned": with_star(UPSERT, extra=[FACT_NET], renumber=True),
     "sales_summary": with_star(EXECUTIVE_KPIS),
     "monthly_trends": with_star(f"SELECT * FROM ({MONTHLY_SALES}) v ORDER BY sales_year DESC, sales_month DESC LIMIT 12"),
     "yoy_report": with_star(YOY_GROWTH),
@@ -306,6 +307,8 @@ FROM fact_sales GROUP BY order_id, order_item_id HAVING COUNT(*) > 1"""),
     "adhoc_sql": with_star(ADHOC),
     "csv_roundtrip": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
        CAST(freight_value AS DOUBLE) AS freight_value FROM bronze_items"""),
+    "schema_evolution": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value, CAST(NULL AS DOUBLE) AS discount FROM bronze_items"""),
     "zorder_layout": with_star(FACT_OUT + " FROM fact_sales"),
     "pipeline_run": with_star(STANDARD_SUITE, renumber=True),
 }

@@ -24,6 +24,7 @@ from lodestar.plans.star import star_from_tables
 from lodestar.session import scratch_root
 from lodestar.sources import csv as csv_source
 from lodestar.sources import schemas, sinks, tables
+from lodestar.sources.versioned import VersionedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -198,6 +199,20 @@ def _fact_upsert(spark, sf, runs):
     return _money_as_double(out, ["sales_amount", "freight_value"])
 
 
+def _with_month(df):
+    return df.withColumn("order_month", (F.col("order_date_sk") / 100).cast("int"))
+
+
+def q_fact_upsert_partitioned(spark, sf):
+    """Same result; the table is partitioned by month and only touched months
+    (including months a corrected row moves out of) are rewritten."""
+    target, updates = _upsert_inputs(spark, sf)
+    path = _scratch(spark, "fact_upsert_partitioned")
+    upsert_ops.upsert_partitioned(_with_month(target), path, fact_ops.FACT_KEYS, "order_month")
+    out = upsert_ops.upsert_partitioned(_with_month(updates), path, fact_ops.FACT_KEYS, "order_month")
+    return _money_as_double(out.drop("order_month"), ["sales_amount", "freight_value"])
+
+
 def q_fact_upsert(spark, sf):
     return _fact_upsert(spark, sf, 1)
 
@@ -264,6 +279,16 @@ def q_csv_roundtrip(spark, sf):
     return _money_as_double(without_stamps(back), ["price", "freight_value"])
 
 
+def q_schema_evolution(spark, sf):
+    """Full refresh that drops a column: the table keeps it as a typed null."""
+    items = tables.bronze_order_items(spark, sf)
+    path = _scratch(spark, "evolve")
+    sinks.overwrite_evolving(items, path)
+    sinks.overwrite_evolving(items.drop("discount"), path)
+    out = VersionedTable(spark, path).read()
+    return _money_as_double(out, ["price", "freight_value", "discount"])
+
+
 def q_zorder_layout(spark, sf):
     f = without_stamps(star_from_tables(spark, sf).fact)
     out = layout.cluster_by(f, ["order_date_sk", "customer_sk", "product_sk"])
@@ -302,6 +327,7 @@ QUERIES: dict[str, Query] = {
     "duplicate_keys": q_duplicate_keys,
     "fact_upsert": q_fact_upsert,
     "fact_upsert_twice": q_fact_upsert_twice,
+    "fact_upsert_partitioned": q_fact_upsert_partitioned,
     "sales_summary": q_sales_summary,
     "monthly_trends": q_monthly_trends,
     "yoy_report": q_yoy_report,
@@ -311,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "adhoc_sql": q_adhoc_sql,
     "result_json": q_result_json,
     "csv_roundtrip": q_csv_roundtrip,
+    "schema_evolution": q_schema_evolution,
     "zorder_layout": q_zorder_layout,
     "pipeline_run": q_pipeline_run,
 }

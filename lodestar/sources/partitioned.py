@@ -1,0 +1,115 @@
+"""Partitioned versioned tables: a new version rewrites only some partitions.
+
+Files live under ``data/<col>=<value>/ver=<write id>/``; a write id is unique
+per attempt, so a retried or abandoned write never mixes files with a
+committed one.  Each commit record lists the partitions it replaced and the
+write id now current for each (an empty id marks a partition that became
+empty).  Readers take, per partition, the id of the newest commit that
+touched it, and read exactly those folders -- untouched partitions are
+shared by all versions and never rewritten.
+
+Records are one small JSON row per commit, written and read with Spark; the
+partition list a reader collects is bounded by the number of partitions.
+Single writer assumed.
+"""
+
+from __future__ import annotations
+
+import datetime as _dt
+import json
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
+
+_COMMIT_SCHEMA = ("version long, committed_at string, note string, schema string, "
+                  "parts array<struct<value:string, ver:string>>")
+
+
+class PartitionedTable:
+    def __init__(self, spark: SparkSession, path: str, partition_col: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.col = partition_col
+        self._cache: tuple[int, dict[str, str], str] | None = None
+
+    # -- reading ------------------------------------------------------------------
+
+    def _state(self) -> tuple[int, dict[str, str], str] | None:
+        """(newest version, partition value -> current write id, schema json)."""
+        if self._cache is not None:
+            return self._cache
+        try:
+            commits = self.spark.read.schema(_COMMIT_SCHEMA).json(f"{self.path}/_commits")
+        except AnalysisException:
+            return None
+        head = commits.agg(F.max("version").alias("v"),
+                           F.max_by("schema", "version").alias("s")).collect()[0]
+        if head["v"] is None:
+            return None
+        current = (commits.select("version", F.explode("parts").alias("p"))
+                   .groupBy(F.col("p.value").alias("value"))
+                   .agg(F.max_by(F.col("p.ver"), F.col("version")).alias("ver"))
+                   .collect())
+        self._cache = (int(head["v"]), {r["value"]: r["ver"] for r in current if r["ver"]}, head["s"])
+        return self._cache
+
+    def exists(self) -> bool:
+        return self._state() is not None
+
+    def current_version(self) -> int | None:
+        st = self._state()
+        return None if st is None else st[0]
+
+    def partitions(self) -> dict[str, str]:
+        st = self._state()
+        return {} if st is None else dict(st[1])
+
+    def read(self) -> DataFrame:
+        st = self._state()
+        if st is None:
+            raise FileNotFoundError(f"no committed version at {self.path}")
+        _, parts, schema_json = st
+        schema = StructType.fromJson(json.loads(schema_json))
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        paths = [self._folder(v, w) for v, w in sorted(parts.items())]
+        df = self.spark.read.option("basePath", f"{self.path}/data").parquet(*paths)
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+    # -- writing ------------------------------------------------------------------
+
+    def _folder(self, value: str, write_id: str) -> str:
+        return f"{self.path}/data/{self.col}={value}/ver={write_id}"
+
+    def write_partitions(self, df: DataFrame, replaced: list[str], note: str = "") -> int:
+        """Write ``df`` as the new content of the partitions in ``replaced``.
+
+        Every partition value of ``df`` must be in ``replaced``; replaced
+        partitions without rows in ``df`` become empty.  Other partitions keep
+        their current content.
+        """
+        st = self._state()
+        version = (st[0] if st else 0) + 1
+        write_id = f"{version:08d}-{uuid.uuid4().hex[:8]}"
+        (df.withColumn("ver", F.lit(write_id))
+           .write.mode("append").partitionBy(self.col, "ver").parquet(f"{self.path}/data"))
+        # Which replaced partitions received rows: listed from the folders just written.
+        written = {str(r[0]) for r in
+                   self.spark.read.parquet(f"{self.path}/data")
+                   .where(F.col("ver") == write_id).select(self.col).distinct().collect()}
+        parts = [(str(v), write_id if str(v) in written else "") for v in replaced]
+        schema = df.schema.json()
+        stamp = _dt.datetime.now(_dt.timezone.utc).isoformat()
+        rec = self.spark.createDataFrame([(version, stamp, note, schema, parts)], _COMMIT_SCHEMA)
+        rec.coalesce(1).write.mode("overwrite").json(f"{self.path}/_commits/c={version:08d}")
+        current = dict(st[1]) if st else {}
+        for v, w in parts:
+            if w:
+                current[v] = w
+            else:
+                current.pop(v, None)
+        self._cache = (version, current, schema)
+        return version
