@@ -85,3 +85,40 @@ def rank_in_one_window(df: DataFrame, value: str, tiebreak: str, tiles: int = 10
         tile_col: F.ntile(tiles).over(Window.orderBy(v.desc(), t.asc())),
         dense_col: F.dense_rank().over(Window.orderBy(v.desc())),
     })
+
+
+def number_within_groups(df: DataFrame, keys: list[str], order: list[str], col: str = "row_in_group",
+                         num_partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by keys order by order)`` without
+    putting a whole group into one task.
+
+    Rows are range-partitioned on (keys, order), so a group holding a third
+    of all rows is split over many tasks.  Inside a range, the position in
+    the group is ``row_number - rank(keys) + 1``.  Only the first group of a
+    range can continue from earlier ranges; the rows it has there are the
+    trailing runs of earlier ranges that end with the same key -- one
+    statistics row per range, so the carry table is bounded by the number of
+    ranges and is broadcast.  ``order`` must make the order total within a
+    group (or the tied rows be identical).
+    """
+    spark = df.sparkSession
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(c).asc() for c in [*keys, *order]]
+    key = F.struct(*[F.col(k) for k in keys])
+    ranged = df.repartitionByRange(n_parts, *sort).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid")
+    local = (ranged
+             .withColumn("_rn", F.row_number().over(w.orderBy(*sort)))
+             .withColumn("_ln", F.col("_rn") - F.rank().over(w.orderBy(*[F.col(k).asc() for k in keys])) + 1)
+             .withColumn("_key", key))
+    stats = local.groupBy("_pid").agg(
+        F.min_by("_key", "_rn").alias("_first"),
+        F.max_by("_key", "_rn").alias("_last"),
+        F.max_by("_ln", "_rn").alias("_tail"))
+    p, q = stats.alias("p"), stats.alias("q")
+    carry = (p.join(q, (F.col("q._last").eqNullSafe(F.col("p._first"))) & (F.col("q._pid") < F.col("p._pid")), "left")
+             .groupBy(F.col("p._pid").alias("_pid"), F.col("p._first").alias("_first"))
+             .agg(F.coalesce(F.sum("q._tail"), F.lit(0)).alias("_carry")))
+    out = local.join(F.broadcast(carry), "_pid")
+    number = F.col("_ln") + F.when(F.col("_key").eqNullSafe(F.col("_first")), F.col("_carry")).otherwise(0)
+    return out.withColumn(col, number).drop("_pid", "_rn", "_ln", "_key", "_first", "_carry")

@@ -84,6 +84,20 @@ def touched_partitions(target: DataFrame, updates: DataFrame, keys: Sequence[str
     return sorted(upd_parts | set(from_target)), emptied
 
 
+def stage_upsert_partitioned(updates: DataFrame, table: PartitionedTable, keys: Sequence[str],
+                             rows_move: bool = True) -> dict:
+    """Write the touched partitions of an upsert without making them current."""
+    assert_unique_keys(updates, keys)
+    col = table.col
+    if not table.exists():
+        parts = sorted({str(r[0]) for r in updates.select(col).distinct().collect()})
+        return table.stage(updates, parts, note="initial load")
+    target = table.read()
+    touched, _ = touched_partitions(target, updates, keys, col, rows_move)
+    scope = target.where(F.col(col).cast("string").isin(touched))
+    return table.stage(merge_rows(scope, updates, keys), touched, note="upsert")
+
+
 def upsert_partitioned(updates: DataFrame, path: str, keys: Sequence[str], partition_col: str,
                        rows_move: bool = True) -> DataFrame:
     """Keyed upsert that rewrites only the touched partitions of the table.
@@ -91,15 +105,6 @@ def upsert_partitioned(updates: DataFrame, path: str, keys: Sequence[str], parti
     Untouched partitions are neither read nor written; the new version
     shares their files with the previous one.
     """
-    assert_unique_keys(updates, keys)
     table = PartitionedTable(updates.sparkSession, path, partition_col)
-    if not table.exists():
-        parts = sorted({str(r[0]) for r in updates.select(partition_col).distinct().collect()})
-        table.write_partitions(updates, parts, note="initial load")
-        return table.read()
-    target = table.read()
-    touched, _ = touched_partitions(target, updates, keys, partition_col, rows_move)
-    scope = target.where(F.col(partition_col).cast("string").isin(touched))
-    merged = merge_rows(scope, updates, keys)
-    table.write_partitions(merged, touched, note="upsert")
+    table.commit(stage_upsert_partitioned(updates, table, keys, rows_move))
     return table.read()

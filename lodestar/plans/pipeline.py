@@ -16,9 +16,14 @@ from lodestar.operators import cleaning, dims
 from lodestar.operators import fact as fact_ops
 from lodestar.operators.layout import cluster_by
 from lodestar.operators.quality import QualityGateError, standard_suite
-from lodestar.operators.upsert import assert_unique_keys, merge_rows
+from pyspark.sql import functions as F
+
+from lodestar.operators.upsert import stage_upsert_partitioned
+from lodestar.sources.partitioned import PartitionedTable
 from lodestar.sources.versioned import VersionedTable
 
+FACT_PARTITION = "order_month"
+
 # Clustering columns per table (the layout step after each write).
 LAYOUT = {
     "silver_customers": ["customer_unique_id"],
@@ -28,7 +33,6 @@ LAYOUT = {
     "dim_customer": ["customer_sk"],
     "dim_product": ["product_sk"],
     "dim_date": ["date_sk"],
-    "fact_sales": ["order_date_sk", "customer_sk", "product_sk"],
 }
 
 
@@ -71,19 +75,22 @@ def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], target: str,
         "dim_date": (dims.dim_date(spark, *calendar) if calendar
                      else dims.dim_date_covering(so, "order_purchase_timestamp")),
     }
-    updates = fact_ops.build_fact(so, sc, stored["silver_order_items"], customer_link,
-                                  bronze_customers=bronze["customers"], as_of=as_of)
-    assert_unique_keys(updates, fact_keys)
-    fact_table = VersionedTable(spark, f"{target}/fact_sales")
-    gold["fact_sales"] = merge_rows(fact_table.read(), updates, fact_keys) \
-        if fact_table.exists() else updates
-
     staged = {}
     for name, df in gold.items():
         t, versions[name] = _write(spark, target, name, df, cluster, commit=False)
         staged[name] = (t, t.read(versions[name]))
 
-    suite = standard_suite(staged["fact_sales"][1], staged["dim_customer"][1],
+    # The fact is partitioned by month; the upsert rewrites only the months it
+    # touches (including months a corrected row moves out of).
+    updates = fact_ops.build_fact(so, sc, stored["silver_order_items"], customer_link,
+                                  bronze_customers=bronze["customers"], as_of=as_of)
+    updates = updates.withColumn(FACT_PARTITION, (F.col("order_date_sk") / 100).cast("int"))
+    fact_table = PartitionedTable(spark, f"{target}/fact_sales", FACT_PARTITION)
+    fact_stage = stage_upsert_partitioned(updates, fact_table, list(fact_keys))
+    versions["fact_sales"] = fact_stage["version"]
+    staged_fact = fact_table.read_staged(fact_stage)
+
+    suite = standard_suite(staged_fact, staged["dim_customer"][1],
                            staged["dim_product"][1], staged["dim_date"][1], as_of)
     rows = suite.ledger().collect()
     ledger = spark.createDataFrame(rows, suite.ledger().schema)
@@ -93,4 +100,5 @@ def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], target: str,
         raise QualityGateError(f"{len(failed)} critical check(s) failed; gold not published")
     for name, (t, _) in staged.items():
         t.commit(versions[name], note="published")
+    fact_table.commit(fact_stage)
     return RunResult(ledger, versions, True)

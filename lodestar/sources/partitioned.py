@@ -71,7 +71,9 @@ class PartitionedTable:
         st = self._state()
         if st is None:
             raise FileNotFoundError(f"no committed version at {self.path}")
-        _, parts, schema_json = st
+        return self._read(st[1], st[2])
+
+    def _read(self, parts: dict[str, str], schema_json: str) -> DataFrame:
         schema = StructType.fromJson(json.loads(schema_json))
         if not parts:
             return self.spark.createDataFrame([], schema)
@@ -85,12 +87,17 @@ class PartitionedTable:
         return f"{self.path}/data/{self.col}={value}/ver={write_id}"
 
     def write_partitions(self, df: DataFrame, replaced: list[str], note: str = "") -> int:
-        """Write ``df`` as the new content of the partitions in ``replaced``.
+        """Write ``df`` as the new content of the partitions in ``replaced``
+        and make it current.
 
         Every partition value of ``df`` must be in ``replaced``; replaced
         partitions without rows in ``df`` become empty.  Other partitions keep
         their current content.
         """
+        return self.commit(self.stage(df, replaced, note))
+
+    def stage(self, df: DataFrame, replaced: list[str], note: str = "") -> dict:
+        """Write the files of a new version without making it current."""
         st = self._state()
         version = (st[0] if st else 0) + 1
         write_id = f"{version:08d}-{uuid.uuid4().hex[:8]}"
@@ -101,15 +108,31 @@ class PartitionedTable:
                    self.spark.read.parquet(f"{self.path}/data")
                    .where(F.col("ver") == write_id).select(self.col).distinct().collect()}
         parts = [(str(v), write_id if str(v) in written else "") for v in replaced]
-        schema = df.schema.json()
+        return {"version": version, "parts": parts, "schema": df.schema.json(), "note": note}
+
+    def read_staged(self, staged: dict) -> DataFrame:
+        """The table as it will be once ``staged`` is committed."""
+        st = self._state()
+        current = dict(st[1]) if st else {}
+        for v, w in staged["parts"]:
+            if w:
+                current[v] = w
+            else:
+                current.pop(v, None)
+        return self._read(current, staged["schema"])
+
+    def commit(self, staged: dict) -> int:
+        st = self._state()
         stamp = _dt.datetime.now(_dt.timezone.utc).isoformat()
-        rec = self.spark.createDataFrame([(version, stamp, note, schema, parts)], _COMMIT_SCHEMA)
+        version = staged["version"]
+        rec = self.spark.createDataFrame(
+            [(version, stamp, staged["note"], staged["schema"], staged["parts"])], _COMMIT_SCHEMA)
         rec.coalesce(1).write.mode("overwrite").json(f"{self.path}/_commits/c={version:08d}")
         current = dict(st[1]) if st else {}
-        for v, w in parts:
+        for v, w in staged["parts"]:
             if w:
                 current[v] = w
             else:
                 current.pop(v, None)
-        self._cache = (version, current, schema)
+        self._cache = (version, current, staged["schema"])
         return version

@@ -39,3 +39,31 @@ def test_property_equal_to_window(spark, ints, parts):
 def test_fewer_rows_than_tiles(spark):
     a, b = _both(spark, [Decimal(3), Decimal(1), Decimal(2)], 4)
     assert a == b and sorted(t for t, _ in a.values()) == [1, 2, 3]
+
+
+def _numbers(spark, rows, parts):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from lodestar.operators.ranking import number_within_groups
+    df = spark.createDataFrame(rows, "g int, o int, x string")
+    a = {(r["g"], r["o"], r["x"]): r["row_in_group"]
+         for r in number_within_groups(df, ["g"], ["o", "x"], num_partitions=parts).collect()}
+    w = Window.partitionBy("g").orderBy("o", "x")
+    b = {(r["g"], r["o"], r["x"]): r["n"] for r in df.withColumn("n", F.row_number().over(w)).collect()}
+    return a, b
+
+
+def test_numbering_hot_group_spans_ranges(spark):
+    rows = [(1, i, f"v{i}") for i in range(300)] + [(g, i, "w") for g in range(2, 40) for i in range(3)]
+    rows += [(None, 1, "n"), (None, 2, "n")]
+    a, b = _numbers(spark, rows, 8)
+    assert a == b
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 50)), min_size=0, max_size=80, unique=True),
+       st.integers(1, 7))
+def test_numbering_property(spark, pairs, parts):
+    a, b = _numbers(spark, [(g, o, "x") for g, o in pairs], parts)
+    assert a == b
