@@ -21,7 +21,7 @@ from lodestar.operators import upsert as upsert_ops
 from lodestar.operators.stamps import without_stamps
 from lodestar.plans import named, pipeline, sqlguard, views
 from lodestar.plans.star import star_from_bronze, star_from_tables
-from lodestar.session import scratch_root
+from lodestar.session import checkpointed, scratch_root
 from lodestar.sources import csv as csv_source
 from lodestar.sources import schemas, sinks, tables
 from lodestar.sources.versioned import VersionedTable
@@ -179,7 +179,7 @@ def _renumbered_bronze(spark, sf):
     """Raw roles with lines renumbered per order; the items are checkpointed
     once because several actions (key check, writes) read them."""
     bronze = tables.bronze_tables(spark, sf, renumber=True)
-    bronze["order_items"] = bronze["order_items"].checkpoint(eager=True)
+    bronze["order_items"] = checkpointed(bronze["order_items"])
     return bronze
 
 

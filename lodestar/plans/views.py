@@ -15,6 +15,7 @@ from pyspark.sql.types import DecimalType
 from lodestar.functions.money import (exact_sum_parts, exact_sum_value, merge_sum_parts, r2,
                                       r2_ratio, sum_part_names)
 from lodestar.operators.ranking import rank_globally, rank_in_one_window
+from lodestar.session import checkpointed
 
 # Above this many ranked rows the LTV ranking runs range-partitioned.
 WINDOW_MAX_ROWS = 1_000_000
@@ -145,7 +146,7 @@ def customer_ltv(fact: DataFrame, strategy: str = "auto", ordered: bool = True,
     m = customer_metrics(fact)
     if strategy == "auto":
         bound = window_max_rows or WINDOW_MAX_ROWS
-        m = m.checkpoint(eager=True)
+        m = checkpointed(m)
         strategy = "window" if m.limit(bound + 1).count() <= bound else "scaled"
     if strategy == "scaled":
         ranked = rank_globally(m, "_ltv", "customer_sk", 10, "ltv_decile", "ltv_rank",

@@ -62,6 +62,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def checkpointed(df):
+    """Eager reliable checkpoint into the session's checkpoint folder (lineage cut)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables written by the library.
 
