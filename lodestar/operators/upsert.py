@@ -91,11 +91,11 @@ def stage_upsert_partitioned(updates: DataFrame, table: PartitionedTable, keys:
     col = table.col
     if not table.exists():
         parts = sorted({str(r[0]) for r in updates.select(col).distinct().collect()})
-        return table.stage(updates, parts, note="initial load")
+        return table.stage(updates, parts, note="initial load", emptied=[])
     target = table.read()
-    touched, _ = touched_partitions(target, updates, keys, col, rows_move)
+    touched, emptied = touched_partitions(target, updates, keys, col, rows_move)
     scope = target.where(F.col(col).cast("string").isin(touched))
-    return table.stage(merge_rows(scope, updates, keys), touched, note="upsert")
+    return table.stage(merge_rows(scope, updates, keys), touched, note="upsert", emptied=emptied)
 
 
 def upsert_partitioned(updates: DataFrame, path: str, keys: Sequence[str], partition_col: str,

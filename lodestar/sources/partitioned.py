@@ -86,7 +86,8 @@ class PartitionedTable:
     def _folder(self, value: str, write_id: str) -> str:
         return f"{self.path}/data/{self.col}={value}/ver={write_id}"
 
-    def write_partitions(self, df: DataFrame, replaced: list[str], note: str = "") -> int:
+    def write_partitions(self, df: DataFrame, replaced: list[str], note: str = "",
+                         emptied: list[str] | None = None) -> int:
         """Write ``df`` as the new content of the partitions in ``replaced``
         and make it current.
 
@@ -94,20 +95,27 @@ class PartitionedTable:
         partitions without rows in ``df`` become empty.  Other partitions keep
         their current content.
         """
-        return self.commit(self.stage(df, replaced, note))
+        return self.commit(self.stage(df, replaced, note, emptied))
 
-    def stage(self, df: DataFrame, replaced: list[str], note: str = "") -> dict:
-        """Write the files of a new version without making it current."""
+    def stage(self, df: DataFrame, replaced: list[str], note: str = "",
+              emptied: list[str] | None = None) -> dict:
+        """Write the files of a new version without making it current.
+
+        ``emptied``: replaced partitions that receive no rows (known to the
+        caller); when None they are found by listing the folders written.
+        """
         st = self._state()
         version = (st[0] if st else 0) + 1
         write_id = f"{version:08d}-{uuid.uuid4().hex[:8]}"
         (df.withColumn("ver", F.lit(write_id))
            .write.mode("append").partitionBy(self.col, "ver").parquet(f"{self.path}/data"))
-        # Which replaced partitions received rows: listed from the folders just written.
-        written = {str(r[0]) for r in
-                   self.spark.read.parquet(f"{self.path}/data")
-                   .where(F.col("ver") == write_id).select(self.col).distinct().collect()}
-        parts = [(str(v), write_id if str(v) in written else "") for v in replaced]
+        if emptied is None:
+            written = {str(r[0]) for r in
+                       self.spark.read.parquet(f"{self.path}/data")
+                       .where(F.col("ver") == write_id).select(self.col).distinct().collect()}
+            emptied = [v for v in replaced if str(v) not in written]
+        gone = {str(v) for v in emptied}
+        parts = [(str(v), "" if str(v) in gone else write_id) for v in replaced]
         return {"version": version, "parts": parts, "schema": df.schema.json(), "note": note}
 
     def read_staged(self, staged: dict) -> DataFrame:
