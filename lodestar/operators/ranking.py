@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestar.session import checkpointed
+
 
 def _tile(rn: Column, n: Column, k: int) -> Column:
     base = F.floor(n / F.lit(k))
@@ -45,6 +47,10 @@ def rank_globally(df: DataFrame, value: str, tiebreak: str, tiles: int = 10,
     local = (ranged
              .withColumn("_lrn", F.row_number().over(in_range.orderBy(v.desc(), t.asc())))
              .withColumn("_ldr", F.dense_rank().over(in_range.orderBy(v.desc()))))
+    # Statistics and offsets must see the same ranges: range boundaries come
+    # from a sample, and a re-evaluated shuffle may feed the sample in another
+    # order.  Pin the ranked ranges once (reliable checkpoint, lineage cut).
+    local = checkpointed(local)
 
     stats = local.groupBy("_pid").agg(
         F.count(F.lit(1)).alias("_n"),
@@ -111,6 +117,7 @@ def number_within_groups(df: DataFrame, keys: list[str], order: list[str], col:
              .withColumn("_rn", F.row_number().over(w.orderBy(*sort)))
              .withColumn("_ln", F.col("_rn") - F.rank().over(w.orderBy(*[F.col(k).asc() for k in keys])) + 1)
              .withColumn("_key", key))
+    local = checkpointed(local)  # one set of ranges for statistics and numbering
     stats = local.groupBy("_pid").agg(
         F.min_by("_key", "_rn").alias("_first"),
         F.max_by("_key", "_rn").alias("_last"),
