@@ -22,11 +22,11 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from lodestar.operators import quality  # noqa: E402
 from lodestar.operators import upsert as upsert_ops  # noqa: E402
-from lodestar.operators.layout import cluster_by  # noqa: E402
 from lodestar.operators.stamps import without_stamps  # noqa: E402
 from lodestar.plans import named, views  # noqa: E402
 from lodestar.plans.star import read_gold, star_from_tables  # noqa: E402
 from lodestar.session import local_session  # noqa: E402
+from lodestar.sources.sinks import save_bucketed  # noqa: E402
 
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
@@ -55,14 +55,16 @@ def main():
 
     t0 = time.perf_counter()
     s = star_from_tables(spark, sf_dir, renumber=True)
-    cluster_by(without_stamps(s.fact), ["order_date_sk", "customer_sk", "product_sk"]) \
-        .write.mode("overwrite").parquet(f"{gold}/fact_sales")
+    # Gold fact published bucketed by order_id: distinct-order aggregates
+    # (monthly, LTV) read it without shuffling the fact on order_id.
+    save_bucketed(without_stamps(s.fact), "bench_fact_sales", ["order_id"], int(spark.conf.get(
+        "spark.sql.shuffle.partitions")))
     for name, df in (("dim_customer", s.dim_customer), ("dim_product", s.dim_product),
                      ("dim_date", s.dim_date)):
         without_stamps(df).write.mode("overwrite").parquet(f"{gold}/{name}")
     etl = round(time.perf_counter() - t0, 3)
 
-    g = read_gold(spark, gold)
+    g = read_gold(spark, gold, fact=spark.table("bench_fact_sales"))
     q = {}
     q["executive_kpis"] = timed(run_df(lambda: views.executive_kpis(g.fact)))
     q["monthly_sales"] = timed(run_df(lambda: views.monthly_sales(g.fact, g.dim_date)))

@@ -54,10 +54,12 @@ def star_from_tables(spark: SparkSession, base: str, identity: str = "account",
                             customer_link, calendar, as_of)
 
 
-def read_gold(spark: SparkSession, base: str) -> Star:
-    """A star whose gold tables were written as parquet under ``base``."""
+def read_gold(spark: SparkSession, base: str, fact: DataFrame | None = None) -> Star:
+    """A star whose gold tables were written as parquet under ``base``
+    (``fact`` overrides the fact, e.g. a bucketed catalog table)."""
     def rd(name):
         return spark.read.parquet(f"{base.rstrip('/')}/{name}")
     empty = {}
-    f, dc, dp, dd = rd("fact_sales"), rd("dim_customer"), rd("dim_product"), rd("dim_date")
+    f = fact if fact is not None else rd("fact_sales")
+    dc, dp, dd = rd("dim_customer"), rd("dim_product"), rd("dim_date")
     return Star(empty, dc, None, dp, None, dc, dp, dd, f)

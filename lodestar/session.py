@@ -36,6 +36,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app_name)
     conf = dict(LOCAL_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # Catalog tables of a local run go to a scratch folder, not the working directory.
+    conf["spark.sql.warehouse.dir"] = tempfile.mkdtemp(prefix="lodestar-warehouse-")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -51,11 +53,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session.  Only when it is unset
     (a bare local test session) a scratch folder is created and registered.
     """
-    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's setting applies
+        return configured or ""
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(configured)

@@ -44,3 +44,27 @@ def publish_views(spark: SparkSession, frames: dict[str, DataFrame], prefix: str
 def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
     """Tables and temporary views as a DataFrame (``SHOW TABLES``)."""
     return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
+
+
+def save_bucketed(df: DataFrame, name: str, bucket_cols: list[str], num_buckets: int,
+                  sort_cols: list[str] | None = None) -> str:
+    """Publish ``df`` as a catalog table bucketed (hash-partitioned) by ``bucket_cols``.
+
+    Aggregates and joins keyed by the bucket columns (e.g. distinct orders per
+    month or per customer with ``order_id`` buckets) read it without a
+    shuffle of the fact.  Each call writes a new physical table
+    ``<name>__v<n>``; the view ``<name>`` is then switched to it, so readers
+    never see a half-written table.  Returns the physical table name.
+    """
+    spark = df.sparkSession
+    prefix = f"{name}__v"
+    existing = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    version = 1 + max([int(t[len(prefix):]) for t in existing if t[len(prefix):].isdigit()] or [0])
+    physical = f"{prefix}{version}"
+    (df.write.bucketBy(num_buckets, *bucket_cols).sortBy(*(sort_cols or bucket_cols))
+       .mode("errorifexists").saveAsTable(physical))
+    try:
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {physical}")
+    except Exception:  # catalogs without persistent views
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT * FROM {physical}")
+    return physical

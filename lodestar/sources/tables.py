@@ -40,10 +40,12 @@ def spread(df: DataFrame) -> DataFrame:
     run in that task too.  A warehouse table has many splits and is left
     untouched.  The repartition has an explicit count, so AQE keeps it.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def bronze_orders(spark: SparkSession, base: str) -> DataFrame:

@@ -58,3 +58,22 @@ def test_publish_and_list(spark):
     publish_views(spark, {"one": spark.range(1)}, prefix="lodestar_test_")
     names = [r["tableName"] for r in list_tables(spark).collect()]
     assert "lodestar_test_one" in names
+
+
+def test_bucketed_publish_avoids_order_shuffle(spark):
+    import contextlib
+    import io
+
+    from lodestar.sources.sinks import save_bucketed
+    df = spark.createDataFrame([(f"o{i % 50}", i % 7, i) for i in range(500)], "order_id string, m int, v int")
+    save_bucketed(df, "lodestar_test_bucketed", ["order_id"], 4)
+    second = save_bucketed(df, "lodestar_test_bucketed", ["order_id"], 4)
+    assert second.endswith("__v2")
+    t = spark.table("lodestar_test_bucketed")
+    q = t.groupBy("m").agg(F.count_distinct("order_id").alias("n"))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain("formatted")
+    assert buf.getvalue().count("Exchange (") == 1   # only the final (m) exchange
+    assert sum(r["n"] for r in q.collect()) == sum(
+        r["n"] for r in df.groupBy("m").agg(F.count_distinct("order_id").alias("n")).collect())
