@@ -34,3 +34,12 @@ def test_monthly_newest_first(star):
     rows = named.monthly_trends(star, 3).collect()
     keys = [(r["sales_year"], r["sales_month"]) for r in rows]
     assert keys == sorted(keys, reverse=True)
+
+
+def test_view_scan_limit_zero_or_none_means_all(star):
+    from lodestar.plans import views
+    m = views.monthly_sales(star.fact, star.dim_date)
+    total = m.count()
+    assert named.view_scan(m).count() == total
+    assert named.view_scan(m, 0).count() == total
+    assert named.view_scan(m, 5).count() == 5
