@@ -62,6 +62,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
