@@ -40,3 +40,23 @@ def test_pipeline_publishes_after_gate(spark, scratch):
     # Second run upserts into the published fact: same rows.
     res2 = run_pipeline(spark, bronze_tables(spark, SF001, renumber=True), f"{scratch}/wh", cluster=False)
     assert res2.versions["fact_sales"] == 2
+
+
+def test_failed_gate_publishes_nothing(spark, scratch):
+    import pytest
+
+    from lodestar.operators.quality import QualityGateError
+    from lodestar.sources.partitioned import PartitionedTable
+    from lodestar.sources.versioned import VersionedTable
+    wh = f"{scratch}/wh2"
+    bronze = bronze_tables(spark, SF001, renumber=True)
+    run_pipeline(spark, bronze, wh, cluster=False)
+    fact_before = PartitionedTable(spark, f"{wh}/fact_sales", "order_month").current_version()
+    dates_before = VersionedTable(spark, f"{wh}/dim_date").current_version()
+    # A calendar that misses most order dates: the date check fails.
+    with pytest.raises(QualityGateError):
+        run_pipeline(spark, bronze, wh, cluster=False, calendar=("1996-01-01", "1996-12-31"))
+    assert PartitionedTable(spark, f"{wh}/fact_sales", "order_month").current_version() == fact_before
+    assert VersionedTable(spark, f"{wh}/dim_date").current_version() == dates_before
+    audit = spark.read.parquet(f"{wh}/audit_log")
+    assert audit.where("status = 'FAIL' AND column_checked = 'order_date_sk'").count() == 1
