@@ -270,6 +270,7 @@ FROM fact_sales"""),
     "dim_date": with_star("SELECT * FROM dim_date"),
     "monthly_sales": with_star(MONTHLY_SALES),
     "executive_kpis": with_star(EXECUTIVE_KPIS),
+    "executive_kpis_split": with_star(EXECUTIVE_KPIS),
     "executive_kpis_preagg": with_star(EXECUTIVE_KPIS),
     "yoy_growth": with_star(YOY_GROWTH),
     "customer_ltv": with_star(CUSTOMER_LTV),

@@ -51,6 +51,10 @@ def q_executive_kpis(spark, sf):
     return views.executive_kpis(star_from_tables(spark, sf).fact)
 
 
+def q_executive_kpis_split(spark, sf):
+    return views.executive_kpis(star_from_tables(spark, sf).fact, strategy="split")
+
+
 def q_executive_kpis_preagg(spark, sf):
     return views.executive_kpis(star_from_tables(spark, sf).fact, strategy="preagg")
 
@@ -313,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "dim_date": q_dim_date,
     "monthly_sales": q_monthly_sales,
     "executive_kpis": q_executive_kpis,
+    "executive_kpis_split": q_executive_kpis_split,
     "executive_kpis_preagg": q_executive_kpis_preagg,
     "yoy_growth": q_yoy_growth,
     "customer_ltv": q_customer_ltv,

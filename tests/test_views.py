@@ -28,7 +28,7 @@ def test_calendar_bounds_filter_monthly_not_kpi(spark):
     assert views.executive_kpis(f).collect()[0]["total_lifetime_orders"] == 5
 
 
-@pytest.mark.parametrize("strategy", ["expand", "preagg"])
+@pytest.mark.parametrize("strategy", ["split", "expand", "preagg"])
 def test_kpi_empty_and_null_orders(spark, strategy):
     # Empty fact -> one row of null money; all order ids null -> AOV null, no error.
     empty = views.executive_kpis(fact(spark, []), strategy).collect()
@@ -42,7 +42,8 @@ def test_kpi_empty_and_null_orders(spark, strategy):
 def test_kpi_strategies_agree(spark):
     rows = [(f"o{i % 7}", i, f"c{i % 3}", "p", 20180101, Decimal(i) / 4, Decimal("0")) for i in range(50)]
     f = fact(spark, rows)
-    assert views.executive_kpis(f, "expand").collect() == views.executive_kpis(f, "preagg").collect()
+    split = views.executive_kpis(f, "split").collect()
+    assert split == views.executive_kpis(f, "expand").collect() == views.executive_kpis(f, "preagg").collect()
 
 
 def test_yoy_by_row_with_gap(spark):
