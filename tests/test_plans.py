@@ -71,3 +71,16 @@ def test_freight_aggregates_before_join(gold):
     # per product before the product join.
     assert "Keys [1]: [product_sk" in text
     assert "Not(EqualTo(product_category_name,unknown))" in text
+
+
+def test_kpi_split_shuffles_no_order_keys(spark, gold):
+    from lodestar.sources.sinks import save_bucketed
+    save_bucketed(gold.fact, "lodestar_test_kpi_fact", ["order_id"], 4)
+    fact = spark.table("lodestar_test_kpi_fact")
+    text = plan(views.executive_kpis(fact, strategy="split"))
+    exchanges = [x for x in text.splitlines() if "hashpartitioning(" in x]
+    assert exchanges and all("order_id" not in x for x in exchanges)
+    assert any("customer_sk" in x for x in exchanges)
+    assert "Expand" not in text
+    assert (views.executive_kpis(fact, strategy="split").collect()
+            == views.executive_kpis(gold.fact).collect())
