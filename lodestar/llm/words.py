@@ -50,17 +50,35 @@ class _Powers:
         return self.up, self.down
 
 
-_POWERS = {0: _Powers(11), 1: _Powers(12)}
+_POWERS = _Powers(11)
+
+
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial hash of the bytes of each span; spans ascend and do not overlap."""
+    out = np.empty(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        lo = start[at]
+        stop = max(at + 1, int(np.searchsorted(end, lo + _BLOCK, side="right")))
+        part = raw[lo:end[stop - 1]]
+        up, down = _POWERS.get(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + U64(1)) * up[:len(part)], out=total[1:])
+        s, e = start[at:stop] - lo, end[at:stop] - lo
+        out[at:stop] = (total[e] - total[s]) * down[s]
+        at = stop
+    return mix(out + (end - start).astype(np.uint64))
 
 
 @dataclass
 class Words:
-    """Words of consecutive texts: byte ranges in ``raw``, and each text's range of words."""
+    """Words of consecutive texts: byte ranges in ``raw``, each text's range of words and of bytes."""
 
     raw: np.ndarray
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    bounds: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -70,22 +88,9 @@ class Words:
         """The text's number of each word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
-    def hashes(self, family: int = 0, lower: bool = False) -> np.ndarray:
+    def hashes(self, lower: bool = False) -> np.ndarray:
         """A 64-bit polynomial hash of each word's bytes."""
-        out = np.empty(len(self.start), np.uint64)
-        at = 0
-        while at < len(self.start):
-            lo = self.start[at]
-            stop = max(at + 1, int(np.searchsorted(self.end, lo + _BLOCK, side="right")))
-            part = self.raw[lo:self.end[stop - 1]]
-            part = _LOWER[part] if lower else part
-            up, down = _POWERS[family].get(len(part) + 1)
-            total = np.zeros(len(part) + 1, np.uint64)
-            np.cumsum((part.astype(np.uint64) + U64(1)) * up[:len(part)], out=total[1:])
-            s, e = self.start[at:stop] - lo, self.end[at:stop] - lo
-            out[at:stop] = (total[e] - total[s]) * down[s]
-            at = stop
-        return mix(out + (self.end - self.start).astype(np.uint64))
+        return span_hashes(_LOWER[self.raw] if lower else self.raw, self.start, self.end)
 
     def windows(self, hashes: np.ndarray, size: int, seed: int = 21) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of ``size`` consecutive words of one text, and the word each starts at."""
@@ -104,9 +109,14 @@ class Words:
         return np.diff(np.searchsorted(at, self.first))
 
 
+def solid_bytes(raw: np.ndarray) -> np.ndarray:
+    """Which bytes belong to words."""
+    return ~_SPACE[raw]
+
+
 def words_of(raw: np.ndarray, offsets: np.ndarray) -> Words:
     """Words of the texts whose bytes are ``raw[offsets[i]:offsets[i + 1]]``."""
-    solid = ~_SPACE[raw]
+    solid = solid_bytes(raw)
     n = len(raw)
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = solid[:-1], solid[1:]
@@ -115,4 +125,4 @@ def words_of(raw: np.ndarray, offsets: np.ndarray) -> Words:
     after[offsets[1:][offsets[:-1] < offsets[1:]] - 1] = False
     start = np.flatnonzero(solid & ~before)
     end = np.flatnonzero(solid & ~after) + 1
-    return Words(raw, start, end, np.searchsorted(start, offsets))
+    return Words(raw, start, end, np.searchsorted(start, offsets), offsets)
