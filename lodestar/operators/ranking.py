@@ -1,12 +1,12 @@
 """Global NTILE / DENSE_RANK / ROW_NUMBER without a single-partition window.
 
 A window with ``ORDER BY`` and no ``PARTITION BY`` moves every row into one
-task.  Here the rows are range-partitioned on the total order
+task.  Here the rows are dealt by ranges of the total order
 ``(value desc, tiebreak asc)`` -- ties are split across tasks too, so a hot
 value does not land in one task -- and ranked inside each range with an
-ordinary partitioned window.  Per-range statistics (one row per range, so
-their size is bounded by the partition count) give the offsets that turn
-local ranks into global ones:
+ordinary partitioned window over that same dealing: one shuffle of the rows.
+Statistics of one row a range give the offsets that turn local ranks into
+global ones:
 
 * row number:  ``rn = sum(rows of earlier ranges) + local rn``
 * dense rank:  ``dr = sum(distinct values of earlier ranges)
@@ -22,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.session import checkpointed
+#: Sampled rows for each range.
+SAMPLE = 20
 
 
 def _tile(rn: Column, n: Column, k: int) -> Column:
@@ -33,46 +34,55 @@ def _tile(rn: Column, n: Column, k: int) -> Column:
         .otherwise(rem + F.ceil((rn - cut) / base)).cast("int")
 
 
+def _ranges(df: DataFrame, order: list[Column], identity: Column, parts: int) -> DataFrame:
+    """``df`` dealt to ``parts`` tasks by ranges of ``order``, with the range in ``_range``.
+
+    The bounds come from a sample that depends on the rows alone, not on the
+    order in which tasks finish: the rows with the smallest hashes of
+    ``identity``, ``SAMPLE`` for each range.  Every evaluation of the plan has
+    therefore the same ranges, so nothing needs to be pinned or run while the
+    plan is built.
+    """
+    key = F.struct(*order)
+    sample = df.select(key.alias("_k"), F.xxhash64(identity).alias("_h")).orderBy("_h", "_k").limit(SAMPLE * parts)
+    picked = F.filter(F.sort_array(F.collect_list("_k")), lambda _, i: (i + 1) % SAMPLE == 0)
+    bounds = sample.agg(picked).scalar()  # at most ``parts`` bounds
+    below = F.size(F.filter("_bounds", lambda b: b < key)).cast("int")
+    ranged = df.withColumn("_bounds", bounds).withColumn("_range", below).drop("_bounds")
+    return ranged.repartitionById(parts + 1, "_range")
+
+
+def _before(stats: DataFrame, count: str, name: str) -> DataFrame:
+    """The running total of ``count`` before each range: a row a range, so one task holds them all."""
+    w = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return stats.withColumn(name, F.coalesce(F.sum(count).over(w), F.lit(0)))
+
+
 def rank_globally(df: DataFrame, value: str, tiebreak: str, tiles: int = 10,
                   tile_col: str = "ntile", dense_col: str = "dense_rank",
                   row_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``ntile(tiles)`` over (value desc, tiebreak asc) and ``dense_rank()``
     over (value desc); ``tiebreak`` must make the order total."""
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     v, t = F.col(value), F.col(tiebreak)
-    ranged = (df.repartitionByRange(n_parts, v.desc(), t.asc())
-              .withColumn("_pid", F.spark_partition_id()))
-    in_range = Window.partitionBy("_pid")
-    local = (ranged
+    in_range = Window.partitionBy("_range")
+    local = (_ranges(df, [-v, t], t, n_parts)
              .withColumn("_lrn", F.row_number().over(in_range.orderBy(v.desc(), t.asc())))
              .withColumn("_ldr", F.dense_rank().over(in_range.orderBy(v.desc()))))
-    # Statistics and offsets must see the same ranges: range boundaries come
-    # from a sample, and a re-evaluated shuffle may feed the sample in another
-    # order.  Pin the ranked ranges once (reliable checkpoint, lineage cut).
-    local = checkpointed(local)
-
-    stats = local.groupBy("_pid").agg(
+    stats = local.groupBy("_range").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max("_ldr").alias("_d"),
         F.min_by(v, F.col("_lrn")).alias("_first"),
         F.max_by(v, F.col("_lrn")).alias("_last"),
     )
-    # One row per non-empty range: a single-partition window over at most
-    # ``n_parts`` rows.
-    w = Window.orderBy("_pid")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.orderBy("_range")
+    # A range that starts with the value the one before ended with adds one distinct value less.
     overlap = F.coalesce(F.lag("_last").over(w).eqNullSafe(F.col("_first")).cast("long"), F.lit(0))
-    offsets = (stats
-               .withColumn("_overlap", overlap)
-               .select("_pid",
-                       F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rn_off"),
-                       (F.coalesce(F.sum("_d").over(before), F.lit(0))
-                        - F.sum("_overlap").over(upto)).alias("_dr_off"),
-                       F.sum("_n").over(Window.partitionBy()).alias("_total")))
-
-    ranked = local.join(F.broadcast(offsets), "_pid")
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    offsets = _before(_before(stats.withColumn("_overlap", overlap), "_n", "_rn_off"), "_d", "_dr_off")
+    offsets = offsets.select("_range", "_rn_off", (F.col("_dr_off") - F.sum("_overlap").over(upto)).alias("_dr_off"),
+                             F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    ranked = local.join(F.broadcast(offsets), "_range")  # a row a range
     rn = F.col("_rn_off") + F.col("_lrn")
     out = ranked.withColumns({
         tile_col: _tile(rn, F.col("_total"), tiles),
@@ -80,17 +90,7 @@ def rank_globally(df: DataFrame, value: str, tiebreak: str, tiles: int = 10,
     })
     if row_col:
         out = out.withColumn(row_col, rn)
-    return out.drop("_pid", "_lrn", "_ldr", "_rn_off", "_dr_off", "_total")
-
-
-def rank_in_one_window(df: DataFrame, value: str, tiebreak: str, tiles: int = 10,
-                       tile_col: str = "ntile", dense_col: str = "dense_rank") -> DataFrame:
-    """The plain SQL form (one task for all rows): fine for small inputs."""
-    v, t = F.col(value), F.col(tiebreak)
-    return df.withColumns({
-        tile_col: F.ntile(tiles).over(Window.orderBy(v.desc(), t.asc())),
-        dense_col: F.dense_rank().over(Window.orderBy(v.desc())),
-    })
+    return out.drop("_range", "_lrn", "_ldr", "_rn_off", "_dr_off", "_total")
 
 
 def number_within_groups(df: DataFrame, keys: list[str], order: list[str], col: str = "row_in_group",
@@ -98,34 +98,37 @@ def number_within_groups(df: DataFrame, keys: list[str], order: list[str], col:
     """``row_number() over (partition by keys order by order)`` without
     putting a whole group into one task.
 
-    Rows are range-partitioned on (keys, order), so a group holding a third
-    of all rows is split over many tasks.  Inside a range, the position in
-    the group is ``row_number - rank(keys) + 1``.  Only the first group of a
-    range can continue from earlier ranges; the rows it has there are the
-    trailing runs of earlier ranges that end with the same key -- one
-    statistics row per range, so the carry table is bounded by the number of
-    ranges and is broadcast.  ``order`` must make the order total within a
+    Rows are dealt by ranges of (keys, order), so a group holding a third of
+    all rows is split over many tasks.  Only the first group of a range can
+    continue from earlier ranges; the rows it has there come from one
+    statistics row a range.  ``order`` must make the order total within a
     group (or the tied rows be identical).
     """
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col(c).asc() for c in [*keys, *order]]
+    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[F.col(k) for k in keys])
-    ranged = df.repartitionByRange(n_parts, *sort).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid")
-    local = (ranged
+    columns = [F.col(c) for c in [*keys, *order]]
+    sort = [c.asc() for c in columns]
+    w = Window.partitionBy("_range")
+    # The sample takes rows by their hash; equal rows have equal hashes and differ by nothing.
+    local = (_ranges(df, columns, F.struct(*columns), n_parts)
              .withColumn("_rn", F.row_number().over(w.orderBy(*sort)))
              .withColumn("_ln", F.col("_rn") - F.rank().over(w.orderBy(*[F.col(k).asc() for k in keys])) + 1)
              .withColumn("_key", key))
-    local = checkpointed(local)  # one set of ranges for statistics and numbering
-    stats = local.groupBy("_pid").agg(
+    stats = local.groupBy("_range").agg(
         F.min_by("_key", "_rn").alias("_first"),
         F.max_by("_key", "_rn").alias("_last"),
         F.max_by("_ln", "_rn").alias("_tail"))
-    p, q = stats.alias("p"), stats.alias("q")
-    carry = (p.join(q, (F.col("q._last").eqNullSafe(F.col("p._first"))) & (F.col("q._pid") < F.col("p._pid")), "left")
-             .groupBy(F.col("p._pid").alias("_pid"), F.col("p._first").alias("_first"))
-             .agg(F.coalesce(F.sum("q._tail"), F.lit(0)).alias("_carry")))
-    out = local.join(F.broadcast(carry), "_pid")
-    number = F.col("_ln") + F.when(F.col("_key").eqNullSafe(F.col("_first")), F.col("_carry")).otherwise(0)
-    return out.withColumn(col, number).drop("_pid", "_rn", "_ln", "_key", "_first", "_carry")
+    # Runs of ranges that end with one key: the rows of that key so far, over one row a range.
+    order_w = Window.orderBy("_range")
+    upto = order_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # A range restarts the count unless it holds one key only, the key the range before ended with.
+    restart = ~(F.lag("_last").over(order_w).eqNullSafe(F.col("_first")) & F.col("_first").eqNullSafe(F.col("_last")))
+    runs = (stats.withColumn("_restart", F.coalesce(restart, F.lit(True)).cast("long"))
+            .withColumn("_run", F.sum("_restart").over(upto)))
+    so_far = F.sum("_tail").over(Window.partitionBy("_run").orderBy("_range"))
+    runs = runs.withColumn("_so_far", so_far)
+    carry = runs.select("_range", "_first", F.when(
+        F.lag("_last").over(order_w).eqNullSafe(F.col("_first")), F.lag("_so_far").over(order_w)).alias("_carry"))
+    out = local.join(F.broadcast(carry), "_range")  # a row a range
+    number = F.col("_ln") + F.when(F.col("_key").eqNullSafe(F.col("_first")), F.coalesce("_carry", F.lit(0))).otherwise(0)
+    return out.withColumn(col, number).drop("_range", "_rn", "_ln", "_key", "_first", "_carry")

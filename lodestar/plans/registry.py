@@ -65,15 +65,7 @@ def q_yoy_growth(spark, sf):
 
 
 def q_customer_ltv(spark, sf):
-    return views.customer_ltv(star_from_tables(spark, sf).fact, strategy="auto")
-
-
-def q_customer_ltv_scaled(spark, sf):
-    return views.customer_ltv(star_from_tables(spark, sf).fact, strategy="scaled")
-
-
-def q_customer_ltv_window(spark, sf):
-    return views.customer_ltv(star_from_tables(spark, sf).fact, strategy="window")
+    return views.customer_ltv(star_from_tables(spark, sf).fact)
 
 
 def q_category_freight(spark, sf):
@@ -321,8 +313,6 @@ QUERIES: dict[str, Query] = {
     "executive_kpis_preagg": q_executive_kpis_preagg,
     "yoy_growth": q_yoy_growth,
     "customer_ltv": q_customer_ltv,
-    "customer_ltv_window": q_customer_ltv_window,
-    "customer_ltv_scaled": q_customer_ltv_scaled,
     "category_freight": q_category_freight,
     "silver_customers": q_silver_customers,
     "silver_orders": q_silver_orders,

@@ -13,12 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from lodestar.functions.money import (exact_sum_parts, exact_sum_value, merge_sum_parts, r2,
-                                      r2_ratio, sum_part_names)
-from lodestar.operators.ranking import rank_globally, rank_in_one_window
-from lodestar.session import checkpointed
-
-# Above this many ranked rows the LTV ranking runs range-partitioned.
-WINDOW_MAX_ROWS = 1_000_000
+                                      r2_ratio)
+from lodestar.operators.ranking import rank_globally
 
 
 class _Sum:
@@ -45,9 +41,6 @@ class _Sum:
             return F.col(self.name)
         return exact_sum_value(self.name, self.scale)
 
-    def columns(self) -> list[str]:
-        return [self.name] if self.scale is None else sum_part_names(self.name)
-
 
 def _sort_small(df: DataFrame, *order: Column) -> DataFrame:
     """Order a result whose size is bounded by the calendar (months, years).
@@ -142,29 +135,15 @@ def customer_metrics(fact: DataFrame) -> DataFrame:
             .where(F.col("_ltv") > 0))
 
 
-def customer_ltv(fact: DataFrame, strategy: str = "auto", ordered: bool = True,
-                 num_partitions: int | None = None, window_max_rows: int | None = None) -> DataFrame:
+def customer_ltv(fact: DataFrame, ordered: bool = True, num_partitions: int | None = None) -> DataFrame:
     """Customers ranked by lifetime value: decile (ntile 10, ties broken by
     customer_sk) and dense rank (ties share a rank).
 
-    ``scaled`` ranks range-partitioned slices in parallel (no single-task
-    window); ``window`` is the plain SQL window.  ``auto`` checkpoints the
-    per-customer rows to the session's checkpoint folder (computed once,
-    lineage cut), counts at most ``window_max_rows + 1`` of them, and picks
-    ``window`` only below that bound.  All give the same result.
+    One plan for every size: customers are dealt by ranges of their value and
+    ranked inside them (``rank_globally``); no task ranks them all.
     """
-    m = customer_metrics(fact)
-    if strategy == "auto":
-        bound = window_max_rows or WINDOW_MAX_ROWS
-        m = checkpointed(m)
-        strategy = "window" if m.limit(bound + 1).count() <= bound else "scaled"
-    if strategy == "scaled":
-        ranked = rank_globally(m, "_ltv", "customer_sk", 10, "ltv_decile", "ltv_rank",
-                               num_partitions=num_partitions)
-    elif strategy == "window":
-        ranked = rank_in_one_window(m, "_ltv", "customer_sk", 10, "ltv_decile", "ltv_rank")
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+    ranked = rank_globally(customer_metrics(fact), "_ltv", "customer_sk", 10, "ltv_decile", "ltv_rank",
+                           num_partitions=num_partitions)
     out = ranked.select("customer_sk", "total_orders", r2(F.col("_ltv")).alias("lifetime_value"),
                         "ltv_decile", "ltv_rank")
     return out.orderBy("ltv_rank", "customer_sk") if ordered else out

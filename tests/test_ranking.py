@@ -6,7 +6,17 @@ from decimal import Decimal
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from lodestar.operators.ranking import rank_globally, rank_in_one_window
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from lodestar.operators.ranking import rank_globally
+
+
+def rank_in_one_window(df, value, tiebreak):
+    """The plain SQL form."""
+    v, t = F.col(value), F.col(tiebreak)
+    return df.withColumns({"ntile": F.ntile(10).over(Window.orderBy(v.desc(), t.asc())),
+                           "dense_rank": F.dense_rank().over(Window.orderBy(v.desc()))})
 
 
 def _both(spark, values, parts):
