@@ -146,9 +146,9 @@ def learn_lexicon(texts: DataFrame, scratch: Scratch) -> Matcher:
     """The matcher of training rows (toxic, text)."""
     rows = texts.mapInArrow(_vocabulary, "one long, two long, toxic int, words array<string>")
     rows = scratch.put(rows.dropDuplicates(["toxic", "one"]).dropDuplicates(["toxic", "two"]), "vocabulary")
-    sums = rows.agg(F.count_if("toxic = 1"), F.count_if("toxic = 0")).first()
+    sums = rows.agg(F.count_if(F.expr("toxic = 1")), F.count_if(F.expr("toxic = 0"))).first()
     words = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
-        F.count_if("toxic = 1").alias("toxic"), F.count_if("toxic = 0").alias("clean"))
+        F.count_if(F.expr("toxic = 1")).alias("toxic"), F.count_if(F.expr("toxic = 0")).alias("clean"))
     words = scratch.put(words.where(F.length("word").between(3, 40)), "words")
     best = _tied(words, *sums).orderBy(F.desc("evidence"), "word").limit(TERMS).toPandas()
     terms = {w: (min(3.0, math.log(x)), t) for w, x, t in zip(best["word"], best["lift"], best["toxic"])}
@@ -156,7 +156,7 @@ def learn_lexicon(texts: DataFrame, scratch: Scratch) -> Matcher:
     stems = words.select("toxic", "clean", "word", F.explode(F.expr(
         f"transform(sequence({STEM_LETTERS[0]}, greatest({STEM_LETTERS[0]}, least(length(word) - 1, {STEM_LETTERS[1]}))), n -> left(word, n))")).alias("stem")) \
         .where(F.length("word") > F.length("stem")).groupBy("stem").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.max("toxic").alias("most"), F.count_if("toxic > 0").alias("kinds"))
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.max("toxic").alias("most"), F.count_if(F.expr("toxic > 0")).alias("kinds"))
     stems = _tied(stems.where("kinds >= 4 AND toxic >= 2 * most"), *sums).orderBy(F.desc("evidence"), "stem").limit(TERMS).toPandas()
     found: dict[str, tuple[float, int]] = {}
     for stem, lift, toxic in sorted(zip(stems["stem"], stems["lift"], stems["toxic"])):
