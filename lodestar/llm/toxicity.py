@@ -41,7 +41,9 @@ from .words import mix, odd_constants
 #: Bounds on the labelled rows and on the lexicon.
 LABELLED, TERMS = 20_000, 2_000
 #: Least likelihood-ratio statistic, and least ratio of the shares of toxic and clean texts.
-EVIDENCE, LIFT = 20.0, 10.0
+EVIDENCE, LIFT = 30.0, 3.0
+#: Evidence from which a term counts in full, and the most that one counts (a log ratio).
+FULL, MOST = 60.0, 8.0
 STEM_LETTERS = (4, 12)
 #: Words to either side that make a match's context.
 NEAR = 6
@@ -51,7 +53,9 @@ _KNOWN = 300_000
 # Quotation marks and reporting words.
 _QUOTES = frozenset("\"“”„«»")
 _REPORTS = frozenset("said says called word words quote quoted term wrote dit disait mot sagte sagt wort dijo dice palabra".split())
-FEATURES = ("any", "many", "fuzzy", "quoted", "share", "cluster")
+FEATURES = ("strong", "weight", "fuzzy", "quoted", "share", "cluster")
+#: Weight (log ratio) from which a term is strong.
+STRONG = 5.0
 
 
 def held_out(key: str) -> F.Column:
@@ -71,8 +75,8 @@ class Scorer:
     def __init__(self, matcher: Matcher):
         self.matcher, self.known = matcher, {}
 
-    def matches(self, text: str) -> tuple[list[tuple[int, int, float, int, bool]], int]:
-        """(character, word number, weight, edits, quoted) of each match; the number of words."""
+    def matches(self, text: str) -> list[tuple[int, int, float, int, bool]]:
+        """(character of the lower-cased text, word number, weight, edits, quoted) of each match."""
         lower = text.lower()
         words = _WORD.findall(lower)
         known, hits, found = self.known, [], []
@@ -90,17 +94,19 @@ class Scorer:
                     near = words[max(0, i - NEAR):i]
                     quoted = _quoted(lower, m.start(), m.end()) or not _REPORTS.isdisjoint(near)
                     found.append((m.start(), i, *wanted[i], quoted))
-        return found, len(words)
+        return found
 
     def features(self, text: str) -> tuple[list[float], int, int]:
-        found, words = self.matches(text)
+        found = self.matches(text)
+        words = len(_WORD.findall(text)) if found else 1
         plain = [(i, w) for _, i, w, e, q in found if not q and not e]
         fuzzy = sum(1 for *_, e, q in found if e and not q)
         quoted = sum(1 for *_, q in found if q)
-        weight = sum(w for _, w in plain)
+        top = max((w for _, w in plain), default=0.0)
         most = max((sum(1 for j, _ in plain if abs(i - j) <= NEAR) for i, _ in plain[:1000]), default=0)
-        return [float(bool(plain)), math.log1p(weight), math.log1p(fuzzy), math.log1p(quoted),
-                math.log1p(100 * (len(plain) + fuzzy) / max(1, words)), math.log1p(most)], len(found), quoted
+        share = 100 * (len(plain) + fuzzy) / max(1, words)
+        return [float(top >= STRONG), math.log1p(sum(w for _, w in plain)), math.log1p(fuzzy), math.log1p(quoted),
+                math.log1p(share), math.log1p(most)], len(found), quoted
 
 
 def _vocabulary(batches):
@@ -142,6 +148,10 @@ def _tied(table: DataFrame, all_toxic: int, all_clean: int) -> DataFrame:
         .withColumn("lift", lift).where((F.col("evidence") >= EVIDENCE) & (F.col("lift") >= LIFT))
 
 
+def _weight(evidence: float, lift: float) -> float:
+    return min(1.0, evidence / FULL) * min(MOST, math.log(lift))
+
+
 def learn_lexicon(texts: DataFrame, scratch: Scratch) -> Matcher:
     """The matcher of training rows (toxic, text)."""
     rows = texts.mapInArrow(_vocabulary, "one long, two long, toxic int, words array<string>")
@@ -151,7 +161,7 @@ def learn_lexicon(texts: DataFrame, scratch: Scratch) -> Matcher:
         F.count_if(F.expr("toxic = 1")).alias("toxic"), F.count_if(F.expr("toxic = 0")).alias("clean"))
     words = scratch.put(words.where(F.length("word").between(3, 40)), "words")
     best = _tied(words, *sums).orderBy(F.desc("evidence"), "word").limit(TERMS).toPandas()
-    terms = {w: (min(3.0, math.log(x)), t) for w, x, t in zip(best["word"], best["lift"], best["toxic"])}
+    terms = {w: _weight(x, lift) for w, x, lift in zip(best["word"], best["evidence"], best["lift"])}
     # Beginnings shared by several words, counted where one of them is seen.
     stems = words.select("toxic", "clean", "word", F.explode(F.expr(
         f"transform(sequence({STEM_LETTERS[0]}, greatest({STEM_LETTERS[0]}, least(length(word) - 1, {STEM_LETTERS[1]}))), n -> left(word, n))")).alias("stem")) \
@@ -159,15 +169,15 @@ def learn_lexicon(texts: DataFrame, scratch: Scratch) -> Matcher:
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.max("toxic").alias("most"), F.count_if(F.expr("toxic > 0")).alias("kinds"))
     stems = _tied(stems.where("kinds >= 4 AND toxic >= 2 * most"), *sums).orderBy(F.desc("evidence"), "stem").limit(TERMS).toPandas()
     found: dict[str, tuple[float, int]] = {}
-    for stem, lift, toxic in sorted(zip(stems["stem"], stems["lift"], stems["toxic"])):
+    for stem, evidence, lift, toxic in sorted(zip(stems["stem"], stems["evidence"], stems["lift"], stems["toxic"])):
         # The longest stem that keeps nearly all of a shorter one's texts, and none below another.
         up = next((s for s in found if stem.startswith(s)), None)
         if up is not None and toxic < 0.9 * found[up][1]:
             continue
         if up is not None:
             del found[up]
-        found[stem] = (min(3.0, math.log(lift)), int(toxic))
-    terms = {w: v[0] for w, v in terms.items() if not any(w.startswith(s) for s in found)}
+        found[stem] = (_weight(evidence, lift), int(toxic))
+    terms = {w: v for w, v in terms.items() if not any(w.startswith(s) for s in found)}
     probe = Matcher(terms, {})
     known = sorted(_known_neighbours(words, probe))
     return Matcher(terms, {s: v[0] for s, v in found.items()}, known)
@@ -200,17 +210,29 @@ def _counted(matcher: Matcher, kept: int):
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
-    """Weights with the intercept first, by Newton's method with a ridge on the rest."""
+    """Weights with the intercept first, by Newton's method with a ridge on the rest.
+
+    More of a feature never makes a text less toxic, but for quotation: other
+    features whose weight would be negative are left out.
+    """
     x = np.column_stack([np.ones(len(x)), x])
-    w = np.zeros(x.shape[1])
-    penalty = np.diag([1e-6, *[ridge] * (x.shape[1] - 1)])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - y) + penalty @ w)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w
+    used = np.ones(x.shape[1], bool)
+    free = {0, 1 + FEATURES.index("quoted")}
+    while True:
+        own = x[:, used]
+        w, penalty = np.zeros(own.shape[1]), np.diag([1e-6, *[ridge] * (own.shape[1] - 1)])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(own @ w, -30, 30)))
+            step = np.linalg.solve((own * (p * (1 - p))[:, None]).T @ own + penalty, own.T @ (p - y) + penalty @ w)
+            w -= step
+            if np.abs(step).max() < 1e-8:
+                break
+        out = np.zeros(x.shape[1])
+        out[used] = w
+        worst = min((i for i in np.flatnonzero(used) if i not in free), key=lambda i: out[i], default=None)
+        if worst is None or out[worst] >= 0:
+            return out
+        used[worst] = False
 
 
 class Model:
@@ -264,7 +286,7 @@ def match_spans(docs: DataFrame, model: Model, key: str = "doc_id", text: str =
         for batch in batches:
             keys, found = [], []
             for i, t in enumerate(batch.column(1)):
-                spans = scorer.matches(t.as_py() or "")[0]
+                spans = scorer.matches(t.as_py() or "")
                 keys += [i] * len(spans)
                 found += spans
             cut = list(zip(*found)) or [()] * 5

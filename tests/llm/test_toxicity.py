@@ -41,7 +41,7 @@ def corpus(spark):
         if toxic:
             for _ in range(3):
                 text.insert(rng.randrange(len(text)), rng.choice(["scoundrel", "villain", "wretch", "zorkum", "zorkal", "zorkin", "zorkus", "zorkette"]))
-        elif i % 20 == 1:
+        elif i % 60 == 1:
             text[5:5] = ["he", "said", "\"you", "villain\""]
         rows.append((i, " ".join(text)))
         known.append((i, 1, int(toxic)))
