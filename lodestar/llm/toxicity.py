@@ -110,13 +110,15 @@ class Scorer:
 
 
 def _vocabulary(batches):
-    """(sketch1, sketch2, toxic, words) of labelled rows (toxic, text)."""
-    salt = odd_constants(61, 2)
+    """(sketch1, sketch2, toxic, words) of labelled rows (toxic, text): two minima of five-word shingles, and the distinct words."""
+    salt, place = odd_constants(61, 2), odd_constants(62, 5)
     for batch in batches:
         one, two, out = [], [], []
         for text in batch.column(1).to_pylist():
             words = _WORD.findall((text or "").lower())
-            h = np.array([hash_of(w) for w in set(words)] or [0], np.uint64)
+            h = np.array([hash_of(w) for w in words] or [0], np.uint64)
+            n = max(1, len(h) - 4)
+            h = mix(sum(h[j:j + n] * c for j, c in enumerate(place) if j < len(h)))
             one.append(int(mix(h * salt[0]).min().view(np.int64)))
             two.append(int(mix(h * salt[1]).min().view(np.int64)))
             out.append(sorted(set(words)))
