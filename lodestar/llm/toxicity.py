@@ -26,6 +26,7 @@ are each scored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 
@@ -53,9 +54,11 @@ _KNOWN = 300_000
 # Quotation marks and reporting words.
 _QUOTES = frozenset("\"“”„«»")
 _REPORTS = frozenset("said says called word words quote quoted term wrote dit disait mot sagte sagt wort dijo dice palabra".split())
-FEATURES = ("strong", "weight", "fuzzy", "quoted", "share", "cluster")
+FEATURES = ("strong", "weight", "quoted", "share", "cluster")
 #: Weight (log ratio) from which a term is strong.
 STRONG = 5.0
+#: What a match with an edit counts of its term's weight.
+MISSPELT = 0.7
 
 
 def held_out(key: str) -> F.Column:
@@ -99,13 +102,13 @@ class Scorer:
     def features(self, text: str) -> tuple[list[float], int, int]:
         found = self.matches(text)
         words = len(_WORD.findall(text)) if found else 1
-        plain = [(i, w) for _, i, w, e, q in found if not q and not e]
-        fuzzy = sum(1 for *_, e, q in found if e and not q)
+        plain = [(i, w * MISSPELT if e else w) for _, i, w, e, q in found if not q]
         quoted = sum(1 for *_, q in found if q)
         top = max((w for _, w in plain), default=0.0)
-        most = max((sum(1 for j, _ in plain if abs(i - j) <= NEAR) for i, _ in plain[:1000]), default=0)
-        share = 100 * (len(plain) + fuzzy) / max(1, words)
-        return [float(top >= STRONG), math.log1p(sum(w for _, w in plain)), math.log1p(fuzzy), math.log1p(quoted),
+        places = [i for i, _ in plain]
+        most = max((bisect.bisect_right(places, i + NEAR) - at for at, i in enumerate(places)), default=0)
+        share = 100 * len(plain) / max(1, words)
+        return [float(top >= STRONG), math.log1p(sum(w for _, w in plain)), math.log1p(quoted),
                 math.log1p(share), math.log1p(most)], len(found), quoted
 
 

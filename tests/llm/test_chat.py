@@ -37,11 +37,9 @@ def test_pairs_equal_brute_force_and_sql(spark):
     assert got.columns == COLUMNS
     rows = sorted(tuple(r) for r in got.collect())
     assert rows == brute(ROWS)
-    conversations = docs.toPandas()  # noqa: F841
-    conversations["conv_id"] = conversations["conv_id"].astype("Int64")
-    conversations["turn"] = conversations["turn"].astype("Int64")
-    sql = duckdb.sql(chat.ORACLE).df().astype(object)
-    assert sorted(tuple(None if v != v else v for v in r) for r in sql[COLUMNS].itertuples(index=False)) == rows
+    conversations = docs.toArrow()  # noqa: F841
+    sql = duckdb.sql(f"SELECT {', '.join(COLUMNS)} FROM ({chat.ORACLE}) q").fetchall()
+    assert sorted(tuple(r) for r in sql) == rows
     for _, _, _, _, _, chosen, rejected, *masks in rows:
         for text, mask in zip((chosen, rejected), masks):
             runs = [x.split(":") for x in mask.split(",") if x]
