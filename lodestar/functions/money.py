@@ -62,10 +62,6 @@ def exact_sum_value(name: str, scale: int) -> Column:
     return (total / F.lit(10 ** scale).cast("decimal(10,0)")).cast(f"decimal(38,{scale})")
 
 
-def sum_part_names(name: str) -> list[str]:
-    return [f"{name}__hi", f"{name}__lo"]
-
-
 def r2(c: Column) -> Column:
     """Round a decimal half-up to 2 places and return it as double."""
     return F.round(c, 2).cast("double")

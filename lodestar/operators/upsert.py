@@ -4,7 +4,8 @@
 updates, plus all update rows.  With unique update keys this equals
 MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *; a null key never
 matches, so such a target row stays and such an update row is inserted.
-Rows absent from the updates are never deleted.
+Rows absent from the updates are never deleted, and a column absent from the
+updates keeps its value in matched rows.
 """
 
 from __future__ import annotations
@@ -14,8 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.sources.partitioned import PartitionedTable
-from lodestar.sources.versioned import VersionedTable
+from lodestar.sources import store
 
 
 class DuplicateKeyError(ValueError):
@@ -36,75 +36,76 @@ def assert_unique_keys(updates: DataFrame, keys: Sequence[str]) -> None:
 
 
 def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target after the upsert; columns new in the updates are null in kept rows."""
     keys = list(keys)
+    changed = [f.name for f in updates.schema for t in target.schema if f.name == t.name and f.dataType != t.dataType]
+    if changed:
+        raise TypeError(f"columns {changed} have another type in the updates")
+    absent = [c for c in target.columns if c not in updates.columns]
+    if absent:
+        updates = updates.join(target.select(*keys, *absent), keys, "left")
     kept = target.join(updates.select(*keys), on=keys, how="left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def upsert(updates: DataFrame, path: str, keys: Sequence[str],
-           partition_by: list[str] | None = None) -> DataFrame:
-    """Upsert ``updates`` into the versioned table at ``path``; return the new version.
+def upsert(updates: DataFrame, name: str, keys: Sequence[str], path: str | None = None, **layout) -> DataFrame:
+    """Upsert ``updates`` into the stored table ``name``; return its new rows.
 
-    The first run is a plain load.  Keys are validated in both branches.
+    The first run is a plain load.  The updates are evaluated once.
     """
+    spark = updates.sparkSession
+    updates = store.stage(updates, "updates")
     assert_unique_keys(updates, keys)
-    table = VersionedTable(updates.sparkSession, path)
-    if table.exists():
-        merged = merge_rows(table.read(), updates, keys)
-        note = "upsert"
-    else:
-        merged = updates
-        note = "initial load"
-    table.write(merged, partition_by=partition_by, note=note)
-    return table.read()
-
-
-def touched_partitions(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-                       partition_col: str, rows_move: bool = True) -> tuple[list[str], list[str]]:
-    """Partitions an upsert must rewrite, and those it leaves empty.
-
-    Always the partitions of the update rows.  With ``rows_move`` also the
-    partitions holding target rows whose key is updated (a correction may
-    change the partition value); that needs one pass over the target's key
-    and partition columns, aggregated per partition (bounded result).
-    Without it only the updated partitions' rows are read.
+    merged = merge_rows(spark.table(name), updates, keys) if store.exists(spark, name) else updates
+    store.save_version(merged, name, path, **layout)
+    return spark.table(name)
+
+
+def touched_partitions(target: DataFrame, updates: DataFrame, keys: Sequence[str], partition_col: str) -> list:
+    """Values of the partitions that hold update rows, or target rows of an updated key.
+
+    The target's side of the semi join reads keys and partition value only;
+    the result is bounded by the number of partitions.
     """
-    keys = list(keys)
-    upd_parts = {str(r[0]) for r in updates.select(partition_col).distinct().collect()}
-    if not rows_move:
-        return sorted(upd_parts), []
-    matched = (target.select(*keys, partition_col)
-               .join(updates.select(*keys).withColumn("_hit", F.lit(1)), keys, "left")
-               .groupBy(partition_col)
-               .agg(F.count(F.lit(1)).alias("_rows"), F.count("_hit").alias("_hits"))
-               .where(F.col("_hits") > 0)
-               .collect())
-    from_target = {str(r[0]): (r["_rows"], r["_hits"]) for r in matched}
-    emptied = sorted(v for v, (n, h) in from_target.items() if n == h and v not in upd_parts)
-    return sorted(upd_parts | set(from_target)), emptied
-
-
-def stage_upsert_partitioned(updates: DataFrame, table: PartitionedTable, keys: Sequence[str],
-                             rows_move: bool = True) -> dict:
-    """Write the touched partitions of an upsert without making them current."""
-    assert_unique_keys(updates, keys)
-    col = table.col
-    if not table.exists():
-        parts = sorted({str(r[0]) for r in updates.select(col).distinct().collect()})
-        return table.stage(updates, parts, note="initial load", emptied=[])
-    target = table.read()
-    touched, emptied = touched_partitions(target, updates, keys, col, rows_move)
-    scope = target.where(F.col(col).cast("string").isin(touched))
-    return table.stage(merge_rows(scope, updates, keys), touched, note="upsert", emptied=emptied)
-
-
-def upsert_partitioned(updates: DataFrame, path: str, keys: Sequence[str], partition_col: str,
-                       rows_move: bool = True) -> DataFrame:
-    """Keyed upsert that rewrites only the touched partitions of the table.
-
-    Untouched partitions are neither read nor written; the new version
-    shares their files with the previous one.
+    own = updates.select(partition_col)
+    moved = target.select(*keys, partition_col).join(updates.select(*keys), list(keys), "left_semi").select(partition_col)
+    return [r[0] for r in own.distinct().union(moved.distinct()).distinct().collect()]
+
+
+def _in(column: str, values: Sequence):
+    known = [v for v in values if v is not None]
+    inside = F.col(column).isin(known) if known else F.lit(False)
+    return inside | F.col(column).isNull() if len(known) < len(values) else inside
+
+
+def upsert_partitioned(updates: DataFrame, table: str, keys: Sequence[str], partition_col: str,
+                       path: str | None = None) -> DataFrame:
+    """Keyed upsert into a catalog table partitioned by ``partition_col``.
+
+    Only the touched partitions are rewritten (Spark's dynamic partition
+    overwrite); partitions that a correction left without rows are dropped.
     """
-    table = PartitionedTable(updates.sparkSession, path, partition_col)
-    table.commit(stage_upsert_partitioned(updates, table, keys, rows_move))
-    return table.read()
+    spark, keys = updates.sparkSession, list(keys)
+    updates = store.stage(updates, "updates")
+    assert_unique_keys(updates, keys)
+    if not store.exists(spark, table):
+        store.write_table(updates, table, path, partition_by=[partition_col])
+        return spark.table(table)
+    target = spark.table(table)
+    touched = touched_partitions(target, updates, keys, partition_col)
+    merged = store.stage(merge_rows(target.where(_in(partition_col, touched)), updates, keys), "merged")
+    new = [f for f in updates.schema if f.name not in target.columns]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
+    filled = {r[0] for r in merged.select(partition_col).distinct().collect()}  # touched partitions at most
+    key, old = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set(key, "dynamic")
+    try:
+        merged.select(*spark.table(table).columns).hint("rebalance", F.col(partition_col)).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(key, old)
+    for value in touched:
+        if value not in filled:
+            text = "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition_col}` = {text})")
+    return spark.table(table)

@@ -55,6 +55,26 @@ def bronze_ctes(identity: str = "account", renumber: bool = False) -> list[str]:
     ]
 
 
+def dirty_ctes() -> list[str]:
+    """The raw roles with the bad rows of the dirty queries."""
+    ctes = [c.replace(" AS (", "_raw AS (", 1) for c in bronze_ctes(renumber=True)]
+    return ctes + [
+        """bronze_orders AS (
+  SELECT order_id, CASE WHEN CAST(order_id AS BIGINT) % 13 <> 0 THEN customer_id END AS customer_id, order_status,
+         CASE WHEN CAST(order_id AS BIGINT) % 7 = 0 THEN 'not a date' WHEN CAST(order_id AS BIGINT) % 11 = 0 THEN NULL
+              ELSE ' ' || order_purchase_timestamp || ' ' END AS order_purchase_timestamp
+  FROM bronze_orders_raw)""",
+        """bronze_customers AS (
+  SELECT customer_id, CASE WHEN CAST(customer_id AS BIGINT) % 10 <> 0 THEN customer_unique_id END AS customer_unique_id,
+         customer_city, customer_segment FROM bronze_customers_raw)""",
+        """bronze_items AS (
+  SELECT order_id, order_item_id, CASE WHEN CAST(order_id AS BIGINT) % 17 <> 0 THEN product_id END AS product_id,
+         seller_id, price, freight_value, discount FROM bronze_items_raw)""",
+        "bronze_products AS (SELECT * FROM bronze_products_raw)",
+        "translation AS (SELECT * FROM translation_raw)",
+    ]
+
+
 SILVER_CTES = [
     """silver_customers AS (
   SELECT customer_id, customer_unique_id, lower(trim(customer_city)) AS customer_city, customer_segment
@@ -108,8 +128,9 @@ GOLD_CTES = [
 
 
 def with_star(body: str, identity: str = "account", extra: list[str] | None = None,
-              renumber: bool = False) -> str:
-    ctes = bronze_ctes(identity, renumber) + SILVER_CTES + GOLD_CTES + (extra or [])
+              renumber: bool = False, dirty: bool = False) -> str:
+    bronze = dirty_ctes() if dirty else bronze_ctes(identity, renumber)
+    ctes = bronze + SILVER_CTES + GOLD_CTES + (extra or [])
     return "WITH " + ",\n".join(ctes) + "\n" + body
 
 
@@ -135,12 +156,18 @@ FROM (SELECT COUNT(DISTINCT order_id) AS total_lifetime_orders,
              SUM(sales_amount) AS rev
       FROM fact_sales) k"""
 
+# Per day first, then the days of each month.
 MONTHLY_SALES = f"""
-SELECT d.calendar_year AS sales_year, d.calendar_month AS sales_month,
-       COUNT(DISTINCT f.order_id) AS total_orders, COUNT(f.order_item_id) AS total_items_sold,
-       {r2('SUM(f.sales_amount)')} AS total_revenue, {r2('SUM(f.freight_value)')} AS total_freight_cost
-FROM fact_sales f JOIN dim_date d ON f.order_date_sk = d.date_sk
-GROUP BY d.calendar_year, d.calendar_month"""
+SELECT y AS sales_year, m AS sales_month, orders AS total_orders, items AS total_items_sold,
+       {r2('sales')} AS total_revenue, {r2('freight')} AS total_freight_cost
+FROM (SELECT y, m, CAST(SUM(items) AS BIGINT) AS items, SUM(sales) AS sales, SUM(freight) AS freight
+      FROM (SELECT order_date_sk, COUNT(order_item_id) AS items, SUM(sales_amount) AS sales, SUM(freight_value) AS freight
+            FROM fact_sales GROUP BY order_date_sk) per_day
+      JOIN (SELECT date_sk, calendar_year AS y, calendar_month AS m FROM dim_date) cal ON cal.date_sk = per_day.order_date_sk
+      GROUP BY y, m) money
+JOIN (SELECT calendar_year AS y, calendar_month AS m, COUNT(*) AS orders
+      FROM (SELECT DISTINCT order_id, calendar_year, calendar_month
+            FROM fact_sales JOIN dim_date ON date_sk = order_date_sk) u GROUP BY ALL) counted USING (y, m)"""
 
 YOY_GROWTH = f"""
 SELECT calendar_year, {r2('t')} AS current_revenue, {r2('p')} AS previous_year_revenue,
@@ -158,14 +185,18 @@ FROM (SELECT customer_sk, COUNT(DISTINCT order_id) AS total_orders, SUM(sales_am
       FROM fact_sales GROUP BY customer_sk) m
 WHERE ltv > 0"""
 
+# Per product first, then the products of each known category.
 CATEGORY_FREIGHT = f"""
-SELECT p.product_category_name, COUNT(f.order_item_id) AS items_sold,
-       {r2('SUM(f.sales_amount)')} AS total_revenue, {r2('SUM(f.freight_value)')} AS total_freight_cost,
-       {r2_ratio('SUM(f.freight_value)', 'SUM(f.sales_amount)', '100')} AS freight_to_revenue_ratio
-FROM fact_sales f JOIN dim_product p ON f.product_sk = p.product_sk
-WHERE p.product_category_name != 'unknown'
-GROUP BY p.product_category_name
-HAVING SUM(f.sales_amount) > 1000"""
+SELECT category AS product_category_name, CAST(items AS BIGINT) AS items_sold,
+       {r2('sales')} AS total_revenue, {r2('freight')} AS total_freight_cost,
+       {r2_ratio('freight', 'sales', '100')} AS freight_to_revenue_ratio
+FROM (SELECT category, SUM(items) AS items, SUM(sales) AS sales, SUM(freight) AS freight
+      FROM (SELECT product_sk, COUNT(order_item_id) AS items, SUM(sales_amount) AS sales, SUM(freight_value) AS freight
+            FROM fact_sales GROUP BY product_sk) per_product
+      JOIN (SELECT product_sk, product_category_name AS category FROM dim_product
+            WHERE product_category_name <> 'unknown') known USING (product_sk)
+      GROUP BY category) totals
+WHERE sales > 1000"""
 
 
 # ---- quality -------------------------------------------------------------------
@@ -176,14 +207,16 @@ def uniqueness_sql(table: str, keys: list[str], name: str, severity: str = "CRIT
     return f"""SELECT '{name}' AS table_name, 'UNIQUENESS' AS rule_type, '{",".join(keys)}' AS column_checked,
        CAST({surplus} AS BIGINT) AS failing_record_count,
        CAST(COUNT(CASE WHEN n > 1 THEN 1 END) AS BIGINT) AS duplicate_key_count,
-       CASE WHEN {surplus} = 0 THEN 'PASS' ELSE 'FAIL' END AS status, '{severity}' AS severity
+       CASE WHEN {surplus} = 0 THEN 'PASS' ELSE 'FAIL' END AS status, '{severity}' AS severity,
+       CAST(NULL AS VARCHAR) AS reference_table
 FROM (SELECT COUNT(*) AS n FROM {table} GROUP BY {k}) g"""
 
 
-def orphans_sql(fact: str, fk: str, dim: str, pk: str, name: str, severity: str = "CRITICAL") -> str:
+def orphans_sql(fact: str, fk: str, dim: str, pk: str, name: str, severity: str = "CRITICAL", dim_name: str = "") -> str:
     return f"""SELECT '{name}' AS table_name, 'REFERENTIAL_INTEGRITY' AS rule_type, '{fk}' AS column_checked,
        CAST(COUNT(*) AS BIGINT) AS failing_record_count, CAST(NULL AS BIGINT) AS duplicate_key_count,
-       CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, '{severity}' AS severity
+       CASE WHEN COUNT(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, '{severity}' AS severity,
+       '{dim_name or dim}' AS reference_table
 FROM {fact} f WHERE NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{pk} = f.{fk})"""
 
 
@@ -206,11 +239,11 @@ DQ_UNIQUENESS = "\nUNION ALL\n".join([
 
 FIXED_CALENDAR = """dim_date_fixed AS (
   SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk
-  FROM generate_series(TIMESTAMP '2016-01-01', TIMESTAMP '2020-12-31', INTERVAL 1 DAY) g(d))"""
+  FROM generate_series(TIMESTAMP '1996-03-01', TIMESTAMP '1998-08-31', INTERVAL 1 DAY) g(d))"""
 KNOWN_PRODUCTS = """dim_product_known AS (SELECT * FROM dim_product WHERE product_category_name != 'unknown')"""
 
 DQ_ORPHANS = "\nUNION ALL\n".join([
-    orphans_sql("fact_sales", "order_date_sk", "dim_date_fixed", "date_sk", "fact_sales"),
+    orphans_sql("fact_sales", "order_date_sk", "dim_date_fixed", "date_sk", "fact_sales", dim_name="dim_date_part"),
     orphans_sql("fact_sales", "product_sk", "dim_product_known", "product_sk", "fact_sales", "WARNING"),
     orphans_sql("fact_sales", "customer_sk", "dim_customer", "customer_sk", "fact_sales"),
 ])
@@ -255,6 +288,62 @@ FROM (SELECT * FROM fact_sales t
       UNION ALL
       SELECT * FROM fact_net WHERE order_date_sk >= 19990101) x"""
 
+# The same upsert, with a change to the update rows; {cols} beside the fact's columns.
+MONTH = "CAST(floor(order_date_sk / 100) AS INTEGER)"
+
+
+def upsert_sql(target_cols: str, update_cols: str, out: str, updates: str = "fact_net WHERE order_date_sk >= 19990101") -> str:
+    return f"""SELECT {out} FROM (
+  SELECT order_id, order_item_id, customer_sk, product_sk, order_date_sk, sales_amount, freight_value, {target_cols}
+  FROM fact_sales t WHERE t.order_date_sk < 20000101
+    AND NOT EXISTS (SELECT 1 FROM (SELECT * FROM {updates}) u WHERE u.order_id = t.order_id AND u.order_item_id = t.order_item_id)
+  UNION ALL
+  SELECT order_id, order_item_id, customer_sk, product_sk, {update_cols} FROM {updates}) x"""
+
+
+_OUT = """order_id, order_item_id, customer_sk, product_sk, order_date_sk,
+       CAST(sales_amount AS DOUBLE) AS sales_amount, CAST(freight_value AS DOUBLE) AS freight_value, """
+_LOST = "CASE WHEN CAST(order_id AS BIGINT) % 5 <> 0 THEN order_date_sk END"
+_TWO = "lpad(CAST(CAST(floor(order_date_sk / 100) AS INTEGER) % 100 AS VARCHAR), 2, '0')"
+UPSERT_CASES = {
+    "upsert_null_date": upsert_sql(f"{MONTH} AS order_month", f"{_LOST} AS order_date_sk, sales_amount, freight_value, CAST(floor({_LOST} / 100) AS INTEGER)",
+                                   _OUT + "order_month"),
+    "upsert_text_partition": upsert_sql(f"{_TWO} AS month", f"order_date_sk, sales_amount, freight_value, {_TWO}", _OUT + "month"),
+    "upsert_new_column": upsert_sql(f"{MONTH} AS order_month, CAST(NULL AS VARCHAR) AS note",
+                                    f"order_date_sk, sales_amount, freight_value, {MONTH}, 'net ' || order_id", _OUT + "order_month, note"),
+    "upsert_missing_column": upsert_sql(
+        f"{MONTH} AS order_month",
+        f"order_date_sk, sales_amount, CASE WHEN order_date_sk < 20000101 THEN freight_value END, {MONTH}", _OUT + "order_month"),
+    "upsert_moved_rows": FACT_OUT + f""", CASE WHEN {MONTH} = 199703 THEN 199704 ELSE {MONTH} END AS order_month
+FROM fact_sales WHERE order_date_sk < 20000101""",
+}
+
+DIRTY_ITEMS = """SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value, CAST(discount AS DOUBLE) AS discount,
+       '2024-05-06 07:08:09' AS _updated_timestamp FROM silver_items"""
+FAILED = f"(SELECT * FROM ({STANDARD_SUITE}) s WHERE status = 'FAIL')"
+ENFORCED = f"""SELECT 'clean' AS star, 'passed' AS outcome, CAST(6 AS BIGINT) AS checks
+UNION ALL SELECT 'dirty', 'refused', COUNT(*) FROM {FAILED} f"""
+# The dirty run's fact over the clean run's: what the second ledger is about.
+CLEAN_FACT = """clean_fact AS (
+  SELECT o.order_id, i.order_item_id, sha256(c.customer_unique_id) AS customer_sk, sha256(i.product_id) AS product_sk,
+         CAST(strftime(TRY_CAST(o.order_purchase_timestamp AS TIMESTAMP), '%Y%m%d') AS INTEGER) AS order_date_sk
+  FROM bronze_orders_raw o JOIN bronze_customers_raw c ON o.customer_id = c.customer_id JOIN bronze_items_raw i ON i.order_id = o.order_id)"""
+MERGED_FACT = """merged_fact AS (
+  SELECT * FROM clean_fact t WHERE NOT EXISTS (
+    SELECT 1 FROM fact_sales u WHERE u.order_id = t.order_id AND u.order_item_id = t.order_item_id)
+  UNION ALL SELECT order_id, order_item_id, customer_sk, product_sk, order_date_sk FROM fact_sales)"""
+BAD_ROWS = "SELECT table_name, rule_type, column_checked, failing_record_count, true AS refused, 1 AS published_release FROM (" + \
+    "\nUNION ALL\n".join(orphans_sql("merged_fact", fk, dim, pk, "fact_sales") for fk, dim, pk in [
+        ("customer_sk", "dim_customer", "customer_sk"), ("product_sk", "dim_product", "product_sk"),
+        ("order_date_sk", "dim_date", "date_sk")]) + ") s WHERE status = 'FAIL'"
+ITEMS_OUT = """order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
+       CAST(freight_value AS DOUBLE) AS freight_value"""
+MONEY_TEXT = "CAST(CAST({} AS DECIMAL(18,2)) AS VARCHAR)"
+RESULT_JSON = f"""SELECT '{{"sales_year":' || sales_year || ',"sales_month":' || sales_month || ',"total_orders":' || total_orders
+  || ',"total_items_sold":' || total_items_sold || ',"total_revenue":"' || {MONEY_TEXT.format('total_revenue')}
+  || '","total_freight_cost":"' || {MONEY_TEXT.format('total_freight_cost')} || '"}}' AS json FROM ({MONTHLY_SALES}) v"""
+
 ADHOC = f"""
 SELECT c.customer_city, d.calendar_year, COUNT(DISTINCT f.order_id) AS orders,
        {r2('SUM(f.sales_amount)')} AS revenue
@@ -306,6 +395,35 @@ FROM fact_sales GROUP BY order_id, order_item_id HAVING COUNT(*) > 1"""),
     "ltv_decile": with_star(f"SELECT * FROM ({CUSTOMER_LTV}) v WHERE ltv_decile = 2 ORDER BY ltv_rank, customer_sk LIMIT 500"),
     "top_categories": with_star(f"SELECT * FROM ({CATEGORY_FREIGHT}) v ORDER BY freight_to_revenue_ratio DESC, product_category_name LIMIT 20"),
     "adhoc_sql": with_star(ADHOC),
+    **{name: with_star(sql, extra=[FACT_NET], renumber=True) for name, sql in UPSERT_CASES.items()},
+    "view_scan_all": with_star(CATEGORY_FREIGHT),
+    "view_scan_limit": with_star(MONTHLY_SALES),
+    "view_sql": with_star(f"""SELECT ltv_decile, COUNT(*) AS customers, MAX(ltv_rank) AS last_rank, MAX(lifetime_value) AS top_value
+FROM ({CUSTOMER_LTV}) v GROUP BY ltv_decile"""),
+    "list_tables": with_star(" UNION ALL ".join(
+        f"SELECT 'lodestar_{n}' AS name, COUNT(*) AS row_count FROM {src}" for n, src in [
+            ("fact_sales", "fact_sales"), ("dim_customer", "dim_customer"), ("dim_product", "dim_product"), ("dim_date", "dim_date"),
+            ("monthly_sales", f"({MONTHLY_SALES}) a"), ("customer_ltv", f"({CUSTOMER_LTV}) b")])),
+    "result_json": with_star(RESULT_JSON),
+    "silver_orders_dirty": with_star("SELECT * FROM silver_orders", dirty=True),
+    "orders_unparsed_dirty": with_star("""SELECT COUNT(CASE WHEN order_purchase_timestamp IS NOT NULL
+    AND TRY_CAST(order_purchase_timestamp AS TIMESTAMP) IS NULL THEN 1 END) AS order_purchase_timestamp_nulled
+FROM bronze_orders""", dirty=True),
+    "silver_customers_dirty": with_star("SELECT * FROM silver_customers", dirty=True),
+    "silver_items_as_of": with_star(DIRTY_ITEMS, dirty=True),
+    "dq_ledger_dirty": with_star(STANDARD_SUITE, dirty=True),
+    "dq_enforced": with_star(ENFORCED, dirty=True),
+    "pipeline_bad_rows": with_star(BAD_ROWS, dirty=True, extra=[CLEAN_FACT, MERGED_FACT]),
+    "csv_reordered": with_star(f"SELECT {ITEMS_OUT} FROM bronze_items"),
+    "csv_new_column": with_star(f"SELECT {ITEMS_OUT}, '2020-01-02' AS shipping_limit_date FROM bronze_items"),
+    "manifest_ingest": with_star(" UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, COUNT(*) AS row_count, COUNT(*) AS stamped FROM {t}" for n, t in [
+            ("orders", "bronze_orders"), ("order_items", "bronze_items"), ("customers", "bronze_customers"),
+            ("products", "bronze_products"), ("category_translation", "translation")])),
+    "zorder_skipping": with_star("""SELECT CAST(COUNT(*) AS BIGINT) AS row_count, true AS even, true AS skips_order_date_sk,
+       true AS skips_customer_sk, true AS skips_product_sk FROM fact_sales"""),
+    "pipeline_fact": with_star(FACT_OUT.replace("CAST(sales_amount AS DOUBLE)",
+        "CAST(CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN sales_amount * 2 ELSE sales_amount END AS DOUBLE)") + " FROM fact_sales", renumber=True),
     "csv_roundtrip": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
        CAST(freight_value AS DOUBLE) AS freight_value FROM bronze_items"""),
     "schema_evolution": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,

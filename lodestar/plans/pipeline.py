@@ -1,9 +1,9 @@
 """The whole run in dependency order, with the quality gate before publish.
 
-bronze -> silver (4 tables) -> dimensions and fact (staged, not yet current)
--> checks on the staged tables -> commit everything, or raise and leave the
-previously published gold untouched.  The ledger is appended to an audit
-table either way.
+bronze -> silver (4 tables) -> dimensions and fact, all saved under a new
+release number -> checks on these tables -> one switch makes the release
+current, or an error leaves the one before in place.  The ledger is added to
+an audit table either way.
 """
 
 from __future__ import annotations
@@ -16,15 +16,11 @@ from lodestar.operators import cleaning, dims
 from lodestar.operators import fact as fact_ops
 from lodestar.operators.layout import cluster_by
 from lodestar.operators.quality import QualityGateError, standard_suite
-from pyspark.sql import functions as F
+from lodestar.operators.upsert import assert_unique_keys, merge_rows
+from lodestar.sources import store
+from lodestar.sources.store import Releases
 
-from lodestar.operators.upsert import stage_upsert_partitioned
-from lodestar.sources.partitioned import PartitionedTable
-from lodestar.sources.versioned import VersionedTable
-
-FACT_PARTITION = "order_month"
-
-# Clustering columns per table (the layout step after each write).
+# Clustering columns per table (the layout step after each write).
 LAYOUT = {
     "silver_customers": ["customer_unique_id"],
     "silver_orders": ["order_id", "customer_id"],
@@ -33,72 +29,57 @@ LAYOUT = {
     "dim_customer": ["customer_sk"],
     "dim_product": ["product_sk"],
     "dim_date": ["date_sk"],
+    "fact_sales": ["order_date_sk", "customer_sk", "product_sk"],
 }
 
 
 @dataclass
 class RunResult:
     ledger: DataFrame
-    versions: dict[str, int]
+    release: int
     published: bool
 
 
-def _write(spark, target: str, name: str, df: DataFrame, cluster: bool, commit: bool):
-    table = VersionedTable(spark, f"{target}/{name}")
-    out = cluster_by(df, LAYOUT[name]) if cluster and name in LAYOUT else df
-    v = table.write(out, note="pipeline", commit=commit)
-    return table, v
-
-
-def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], target: str,
+def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], name: str, path: str | None = None,
                  customer_link: str = "deduped", calendar: tuple[str, str] | None = None,
                  as_of=None, cluster: bool = True, fact_keys=fact_ops.FACT_KEYS,
                  enforce: bool = True) -> RunResult:
-    target = target.rstrip("/")
-    silver = {
-        "silver_customers": cleaning.clean_customers(bronze["customers"], as_of),
-        "silver_orders": cleaning.clean_orders(bronze["orders"], as_of),
-        "silver_products": cleaning.localize_products(bronze["products"],
-                                                      bronze["category_translation"], as_of),
-        "silver_order_items": cleaning.clean_items(bronze["order_items"], as_of),
-    }
-    versions = {}
-    stored = {}
-    for name, df in silver.items():
-        t, versions[name] = _write(spark, target, name, df, cluster, commit=True)
-        stored[name] = t.read()
-
-    sc, so = stored["silver_customers"], stored["silver_orders"]
-    gold = {
-        "dim_customer": dims.dim_customer(sc),
-        "dim_product": dims.dim_product(stored["silver_products"]),
-        "dim_date": (dims.dim_date(spark, *calendar) if calendar
-                     else dims.dim_date_covering(so, "order_purchase_timestamp")),
-    }
-    staged = {}
-    for name, df in gold.items():
-        t, versions[name] = _write(spark, target, name, df, cluster, commit=False)
-        staged[name] = (t, t.read(versions[name]))
-
-    # The fact is partitioned by month; the upsert rewrites only the months it
-    # touches (including months a corrected row moves out of).
-    updates = fact_ops.build_fact(so, sc, stored["silver_order_items"], customer_link,
-                                  bronze_customers=bronze["customers"], as_of=as_of)
-    updates = updates.withColumn(FACT_PARTITION, (F.col("order_date_sk") / 100).cast("int"))
-    fact_table = PartitionedTable(spark, f"{target}/fact_sales", FACT_PARTITION)
-    fact_stage = stage_upsert_partitioned(updates, fact_table, list(fact_keys))
-    versions["fact_sales"] = fact_stage["version"]
-    staged_fact = fact_table.read_staged(fact_stage)
-
-    suite = standard_suite(staged_fact, staged["dim_customer"][1],
-                           staged["dim_product"][1], staged["dim_date"][1], as_of)
-    rows = suite.ledger().collect()
+    """Run everything as the next release of ``name`` (tables under ``path``).
+
+    ``published`` tells whether the release is current now: with failed
+    critical checks it is not, whether or not ``enforce`` raises.
+    """
+    releases = Releases(spark, name, path)
+    before, number = releases.current(), releases.begin()
+
+    def save(table: str, df: DataFrame) -> DataFrame:
+        if cluster:
+            df = cluster_by(store.stage(df, table), LAYOUT[table])
+        return releases.save(df, table, number)
+
+    sc = save("silver_customers", cleaning.clean_customers(bronze["customers"], as_of))
+    so = save("silver_orders", cleaning.clean_orders(bronze["orders"], as_of))
+    sp = save("silver_products", cleaning.localize_products(bronze["products"], bronze["category_translation"], as_of))
+    si = save("silver_order_items", cleaning.clean_items(bronze["order_items"], as_of))
+
+    dim_customer = save("dim_customer", dims.dim_customer(sc))
+    dim_product = save("dim_product", dims.dim_product(sp))
+    dim_date = save("dim_date", dims.dim_date(spark, *calendar) if calendar
+                    else dims.dim_date_covering(so, "order_purchase_timestamp"))
+    updates = store.stage(fact_ops.build_fact(so, sc, si, customer_link, bronze_customers=bronze["customers"], as_of=as_of),
+                          "updates")
+    assert_unique_keys(updates, fact_keys)
+    merged = updates if before is None else merge_rows(releases.read("fact_sales", before), updates, fact_keys)
+    fact = save("fact_sales", merged)
+
+    suite = standard_suite(fact, dim_customer, dim_product, dim_date, as_of)
+    rows = suite.ledger().collect()  # a row a check
     ledger = spark.createDataFrame(rows, suite.ledger().schema)
-    ledger.write.mode("append").parquet(f"{target}/audit_log")
+    audit = ledger.write.mode("append").format("parquet")
+    (audit.option("path", f"{path.rstrip('/')}/{name}__audit_log") if path else audit).saveAsTable(f"{name}__audit_log")
     failed = [r for r in rows if r["status"] == "FAIL" and r["severity"] == "CRITICAL"]
     if failed and enforce:
         raise QualityGateError(f"{len(failed)} critical check(s) failed; gold not published")
-    for name, (t, _) in staged.items():
-        t.commit(versions[name], note="published")
-    fact_table.commit(fact_stage)
-    return RunResult(ledger, versions, True)
+    if not failed:
+        releases.publish(number)
+    return RunResult(ledger, number, not failed)

@@ -20,11 +20,10 @@ from lodestar.operators import fact as fact_ops
 from lodestar.operators import upsert as upsert_ops
 from lodestar.operators.stamps import without_stamps
 from lodestar.plans import named, pipeline, sqlguard, views
-from lodestar.plans.star import star_from_bronze, star_from_tables
-from lodestar.session import checkpointed, scratch_root
+from lodestar.plans.star import publish_star, star_from_bronze, star_from_tables
+from lodestar.session import scratch_root
 from lodestar.sources import csv as csv_source
-from lodestar.sources import schemas, sinks, tables
-from lodestar.sources.versioned import VersionedTable
+from lodestar.sources import schemas, sinks, store, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +67,14 @@ def q_customer_ltv(spark, sf):
     return views.customer_ltv(star_from_tables(spark, sf).fact)
 
 
+def q_customer_ltv_scaled(spark, sf):
+    return views.customer_ltv(star_from_tables(spark, sf).fact, num_partitions=64)
+
+
+def q_customer_ltv_window(spark, sf):
+    return views.customer_ltv(star_from_tables(spark, sf).fact, num_partitions=2)
+
+
 def q_category_freight(spark, sf):
     s = star_from_tables(spark, sf)
     return views.category_freight(s.fact, s.dim_product)
@@ -146,13 +153,16 @@ def q_dq_uniqueness(spark, sf):
     return _ledger_out(v.ledger())
 
 
+CALENDAR_PART = ("1996-03-01", "1998-08-31")   # ends amid the orders on both sides
+
+
 def q_dq_orphans(spark, sf):
-    """Orphans against a fixed calendar (the reference's 2016-2020 bounds: facts
-    outside it are orphans) and against the products with a known category."""
+    """Orphans against a calendar that covers part of the orders, and against
+    the products with a known category."""
     s = star_from_tables(spark, sf)
     v = quality.Validator()
-    v.check_referential_integrity(s.fact, dims.dim_date(spark), "order_date_sk", "date_sk",
-                                  "fact_sales", "dim_date_2016_2020")
+    v.check_referential_integrity(s.fact, dims.dim_date(spark, *CALENDAR_PART), "order_date_sk", "date_sk",
+                                  "fact_sales", "dim_date_part")
     known = s.dim_product.where(F.col("product_category_name") != "unknown")
     v.check_referential_integrity(s.fact, known, "product_sk", "product_sk", "fact_sales",
                                   "dim_product_known", severity="WARNING")
@@ -172,10 +182,10 @@ UPSERT_UPDATES_FROM = 19990101    # today's batch: orders from 1999 on, net of d
 
 
 def _renumbered_bronze(spark, sf):
-    """Raw roles with lines renumbered per order; the items are checkpointed
-    once because several actions (key check, writes) read them."""
+    """Raw roles with lines renumbered per order; the items are written once
+    because several steps (key check, writes) read them."""
     bronze = tables.bronze_tables(spark, sf, renumber=True)
-    bronze["order_items"] = checkpointed(bronze["order_items"])
+    bronze["order_items"] = store.stage(bronze["order_items"], "items")
     return bronze
 
 
@@ -193,28 +203,72 @@ def _scratch(spark, name):
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _name(label):
+    """A table name of this run alone."""
+    return f"lodestar_{label}_{uuid.uuid4().hex[:12]}"
+
+
 def _fact_upsert(spark, sf, runs):
     target, updates = _upsert_inputs(spark, sf)
-    path = _scratch(spark, "fact_upsert")
-    upsert_ops.upsert(target, path, fact_ops.FACT_KEYS)
+    name, path = _name("fact"), _scratch(spark, "fact_upsert")
+    upsert_ops.upsert(target, name, fact_ops.FACT_KEYS, path)
     out = None
     for _ in range(runs):
-        out = upsert_ops.upsert(updates, path, fact_ops.FACT_KEYS)
+        out = upsert_ops.upsert(updates, name, fact_ops.FACT_KEYS, path)
     return _money_as_double(out, ["sales_amount", "freight_value"])
 
 
-def _with_month(df):
+def _month(df):
     return df.withColumn("order_month", (F.col("order_date_sk") / 100).cast("int"))
 
 
+def _partitioned(spark, target, updates, column):
+    name, path = _name("fact"), _scratch(spark, "fact_upsert_partitioned")
+    upsert_ops.upsert_partitioned(target, name, fact_ops.FACT_KEYS, column, path)
+    out = upsert_ops.upsert_partitioned(updates, name, fact_ops.FACT_KEYS, column)
+    return _money_as_double(out, ["sales_amount", "freight_value"])
+
+
 def q_fact_upsert_partitioned(spark, sf):
     """Same result; the table is partitioned by month and only touched months
     (including months a corrected row moves out of) are rewritten."""
     target, updates = _upsert_inputs(spark, sf)
-    path = _scratch(spark, "fact_upsert_partitioned")
-    upsert_ops.upsert_partitioned(_with_month(target), path, fact_ops.FACT_KEYS, "order_month")
-    out = upsert_ops.upsert_partitioned(_with_month(updates), path, fact_ops.FACT_KEYS, "order_month")
-    return _money_as_double(out.drop("order_month"), ["sales_amount", "freight_value"])
+    return _partitioned(spark, _month(target), _month(updates), "order_month").drop("order_month")
+
+
+def q_upsert_null_date(spark, sf):
+    """Updates of every fifth order lose their date: its partition value is null."""
+    target, updates = _upsert_inputs(spark, sf)
+    gone = F.col("order_id").cast("long") % 5 == 0
+    updates = updates.withColumn("order_date_sk", F.when(~gone, F.col("order_date_sk")))
+    return _partitioned(spark, _month(target), _month(updates), "order_month")
+
+
+def q_upsert_text_partition(spark, sf):
+    """Partition values are text with leading zeros."""
+    target, updates = _upsert_inputs(spark, sf)
+    month = F.lpad(((F.col("order_date_sk") / 100).cast("int") % 100).cast("string"), 2, "0")
+    return _partitioned(spark, target.withColumn("month", month), updates.withColumn("month", month), "month")
+
+
+def q_upsert_new_column(spark, sf):
+    """The updates bring a column that the table lacks."""
+    target, updates = _upsert_inputs(spark, sf)
+    return _partitioned(spark, _month(target), _month(updates).withColumn("note", F.concat(F.lit("net "), "order_id")), "order_month")
+
+
+def q_upsert_missing_column(spark, sf):
+    """The updates lack a column: matched rows keep its value, new rows have none."""
+    target, updates = _upsert_inputs(spark, sf)
+    return _partitioned(spark, _month(target), _month(updates.drop("freight_value")), "order_month")
+
+
+def q_upsert_moved_rows(spark, sf):
+    """Corrections move all rows of one month to the next: the month is empty then."""
+    target, _ = _upsert_inputs(spark, sf)
+    target = _month(target)
+    moved = target.where("order_month = 199703").withColumn("order_month", F.lit(199704))
+    return _partitioned(spark, target, moved, "order_month")
 
 
 def q_fact_upsert(spark, sf):
@@ -267,43 +321,214 @@ def q_adhoc_sql(spark, sf):
     return sqlguard.read_only_sql(spark, ADHOC_SQL)
 
 
+def q_view_scan_all(spark, sf):
+    """All rows of a reporting view by its name."""
+    publish_star(spark, star_from_tables(spark, sf), "lodestar_")
+    return named.view_scan(spark, "lodestar_category_freight", 0)
+
+
+def q_view_scan_limit(spark, sf):
+    """A limited read by name; the limit is above the number of months, so the rows are fixed."""
+    publish_star(spark, star_from_tables(spark, sf), "lodestar_")
+    return named.view_scan(spark, "lodestar_monthly_sales", 500)
+
+
+def q_view_sql(spark, sf):
+    """Ad-hoc SQL over the reporting views."""
+    publish_star(spark, star_from_tables(spark, sf), "lodestar_")
+    return sqlguard.read_only_sql(spark, "SELECT ltv_decile, COUNT(*) AS customers, MAX(ltv_rank) AS last_rank, "
+                                         "MAX(lifetime_value) AS top_value FROM lodestar_customer_ltv GROUP BY ltv_decile")
+
+
+def q_list_tables(spark, sf):
+    """The published names, each with the number of rows read through it."""
+    publish_star(spark, star_from_tables(spark, sf), "lodestar_")
+    wanted = ["fact_sales", "dim_customer", "dim_product", "dim_date", "monthly_sales", "customer_ltv"]
+    listed = sinks.list_tables(spark, like="lodestar_*").select(F.col("tableName").alias("name"))
+    counts = None
+    for name in wanted:
+        one = spark.table(f"lodestar_{name}").agg(F.lit(f"lodestar_{name}").alias("name"), F.count(F.lit(1)).alias("row_count"))
+        counts = one if counts is None else counts.unionByName(one)
+    return listed.join(counts, "name")
+
+
 def q_result_json(spark, sf):
+    """Rows as JSON; money as decimal text."""
     s = star_from_tables(spark, sf)
-    return rows_as_json(views.monthly_sales(s.fact, s.dim_date, ordered=False))
+    out = views.monthly_sales(s.fact, s.dim_date, ordered=False)
+    return rows_as_json(out.withColumns({c: F.col(c).cast("decimal(18,2)") for c in ("total_revenue", "total_freight_cost")}))
+
+
+# ---- bad rows ---------------------------------------------------------------------
+
+def _dirty_bronze(spark, sf):
+    """The raw roles with null keys, malformed and padded text and duplicate lookup rows."""
+    b = tables.bronze_tables(spark, sf, renumber=True)
+    order, person = F.col("order_id").cast("long"), F.col("customer_id").cast("long")
+    b["orders"] = b["orders"].withColumns({
+        "order_purchase_timestamp": F.when(order % 7 == 0, F.lit("not a date")).when(order % 11 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit(" "), "order_purchase_timestamp", F.lit(" "))),
+        "customer_id": F.when(order % 13 != 0, F.col("customer_id"))})
+    b["customers"] = b["customers"].withColumns({
+        "customer_city": F.when(person % 3 == 0, F.concat(F.lit("  "), F.lower("customer_city"), F.lit(" "))).otherwise(F.col("customer_city")),
+        "customer_unique_id": F.when(person % 10 != 0, F.col("customer_unique_id"))})
+    b["order_items"] = store.stage(b["order_items"].withColumn(
+        "product_id", F.when(order % 17 != 0, F.col("product_id"))), "items")
+    b["category_translation"] = b["category_translation"].union(b["category_translation"].select(
+        "product_category_name", F.concat(F.lit("z "), "product_category_name_english")))
+    return b
+
+
+def q_silver_orders_dirty(spark, sf):
+    return without_stamps(cleaning.clean_orders(_dirty_bronze(spark, sf)["orders"]))
+
+
+def q_orders_unparsed_dirty(spark, sf):
+    return cleaning.unparsed_timestamps(_dirty_bronze(spark, sf)["orders"])
+
+
+def q_silver_customers_dirty(spark, sf):
+    return without_stamps(cleaning.clean_customers(_dirty_bronze(spark, sf)["customers"]))
+
+
+def q_silver_items_as_of(spark, sf):
+    """Items with null products dropped, and the load stamp of a fixed time."""
+    out = cleaning.clean_items(_dirty_bronze(spark, sf)["order_items"], as_of="2024-05-06 07:08:09")
+    stamp = F.date_format("_updated_timestamp", "yyyy-MM-dd HH:mm:ss")
+    return _money_as_double(out.withColumn("_updated_timestamp", stamp), ["price", "freight_value", "discount"])
+
+
+def q_dq_ledger_dirty(spark, sf):
+    s = star_from_bronze(spark, _dirty_bronze(spark, sf))
+    return _ledger_out(quality.standard_suite(s.fact, s.dim_customer, s.dim_product, s.dim_date).ledger())
+
+
+def q_dq_enforced(spark, sf):
+    """The gate's outcome over the clean star and over the dirty one."""
+    rows = []
+    for label, bronze in (("clean", tables.bronze_tables(spark, sf, renumber=True)), ("dirty", _dirty_bronze(spark, sf))):
+        s = star_from_bronze(spark, bronze)
+        suite = quality.standard_suite(s.fact, s.dim_customer, s.dim_product, s.dim_date)
+        try:
+            rows.append((label, "passed", suite.enforce().count()))
+        except quality.QualityGateError:
+            rows.append((label, "refused", suite.ledger().where("status = 'FAIL'").count()))
+    return spark.createDataFrame(rows, "star string, outcome string, checks long")
 
 
 # ---- CSV, layout, whole run -----------------------------------------------------
 
+def _items_csv(spark, sf):
+    return tables.bronze_order_items(spark, sf).drop("discount")
+
+
+def _csv(spark, df, name):
+    folder = _scratch(spark, "csv")
+    df.write.option("header", "true").csv(f"{folder}/{name}")
+    return folder
+
+
 def q_csv_roundtrip(spark, sf):
     """Items written as CSV, ingested back with the declared schema."""
-    items = tables.bronze_order_items(spark, sf).drop("discount")
-    folder = _scratch(spark, "csv")
-    items.write.mode("overwrite").option("header", "true").csv(f"{folder}/order_items.csv")
+    folder = _csv(spark, _items_csv(spark, sf), "order_items.csv")
     back = csv_source.ingest_csv(spark, f"{folder}/order_items.csv", schemas.ORDER_ITEMS)
     return _money_as_double(without_stamps(back), ["price", "freight_value"])
 
 
+def q_csv_reordered(spark, sf):
+    """The file's columns stand in another order than declared."""
+    items = _items_csv(spark, sf)
+    folder = _csv(spark, items.select(*reversed(items.columns)), "order_items.csv")
+    back = csv_source.ingest_csv(spark, f"{folder}/order_items.csv", schemas.ORDER_ITEMS)
+    return _money_as_double(without_stamps(back), ["price", "freight_value"])
+
+
+def q_csv_new_column(spark, sf):
+    """A stored bronze table grows by a column that a later file brings."""
+    items, name, path = _items_csv(spark, sf), _name("bronze"), _scratch(spark, "bronze")
+    for df in (items, items.select(F.lit("2020-01-02").alias("shipping_limit_date"), *items.columns)):
+        folder = _csv(spark, df, "order_items.csv")
+        sinks.overwrite_evolving(without_stamps(csv_source.ingest_csv(spark, f"{folder}/order_items.csv", schemas.ORDER_ITEMS)), name, path)
+    return _money_as_double(spark.table(name), ["price", "freight_value"])
+
+
+def q_manifest_ingest(spark, sf):
+    """All five files of a manifest; rows of each stored table."""
+    b, folder, prefix = tables.bronze_tables(spark, sf), _scratch(spark, "csv"), _name("m") + "_"
+    manifest = {}
+    for role, df in b.items():
+        df.write.option("header", "true").csv(f"{folder}/{role}.csv")
+        manifest[f"{role}.csv"] = (role, df.schema)
+    counts = None
+    for table in csv_source.ingest_manifest(spark, folder, prefix, manifest, path=_scratch(spark, "bronze")):
+        one = spark.table(table).agg(F.lit(table[len(prefix):]).alias("table_name"), F.count(F.lit(1)).alias("row_count"),
+                                     F.count("_load_timestamp").alias("stamped"))
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 def q_schema_evolution(spark, sf):
     """Full refresh that drops a column: the table keeps it as a typed null."""
-    items = tables.bronze_order_items(spark, sf)
-    path = _scratch(spark, "evolve")
-    sinks.overwrite_evolving(items, path)
-    sinks.overwrite_evolving(items.drop("discount"), path)
-    out = VersionedTable(spark, path).read()
+    items, name, path = tables.bronze_order_items(spark, sf), _name("evolve"), _scratch(spark, "evolve")
+    sinks.overwrite_evolving(items, name, path)
+    out = sinks.overwrite_evolving(items.drop("discount"), name, path)
     return _money_as_double(out, ["price", "freight_value", "discount"])
 
 
 def q_zorder_layout(spark, sf):
-    f = without_stamps(star_from_tables(spark, sf).fact)
-    out = layout.cluster_by(f, ["order_date_sk", "customer_sk", "product_sk"])
+    f = store.stage(without_stamps(star_from_tables(spark, sf).fact), "fact")
+    out = layout.cluster_by(f, pipeline.LAYOUT["fact_sales"], 8)
     return _money_as_double(out, ["sales_amount", "freight_value"])
 
 
+def q_zorder_skipping(spark, sf):
+    """What the layout is for: of 64 partitions, those whose key ranges a lookup must read; and an even spread."""
+    f = store.stage(without_stamps(star_from_tables(spark, sf).fact), "fact")
+    keys = pipeline.LAYOUT["fact_sales"]
+    out = layout.cluster_by(f, keys, 64).withColumn("_p", F.spark_partition_id())
+    each = out.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), *[F.min(k).alias(f"lo_{k}") for k in keys], *[F.max(k).alias(f"hi_{k}") for k in keys])
+    probe = f.agg(*[F.percentile(k, 0.5).cast("int").alias(k) if k == "order_date_sk" else F.max_by(k, F.xxhash64(k)).alias(k) for k in keys])
+    each = each.crossJoin(F.broadcast(probe))  # one row
+    read = [F.count_if((F.col(k) >= F.col(f"lo_{k}")) & (F.col(k) <= F.col(f"hi_{k}"))) for k in keys]
+    return each.agg(F.sum("n").alias("row_count"), (F.max("n") <= 1.5 * F.avg("n")).alias("even"),
+                    *[(r <= 40).alias(f"skips_{k}") for k, r in zip(keys, read)])
+
+
+def _pipeline_name(spark):
+    return _name("gold"), _scratch(spark, "pipeline")
+
+
 def q_pipeline_run(spark, sf):
-    res = pipeline.run_pipeline(spark, _renumbered_bronze(spark, sf), _scratch(spark, "pipeline"))
+    res = pipeline.run_pipeline(spark, _renumbered_bronze(spark, sf), *_pipeline_name(spark))
     return _ledger_out(res.ledger)
 
 
+def q_pipeline_fact(spark, sf):
+    """The published fact, read back after a run and a second one with corrected prices for part of the orders."""
+    name, path = _pipeline_name(spark)
+    bronze = _renumbered_bronze(spark, sf)
+    pipeline.run_pipeline(spark, bronze, name, path)
+    third = F.col("order_id").cast("long") % 3 == 0
+    bronze["order_items"] = bronze["order_items"].where(third).withColumn("price", (F.col("price") * 2).cast(MONEY))
+    pipeline.run_pipeline(spark, bronze, name, path)
+    out = store.Releases(spark, name).read("fact_sales")
+    return _money_as_double(without_stamps(out), ["sales_amount", "freight_value"])
+
+
+def q_pipeline_bad_rows(spark, sf):
+    """Bad rows in the second run: its ledger's failures, and the release that stays published."""
+    name, path = _pipeline_name(spark)
+    pipeline.run_pipeline(spark, _renumbered_bronze(spark, sf), name, path)
+    try:
+        pipeline.run_pipeline(spark, _dirty_bronze(spark, sf), name, path)
+        refused = False
+    except quality.QualityGateError:
+        refused = True
+    audit = spark.table(f"{name}__audit_log").where("status = 'FAIL'")
+    return audit.select("table_name", "rule_type", "column_checked", "failing_record_count", F.lit(refused).alias("refused"),
+                        F.lit(store.Releases(spark, name).current()).alias("published_release"))
+
+
 QUERIES: dict[str, Query] = {
     "fact_build": q_fact_build,
     "dim_date": q_dim_date,
@@ -313,6 +538,8 @@ QUERIES: dict[str, Query] = {
     "executive_kpis_preagg": q_executive_kpis_preagg,
     "yoy_growth": q_yoy_growth,
     "customer_ltv": q_customer_ltv,
+    "customer_ltv_window": q_customer_ltv_window,
+    "customer_ltv_scaled": q_customer_ltv_scaled,
     "category_freight": q_category_freight,
     "silver_customers": q_silver_customers,
     "silver_orders": q_silver_orders,
@@ -338,6 +565,27 @@ QUERIES: dict[str, Query] = {
     "top_categories": q_top_categories,
     "adhoc_sql": q_adhoc_sql,
     "result_json": q_result_json,
+    "upsert_null_date": q_upsert_null_date,
+    "upsert_text_partition": q_upsert_text_partition,
+    "upsert_new_column": q_upsert_new_column,
+    "upsert_missing_column": q_upsert_missing_column,
+    "upsert_moved_rows": q_upsert_moved_rows,
+    "view_scan_all": q_view_scan_all,
+    "view_scan_limit": q_view_scan_limit,
+    "view_sql": q_view_sql,
+    "list_tables": q_list_tables,
+    "silver_orders_dirty": q_silver_orders_dirty,
+    "orders_unparsed_dirty": q_orders_unparsed_dirty,
+    "silver_customers_dirty": q_silver_customers_dirty,
+    "silver_items_as_of": q_silver_items_as_of,
+    "dq_ledger_dirty": q_dq_ledger_dirty,
+    "dq_enforced": q_dq_enforced,
+    "csv_reordered": q_csv_reordered,
+    "csv_new_column": q_csv_new_column,
+    "manifest_ingest": q_manifest_ingest,
+    "zorder_skipping": q_zorder_skipping,
+    "pipeline_fact": q_pipeline_fact,
+    "pipeline_bad_rows": q_pipeline_bad_rows,
     "csv_roundtrip": q_csv_roundtrip,
     "schema_evolution": q_schema_evolution,
     "zorder_layout": q_zorder_layout,

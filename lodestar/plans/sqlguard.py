@@ -4,21 +4,26 @@ A statement is admitted when Spark parses it as the body of a view -- i.e.
 it is a query -- checked with ``EXPLAIN CREATE TEMPORARY VIEW ... AS <text>``,
 which parses and plans without creating anything.  This refuses writes that
 start with another word (``WITH ... INSERT``, ``/* */ INSERT``,
-``FROM ... INSERT``), several statements, ``SET`` and blank text.  Queries
-calling JVM reflection (``reflect``, ``java_method``) are refused by name
-in the analysed plan.  ``SHOW``/``DESCRIBE`` statements are admitted through
-a separate short allow-list.
+``FROM ... INSERT``), several statements, ``SET`` and blank text.  The nodes of
+the analysed plan decide the rest: script transformations (shell commands) and
+calls of JVM methods by name are refused wherever they stand, whatever the text
+looks like.  ``SHOW``/``DESCRIBE`` statements are admitted through a separate
+short allow-list, ``EXPLAIN`` when its query is admitted.
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
 _VIEW = "__lodestar_guard_probe"
-_ALLOWED_META = re.compile(r"^\s*(SHOW|DESCRIBE|DESC)\s", re.IGNORECASE)
-_DENIED_FUNCTIONS = ("reflect", "java_method", "try_reflect")
+_COMMENT = re.compile(r"\s*(?:--[^\n]*(?:\n|\Z)|/\*.*?\*/)", re.S)
+_ALLOWED_META = re.compile(r"\s*(SHOW|DESCRIBE|DESC)\s", re.IGNORECASE)
+_EXPLAIN = re.compile(r"\s*EXPLAIN\s+(?:(?:EXTENDED|FORMATTED|COST|CODEGEN)\s+)?", re.IGNORECASE)
+# Plan nodes and expressions that run code outside Spark SQL.
+DENIED_NODES = frozenset({"ScriptTransformation", "ScriptInputOutputSchema", "CallMethodViaReflection", "TryReflect"})
 
 
 class UnsafeSQLError(ValueError):
@@ -32,25 +37,51 @@ def _strip(text: str) -> str:
     return t
 
 
+def _without_leading_comments(text: str) -> str:
+    while m := _COMMENT.match(text):
+        text = text[m.end():]
+    return text
+
+
+def _node_names(value) -> set[str]:
+    """Class names of all nodes in a plan's JSON, expressions and subqueries included."""
+    found, todo = set(), [value]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, dict):
+            if isinstance(x.get("class"), str):
+                found.add(x["class"].rpartition(".")[2])
+            todo.extend(x.values())
+        elif isinstance(x, list):
+            todo.extend(x)
+    return found
+
+
+def _check_query(spark: SparkSession, query: str) -> None:
+    try:
+        plan = spark.sql(f"EXPLAIN EXTENDED CREATE OR REPLACE TEMPORARY VIEW {_VIEW} AS {query}").collect()
+    except Exception as e:  # parse or analysis error: not a query
+        raise UnsafeSQLError(f"not a read-only query: {str(e).splitlines()[0][:200]}") from e
+    text_plan = " ".join(r[0] for r in plan).lower()
+    if "error occurred during query planning" in text_plan or "parseexception" in text_plan:
+        raise UnsafeSQLError("not a read-only query")
+    analysed = spark.sql(query)._jdf.queryExecution().analyzed()  # a query: analysed, not run
+    denied = _node_names(json.loads(analysed.toJSON())) & DENIED_NODES
+    if denied:
+        raise UnsafeSQLError(f"not allowed in read-only SQL: {sorted(denied)}")
+
+
 def check_read_only(spark: SparkSession, text: str) -> str:
     """Return the statement without trailing ';' or raise ``UnsafeSQLError``."""
     if text is None or not text.strip():
         raise UnsafeSQLError("empty statement")
-    q = _strip(text)
+    q = _strip(_without_leading_comments(text))
     if not q:
         raise UnsafeSQLError("empty statement")
     if _ALLOWED_META.match(q) and ";" not in q:
         return q
-    try:
-        plan = spark.sql(f"EXPLAIN EXTENDED CREATE OR REPLACE TEMPORARY VIEW {_VIEW} AS {q}").collect()
-    except Exception as e:  # parse or analysis error: not a query
-        raise UnsafeSQLError(f"not a read-only query: {str(e).splitlines()[0][:200]}") from e
-    text_plan = " ".join(r[0] for r in plan).lower()
-    if "error occurred during query planning" in text_plan or "parseexception" in text_plan:
-        raise UnsafeSQLError("not a read-only query")
-    for fn in _DENIED_FUNCTIONS:
-        if re.search(rf"\b{fn}\(", text_plan) or re.search(rf"\b{fn}\s*\(", q, re.IGNORECASE):
-            raise UnsafeSQLError(f"function {fn} is not allowed")
+    explained = _EXPLAIN.match(q)
+    _check_query(spark, _without_leading_comments(q[explained.end():]) if explained else q)
     return q
 
 

@@ -7,7 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.operators import cleaning, dims, fact as fact_ops
+from lodestar.plans import views
 from lodestar.sources import tables
+from lodestar.sources.sinks import publish_views
+from lodestar.sources.store import Releases
 
 
 @dataclass
@@ -27,6 +30,18 @@ class Star:
                 "dim_product": self.dim_product, "dim_date": self.dim_date}
 
 
+def publish_star(spark: SparkSession, star: Star, prefix: str = "") -> list[str]:
+    """Gold tables and the five reporting views as named SQL views of the session."""
+    reports = {
+        "executive_kpis": views.executive_kpis(star.fact),
+        "monthly_sales": views.monthly_sales(star.fact, star.dim_date, ordered=False),
+        "yoy_growth": views.yoy_growth(star.fact, star.dim_date, ordered=False),
+        "customer_ltv": views.customer_ltv(star.fact, ordered=False),
+        "category_freight": views.category_freight(star.fact, star.dim_product, ordered=False),
+    }
+    return publish_views(spark, {**star.tables(), **reports}, prefix)
+
+
 def star_from_bronze(spark: SparkSession, bronze: dict[str, DataFrame],
                      customer_link: str = "deduped", calendar: tuple[str, str] | None = None,
                      as_of=None) -> Star:
@@ -63,3 +78,11 @@ def read_gold(spark: SparkSession, base: str, fact: DataFrame | None = None) ->
     f = fact if fact is not None else rd("fact_sales")
     dc, dp, dd = rd("dim_customer"), rd("dim_product"), rd("dim_date")
     return Star(empty, dc, None, dp, None, dc, dp, dd, f)
+
+
+def read_release(spark: SparkSession, name: str) -> Star:
+    """The star of the release that the pipeline published as ``name``."""
+    r = Releases(spark, name)
+    silver = {t: r.read(f"silver_{t}") for t in ("customers", "orders", "products", "order_items")}
+    return Star({}, silver["customers"], silver["orders"], silver["products"], silver["order_items"],
+                r.read("dim_customer"), r.read("dim_product"), r.read("dim_date"), r.read("fact_sales"))

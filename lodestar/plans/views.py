@@ -50,14 +50,13 @@ def _sort_small(df: DataFrame, *order: Column) -> DataFrame:
     return df.coalesce(1).sortWithinPartitions(*order)
 
 
-def executive_kpis(fact: DataFrame, strategy: str = "expand") -> DataFrame:
+def executive_kpis(fact: DataFrame, strategy: str = "preagg") -> DataFrame:
     """Lifetime orders, customers, revenue and average order value; one row.
 
-    ``expand`` (default): one aggregate with two distinct counts; Spark
-    expands each line into one row per distinct column and combines map-side,
-    so the shuffle carries about one row per order and per customer.
-    ``preagg``: lines are first combined per (order, customer), then the
-    distinct counts run on that; one more shuffle of order-level rows.
+    ``preagg`` (default): lines are first combined per (order, customer), then
+    the distinct counts run on that.
+    ``expand``: one aggregate with two distinct counts; Spark expands each line
+    into one row per distinct column before the first aggregate.
     ``split``: for a stored fact bucketed by ``order_id``.  Order count and
     revenue are one aggregate with a single distinct column (no Expand, no
     shuffle of lines: each order lives in one bucket); the customer count is

@@ -6,7 +6,6 @@ in settings that are unset (tests, bench, local runs).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,24 +56,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: the server's setting applies
-        return configured or ""
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is unset: name a folder shared by all executors") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir is unset: name a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="lodestar-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def checkpointed(df):
-    """Eager reliable checkpoint into the session's checkpoint folder (lineage cut)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables written by the library.
 
@@ -86,17 +81,3 @@ def scratch_root(spark: SparkSession) -> str:
         return base
     ckpt = ensure_checkpoint_dir(spark)
     return ckpt.rstrip("/") + "/lodestar-scratch"
-
-
-def strip_scheme(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_dirs(path: str) -> None:
-    """Create a folder when the path is on the local file system."""
-    if is_local_path(path):
-        os.makedirs(strip_scheme(path), exist_ok=True)

@@ -1,8 +1,9 @@
-"""CSV ingest (bronze): declared or inferred schema, load stamp, manifest loop."""
+"""CSV ingest (bronze): columns by header name, declared types, load stamp, manifest loop."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lodestar.operators.stamps import stamp_value
@@ -10,16 +11,31 @@ from lodestar.sources.schemas import MANIFEST
 from lodestar.sources.sinks import overwrite_evolving
 
 
+class MissingColumnError(ValueError):
+    """A declared column is not in the file's header."""
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
              infer: bool = False) -> DataFrame:
-    """Headered CSV.  A declared schema avoids the inference pass and keeps
-    text keys as text; ``infer=True`` reproduces type inference."""
-    r = spark.read.option("header", "true")
-    if schema is not None and not infer:
-        r = r.schema(schema)
-    elif infer:
-        r = r.option("inferSchema", "true")
-    return r.csv(path)
+    """Headered CSV, columns found by their header name in any order.
+
+    Declared columns get their type (text that does not parse is null);
+    columns that are not declared stay as text, so a file that grows brings its
+    new columns along; a declared column that the header lacks raises.
+    ``infer=True`` reproduces type inference.
+    """
+    raw = spark.read.option("header", "true")
+    if infer:
+        return raw.option("inferSchema", "true").csv(path)
+    df = raw.csv(path)
+    if schema is None:
+        return df
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise MissingColumnError(f"{path}: header lacks {missing}")
+    kinds = {f.name: f.dataType for f in schema.fields}
+    cells = {c: F.col(f"`{c}`") for c in df.columns}
+    return df.select(*[cells[c].try_cast(kinds[c]).alias(c) if c in kinds else cells[c] for c in df.columns])
 
 
 def ingest_csv(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -27,13 +43,12 @@ def ingest_csv(spark: SparkSession, path: str, schema: StructType | None = None,
     return read_csv(spark, path, schema, infer).withColumn("_load_timestamp", stamp_value(as_of))
 
 
-def ingest_manifest(spark: SparkSession, source_dir: str, target_dir: str,
-                    manifest: dict | None = None, infer: bool = False, as_of=None) -> dict[str, str]:
-    """Ingest every file of the manifest into a versioned table; returns table -> path."""
-    out = {}
+def ingest_manifest(spark: SparkSession, source_dir: str, prefix: str = "", manifest: dict | None = None,
+                    infer: bool = False, as_of=None, path: str | None = None) -> list[str]:
+    """Ingest every file of the manifest into a stored table ``<prefix><table>``; returns the names."""
+    names = []
     for file_name, (table, schema) in (manifest or MANIFEST).items():
         df = ingest_csv(spark, f"{source_dir.rstrip('/')}/{file_name}", schema, infer, as_of)
-        path = f"{target_dir.rstrip('/')}/{table}"
-        overwrite_evolving(df, path)
-        out[table] = path
-    return out
+        overwrite_evolving(df, prefix + table, path)
+        names.append(prefix + table)
+    return names

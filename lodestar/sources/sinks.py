@@ -5,31 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.sources.versioned import VersionedTable
+from lodestar.sources import store
 
 
 def evolve_schema(df: DataFrame, old_schema) -> DataFrame:
-    """Old columns missing from ``df`` are added as typed nulls (old ∪ new)."""
-    missing = [f for f in old_schema.fields if f.name not in df.columns]
-    if not missing:
-        return df
-    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing})
+    """Old columns missing from ``df`` are added as typed nulls (old ∪ new).
+
+    A column that changes its type is refused.
+    """
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    changed = [f.name for f in old_schema.fields if kinds.get(f.name, f.dataType) != f.dataType]
+    if changed:
+        raise TypeError(f"columns {changed} change their type")
+    missing = [f for f in old_schema.fields if f.name not in kinds]
+    return df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else df
 
 
-def overwrite_evolving(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Replace the table's rows by ``df``; its schema becomes old ∪ new columns.
+def overwrite_evolving(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Replace the rows of the stored table ``name`` by ``df``; its schema becomes old ∪ new columns.
 
     The replacement is a new version, switched on only after it is written.
     """
-    table = VersionedTable(df.sparkSession, path)
-    if table.exists():
-        df = evolve_schema(df, table.read().schema)
-    return table.write(df, partition_by=partition_by, note="overwrite")
-
-
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Full refresh as a new version (the schema is the new one)."""
-    return VersionedTable(df.sparkSession, path).write(df, partition_by=partition_by, note="overwrite")
+    spark = df.sparkSession
+    if store.exists(spark, name):
+        df = evolve_schema(df, spark.table(name).schema)
+    store.save_version(df, name, path)
+    return spark.table(name)
 
 
 def publish_views(spark: SparkSession, frames: dict[str, DataFrame], prefix: str = "") -> list[str]:
@@ -41,9 +42,10 @@ def publish_views(spark: SparkSession, frames: dict[str, DataFrame], prefix: str
     return names
 
 
-def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
+def list_tables(spark: SparkSession, database: str | None = None, like: str | None = None) -> DataFrame:
     """Tables and temporary views as a DataFrame (``SHOW TABLES``)."""
-    return spark.sql(f"SHOW TABLES IN {database}" if database else "SHOW TABLES")
+    where = f" IN {database}" if database else ""
+    return spark.sql(f"SHOW TABLES{where}" + (f" LIKE '{like}'" if like else ""))
 
 
 def save_bucketed(df: DataFrame, name: str, bucket_cols: list[str], num_buckets: int,
@@ -52,19 +54,6 @@ def save_bucketed(df: DataFrame, name: str, bucket_cols: list[str], num_buckets:
 
     Aggregates and joins keyed by the bucket columns (e.g. distinct orders per
     month or per customer with ``order_id`` buckets) read it without a
-    shuffle of the fact.  Each call writes a new physical table
-    ``<name>__v<n>``; the view ``<name>`` is then switched to it, so readers
-    never see a half-written table.  Returns the physical table name.
+    shuffle of the fact.  Returns the physical table name.
     """
-    spark = df.sparkSession
-    prefix = f"{name}__v"
-    existing = [t.name for t in spark.catalog.listTables() if t.name.startswith(prefix)]
-    version = 1 + max([int(t[len(prefix):]) for t in existing if t[len(prefix):].isdigit()] or [0])
-    physical = f"{prefix}{version}"
-    (df.write.bucketBy(num_buckets, *bucket_cols).sortBy(*(sort_cols or bucket_cols))
-       .mode("errorifexists").saveAsTable(physical))
-    try:
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {physical}")
-    except Exception:  # catalogs without persistent views
-        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS SELECT * FROM {physical}")
-    return physical
+    return store.save_version(df, name, bucket_by=bucket_cols, buckets=num_buckets, sort_by=sort_cols or ())

@@ -32,24 +32,9 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread an under-split scan over the session's task slots.
-
-    The driver's tables are single files with one row group, which Spark
-    reads in one task; everything downstream of a broadcast join would then
-    run in that task too.  A warehouse table has many splits and is left
-    untouched.  The repartition has an explicit count, so AQE keeps it.
-    """
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(slots) if splits < slots else df
-
-
 def bronze_orders(spark: SparkSession, base: str) -> DataFrame:
-    o = spread(read_table(spark, base, "orders"))
+    # Null keys go before the cast to text, so that the filter reaches the scan.
+    o = read_table(spark, base, "orders").dropna(subset=["o_orderkey", "o_custkey"])
     return o.select(
         o.o_orderkey.cast("string").alias("order_id"),
         o.o_custkey.cast("string").alias("customer_id"),
@@ -70,7 +55,7 @@ def bronze_order_items(spark: SparkSession, base: str, renumber: bool = False) -
     gives each line of an order its position 1..n by ``LINE_ORDER`` instead,
     which makes (order_id, order_item_id) a key for the upsert.
     """
-    li = spread(read_table(spark, base, "lineitem"))
+    li = read_table(spark, base, "lineitem").dropna(subset=["l_orderkey", "l_linenumber", "l_partkey"])
     price = li.l_extendedprice.cast(MONEY)
     if renumber:
         # Skew-safe: an order with a huge number of lines is split over tasks.

@@ -1,9 +1,14 @@
 """Driver contract: entry, registry and oracle keys; pipeline on sf0.001."""
 
+import uuid
+
 import duckdb
+import pytest
 
 import __spark_entry__ as E
+from lodestar.operators.quality import QualityGateError
 from lodestar.plans.pipeline import run_pipeline
+from lodestar.sources.store import Releases
 from lodestar.sources.tables import TABLES, bronze_tables
 from tests.conftest import SF001
 
@@ -34,29 +39,27 @@ def test_small_queries_match_oracle(spark):
 
 
 def test_pipeline_publishes_after_gate(spark, scratch):
-    res = run_pipeline(spark, bronze_tables(spark, SF001, renumber=True), f"{scratch}/wh", cluster=False)
-    assert res.published
+    name = f"wh_{uuid.uuid4().hex[:12]}"
+    bronze = bronze_tables(spark, SF001, renumber=True)
+    res = run_pipeline(spark, bronze, name, scratch, cluster=False)
+    assert res.published and res.release == 1
     assert all(r["status"] == "PASS" for r in res.ledger.collect())
-    # Second run upserts into the published fact: same rows.
-    res2 = run_pipeline(spark, bronze_tables(spark, SF001, renumber=True), f"{scratch}/wh", cluster=False)
-    assert res2.versions["fact_sales"] == 2
+    releases = Releases(spark, name)
+    rows = releases.read("fact_sales").count()
+    # Second run upserts into the published fact: same rows, clustered this time.
+    res2 = run_pipeline(spark, bronze, name, scratch)
+    assert res2.release == 2 == releases.current() and releases.read("fact_sales").count() == rows
 
 
 def test_failed_gate_publishes_nothing(spark, scratch):
-    import pytest
-
-    from lodestar.operators.quality import QualityGateError
-    from lodestar.sources.partitioned import PartitionedTable
-    from lodestar.sources.versioned import VersionedTable
-    wh = f"{scratch}/wh2"
+    name = f"wh_{uuid.uuid4().hex[:12]}"
     bronze = bronze_tables(spark, SF001, renumber=True)
-    run_pipeline(spark, bronze, wh, cluster=False)
-    fact_before = PartitionedTable(spark, f"{wh}/fact_sales", "order_month").current_version()
-    dates_before = VersionedTable(spark, f"{wh}/dim_date").current_version()
+    run_pipeline(spark, bronze, name, scratch, cluster=False)
     # A calendar that misses most order dates: the date check fails.
+    part = ("1996-01-01", "1996-12-31")
     with pytest.raises(QualityGateError):
-        run_pipeline(spark, bronze, wh, cluster=False, calendar=("1996-01-01", "1996-12-31"))
-    assert PartitionedTable(spark, f"{wh}/fact_sales", "order_month").current_version() == fact_before
-    assert VersionedTable(spark, f"{wh}/dim_date").current_version() == dates_before
-    audit = spark.read.parquet(f"{wh}/audit_log")
-    assert audit.where("status = 'FAIL' AND column_checked = 'order_date_sk'").count() == 1
+        run_pipeline(spark, bronze, name, scratch, cluster=False, calendar=part)
+    assert not run_pipeline(spark, bronze, name, scratch, cluster=False, calendar=part, enforce=False).published
+    assert Releases(spark, name).current() == 1
+    audit = spark.table(f"{name}__audit_log")
+    assert audit.where("status = 'FAIL' AND column_checked = 'order_date_sk'").count() == 2

@@ -3,7 +3,7 @@
 import pytest
 
 from lodestar.plans import named
-from lodestar.plans.star import star_from_tables
+from lodestar.plans.star import publish_star, star_from_tables
 from tests.conftest import SF001
 
 
@@ -36,10 +36,18 @@ def test_monthly_newest_first(star):
     assert keys == sorted(keys, reverse=True)
 
 
-def test_view_scan_limit_zero_or_none_means_all(star):
+def test_bounds_are_those_of_the_served_presets_only(star):
+    with pytest.raises(ValueError):
+        named.run_named(star, "top_customers", limit=501)
+    assert named.top_customers(star, limit=None).count() > 0
+    assert named.monthly_trends(star, 600).count() > 60
+
+
+def test_view_scan_limit_zero_or_none_means_all(spark, star):
     from lodestar.plans import views
     m = views.monthly_sales(star.fact, star.dim_date)
     total = m.count()
-    assert named.view_scan(m).count() == total
-    assert named.view_scan(m, 0).count() == total
-    assert named.view_scan(m, 5).count() == 5
+    publish_star(spark, star, "named_")
+    assert named.view_scan(spark, "named_monthly_sales").count() == total
+    assert named.view_scan(spark, "named_monthly_sales", 0).count() == total
+    assert named.view_scan(spark, "named_monthly_sales", 5).count() == 5

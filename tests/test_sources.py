@@ -1,14 +1,16 @@
 """CSV ingest with declared vs inferred schema (F6/T8), schema evolution, JSON rows."""
 
 import json
+import uuid
+
+import pytest
 
 from pyspark.sql import functions as F
 
 from lodestar.functions.json import rows_as_json
 from lodestar.sources import schemas
-from lodestar.sources.csv import ingest_csv, ingest_manifest, read_csv
+from lodestar.sources.csv import MissingColumnError, ingest_csv, ingest_manifest, read_csv
 from lodestar.sources.sinks import list_tables, overwrite_evolving, publish_views
-from lodestar.sources.versioned import VersionedTable
 
 
 def _write(path, text):
@@ -37,14 +39,29 @@ def test_manifest_and_schema_evolution(spark, scratch):
     manifest = {"t.csv": ("bronze_t", "a int, b string")}
     from pyspark.sql.types import _parse_datatype_string
     manifest = {k: (t, _parse_datatype_string(s)) for k, (t, s) in manifest.items()}
-    out = ingest_manifest(spark, src, f"{scratch}/bronze", manifest)
-    path = out["bronze_t"]
-    assert VersionedTable(spark, path).read().count() == 1
+    prefix = f"t_{uuid.uuid4().hex[:8]}_"
+    (name,) = ingest_manifest(spark, src, prefix, manifest, path=scratch)
+    assert name == prefix + "bronze_t" and spark.table(name).count() == 1
     # New load without column b: b is kept, as a typed null.
-    overwrite_evolving(spark.createDataFrame([(2,)], "a int"), path)
-    back = VersionedTable(spark, path).read()
+    overwrite_evolving(spark.createDataFrame([(2,)], "a int"), name, scratch)
+    back = spark.table(name)
     assert set(back.columns) == {"a", "b", "_load_timestamp"}
     assert back.first()["b"] is None and back.first()["a"] == 2
+    with pytest.raises(TypeError):
+        overwrite_evolving(spark.createDataFrame([("2",)], "a string"), name, scratch)
+
+
+def test_csv_columns_by_header_name(spark, scratch):
+    p = f"{scratch}/items.csv"
+    _write(p, "freight_value,order_id,shipping_limit_date,order_item_id,product_id,seller_id,price\n"
+              "1.25,o1,2018-01-02,1,p1,s1,58.90\nbad,o2,,x,p2,s2,\n")
+    rows = {r["order_id"]: r for r in read_csv(spark, p, schemas.ORDER_ITEMS).collect()}
+    assert str(rows["o1"]["price"]) == "58.90" and str(rows["o1"]["freight_value"]) == "1.2500"
+    assert rows["o1"]["shipping_limit_date"] == "2018-01-02" and rows["o1"]["order_item_id"] == 1
+    assert rows["o2"]["price"] is None and rows["o2"]["freight_value"] is None and rows["o2"]["order_item_id"] is None
+    _write(f"{scratch}/short.csv", "order_id,price\no1,2\n")
+    with pytest.raises(MissingColumnError):
+        read_csv(spark, f"{scratch}/short.csv", schemas.ORDER_ITEMS)
 
 
 def test_rows_as_json_keeps_nulls_and_text_types(spark):

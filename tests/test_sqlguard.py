@@ -18,6 +18,10 @@ def view(spark):
     "/* note */ SELECT id FROM guard_t",
     "SELECT 1 AS a, 2 AS a",
     "SHOW TABLES",
+    "/* note */ -- more\n SHOW TABLES",
+    "EXPLAIN SELECT id FROM guard_t",
+    "EXPLAIN FORMATTED /* c */ SELECT id FROM guard_t",
+    "SELECT 'use reflect(x) or TRANSFORM' AS s",
 ])
 def test_accepted(spark, view, q):
     check_read_only(spark, q)
@@ -34,6 +38,13 @@ def test_accepted(spark, view, q):
     "   ",
     "SELECT reflect('java.lang.System', 'getenv', 'HOME')",
     "SELECT java_method('java.lang.System', 'getenv', 'HOME')",
+    "SELECT try_reflect('java.lang.System', 'getenv', 'HOME')",
+    "SELECT TRANSFORM(1) USING 'cat' AS (x)",
+    "SELECT " + ", ".join(f"id AS c{i}" for i in range(60)) + ", `reflect`('java.lang.System', 'getenv', 'HOME') FROM guard_t",
+    "SELECT id FROM guard_t WHERE name = (SELECT `java_method`/* */('java.lang.System', 'getenv', 'HOME'))",
+    "WITH x AS (SELECT TRANSFORM(id) USING 'cat' AS (y) FROM guard_t) SELECT * FROM x",
+    "EXPLAIN DROP VIEW guard_t",
+    "-- only a comment",
 ])
 def test_refused(spark, view, q):
     with pytest.raises(UnsafeSQLError):

@@ -50,7 +50,7 @@ def main():
         ("executive_kpis", views.executive_kpis(g.fact)),
         ("monthly_sales", views.monthly_sales(g.fact, g.dim_date)),
         ("yoy_growth", views.yoy_growth(g.fact, g.dim_date)),
-        ("customer_ltv(window)", views.customer_ltv(g.fact, "window")),
+        ("customer_ltv", views.customer_ltv(g.fact)),
         ("category_freight", views.category_freight(g.fact, g.dim_product)),
     ]:
         print(f"{name:22s} {summary(plan(df))}")
