@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestar.session import ensure_checkpoint_dir
 
-from . import chat, decontamination, html, neardup, packing, quality, sharding, substring, toxicity, training_order
+from . import chat, decontamination, html, neardup, oracles, packing, quality, sharding, substring, toxicity, training_order
 
 SHARD_BYTES = 32 << 20
 
@@ -71,4 +71,9 @@ QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_quality, op3_decontamination, op4_minhash, op5_substring, op6_chat, op7_toxicity, op8_packing,
     op9_html, op10_training_order)}
 
-ORACLE_SQL: dict[str, str] = {"op6_chat": chat.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op1_sharding": oracles.sharding(SHARD_BYTES),
+    "op4_minhash": oracles.NEARDUP,
+    "op5_substring": oracles.SUBSTRING,
+    "op6_chat": chat.ORACLE,
+}
