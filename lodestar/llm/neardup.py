@@ -4,19 +4,27 @@
    universal hash minima, whose bands give bucket keys.
 2. Documents with equal sets form one class; only its smallest id goes on, so
    that a group of exact copies costs one row a copy.
-3. Each bucket proposes links from its smallest member to the others (a star,
-   not all pairs).  A link counts when the signatures agree well enough and
-   the full sets reach the threshold.
+3. Each bucket proposes links from its head (the member that meets most others
+   in its buckets, so the one nearest to what a group has in common) to the
+   other members: a star, not all pairs.  Signatures sort out the hopeless
+   ones; a link counts when the full sets reach the threshold.
 4. Components of the links come from alternating large-star and small-star.
 5. Buckets whose members are still in two or more components may hold links
-   that no star tested.  In a bucket of up to ``SMALL`` members every pair
-   from different components is tested.  Larger ones, which are mostly texts
-   that share one frequent passage, are split by a second band: every pair from
-   different components that shares two such buckets is tested.  Components
-   are then contracted again.
-
-Two sets at exactly the threshold 0.75 share no band with probability 5e-6,
-and at most one with 8e-5; above it the chance falls quickly.
+   that no star tested.  These are searched exactly, without pairing a group:
+   * members at least half like their head p are compared through their
+     differences from p.  With A, M the numbers of shingles added to and missing
+     from p, a pair needs 7 * (differences in common) >=
+     3 * (A1 + A2) + 4 * (M1 + M2) - |p|.  For a member that is no link of p this
+     is more than the other's own 3A + 4M, so the other must share one of any
+     A + M - (3A + 4M) // 7 of its differences; the rarest ones are looked up.
+   * a member less than half like its head can only be like others that are no
+     links of the head (two that are both half like one other head are left to
+     that one).  Among these, a text of which more than a quarter of the shingles
+     occur nowhere else is out; the others look up the rarest quarter.
+   Pairs found so are verified on the full sets and components contracted again.
+
+Two sets at exactly the threshold 0.75 share no band with probability 5e-6;
+above it the chance falls quickly.
 
 Results for edge cases: null or empty text, or text without words, has no
 shingles and links with nothing; fewer words than a shingle give one shingle
@@ -29,6 +37,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,10 +47,9 @@ from .words import U64, Words, mix, odd_constants, words_of
 WORDS, BANDS, ROWS = 5, 32, 4
 #: Threshold as a fraction in hundredths: 100 * intersection >= 75 * union.
 PERCENT = 75
-#: Signature agreement below which 0.75 is out of the question (6 standard deviations).
-AGREE = 0.5
-#: Members up to which an unresolved bucket has all its cross-component pairs tested.
-SMALL = 64
+#: Signature agreement below which a similarity of 0.5, or of 0.75, is out of the question
+#: (4.5 and 6.5 standard deviations).
+AGREE_HALF, AGREE = 0.3, 0.5
 
 _A = odd_constants(31, BANDS * ROWS)
 _B = odd_constants(32, BANDS * ROWS)
@@ -83,9 +91,6 @@ _SKETCH = T.StructType([
     T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("signature", T.BinaryType())])
 _SKETCH_ARROW = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set1", pa.int64()),
                            ("set2", pa.int64()), ("bands", pa.list_(pa.int64())), ("signature", pa.binary())])
-_SETS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("sketch", T.BinaryType()),
-                      T.StructField("members", T.BinaryType())])
-
 
 def _sliced(batch: pa.RecordBatch):
     raw, off = text_bytes(batch.column(1))
@@ -124,36 +129,133 @@ def _sets(batches):
                                              names=["doc", "members"])
 
 
-def _agree(batches):
-    """Pairs whose signatures agree in at least ``AGREE`` of the minima."""
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BANDS * ROWS) for i in (2, 3))
-        keep = pa.array((a == b).mean(axis=1) >= AGREE)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
+def _agree(least: float):
+    """Pairs whose signatures agree in at least that share of the minima."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint16).reshape(-1, BANDS * ROWS) for i in (2, 3))
+            keep = pa.array((a == b).mean(axis=1) >= least)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
+
+    return run
+
+
+def _pairs_of_sets(batch):
+    for x, y in zip(batch.column(2), batch.column(3), strict=True):
+        yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
 
 
-def _similar(batches):
-    """Pairs whose full sets reach the threshold."""
+def _common(batches):
+    """(a, b, common, either): sizes of the intersection and of the union of the full sets."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+        common, either = [], []
+        for x, y in _pairs_of_sets(batch):
             both = np.sort(np.concatenate([x, y]), kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            common.append(int((both[1:] == both[:-1]).sum()))
+            either.append(len(both) - common[-1])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(common, pa.int64()), pa.array(either, pa.int64())],
+                                         names=["a", "b", "common", "either"])
+
+
+def _differences(batches):
+    """(head, doc, feature, probes): what b has beyond a, and lacks of it; the number of features to look up."""
+    for batch in batches:
+        heads, docs, features, probes = [], [], [], []
+        for a, b, (x, y) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _pairs_of_sets(batch), strict=True):
+            added, missing = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+            own = np.concatenate([added, mix(missing + U64(1))])
+            features.append(own)
+            many = len(own) - (3 * len(added) + 4 * len(missing)) // 7
+            for column, value in ((heads, a), (docs, b), (probes, many)):
+                column.append(np.full(len(own), value, np.int64))
+        if features:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64) if c is not features else np.concatenate(c).view(np.int64))
+                                              for c in (heads, docs, features, probes)], names=["head", "doc", "feature", "probes"])
+
+
+def _members(batches):
+    """(doc, feature, size): the shingles of rows (doc, members)."""
+    for batch in batches:
+        sets = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(1)]
+        size = np.array([len(x) for x in sets], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), size)), pa.array(np.concatenate(sets)),
+                                          pa.array(np.repeat(size, size))], names=["doc", "feature", "size"])
+
+
+def _beside(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(table.select(F.col("doc").alias(side), F.col(value).alias(f"{side}_value")), side)
+    return pairs.select("a", "b", "a_value", "b_value")
+
 
+def _measured(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """(a, b, common, either) of the pairs that the signatures leave."""
+    likely = _beside(pairs, signatures, "signature").mapInArrow(_agree(least), "a long, b long")
+    return _beside(likely, sets, "members").mapInArrow(_common, "a long, b long, common long, either long")
 
-def _verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
-    """The distinct pairs (a, b) that are links."""
 
-    def beside(p: DataFrame, table: DataFrame, value: str) -> DataFrame:
-        for side in ("a", "b"):
-            p = p.join(table.select(F.col("doc").alias(side), F.col(value).alias(f"{side}_value")), side)
-        return p.select("a", "b", "a_value", "b_value")
+def _is_link() -> F.Column:
+    return 100 * F.col("common") >= PERCENT * F.col("either")
 
-    likely = beside(pairs, signatures, "signature").mapInArrow(_agree, "a long, b long")
-    return beside(likely, sets, "members").mapInArrow(_similar, "a long, b long")
+
+def _sharing(probes: DataFrame, index: DataFrame, on: list[str], apart: str) -> DataFrame:
+    """Distinct pairs (a, b) of a probe and an index row that are equal in ``on``.
+
+    Both carry doc, component and home; ``apart`` says which pairs p, q matter.
+    """
+    same = " AND ".join(f"p.{c} = q.{c}" for c in on)
+    pairs = probes.alias("p").join(index.alias("q"), F.expr(f"{same} AND p.doc <> q.doc AND p.component <> q.component AND {apart}"))
+    return pairs.select(F.least("p.doc", "q.doc").alias("a"), F.greatest("p.doc", "q.doc").alias("b")).distinct()
+
+
+def _rarest(rows: DataFrame, counts: DataFrame, on: list[str], per: list[str], own: str, many: F.Column) -> DataFrame:
+    """Of each ``per``, the ``many`` features that the fewest others have; without those that no other has.
+
+    ``own`` tells whether a row is itself among those counted.
+    """
+    rows = rows.join(counts, on, "left").withColumn("others", F.coalesce("n", F.lit(0)) - F.when(F.col(own), 1).otherwise(0))
+    place = F.row_number().over(W.partitionBy(*per).orderBy("others", "feature"))
+    return rows.withColumn("place", place).where((F.col("place") <= many) & (F.col("others") > 0))
+
+
+def _near_heads(stars: DataFrame, sets: DataFrame, tags: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs to verify among members at least half like their head; ``stars`` has (head, doc, linked)."""
+    heads = stars.where("NOT linked").select("head").distinct()
+    stars = stars.join(heads, "head", "left_semi")
+    rows = _beside(stars.select(F.col("head").alias("a"), F.col("doc").alias("b")), sets, "members").mapInArrow(
+        _differences, "head long, doc long, feature long, probes long")
+    rows = scratch.put(rows.join(stars.join(tags, "doc"), ["head", "doc"]), "differences")
+    index = rows.where("NOT linked")
+    counts = index.groupBy("head", "feature").agg(F.count("*").alias("n"))
+    probes = _rarest(rows.withColumn("own", ~F.col("linked")), counts, ["head", "feature"], ["head", "doc"], "own", F.col("probes"))
+    return _sharing(probes, index, ["head", "feature"], "true")
+
+
+def _far_from_heads(far: DataFrame, others: DataFrame, sets: DataFrame, tags: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs to verify of members ``far`` from their head, with each other and with ``others`` (both: doc).
+
+    Two with one home are both half like that head, which compares them already.
+    """
+    every = far.select("doc", F.lit(True).alias("far")).unionAll(others.select("doc", F.lit(False).alias("far")))         .groupBy("doc").agg(F.max("far").alias("far"))
+    rows = scratch.put(sets.join(every, "doc", "left_semi").select("doc", "members").mapInArrow(
+        _members, "doc long, feature long, size long"), "shingles")
+    counts = scratch.put(rows.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1"), "frequent")
+    # Of each document, how many of its shingles another one has: too few, and it is like none.
+    shared = rows.join(counts, "feature").groupBy("doc", "size").agg(F.count("*").alias("n")).where(100 * F.col("n") >= PERCENT * F.col("size"))
+    left = scratch.put(shared.select("doc").join(every, "doc").join(tags, "doc"), "left")
+    rows = rows.join(left, "doc").withColumn("own", F.lit(True))
+    many = F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1
+    probes = _rarest(rows, counts, ["feature"], ["doc"], "own", many)
+    return _sharing(probes, rows.where("far").join(counts, "feature", "left_semi"), ["feature"], "coalesce(p.home <> q.home, true)")
+
+
+def _homes(rays: DataFrame) -> DataFrame:
+    """(doc, home): of the heads that a document is half like, or is, the one that most documents are half like."""
+    half = rays.where("half").select("head", "doc")
+    sizes = half.groupBy("head").agg(F.count("*").alias("n"))
+    own = half.unionAll(sizes.select("head", F.col("head").alias("doc")))
+    return own.join(sizes, "head").groupBy("doc").agg(F.max(F.struct("n", "head")).alias("top")).select("doc", F.col("top.head").alias("home"))
 
 
 def components(links: DataFrame, scratch: Scratch, label: str = "stars") -> DataFrame:
@@ -210,46 +312,39 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     scratch.drop("sketch", "classes")
 
     spread = nodes.where("n_shingles > 0 AND rep = doc_id").select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
-    heads = scratch.put(spread.groupBy("bucket").agg(F.min("doc").alias("head"), F.count("*").alias("n")).where("n > 1"), "heads")
-    members = scratch.put(spread.join(heads, "bucket"), "members")
-    wanted = scratch.put(members.select("doc").distinct(), "wanted")
-    # One row an id: rows that repeat an id count by their smallest set of columns.
-    signatures = nodes.where("signature IS NOT NULL").join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi") \
-        .select(F.col("doc_id").alias("doc"), "signature")
-    signatures = scratch.put(signatures, "signatures")
-    sets = scratch.put(texts.join(wanted.withColumnRenamed("doc", "doc_id"), "doc_id", "left_semi")
-                       .select("doc_id", "text").mapInArrow(_sets, "doc long, members binary"), "sets")
+    sizes = scratch.put(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    members = scratch.put(spread.join(sizes, "bucket"), "members")
+    meetings = scratch.put(members.groupBy("doc").agg(F.sum("n").alias("meetings")), "meetings")
+    heads = members.join(meetings, "doc").groupBy("bucket").agg(F.max(F.struct("meetings", (-F.col("doc")).alias("minus"))).alias("top"))
+    heads = scratch.put(heads.select("bucket", (-F.col("top.minus")).alias("head")), "heads")
+    members = scratch.put(members.join(heads, "bucket"), "headed")
+    signatures = scratch.put(nodes.where("signature IS NOT NULL").select(F.col("doc_id").alias("doc"), "signature")
+                             .join(meetings, "doc", "left_semi"), "signatures")
+    sets = scratch.put(texts.withColumnRenamed("doc_id", "doc").join(meetings, "doc", "left_semi")
+                       .select("doc", "text").mapInArrow(_sets, "doc long, members binary"), "sets")
 
     stars = members.where("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
-    links = scratch.put(_verified(stars, signatures, sets).distinct(), "links")
+    measured = scratch.put(_measured(stars, signatures, sets, AGREE_HALF).distinct(), "measured")
+    links = measured.where(_is_link()).select("a", "b")
     found = components(links, scratch)
 
-    labelled = members.join(found, F.col("doc") == F.col("node"), "left").select(
-        "bucket", "doc", F.coalesce("component", "doc").alias("component"))
-    labelled = scratch.put(labelled, "labelled")
-    split = scratch.put(labelled.groupBy("bucket").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-        .where("x < y AND n > 2").select("bucket", "n"), "split")
-
-    def crossing(rows: DataFrame) -> DataFrame:
-        a, b = rows.alias("a"), rows.alias("b")
-        return a.join(b, (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.doc") < F.col("b.doc"))
-                      & (F.col("a.component") != F.col("b.component"))).select(
-            F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
-
-    open_rows = labelled.join(split, "bucket")
-    few = open_rows.where(F.col("n") <= SMALL).select("bucket", "doc", "component")
-    many = open_rows.where(F.col("n") > SMALL).groupBy("doc", "component").agg(F.sort_array(F.collect_set("bucket")).alias("own"))
-    two = many.select("doc", "component", F.explode(F.expr(
-        "flatten(transform(own, (x, i) -> transform(slice(own, i + 2, size(own)), y -> xxhash64(x, y))))")).alias("bucket"))
-    two = scratch.put(two.select("bucket", "doc", "component"), "two")
-    mixed = scratch.put(two.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                        .where("x < y").select("bucket"), "mixed")
-    pairs = crossing(few).unionAll(crossing(two.join(mixed, "bucket", "left_semi"))).distinct()
-    more = scratch.put(_verified(pairs, signatures, sets).distinct(), "more")
+    labelled = members.join(found, F.col("doc") == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc"))
+    split = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+    split = scratch.put(split.where("x < y AND n > 2").select("bucket"), "split")
+    rays = members.join(split, "bucket", "left_semi").where("doc <> head").select("head", "doc").distinct()
+    rays = rays.join(measured.select(F.col("a").alias("head"), F.col("b").alias("doc"), "common", "either")
+                     .groupBy("head", "doc").agg(F.max("common").alias("common"), F.min("either").alias("either")), ["head", "doc"], "left")
+    rays = scratch.put(rays.select("head", "doc", F.coalesce(_is_link(), F.lit(False)).alias("linked"),
+                                   F.coalesce(2 * F.col("common") >= F.col("either"), F.lit(False)).alias("half")), "rays")
+    tags = rays.select("doc").distinct().join(found, F.col("doc") == F.col("node"), "left").join(_homes(rays), "doc", "left")
+    tags = scratch.put(tags.select("doc", F.coalesce("component", "doc").alias("component"), "home"), "tags")
+    pairs = _near_heads(rays.where("half").select("head", "doc", "linked"), sets, tags, scratch).unionAll(_far_from_heads(
+        rays.where("NOT half").select("doc").distinct(), rays.where("half AND NOT linked").select("doc").distinct(), sets, tags, scratch))
+    more = scratch.put(_measured(pairs.distinct(), signatures, sets, AGREE).where(_is_link()).select("a", "b"), "more")
     if not more.isEmpty():
         found = components(links.unionAll(more), scratch, "again")
-    scratch.drop("heads", "members", "wanted", "signatures", "sets", "labelled", "split", "two", "mixed", "links", "more")
+    scratch.drop("sizes", "members", "meetings", "heads", "headed", "signatures", "sets", "measured", "split", "rays", "tags",
+                 "differences", "shingles", "frequent", "left", "more")
 
     out = nodes.select("doc_id", "n_shingles", "rep").join(found, F.col("rep") == F.col("node"), "left")
     component = F.coalesce("component", "rep")
