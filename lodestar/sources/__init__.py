@@ -1 +1 @@
-"""Sources and sinks: parquet tables, CSV ingest, versioned tables."""
+"""Sources and sinks: parquet tables, CSV ingest, stored tables."""
