@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -58,6 +59,15 @@ class Scratch:
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def settle(self) -> None:
+        """Let go of the shuffle files of finished steps.
+
+        Spark deletes them when the driver's garbage collection finds that no
+        frame refers to them; without asking, that may be long after.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch, partitions, row_slices, text_bytes
-from .words import U64, Words, words_of
+from .words import U64, Words, mix, words_of
 
 WORDS = 13
 #: Text bytes of one packed row group; larger means better packed probes.
@@ -45,7 +45,8 @@ _PACK_BYTES = 8 << 20
 _PACKED = pa.schema([("range", pa.int32()), ("blocks", pa.binary()), ("block_docs", pa.binary()),
                      ("probes", pa.binary()), ("probe_docs", pa.binary())])
 _PACKED_DDL = "range int, blocks binary, block_docs binary, probes binary, probe_docs binary"
-_HITS_DDL = "doc_id long, keys binary"
+_HITS = pa.schema([("part", pa.int32()), ("docs", pa.binary()), ("counts", pa.binary()), ("keys", pa.binary())])
+_HITS_DDL = "part int, docs binary, counts binary, keys binary"
 
 
 def _small(values: np.ndarray) -> bytes:
@@ -120,8 +121,8 @@ def _anchors(size: int, ranges: int):
     return run
 
 
-def _matched(width: str):
-    """Of one key range: each document with its keys that it shares with another, of which one has it as a block."""
+def _matched(width: str, parts: int):
+    """Of one key range: documents with their keys that another shares, of which one has it as a block."""
 
     def run(key, table):
         blocks, block_docs, probes, probe_docs = ([x.as_py() for x in table.column(c)] for c in
@@ -143,40 +144,63 @@ def _matched(width: str):
             shared = np.zeros(len(k), bool)
             shared[at[hit_docs > d[at]]] = True
             hit_docs, hit_keys = hit_docs[shared[at]], hit_keys[shared[at]]
-        return _by_doc(hit_docs, hit_keys, key[0].as_py())
+        return _by_part(hit_docs, hit_keys, key[0].as_py(), parts)
 
     return run
 
 
-def _repeated(key, table):
-    """Of one key range: each document with its windows that also start in a smaller one."""
-    p = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in table.column("probes")])
-    d = np.concatenate([_large(x.as_py()) for x in table.column("probe_docs")])
-    order = np.lexsort((d, p))
-    p, d = p[order], d[order]
-    head = np.ones(len(p), bool)
-    head[1:] = p[1:] != p[:-1]
-    least = d[head][np.cumsum(head) - 1]
-    later = d > least
-    return _by_doc(d[later], p[later], 0)
+def _repeated(parts: int):
+    """Of one key range: documents with their windows that also start in a smaller one."""
+
+    def run(key, table):
+        p = np.concatenate([np.frombuffer(x.as_py(), "<u8") for x in table.column("probes")])
+        d = np.concatenate([_large(x.as_py()) for x in table.column("probe_docs")])
+        order = np.lexsort((d, p))
+        p, d = p[order], d[order]
+        head = np.ones(len(p), bool)
+        head[1:] = p[1:] != p[:-1]
+        least = d[head][np.cumsum(head) - 1]
+        later = d > least
+        return _by_part(d[later], p[later], 0, parts)
+
+    return run
 
 
-def _by_doc(docs: np.ndarray, keys: np.ndarray, where: int) -> pa.Table:
-    """(doc_id, keys): the distinct keys of each document; 4-byte keys with the key range above them."""
+def _by_part(docs: np.ndarray, keys: np.ndarray, where: int, parts: int) -> pa.Table:
+    """The distinct keys of each document, a row for each part of the documents; 4-byte keys with the key range above them."""
     if keys.dtype.itemsize == 4:
         keys = keys.astype(np.uint64) | U64(where << 32)
-    order = np.lexsort((keys, docs))
-    docs, keys = docs[order], keys[order]
+    part = (mix(docs.astype(np.uint64)) % U64(parts)).astype(np.int32)
+    order = np.lexsort((keys, docs, part))
+    docs, keys, part = docs[order], keys[order], part[order]
     new = np.ones(len(docs), bool)
     new[1:] = (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1])
-    docs, keys = docs[new], keys[new]
-    cut = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]])) if len(docs) else np.zeros(0, np.int64)
-    parts = np.split(keys, cut[1:]) if len(docs) else []
-    return pa.table({"doc_id": pa.array(docs[cut], pa.int64()), "keys": pa.array([x.tobytes() for x in parts], pa.binary())})
+    docs, keys, part = docs[new], keys[new], part[new]
+    found = np.unique(part)
+    cut = np.append(np.searchsorted(part, found), len(part))
+    rows: list[tuple] = []
+    for lo, hi in zip(cut[:-1], cut[1:]):
+        own, counts = np.unique(docs[lo:hi], return_counts=True)
+        rows.append((_small(own), counts.astype("<u4").tobytes(), keys[lo:hi].tobytes()))
+    return pa.Table.from_arrays([pa.array(found, pa.int32()), *(pa.array([r[i] for r in rows], pa.binary()) for i in range(3))], schema=_HITS)
+
+
+def _collated(key, table):
+    """(doc_id, keys): all keys of each document of one part."""
+    docs, counts = [], []
+    for d, c in zip(table.column("docs").to_pylist(), table.column("counts").to_pylist()):
+        docs.append(_large(d))
+        counts.append(np.frombuffer(c, "<u4"))
+    keys = np.concatenate([np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()])
+    docs = np.repeat(np.concatenate(docs), np.concatenate(counts))
+    order = np.argsort(docs, kind="stable")
+    docs, keys = docs[order], keys[order]
+    own, first = np.unique(docs, return_index=True)
+    return pa.table({"doc_id": pa.array(own, pa.int64()), "keys": pa.array([k.tobytes() for k in np.split(keys, first[1:])], pa.binary())})
 
 
 def _keys_of(column) -> list[np.ndarray]:
-    return [np.frombuffer(b"".join(x or ()), np.uint64) for x in column.to_pylist()]
+    return [np.frombuffer(x or b"", np.uint64) for x in column.to_pylist()]
 
 
 def _around(size: int, words_least: int, ranges: int):
@@ -209,6 +233,8 @@ def _around(size: int, words_least: int, ranges: int):
 
 def covered_words(words: Words, found: list[np.ndarray], least: int) -> np.ndarray:
     """Which words lie in a window whose key is among the text's ``found`` keys."""
+    if not any(len(own) for own in found):
+        return np.zeros(len(words.start), bool)
     keys, at = words.windows(words.hashes(), least, seed=42)
     first = np.searchsorted(at, words.first)
     cover = np.zeros(len(words.start) + 1, np.int64)
@@ -221,22 +247,21 @@ def covered_words(words: Words, found: list[np.ndarray], least: int) -> np.ndarr
 
 
 def repeat_keys(docs: DataFrame, scratch: Scratch, key: str, text: str, least: int = WORDS) -> DataFrame:
-    """(doc_id, text, keys): the documents with repeats, and the keys of their repeated windows."""
-    size = (least + 1) // 2
-    ranges = 2 * partitions(docs.sparkSession)
+    """(doc_id, keys): the documents with repeats, and the keys of their repeated windows."""
+    spark, size = docs.sparkSession, (least + 1) // 2
+    ranges, parts = 2 * partitions(spark), max(1, partitions(spark) // 2)
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    packed = rows.mapInArrow(_anchors(size, ranges), _PACKED_DDL)
-    hits = scratch.put(packed.groupBy("range").applyInArrow(_matched("<u4"), _HITS_DDL), "hits")
-    # A document's keys are no more than its own windows.
-    own = hits.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    near = scratch.put(rows.join(own, "doc_id"), "near")
-    wide = near.select("doc_id", "text", "keys").mapInArrow(_around(size, least, ranges), _PACKED_DDL)
-    found = scratch.put(wide.groupBy("range").applyInArrow(_repeated, _HITS_DDL), "found")
-    scratch.drop("hits")
-    own = found.groupBy("doc_id").agg(F.collect_list("keys").alias("keys"))
-    out = scratch.put(near.select("doc_id", "text").join(own, "doc_id"), "repeats")
-    scratch.drop("near", "found")
-    return out
+
+    def by_doc(packed: DataFrame, lookup, name: str) -> DataFrame:
+        hits = packed.groupBy("range").applyInArrow(lookup, _HITS_DDL)
+        # A document's keys are no more than its own windows.
+        found = scratch.put(hits.groupBy("part").applyInArrow(_collated, "doc_id long, keys binary"), name)
+        scratch.settle()
+        return found
+
+    anchored = by_doc(rows.mapInArrow(_anchors(size, ranges), _PACKED_DDL), _matched("<u4", parts), "anchored")
+    near = rows.join(anchored, "doc_id").select("doc_id", "text", "keys")
+    return by_doc(near.mapInArrow(_around(size, least, ranges), _PACKED_DDL), _repeated(parts), "repeats")
 
 
 def _kept(words: Words, gone: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -272,13 +297,13 @@ def _kept(words: Words, gone: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.
 
 
 def _digests(least: int):
-    """(doc_id, n_words, n_removed, kept_sha256) of rows (doc_id, text[, keys])."""
+    """(key, n_words, n_removed, kept_sha256) of rows (key, text, keys)."""
 
     def run(batches):
         for batch in batches:
-            found = _keys_of(batch.column(2)) if batch.num_columns > 2 else None
-            for _, words, rows in _texts(batch, 1 << 20):
-                gone = covered_words(words, found[rows], least) if found else np.zeros(len(words.start), bool)
+            found = _keys_of(batch.column(2))
+            for words, rows in _sliced_words(batch.column(1), 1 << 20):
+                gone = covered_words(words, found[rows], least)
                 total = np.concatenate([[0], np.cumsum(gone)])
                 text, off = _kept(words, gone, spaced=True)
                 text = memoryview(text)
@@ -286,13 +311,13 @@ def _digests(least: int):
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(rows.start, rows.stop - rows.start), pa.array(words.counts),
                      pa.array(total[words.first[1:]] - total[words.first[:-1]]), pa.array(sha, pa.string())],
-                    names=["doc_id", "n_words", "n_removed", "kept_sha256"])
+                    names=[batch.schema.names[0], "n_words", "n_removed", "kept_sha256"])
 
     return run
 
 
 def _spans(least: int):
-    """(doc_id, first_word, n_words): maximal repeats of rows (doc_id, text, keys)."""
+    """(key, first_word, n_words): maximal repeats of rows (key, text, keys)."""
 
     def run(batches):
         for batch in batches:
@@ -307,7 +332,7 @@ def _spans(least: int):
                 some = gone[at]
                 at, length = at[some], length[some]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[doc[at]]), pa.array(at - words.first[doc[at]]), pa.array(length)],
-                                                 names=["doc_id", "first_word", "n_words"])
+                                                 names=[batch.schema.names[0], "first_word", "n_words"])
 
     return run
 
@@ -331,28 +356,25 @@ def _cutting(least: int, place: int):
     return run
 
 
+def _with_keys(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
+    """The rows and columns of ``docs`` and, last, the keys of their repeats."""
+    found = repeat_keys(docs, Scratch(docs.sparkSession, "substring"), key, text, least)
+    found = found.select(F.col("doc_id").alias("__doc_of_keys"), F.col("keys").alias("__keys_of_doc"))
+    return docs.join(found, docs[key].cast("long") == F.col("__doc_of_keys"), "left").select(*docs.columns, "__keys_of_doc")
+
+
 def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = WORDS) -> DataFrame:
     """``docs`` with the repeated words (and the white space after each) cut from the text."""
-    found = repeat_keys(docs, Scratch(docs.sparkSession, "substring"), key, text, least)
-    own = found.groupBy(F.col("doc_id").alias("__doc_of_keys")).agg(F.flatten(F.collect_list("keys")).alias("__keys_of_doc"))
-    names = docs.columns
-    beside = docs.join(own, docs[key].cast("long") == F.col("__doc_of_keys"), "left").select(*names, "__keys_of_doc")
-    return beside.mapInArrow(_cutting(least, names.index(text)), docs.schema)
+    return _with_keys(docs, key, text, least).mapInArrow(_cutting(least, docs.columns.index(text)), docs.schema)
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = WORDS) -> DataFrame:
-    """(doc_id, first_word, n_words): the maximal repeats, by word position."""
-    found = repeat_keys(docs, Scratch(docs.sparkSession, "substring"), key, text, least)
-    return found.mapInArrow(_spans(least), "doc_id long, first_word long, n_words long")
+    """(key, first_word, n_words): the maximal repeats, by word position; a row without an id has none."""
+    rows = _with_keys(docs.select(F.col(key).cast("long").alias(key), text), key, text, least)
+    return rows.where("__keys_of_doc IS NOT NULL").mapInArrow(_spans(least), f"`{key}` long, first_word long, n_words long")
 
 
 def substring_digest(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = WORDS) -> DataFrame:
     """(key, n_words, n_removed, kept_sha256), a row for each input row."""
-    scratch = Scratch(docs.sparkSession, "substring")
-    found = repeat_keys(docs, scratch, key, text, least)
-    out = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    changed = found.mapInArrow(_digests(least), out)
-    # Digests, not texts, meet the list of changed documents.
-    whole = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_digests(least), out)
-    same = whole.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
-    return changed.unionAll(same).withColumnRenamed("doc_id", key)
+    rows = _with_keys(docs.select(F.col(key).cast("long").alias(key), text), key, text, least)
+    return rows.mapInArrow(_digests(least), f"`{key}` long, n_words long, n_removed long, kept_sha256 string")
