@@ -152,7 +152,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
     schema = _PIECES + ", ids binary" * with_ids
     pieces = rows.mapInArrow(_pieces(tokenizer, length, end_id, with_ids), schema)
     # The random draw parts repeated rows as well; the written table fixes it.
-    part = F.pmod(F.xxhash64("doc_id", "piece", F.rand(17)), F.lit(partitions(spark)))
+    part = F.pmod(F.xxhash64("doc_id", "piece", F.rand(17)), F.lit(max(1, partitions(spark) // 8)))
     pieces = scratch.put(pieces.withColumn("part", part.cast("int")), "pieces")
     sums = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     # At most (sequence length) x (parts) counts.

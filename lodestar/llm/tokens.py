@@ -1,25 +1,52 @@
 """Token ids of whole texts, with each distinct word tokenised once a worker.
 
-For a tokenizer whose pieces never span white space (it splits words from one
-another and drops the space), the ids of a text are those of its words in a
-row.  Texts are full of repeated words, so a worker keeps the ids of the words
-it has seen, up to a bound; a full memory starts afresh.
+For a tokenizer whose pieces never span white space (it lower-cases, splits
+words from one another and drops the space), the ids of a text are those of its
+words in a row.  Texts are full of repeated words, so a worker keeps the ids of
+the words it has met lately.
+
+Lower-casing a text of Latin-1 characters, which such a tokenizer does anyway,
+makes more words equal; a word of letters and the punctuation after it is put
+together from the two, as a run of letters ends there.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: Words remembered by one worker; about 100 MB.
-REMEMBERED = 400_000
+#: Characters at which str.split breaks but the tokenizer does not.
+_ODD = re.compile(r"[\x1c-\x1f]")
+_LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+_ENDING = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]+)")
+#: Words of one generation; a worker remembers two, about 300 MB.
+REMEMBERED = 700_000
 #: New words that go through the tokenizer at a time.
 _BATCH = 500
 
 
+def _byte_letters() -> dict[int, str]:
+    """Byte -> the printable character that byte-level vocabularies write for it."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {**{b: chr(b) for b in printable}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
+
+
+_BYTE_LETTERS = _byte_letters()
+
+
+def _words(text: str) -> list[str]:
+    if "<|" not in text:  # else a lower-cased word might become a special token
+        try:
+            text.encode("latin-1")
+            text = text.lower()
+        except UnicodeEncodeError:
+            pass
+    return _WORD.findall(text) if _ODD.search(text) else text.split()
+
+
 class WordTokenizer:
     """Ids as little-endian unsigned 32-bit bytes."""
 
@@ -28,24 +55,47 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        probes = ["the", "thblein", "é", "straße", "ñandú", "x", "zzzzzzzzzz", "çãõ"]
+        # A run of plain letters needs no normalising or splitting: the model alone gives its ids, if these agree.
+        self.direct = self._direct(probes) == self._general(probes)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _general(self, words: list[str]) -> list[bytes]:
+        return [array("I", x.ids).tobytes() for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _direct(self, words: list[str]) -> list[bytes]:
+        tokenize = self.model.tokenize
+        return [array("I", [t.id for t in tokenize(w.encode().decode("latin-1").translate(_BYTE_LETTERS))]).tobytes() for w in words]
 
-    def _learn(self, words: list[str]) -> None:
+    def _meet(self, words: set[str]) -> None:
+        """Have all ``words`` in the younger generation."""
         if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        for at in range(0, len(words), _BATCH):
-            part = words[at:at + _BATCH]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = words.difference(known)
+        for word in new.intersection(older):
+            known[word] = older[word]
+        new.difference_update(older)
+        composed = [m for m in map(_ENDING.fullmatch, new) if m]
+        new.difference_update([m[0] for m in composed])
+        parts = {p for m in composed for p in m.groups()}.difference(known)
+        for word in parts.intersection(older):
+            known[word] = older[word]
+        todo = sorted(new.union(parts.difference(older)))
+        plain = [w for w in todo if self.direct and _LETTERS.fullmatch(w)]
+        known.update(zip(plain, self._direct(plain)))
+        todo = [w for w in todo if w not in known]
+        for at in range(0, len(todo), _BATCH):
+            known.update(zip(todo[at:at + _BATCH], self._general(todo[at:at + _BATCH])))
+        for m in composed:
+            known[m[0]] = known[m[1]] + known[m[2]]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Each text's ids."""
-        split = [_WORD.findall(t) for t in texts]
-        new = set().union(*split).difference(self.known) if split else set()
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                new = set().union(*split)
-            self._learn(sorted(new))
+        split = [_words(t) for t in texts]
+        self._meet(set().union(*split))
         known = self.known
         return [b"".join([known[w] for w in words]) for words in split]
 
