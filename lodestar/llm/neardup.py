@@ -250,10 +250,11 @@ def _far_from_heads(far: DataFrame, others: DataFrame, sets: DataFrame, tags: Da
     return _sharing(probes, rows.where("far").join(counts, "feature", "left_semi"), ["feature"], "coalesce(p.home <> q.home, true)")
 
 
-def _homes(rays: DataFrame) -> DataFrame:
+def _homes(rays: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc, home): of the heads that a document is half like, or is, the one that most documents are half like."""
     half = rays.where("half").select("head", "doc")
-    sizes = half.groupBy("head").agg(F.count("*").alias("n"))
+    # Written out, so that the members of a head with many can be dealt to several tasks.
+    sizes = scratch.put(half.groupBy("head").agg(F.count("*").alias("n")), "homes")
     own = half.unionAll(sizes.select("head", F.col("head").alias("doc")))
     return own.join(sizes, "head").groupBy("doc").agg(F.max(F.struct("n", "head")).alias("top")).select("doc", F.col("top.head").alias("home"))
 
@@ -336,14 +337,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                      .groupBy("head", "doc").agg(F.max("common").alias("common"), F.min("either").alias("either")), ["head", "doc"], "left")
     rays = scratch.put(rays.select("head", "doc", F.coalesce(_is_link(), F.lit(False)).alias("linked"),
                                    F.coalesce(2 * F.col("common") >= F.col("either"), F.lit(False)).alias("half")), "rays")
-    tags = rays.select("doc").distinct().join(found, F.col("doc") == F.col("node"), "left").join(_homes(rays), "doc", "left")
+    tags = rays.select("doc").distinct().join(found, F.col("doc") == F.col("node"), "left").join(_homes(rays, scratch), "doc", "left")
     tags = scratch.put(tags.select("doc", F.coalesce("component", "doc").alias("component"), "home"), "tags")
     pairs = _near_heads(rays.where("half").select("head", "doc", "linked"), sets, tags, scratch).unionAll(_far_from_heads(
         rays.where("NOT half").select("doc").distinct(), rays.where("half AND NOT linked").select("doc").distinct(), sets, tags, scratch))
     more = scratch.put(_measured(pairs.distinct(), signatures, sets, AGREE).where(_is_link()).select("a", "b"), "more")
     if not more.isEmpty():
         found = components(links.unionAll(more), scratch, "again")
-    scratch.drop("sizes", "members", "meetings", "heads", "headed", "signatures", "sets", "measured", "split", "rays", "tags",
+    scratch.drop("sizes", "members", "meetings", "heads", "headed", "signatures", "sets", "measured", "split", "rays", "homes", "tags",
                  "differences", "shingles", "frequent", "left", "more")
 
     out = nodes.select("doc_id", "n_shingles", "rep").join(found, F.col("rep") == F.col("node"), "left")
