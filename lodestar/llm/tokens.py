@@ -21,8 +21,8 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _ODD = re.compile(r"[\x1c-\x1f]")
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
 _ENDING = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]+)")
-#: Words of one generation; a worker remembers two, about 300 MB.
-REMEMBERED = 700_000
+#: Words of one generation; a worker remembers two, about 150 MB.
+REMEMBERED = 350_000
 #: New words that go through the tokenizer at a time.
 _BATCH = 500
 
