@@ -60,3 +60,26 @@ def test_frame(spark):
     got = sorted(((r.page_id is None, r.page_id or 0, r.text, r.n_lines, r.n_chars) for r in html.extract_text(pages).collect()), key=str)
     assert got == sorted([(False, 1, "a", 1, 1), (False, 1, "a", 1, 1), (True, 0, "b", 1, 1), (False, 2, None, None, None), (False, 3, "", 0, 0)], key=str)
     assert html.extract_text(pages.limit(0)).count() == 0
+
+
+def test_text_of_formulas_and_drawings_is_kept():
+    assert html.render("x <math><mi>a</mi><mo>+</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> y") == "x a+ 1 2 y"
+    assert html.render("<math><semantics><mi>a</mi><annotation encoding='x'>b</annotation></semantics></math>c") == "ac"
+    assert html.render("<svg><title>t</title><desc>d</desc><metadata>m</metadata><path d='a'/><text x=1>one <tspan>two</tspan></text>"
+                       "<text>three<![CDATA[ <4>]]></text> loose</svg>end") == "one two\nthree <4>\nend"
+    assert html.render("<svg><defs/><style/><text display=none>no</text><foreignObject><p>a<p>b</foreignObject></svg>") == "a\n\nb"
+    assert html.render("<svg><desc>no<p hidden>x</desc><g><p>out") == "out"
+
+
+def test_spanned_rows_keep_their_columns():
+    assert html.render("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e<tr><td>f<td>g<td>h</table>") == "a  b  c\n   d  e\nf  g  h"
+    assert html.render("<table><tr><td>a<td rowspan=0 colspan=2>b<td>c<tr><td>d<td>e<tbody><tr><td>f<td>g<td>h</table>") == \
+        "a  b     c\nd        e\nf  g  h"
+    assert html.render("<table><tr><td rowspan=3>a<td>b<tr><td></td></tr><tr><td>c</table>") == "a  b\n   c"
+
+
+def test_depth_keeps_cells_apart_and_hidden_text_out():
+    deep = "<div>" * 1000
+    assert html.render(deep + "<p hidden>no</p><table><tr><td>a</td><td>b</td></table><b style='display:none'>no</b>c") == "a  b\n\nc"
+    nested = "<table><tr><td>a</td><td>" * 1000 + "x</td><td>y"
+    assert html.render(nested).split() == ["a"] * 1000 + ["x", "y"]
