@@ -5,8 +5,10 @@
    beginnings of several words, that a likelihood-ratio test ties to toxic
    texts become terms and stems.
 2. Matching.  Every word of every text runs through the automaton of
-   ``lexicon.Matcher``: terms also match with one edit, unless the word is
-   known from clean texts.
+   ``lexicon.Matcher``: terms also match with one edit from 4 letters on and
+   with two from 8 on (two neighbours swapped are one edit), unless the word is
+   known from clean texts.  Words with other characters inside (``st.upid``,
+   ``id*ot``) match in the same way, as written and with those left out.
 3. Context.  A match in quotation marks, or near a reporting word, counts as
    quoted.  Unquoted matches near one another weigh as abuse.
 4. A logistic model over these counts, fitted on the training rows, gives the
@@ -50,6 +52,11 @@ STEM_LETTERS = (4, 12)
 NEAR = 6
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
+# Letters and digits with other characters inside, and the pieces of these.
+_MASKED = re.compile(r"(?<![^\W_])[^\W_]++(?:(?:[^\w\s]|_)++[^\W_]++)++")
+_PIECE = re.compile(r"[^\W_]+")
+#: Characters of the longest masked form: of the longest term, with two more.
+LONGEST = 42
 _KNOWN = 300_000
 # Quotation marks and reporting words.
 _QUOTES = frozenset("\"“”„«»")
@@ -57,6 +64,8 @@ _REPORTS = frozenset("said says called word words quote quoted term wrote dit di
 FEATURES = ("strong", "weight", "quoted", "share", "cluster")
 #: Weight (log ratio) from which a term is strong.
 STRONG = 5.0
+#: Most edits of a match.
+EDITS = 2
 #: What a match with an edit counts of its term's weight.
 MISSPELT = 0.7
 
@@ -72,11 +81,42 @@ def _quoted(text: str, first: int, last: int) -> bool:
     return bool(_QUOTES.intersection(left)) and bool(_QUOTES.intersection(right))
 
 
+def _runs(token: str, free=lambda piece: True):
+    """(first, last, forms) of neighbouring ``free`` pieces of a masked token: as written and without what stands between.
+
+    By first piece, the shorter ones first; none of more than ``LONGEST`` letters.
+    """
+    pieces = [(m.start(), m.end(), m[0]) for m in _PIECE.finditer(token)]
+    usable = [free(p) for *_, p in pieces]
+    for i, (first, _, joined) in enumerate(pieces):
+        for j in range(i + 1, len(pieces)):
+            joined += pieces[j][2]
+            if not usable[i] or not usable[j] or len(joined) > LONGEST:
+                break
+            last = pieces[j][1]
+            yield first, last, (token[first:min(last, first + 2 * LONGEST)], joined)
+
+
 class Scorer:
     """Matches and context counts of whole texts."""
 
     def __init__(self, matcher: Matcher):
-        self.matcher, self.known = matcher, {}
+        self.matcher, self.known, self.known_masked = matcher, {}, {}
+
+    def masked(self, token: str) -> list[tuple[int, int, float, int]]:
+        """(first, last character, weight, edits) of the matches of a masked token that no piece of it gives by itself."""
+        best: dict[int, tuple] = {}
+        for first, last, (written, joined) in _runs(token, lambda piece: self.matcher.match(piece) is None):
+            if written in self.matcher.clean:
+                continue
+            for found in (self.matcher.match(written), self.matcher.match(joined)):
+                if found is not None and (first not in best or max(1, found[1]) < best[first][3]):
+                    best[first] = first, last, found[0], max(1, found[1])
+        out: list[tuple] = []
+        for _, own in sorted(best.items()):
+            if not out or out[-1][1] <= own[0]:
+                out.append(own)
+        return out
 
     def matches(self, text: str) -> list[tuple[int, int, float, int, bool]]:
         """(character of the lower-cased text, word number, weight, edits, quoted) of each match."""
@@ -90,13 +130,27 @@ class Scorer:
                 known[word] = self.matcher.match(word)
             if known[word] is not None:
                 hits.append((i, *known[word]))
-        if hits:
-            wanted = {i: (w, e) for i, w, e in hits}
-            for i, m in enumerate(_WORD.finditer(lower)):
-                if i in wanted:
-                    near = words[max(0, i - NEAR):i]
-                    quoted = _quoted(lower, m.start(), m.end()) or not _REPORTS.isdisjoint(near)
-                    found.append((m.start(), i, *wanted[i], quoted))
+        covered = []
+        if len(self.known_masked) > _KNOWN:
+            self.known_masked.clear()
+        for m in _MASKED.finditer(lower):
+            if m[0] not in self.known_masked:
+                self.known_masked[m[0]] = self.masked(m[0])
+            covered += [(m.start() + first, m.start() + last, w, e) for first, last, w, e in self.known_masked[m[0]]]
+        if hits or covered:
+            spans = [m.span() for m in _WORD.finditer(lower)]
+            taken = [spans[i] for i, *_ in hits]
+            at = [first for first, _ in spans]
+            places = [first for first, _ in taken]
+            spots = [(*spans[i], i, w, e) for i, w, e in hits]
+            for first, last, w, e in covered:
+                before = bisect.bisect_left(places, last) - 1
+                if before < 0 or taken[before][1] <= first:
+                    spots.append((first, last, bisect.bisect_right(at, first) - 1, w, e))
+            for first, last, i, w, e in sorted(spots):
+                near = words[max(0, i - NEAR):i]
+                quoted = _quoted(lower, first, last) or not _REPORTS.isdisjoint(near)
+                found.append((first, i, w, e, quoted))
         return found
 
     def features(self, text: str) -> tuple[list[float], int, int]:
@@ -113,20 +167,26 @@ class Scorer:
 
 
 def _vocabulary(batches):
-    """(sketch1, sketch2, toxic, words) of labelled rows (toxic, text): two minima of five-word shingles, and the distinct words."""
+    """(sketch1, sketch2, toxic, words, masked) of labelled rows (toxic, text).
+
+    Two minima of five-word shingles, the distinct words, and the forms of the masked ones.
+    """
     salt, place = odd_constants(61, 2), odd_constants(62, 5)
     for batch in batches:
-        one, two, out = [], [], []
+        one, two, out, masked = [], [], [], []
         for text in batch.column(1).to_pylist():
-            words = _WORD.findall((text or "").lower())
+            lower = (text or "").lower()
+            words = _WORD.findall(lower)
             h = np.array([hash_of(w) for w in words] or [0], np.uint64)
             n = max(1, len(h) - 4)
             h = mix(sum(h[j:j + n] * c for j, c in enumerate(place) if j < len(h)))
             one.append(int(mix(h * salt[0]).min().view(np.int64)))
             two.append(int(mix(h * salt[1]).min().view(np.int64)))
             out.append(sorted(set(words)))
+            masked.append(sorted({form for token in set(_MASKED.findall(lower)) for *_, forms in _runs(token) for form in forms}))
         yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64()), batch.column(0),
-                                          pa.array(out, pa.list_(pa.string()))], names=["one", "two", "toxic", "words"])
+                                          pa.array(out, pa.list_(pa.string())), pa.array(masked, pa.list_(pa.string()))],
+                                         names=["one", "two", "toxic", "words", "masked"])
 
 
 def hash_of(word: str) -> int:
@@ -159,7 +219,7 @@ def _weight(evidence: float, lift: float) -> float:
 
 def learn_lexicon(texts: DataFrame, scratch: Scratch) -> Matcher:
     """The matcher of training rows (toxic, text)."""
-    rows = texts.mapInArrow(_vocabulary, "one long, two long, toxic int, words array<string>")
+    rows = texts.mapInArrow(_vocabulary, "one long, two long, toxic int, words array<string>, masked array<string>")
     rows = scratch.put(rows.dropDuplicates(["toxic", "one"]).dropDuplicates(["toxic", "two"]), "vocabulary")
     sums = rows.agg(F.count_if(F.expr("toxic = 1")), F.count_if(F.expr("toxic = 0"))).first()
     words = rows.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
@@ -183,20 +243,21 @@ def learn_lexicon(texts: DataFrame, scratch: Scratch) -> Matcher:
             del found[up]
         found[stem] = (_weight(evidence, lift), int(toxic))
     terms = {w: v for w, v in terms.items() if not any(w.startswith(s) for s in found)}
-    probe = Matcher(terms, {})
-    known = sorted(_known_neighbours(words, probe))
-    return Matcher(terms, {s: v[0] for s, v in found.items()}, known)
+    probe = Matcher(terms, {}, edits=EDITS, swaps=True)
+    clean = words.where("clean > 0").select("word").union(rows.where("toxic = 0").select(F.explode("masked")).distinct())
+    known = sorted(_known_neighbours(clean, probe))
+    return Matcher(terms, {s: v[0] for s, v in found.items()}, known, edits=EDITS, swaps=True)
 
 
 def _known_neighbours(words: DataFrame, probe: Matcher) -> set[str]:
-    """Words of clean texts within an edit of a term: few, as each term has few neighbours."""
+    """Words of clean texts within the edits of a term: few, as each term has few neighbours."""
 
     def near(batches):
         for batch in batches:
             keep = [bool((m := probe.match(w)) and m[1]) for w in batch.column(0).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return {r[0] for r in words.where("clean > 0").select("word").mapInArrow(near, "word string").collect()}
+    return {r[0] for r in words.mapInArrow(near, "word string").collect()}
 
 
 def _counted(matcher: Matcher, kept: int):

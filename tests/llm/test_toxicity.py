@@ -84,3 +84,42 @@ def test_without_labels_or_rows(spark):
     model = toxicity.train(frame(spark, awkward()), none)
     assert {(r.score, r.predicted) for r in toxicity.score(frame(spark, awkward()), model).collect()} == {(0.0, 0)}
     assert toxicity.score(frame(spark, []), model).count() == 0
+
+
+def swap_distance(a, b):
+    """Edits with swapped neighbours as one."""
+    rows = [list(range(len(b) + 1))]
+    for i, x in enumerate(a):
+        rows.append([i + 1])
+        for j, y in enumerate(b):
+            least = min(rows[i][j + 1] + 1, rows[i + 1][j] + 1, rows[i][j] + (x != y))
+            if i and j and x == b[j - 1] and y == a[i - 1]:
+                least = min(least, rows[i - 1][j - 1] + 1)
+            rows[i + 1].append(least)
+    return rows[-1][-1]
+
+
+def test_two_edits_and_swaps_by_length():
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abc") for _ in range(n))
+    terms = {word(rng.randint(3, 10)): i for i in range(12)}
+    m = Matcher(terms, {}, edits=2, swaps=True)
+    for _ in range(4000):
+        w = list(rng.choice(sorted(terms)))
+        for _ in range(rng.randint(0, 3)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at + rng.randint(0, 2)] = rng.choice([[rng.choice("abc")], w[at:at + 2][::-1]])
+        w = "".join(w)
+        near = [(swap_distance(w, t), t) for t in terms]
+        best = min(((d, t) for d, t in near if d <= (len(t) >= 4) + (len(t) >= 8)), default=None)
+        assert m.match(w) == (best and (terms[best[1]], best[0])), w
+
+
+def test_masked_swapped_and_short_forms_match():
+    m = Matcher({"idiot": 3.0, "stupid": 2.0, "scum": 1.0, "disgusting": 4.0}, {"moro": 5.0}, {"sum", "co.st"}, edits=2, swaps=True)
+    scorer = toxicity.Scorer(m)
+    for text, want in {"an idoit": [(3, 1, 3.0, 1)], "stpuid": [(0, 0, 2.0, 1)], "scun": [(0, 0, 1.0, 1)], "disgustngg": [(0, 0, 4.0, 2)],
+                       "the id*ot,st.upid": [(4, 1, 3.0, 1), (10, 3, 2.0, 1)], "m0-ron mor.on": [(7, 2, 5.0, 1)], "i_d_i_o_t!": [(0, 0, 3.0, 1)],
+                       "s*um sum co.st": [(0, 0, 1.0, 1)], "idiot-id.iot": [(0, 0, 3.0, 0), (6, 1, 3.0, 1)], "by-nc 4.0 a...": []}.items():
+        assert [x[:4] for x in scorer.matches(text)] == want, text
+    assert scorer.matches("a." * 50_000 + "x" * 50_000) == []
