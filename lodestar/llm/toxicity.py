@@ -9,8 +9,8 @@
    with two from 8 on (two neighbours swapped are one edit), unless the word is
    known from clean texts.  Words with other characters inside (``st.upid``,
    ``id*ot``) match in the same way, as written and with those left out.
-3. Context.  A match in quotation marks, or near a reporting word, counts as
-   quoted.  Unquoted matches near one another weigh as abuse.
+3. Context.  A match between two paired quotation marks of its line, or
+   directly after a reporting word, counts as quoted.  Unquoted matches near one another weigh as abuse.
 4. A logistic model over these counts, fitted on the training rows, gives the
    score.
 
@@ -29,6 +29,7 @@ are each scored; an empty table gives no rows.
 from __future__ import annotations
 
 import bisect
+import itertools
 import math
 import re
 
@@ -59,7 +60,9 @@ _PIECE = re.compile(r"[^\W_]+")
 LONGEST = 42
 _KNOWN = 300_000
 # Quotation marks and reporting words.
-_QUOTES = frozenset("\"“”„«»")
+_MARK = re.compile("[\"“”„«»\n]")
+_CLOSED_BY = {"\"": "\"", "“": "”", "”": "”", "„": "“”", "«": "»", "»": "«"}
+_KIND = {"\"": 0, "“": 1, "”": 1, "„": 1, "«": 2, "»": 2}
 _REPORTS = frozenset("said says called word words quote quoted term wrote dit disait mot sagte sagt wort dijo dice palabra".split())
 FEATURES = ("strong", "weight", "quoted", "share", "cluster")
 #: Weight (log ratio) from which a term is strong.
@@ -74,11 +77,26 @@ def held_out(key: str) -> F.Column:
     return F.coalesce(F.crc32(F.col(key).cast("string")) % 3 == 1, F.lit(False))
 
 
-def _quoted(text: str, first: int, last: int) -> bool:
-    """Whether the span lies between two quotation marks of its line, near it."""
-    left, right = text[max(0, first - 60):first], text[last:last + 60]
-    left, right = left.rpartition("\n")[2], right.partition("\n")[0]
-    return bool(_QUOTES.intersection(left)) and bool(_QUOTES.intersection(right))
+def _quotations(text: str) -> tuple[list[int], list[int]]:
+    """First characters of the quotations, ascending, and the furthest end of those up to each.
+
+    Marks of a kind pair off from left to right within a line; one that follows
+    a letter or digit opens nothing, one that no other closes is none.
+    """
+    spans: list[tuple[int, int]] = []
+    opened: dict[int, tuple[int, str]] = {}
+    for m in _MARK.finditer(text):
+        mark, at = m[0], m.start()
+        if mark == "\n":
+            opened.clear()
+            continue
+        kind = _KIND[mark]
+        if kind in opened and mark in opened[kind][1]:
+            spans.append((opened.pop(kind)[0], at))
+        elif kind not in opened and not (at and text[at - 1].isalnum()):
+            opened[kind] = at, _CLOSED_BY[mark]
+    spans.sort()
+    return [first for first, _ in spans], list(itertools.accumulate((last for _, last in spans), max))
 
 
 def _runs(token: str, free=lambda piece: True):
@@ -139,6 +157,7 @@ class Scorer:
             covered += [(m.start() + first, m.start() + last, w, e) for first, last, w, e in self.known_masked[m[0]]]
         if hits or covered:
             spans = [m.span() for m in _WORD.finditer(lower)]
+            opening, furthest = _quotations(lower)
             taken = [spans[i] for i, *_ in hits]
             at = [first for first, _ in spans]
             places = [first for first, _ in taken]
@@ -148,8 +167,8 @@ class Scorer:
                 if before < 0 or taken[before][1] <= first:
                     spots.append((first, last, bisect.bisect_right(at, first) - 1, w, e))
             for first, last, i, w, e in sorted(spots):
-                near = words[max(0, i - NEAR):i]
-                quoted = _quoted(lower, first, last) or not _REPORTS.isdisjoint(near)
+                before = bisect.bisect_left(opening, first) - 1
+                quoted = before >= 0 and furthest[before] >= last or i > 0 and words[i - 1] in _REPORTS
                 found.append((first, i, w, e, quoted))
         return found
 

@@ -123,3 +123,11 @@ def test_masked_swapped_and_short_forms_match():
                        "s*um sum co.st": [(0, 0, 1.0, 1)], "idiot-id.iot": [(0, 0, 3.0, 0), (6, 1, 3.0, 1)], "by-nc 4.0 a...": []}.items():
         assert [x[:4] for x in scorer.matches(text)] == want, text
     assert scorer.matches("a." * 50_000 + "x" * 50_000) == []
+
+
+def test_quotation_marks_pair_within_a_line():
+    scorer = toxicity.Scorer(Matcher({"idiot": 3.0}, {}))
+    for text, want in {"he said \"hi\" you idiot \"bye\"": False, "\"you idiot\"": True, "\"" + "x " * 90 + "idiot" + " x" * 90 + "\"": True,
+                       "he said that you are an idiot": False, "the word idiot": True, "a 5\" pipe, \"idiot\" here": True, "\"a\nidiot\"": False,
+                       "„idiot“ da": True, "«a» idiot «b»": False, "“a «idiot» b”": True, "“a «b» idiot” b": True, "\"a idiot": False}.items():
+        assert [x[4] for x in scorer.matches(text)] == [want], text
