@@ -46,3 +46,53 @@ kept AS (SELECT doc_id, count(*) AS n_words, count(gone.p) AS n_removed,
          FROM wd LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
 FROM documents LEFT JOIN kept USING (doc_id)"""
+
+
+def _quotient(total: str, n: str) -> str:
+    """floor(total / n) of integers, n > 0."""
+    return f"CAST(({total} - ((({total}) % {n}) + {n}) % {n}) // {n} AS BIGINT)"
+
+
+def _round(k: int) -> str:
+    return f"""near{k} AS MATERIALIZED (
+  SELECT q.vec_id, q.p, any_value(q.x) AS x, min(list_sum(list_transform(list_zip(q.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) * 64 + b.e) AS best
+  FROM part q JOIN book{k} b USING (p) GROUP BY q.vec_id, q.p)"""
+
+
+def _means(k: int) -> str:
+    return f"""mean{k} AS (
+  SELECT p, e, list({_quotient("s", "n")} ORDER BY i) AS x
+  FROM (SELECT p, best % 64 AS e, i, sum(x[i]) AS s, count(*) AS n FROM near{k}, unnest(range(1, len(x) + 1)) t(i) GROUP BY ALL) GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM book{k} b LEFT JOIN mean{k} m USING (p, e))"""
+
+
+#: Product codes of unique vec_ids: 16 parts, 64 entries, two rounds, components times 256.
+CODES = f"""
+WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+              WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (SELECT vec_id, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x FROM kept, range(0, 16) t(p)),
+start AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+book0 AS MATERIALIZED (SELECT p, e, x FROM part JOIN start USING (vec_id)),
+{_round(0)},
+{_means(0)},
+{_round(1)},
+{_means(1)},
+{_round(2)},
+coded AS (SELECT vec_id, string_agg(printf('%02x', CAST(best % 64 AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(best // 64) AS BIGINT) AS error FROM near2 GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY p, e, i)) AS h FROM (SELECT p, e, i, x[i] AS c FROM book2, unnest(range(1, len(x) + 1)) t(i)))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books"""
+
+
+SUFFIXES = """
+WITH h AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents),
+win AS (SELECT doc_id, i, substr(x, 2 * i + 1, 100) AS s FROM h, unnest(range(0, n - 49)) t(i)),
+least AS (SELECT s, min(doc_id) AS m FROM win GROUP BY s),
+later AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50, true) AS head FROM win JOIN least USING (s) WHERE m < doc_id),
+span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b
+         FROM (SELECT doc_id, i, sum(CAST(head AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM later) GROUP BY doc_id, g),
+edge AS (SELECT doc_id, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM span),
+body AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(b - a) AS BIGINT) AS n_removed, max(b) AS stop,
+                string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM edge JOIN h USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept || substr(x, 2 * stop + 1), x))) AS kept_sha256 FROM h LEFT JOIN body USING (doc_id)"""

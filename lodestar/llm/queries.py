@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lodestar.session import ensure_checkpoint_dir
 
-from . import chat, decontamination, html, neardup, oracles, packing, quality, sharding, substring, toxicity, training_order
+from . import (chat, codes, decontamination, html, neardup, oracles, packing, quality, sharding, substring, suffixes, toxicity,
+               training_order, whitening)
 
 SHARD_BYTES = 32 << 20
 
@@ -67,13 +68,27 @@ def op10_training_order(spark, sf_dir):
     return training_order.materialise(_table(spark, sf_dir, "documents"), path, _tokenizer(), "epoch-0")
 
 
+def op11_codes(spark, sf_dir):
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_suffixes(spark, sf_dir):
+    return suffixes.suffix_digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_quality, op3_decontamination, op4_minhash, op5_substring, op6_chat, op7_toxicity, op8_packing,
-    op9_html, op10_training_order)}
+    op9_html, op10_training_order, op11_codes, op12_suffixes, op13_whitening)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": oracles.sharding(SHARD_BYTES),
     "op4_minhash": oracles.NEARDUP,
     "op5_substring": oracles.SUBSTRING,
     "op6_chat": chat.ORACLE,
+    "op11_codes": oracles.CODES,
+    "op12_suffixes": oracles.SUFFIXES,
 }
