@@ -77,3 +77,25 @@ def test_numbering_hot_group_spans_ranges(spark):
 def test_numbering_property(spark, pairs, parts):
     a, b = _numbers(spark, [(g, o, "x") for g, o in pairs], parts)
     assert a == b
+
+
+def test_cost_of_a_row_does_not_grow_with_the_ranges(spark, tmp_path):
+    """1,000 ranges take at most twice the time of 8 (and a second for their tasks)."""
+    import time
+
+    from lodestar.operators.ranking import number_within_groups
+
+    path = f"{tmp_path}/rows"
+    spark.range(1_000_000).select((F.xxhash64("id") % 250_000).alias("v"), F.col("id").alias("k")).write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def seconds(ranges, make):
+        start = time.perf_counter()
+        make(ranges).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
+
+    for make in (lambda n: rank_globally(df, "v", "k", num_partitions=n),
+                 lambda n: number_within_groups(df, ["v"], ["k"], num_partitions=n)):
+        seconds(8, make)
+        few = min(seconds(8, make), seconds(8, make))
+        assert min(seconds(1000, make), seconds(1000, make)) <= 2 * few + 1
