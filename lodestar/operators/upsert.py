@@ -10,6 +10,7 @@ updates keeps its value in matched rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -54,10 +55,11 @@ def upsert(updates: DataFrame, name: str, keys: Sequence[str], path: str | None
     The first run is a plain load.  The updates are evaluated once.
     """
     spark = updates.sparkSession
-    updates = store.stage(updates, "updates")
-    assert_unique_keys(updates, keys)
-    merged = merge_rows(spark.table(name), updates, keys) if store.exists(spark, name) else updates
-    store.save_version(merged, name, path, **layout)
+    with store.Staging(spark, "upsert") as staging:
+        updates = staging.put(updates, "updates")
+        assert_unique_keys(updates, keys)
+        merged = merge_rows(spark.table(name), updates, keys) if store.exists(spark, name) else updates
+        store.save_version(merged, name, path, **layout)
     return spark.table(name)
 
 
@@ -78,34 +80,32 @@ def _in(column: str, values: Sequence):
     return inside | F.col(column).isNull() if len(known) < len(values) else inside
 
 
+def as_text(values: Sequence) -> set[str | None]:
+    """Partition values as the catalog writes them."""
+    return {None if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in values}
+
+
 def upsert_partitioned(updates: DataFrame, table: str, keys: Sequence[str], partition_col: str,
                        path: str | None = None) -> DataFrame:
     """Keyed upsert into a catalog table partitioned by ``partition_col``.
 
-    Only the touched partitions are rewritten (Spark's dynamic partition
-    overwrite); partitions that a correction left without rows are dropped.
+    Only the touched partitions are written, into a next table that takes over
+    the others' files; one switch makes it the table.  Until then, and if the
+    run ends before, the old rows stand; a moved row is never in two partitions
+    and a partition that a correction left without rows is gone.
     """
     spark, keys = updates.sparkSession, list(keys)
-    updates = store.stage(updates, "updates")
-    assert_unique_keys(updates, keys)
-    if not store.exists(spark, table):
-        store.write_table(updates, table, path, partition_by=[partition_col])
-        return spark.table(table)
-    target = spark.table(table)
-    touched = touched_partitions(target, updates, keys, partition_col)
-    merged = store.stage(merge_rows(target.where(_in(partition_col, touched)), updates, keys), "merged")
-    new = [f for f in updates.schema if f.name not in target.columns]
-    if new:
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in new)})")
-    filled = {r[0] for r in merged.select(partition_col).distinct().collect()}  # touched partitions at most
-    key, old = "spark.sql.sources.partitionOverwriteMode", spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set(key, "dynamic")
-    try:
-        merged.select(*spark.table(table).columns).hint("rebalance", F.col(partition_col)).write.mode("overwrite").insertInto(table)
-    finally:
-        spark.conf.set(key, old)
-    for value in touched:
-        if value not in filled:
-            text = "null" if value is None else "'" + str(value).replace("'", "\\'") + "'"
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{partition_col}` = {text})")
+    store.restore(spark, table)
+    with store.Staging(spark, "upsert") as staging:
+        updates = staging.put(updates, "updates")
+        assert_unique_keys(updates, keys)
+        if not store.exists(spark, table):
+            store.write_table(updates, table, path or store.warehouse(spark), partition_by=[partition_col])
+            return spark.table(table)
+        target = spark.table(table)
+        touched = touched_partitions(target, updates, keys, partition_col)
+        changed = merge_rows(target.where(_in(partition_col, touched)), updates, keys)
+        following = f"{table}__{uuid.uuid4().hex[:12]}"
+        store.write_next(changed, following, table, partition_col, as_text(touched), path)
+        store.swap(spark, table, following, partition_col, as_text(touched))
     return spark.table(table)

@@ -424,6 +424,9 @@ FROM bronze_orders""", dirty=True),
        true AS skips_customer_sk, true AS skips_product_sk FROM fact_sales"""),
     "pipeline_fact": with_star(FACT_OUT.replace("CAST(sales_amount AS DOUBLE)",
         "CAST(CASE WHEN CAST(order_id AS BIGINT) % 3 = 0 THEN sales_amount * 2 ELSE sales_amount END AS DOUBLE)") + " FROM fact_sales", renumber=True),
+    "pipeline_incremental": with_star("""SELECT order_date_sk // 100 AS order_month, COUNT(*) AS row_count,
+       CAST(SUM(CASE WHEN order_date_sk // 100 = 199703 THEN sales_amount * 2 ELSE sales_amount END) AS DOUBLE) AS sales,
+       order_date_sk // 100 = 199703 AS written FROM fact_sales GROUP BY order_date_sk // 100""", renumber=True),
     "csv_roundtrip": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
        CAST(freight_value AS DOUBLE) AS freight_value FROM bronze_items"""),
     "schema_evolution": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,

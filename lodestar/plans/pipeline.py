@@ -4,6 +4,11 @@ bronze -> silver (4 tables) -> dimensions and fact, all saved under a new
 release number -> checks on these tables -> one switch makes the release
 current, or an error leaves the one before in place.  The ledger is added to
 an audit table either way.
+
+The fact is partitioned by the month of the order.  A run writes the months
+that its lines touch (months that a corrected line leaves included); the new
+release takes over the files of all others.  Staged copies go when the run
+ends, releases before the newest ``keep`` after a publish.
 """
 
 from __future__ import annotations
@@ -11,12 +16,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lodestar.operators import cleaning, dims
 from lodestar.operators import fact as fact_ops
 from lodestar.operators.layout import cluster_by
 from lodestar.operators.quality import QualityGateError, standard_suite
-from lodestar.operators.upsert import assert_unique_keys, merge_rows
+from lodestar.operators.upsert import _in, as_text, assert_unique_keys, merge_rows, touched_partitions
 from lodestar.sources import store
 from lodestar.sources.store import Releases
 
@@ -31,6 +37,8 @@ LAYOUT = {
     "dim_date": ["date_sk"],
     "fact_sales": ["order_date_sk", "customer_sk", "product_sk"],
 }
+#: The fact's partition column: year and month of the order date key.
+MONTH = "order_month"
 
 
 @dataclass
@@ -38,25 +46,42 @@ class RunResult:
     ledger: DataFrame
     release: int
     published: bool
+    months: list  # months of the fact that this run wrote
 
 
 def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], name: str, path: str | None = None,
                  customer_link: str = "deduped", calendar: tuple[str, str] | None = None,
                  as_of=None, cluster: bool = True, fact_keys=fact_ops.FACT_KEYS,
-                 enforce: bool = True) -> RunResult:
+                 enforce: bool = True, keep: int = 2) -> RunResult:
     """Run everything as the next release of ``name`` (tables under ``path``).
 
     ``published`` tells whether the release is current now: with failed
     critical checks it is not, whether or not ``enforce`` raises.
     """
-    releases = Releases(spark, name, path)
+    with store.Staging(spark, name) as staging:
+        return _run(spark, bronze, Releases(spark, name, path), staging, customer_link, calendar, as_of, cluster, fact_keys, enforce, keep)
+
+
+def _run(spark, bronze, releases, staging, customer_link, calendar, as_of, cluster, fact_keys, enforce, keep) -> RunResult:
+    name, path = releases.name, releases.path
     before, number = releases.current(), releases.begin()
 
     def save(table: str, df: DataFrame) -> DataFrame:
         if cluster:
-            df = cluster_by(store.stage(df, table), LAYOUT[table])
+            df = cluster_by(staging.put(df, table), LAYOUT[table])
         return releases.save(df, table, number)
 
+    def save_fact(updates: DataFrame) -> tuple[DataFrame, list]:
+        old = None if before is None else releases.read("fact_sales", before)
+        if old is None:
+            months, changed = [r[0] for r in updates.select(MONTH).distinct().collect()], updates  # a row a month
+        else:
+            months = touched_partitions(old, updates, fact_keys, MONTH)
+            changed = merge_rows(old.where(_in(MONTH, months)), updates, fact_keys)
+        if cluster:
+            changed = cluster_by(changed if old is None else staging.put(changed, "fact_sales"), LAYOUT["fact_sales"], within=MONTH)
+        return releases.save_partitioned(changed, "fact_sales", number, MONTH, before, as_text(months), clustered=cluster), months
+
     sc = save("silver_customers", cleaning.clean_customers(bronze["customers"], as_of))
     so = save("silver_orders", cleaning.clean_orders(bronze["orders"], as_of))
     sp = save("silver_products", cleaning.localize_products(bronze["products"], bronze["category_translation"], as_of))
@@ -66,11 +91,10 @@ def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], name: str, p
     dim_product = save("dim_product", dims.dim_product(sp))
     dim_date = save("dim_date", dims.dim_date(spark, *calendar) if calendar
                     else dims.dim_date_covering(so, "order_purchase_timestamp"))
-    updates = store.stage(fact_ops.build_fact(so, sc, si, customer_link, bronze_customers=bronze["customers"], as_of=as_of),
-                          "updates")
+    updates = fact_ops.build_fact(so, sc, si, customer_link, bronze_customers=bronze["customers"], as_of=as_of)
+    updates = staging.put(updates.withColumn(MONTH, F.floor(F.col("order_date_sk") / 100).cast("int")), "updates")
     assert_unique_keys(updates, fact_keys)
-    merged = updates if before is None else merge_rows(releases.read("fact_sales", before), updates, fact_keys)
-    fact = save("fact_sales", merged)
+    fact, months = save_fact(updates)
 
     suite = standard_suite(fact, dim_customer, dim_product, dim_date, as_of)
     rows = suite.ledger().collect()  # a row a check
@@ -82,4 +106,5 @@ def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], name: str, p
         raise QualityGateError(f"{len(failed)} critical check(s) failed; gold not published")
     if not failed:
         releases.publish(number)
-    return RunResult(ledger, number, not failed)
+        releases.retire(keep)
+    return RunResult(ledger, number, not failed, months)

@@ -20,7 +20,7 @@ from lodestar.operators import fact as fact_ops
 from lodestar.operators import upsert as upsert_ops
 from lodestar.operators.stamps import without_stamps
 from lodestar.plans import named, pipeline, sqlguard, views
-from lodestar.plans.star import publish_star, star_from_bronze, star_from_tables
+from lodestar.plans.star import publish_star, read_release, star_from_bronze, star_from_tables
 from lodestar.session import scratch_root
 from lodestar.sources import csv as csv_source
 from lodestar.sources import schemas, sinks, store, tables
@@ -511,10 +511,27 @@ def q_pipeline_fact(spark, sf):
     third = F.col("order_id").cast("long") % 3 == 0
     bronze["order_items"] = bronze["order_items"].where(third).withColumn("price", (F.col("price") * 2).cast(MONEY))
     pipeline.run_pipeline(spark, bronze, name, path)
-    out = store.Releases(spark, name).read("fact_sales")
+    out = read_release(spark, name).fact
     return _money_as_double(without_stamps(out), ["sales_amount", "freight_value"])
 
 
+def q_pipeline_incremental(spark, sf):
+    """A second run with corrected lines of the orders of one month: what each month holds, and which months the run wrote.
+
+    A month was written when its files lie under the second release's table.
+    """
+    name, path = _pipeline_name(spark)
+    bronze = _renumbered_bronze(spark, sf)
+    pipeline.run_pipeline(spark, bronze, name, path)
+    orders = bronze["orders"].where(F.col("order_purchase_timestamp").startswith("1997-03")).select("order_id")
+    bronze["order_items"] = bronze["order_items"].join(orders, "order_id", "left_semi").withColumn("price", (F.col("price") * 2).cast(MONEY))
+    pipeline.run_pipeline(spark, bronze, name, path)
+    fact = store.Releases(spark, name).read("fact_sales")
+    written = F.contains(F.col("_metadata.file_path"), F.lit("fact_sales__r2/"))
+    return fact.withColumn("written", written).groupBy("order_month").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("sales_amount").cast("double").alias("sales"), F.max("written").alias("written"))
+
+
 def q_pipeline_bad_rows(spark, sf):
     """Bad rows in the second run: its ledger's failures, and the release that stays published."""
     name, path = _pipeline_name(spark)
@@ -586,6 +603,7 @@ QUERIES: dict[str, Query] = {
     "zorder_skipping": q_zorder_skipping,
     "pipeline_fact": q_pipeline_fact,
     "pipeline_bad_rows": q_pipeline_bad_rows,
+    "pipeline_incremental": q_pipeline_incremental,
     "csv_roundtrip": q_csv_roundtrip,
     "schema_evolution": q_schema_evolution,
     "zorder_layout": q_zorder_layout,

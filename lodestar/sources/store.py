@@ -3,15 +3,18 @@
 A table ``name`` is a view over its newest physical table ``name__v<n>``:
 each save writes a new physical table and then switches the view, so readers
 see the old rows or the new ones.  A release is a set of tables saved under
-one number and made current together by one switch.  Catalog, files, commit
-protocol and partitions are Spark's.
+one number and made current together by one switch.  A partitioned table can
+take over partitions of the one before: its catalog entry points at their files,
+which are neither read nor written.  Catalog, files, commit protocol and
+partitions are Spark's.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +31,30 @@ def stage(df: DataFrame, label: str = "staged") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Staging:
+    """Staged copies of one run, removed together when it ends."""
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark, self.root = spark, f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.root}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.root)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a store that Spark reaches."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def numbers(spark: SparkSession, prefix: str) -> list[int]:
     """The numbers n of the catalog tables named ``<prefix><n>``."""
     found = spark.sql(f"SHOW TABLES LIKE '{prefix}*'").select("tableName").collect()
@@ -39,14 +66,14 @@ def exists(spark: SparkSession, name: str) -> bool:
 
 
 def write_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = (),
-                bucket_by: Sequence[str] = (), buckets: int = 0, sort_by: Sequence[str] = ()) -> None:
+                bucket_by: Sequence[str] = (), buckets: int = 0, sort_by: Sequence[str] = (), clustered: bool = False) -> None:
     """Save ``df`` as a new catalog table.
 
     Rows are dealt by the partition or bucket columns first, so the number of
     files follows the data and not the number of writing tasks; AQE splits a
-    large partition over several of them.
+    large partition over several of them.  ``clustered`` rows are dealt already.
     """
-    if partition_by:
+    if partition_by and not clustered:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     elif bucket_by:
         df = df.repartition(buckets, *[F.col(c) for c in bucket_by])
@@ -60,6 +87,75 @@ def write_table(df: DataFrame, name: str, path: str | None = None, partition_by:
     writer.saveAsTable(name)
 
 
+def _described(spark: SparkSession, what: str) -> str:
+    """The first location that ``DESCRIBE TABLE EXTENDED`` names: a partition's own stands before the table's."""
+    return next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {what}").collect() if r[0] == "Location")
+
+
+def location(spark: SparkSession, table: str) -> str:
+    return _described(spark, table)
+
+
+def _spec(column: str, value: str | None) -> str:
+    text = "null" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"(`{column}` = {text})"
+
+
+def partition_values(spark: SparkSession, table: str) -> list[str | None]:
+    """The values, as text, of a table's one partition column."""
+    texts = [unquote(r[0].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return [None if t == "__HIVE_DEFAULT_PARTITION__" else t for t in texts]
+
+
+def partition_locations(spark: SparkSession, table: str, column: str,
+                        without: Collection[str | None] = ()) -> dict[str | None, str]:
+    """Partition value -> place of its files; one catalog look-up a partition, no file is opened."""
+    return {v: _described(spark, f"{table} PARTITION {_spec(column, v)}") for v in partition_values(spark, table) if v not in without}
+
+
+def write_next(changed: DataFrame, name: str, base: str, column: str, replaced: Collection[str | None],
+               path: str | None = None, clustered: bool = False) -> int:
+    """Save the table ``name``: the rows of ``changed``, and all partitions of ``base`` whose value is not ``replaced``.
+
+    Only ``changed`` is written.  The other partitions point at the files of
+    ``base``.  A replaced partition without rows in ``changed`` is gone.
+    Returns the number of partitions taken over.
+    """
+    spark = changed.sparkSession
+    kept = partition_locations(spark, base, column, replaced)
+    write_table(changed, name, path or location(spark, base).rpartition("/")[0], partition_by=[column], clustered=clustered)
+    values = list(kept)
+    for i in range(0, len(values), 500):  # partitions of one statement
+        added = " ".join(f"PARTITION {_spec(column, v)} LOCATION '{kept[v]}'" for v in values[i:i + 500])
+        spark.sql(f"ALTER TABLE {name} ADD {added}")
+    return len(values)
+
+
+def swap(spark: SparkSession, name: str, following: str, column: str, replaced: Collection[str | None]) -> None:
+    """Make ``following`` the table ``name``; the replaced partitions' files of the one before go.
+
+    The catalog renames two whole tables: whoever reads ``name`` meets all old
+    rows or all new ones, and after a crash between the two ``restore`` finds
+    the old table.
+    """
+    old = f"{name}__before"
+    gone = {v: _described(spark, f"{name} PARTITION {_spec(column, v)}") for v in partition_values(spark, name) if v in replaced}
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+    spark.sql(f"DROP TABLE {old}")
+    for place in gone.values():
+        remove(spark, place)
+
+
+def restore(spark: SparkSession, name: str) -> None:
+    """Undo a ``swap`` that a crash cut in two."""
+    if exists(spark, f"{name}__before"):
+        if exists(spark, name):
+            spark.sql(f"DROP TABLE {name}__before")
+        else:
+            spark.sql(f"ALTER TABLE {name}__before RENAME TO {name}")
+
+
 def save_version(df: DataFrame, name: str, path: str | None = None, **layout) -> str:
     """Save ``df`` as the next version of ``name`` and switch the view to it."""
     spark = df.sparkSession
@@ -92,6 +188,16 @@ class Releases:
         write_table(df, self._table(table, number), self.path)
         return self.read(table, number)
 
+    def save_partitioned(self, df: DataFrame, table: str, number: int, column: str, before: int | None = None,
+                         replaced: Collection[str | None] = (), clustered: bool = False) -> DataFrame:
+        """Save ``df`` partitioned by ``column``; with ``before``, take over that release's other partitions."""
+        name = self._table(table, number)
+        if before is None:
+            write_table(df, name, self.path or warehouse(self.spark), partition_by=[column], clustered=clustered)
+        else:
+            write_next(df, name, self._table(table, before), column, replaced, clustered=clustered)
+        return self.read(table, number)
+
     def read(self, table: str, number: int | None = None) -> DataFrame:
         number = self.current() if number is None else number
         if number is None:
@@ -100,3 +206,40 @@ class Releases:
 
     def publish(self, number: int) -> None:
         self.spark.sql(f"CREATE OR REPLACE VIEW {self.name}__release AS SELECT {int(number)} AS release")
+
+    def retire(self, keep: int = 2) -> list[str]:
+        """Drop the tables of releases before the newest ``keep`` published or older ones, and files that none of the others uses.
+
+        Releases after the current one are left: a run may be writing them.
+        """
+        current = self.current()
+        if current is None:
+            return []
+        listed = self.spark.sql(f"SHOW TABLES LIKE '{self.name}__*__r*'").select("tableName").collect()
+        found = [(r[0], int(r[0].rpartition("__r")[2])) for r in listed if r[0].rpartition("__r")[2].isdigit()]
+        kept_numbers = sorted({n for _, n in found if n <= current}, reverse=True)[:max(1, keep)]
+        old = [t for t, n in found if n <= current and n not in kept_numbers]
+        used = {p for t, n in found if t not in old for p in _places(self.spark, t)}
+        places = {t: (location(self.spark, t), _places(self.spark, t)) for t in old}
+        for table in old:
+            self.spark.sql(f"DROP TABLE {table}")
+        for home, own in places.values():
+            if any(p.startswith(home.rstrip("/") + "/") for p in used):  # another release uses partitions of it
+                for place in own - used:
+                    if place.startswith(home.rstrip("/") + "/"):
+                        remove(self.spark, place)
+            else:
+                remove(self.spark, home)
+        return old
+
+
+def _places(spark: SparkSession, table: str) -> set[str]:
+    """Where the files of a table are: its folder, or those of its partitions."""
+    columns = [r[0] for r in spark.sql(f"DESCRIBE TABLE {table}").collect()]
+    if "# Partition Information" not in columns:
+        return {location(spark, table)}
+    return set(partition_locations(spark, table, columns[-1]).values())
+
+
+def warehouse(spark: SparkSession) -> str:
+    return spark.conf.get("spark.sql.warehouse.dir")

@@ -56,7 +56,7 @@ def bronze_order_items(spark: SparkSession, base: str, renumber: bool = False) -
     which makes (order_id, order_item_id) a key for the upsert.
     """
     li = read_table(spark, base, "lineitem").dropna(subset=["l_orderkey", "l_linenumber", "l_partkey"])
-    price = li.l_extendedprice.cast(MONEY)
+    price = F.col("l_extendedprice").cast(MONEY)
     if renumber:
         # Skew-safe: an order with a huge number of lines is split over tasks.
         li = number_within_groups(li, ["l_orderkey"], list(LINE_ORDER), col="_line")
@@ -69,7 +69,7 @@ def bronze_order_items(spark: SparkSession, base: str, renumber: bool = False) -
         li.l_partkey.cast("string").alias("product_id"),
         li.l_suppkey.cast("string").alias("seller_id"),
         price.alias("price"),
-        (price * li.l_tax.cast("decimal(4,2)")).cast(MONEY_PRODUCT).alias("freight_value"),
+        (price * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY_PRODUCT).alias("freight_value"),
         li.l_discount.cast("decimal(4,2)").alias("discount"),
     )
 
