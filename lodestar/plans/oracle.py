@@ -427,6 +427,8 @@ FROM bronze_orders""", dirty=True),
     "pipeline_incremental": with_star("""SELECT order_date_sk // 100 AS order_month, COUNT(*) AS row_count,
        CAST(SUM(CASE WHEN order_date_sk // 100 = 199703 THEN sales_amount * 2 ELSE sales_amount END) AS DOUBLE) AS sales,
        order_date_sk // 100 = 199703 AS written FROM fact_sales GROUP BY order_date_sk // 100""", renumber=True),
+    "compaction": with_star("""SELECT COUNT(*) AS row_count, CAST(SUM(sales_amount) AS DOUBLE) AS sales, 26 AS files_before, 24 AS files_merged,
+       true AS few_after, true AS large_untouched FROM fact_sales"""),
     "csv_roundtrip": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
        CAST(freight_value AS DOUBLE) AS freight_value FROM bronze_items"""),
     "schema_evolution": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,

@@ -15,7 +15,7 @@ import uuid
 
 from lodestar.functions.json import rows_as_json
 from lodestar.functions.money import MONEY
-from lodestar.operators import cleaning, dims, layout, quality
+from lodestar.operators import cleaning, compaction, dims, layout, quality
 from lodestar.operators import fact as fact_ops
 from lodestar.operators import upsert as upsert_ops
 from lodestar.operators.stamps import without_stamps
@@ -494,6 +494,22 @@ def q_zorder_skipping(spark, sf):
                     *[(r <= 40).alias(f"skips_{k}") for k, r in zip(keys, read)])
 
 
+def q_compaction(spark, sf):
+    """A fact of two large and many small files: what is left after the small ones are merged."""
+    path, fact = _scratch(spark, "compaction"), without_stamps(star_from_tables(spark, sf).fact)
+    late = F.col("order_id").cast("long") % 3 == 0
+    fact.where(~late).repartition(2).write.parquet(path)
+    large = {r.file: r.size for r in compaction.listed(spark, path).collect()}
+    fact.where(late).repartition(24).write.mode("append").parquet(path)
+    target = int(min(large.values()) / compaction.SMALL)  # the two files are just not small
+    done = compaction.compact(spark, path, target)
+    after = {r.file: r.size for r in compaction.listed(spark, path).collect()}
+    return spark.read.parquet(path).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("sales_amount").cast("double").alias("sales"),
+        F.lit(done.files_before).alias("files_before"), F.lit(done.rewritten).alias("files_merged"),
+        F.lit(done.files_after < 10).alias("few_after"), F.lit(large.items() <= after.items()).alias("large_untouched"))
+
+
 def _pipeline_name(spark):
     return _name("gold"), _scratch(spark, "pipeline")
 
@@ -607,6 +623,7 @@ QUERIES: dict[str, Query] = {
     "csv_roundtrip": q_csv_roundtrip,
     "schema_evolution": q_schema_evolution,
     "zorder_layout": q_zorder_layout,
+    "compaction": q_compaction,
     "pipeline_run": q_pipeline_run,
 }
 
