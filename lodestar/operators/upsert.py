@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.operators import bloom
 from lodestar.sources import store
 
 
@@ -66,11 +67,14 @@ def upsert(updates: DataFrame, name: str, keys: Sequence[str], path: str | None
 def touched_partitions(target: DataFrame, updates: DataFrame, keys: Sequence[str], partition_col: str) -> list:
     """Values of the partitions that hold update rows, or target rows of an updated key.
 
-    The target's side of the semi join reads keys and partition value only;
-    the result is bounded by the number of partitions.
+    The target's side of the semi join reads keys and partition value only, and
+    a Bloom filter of the update keys drops nearly all rows that have no update
+    before they are shuffled; the result is bounded by the number of partitions.
+    ``updates`` is a stored table.
     """
     own = updates.select(partition_col)
-    moved = target.select(*keys, partition_col).join(updates.select(*keys), list(keys), "left_semi").select(partition_col)
+    near = bloom.may_match(target.select(*keys, partition_col), updates.select(*keys), keys)
+    moved = near.join(updates.select(*keys), list(keys), "left_semi").select(partition_col)
     return [r[0] for r in own.distinct().union(moved.distinct()).distinct().collect()]
 
 

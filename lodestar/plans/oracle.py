@@ -429,6 +429,8 @@ FROM bronze_orders""", dirty=True),
        order_date_sk // 100 = 199703 AS written FROM fact_sales GROUP BY order_date_sk // 100""", renumber=True),
     "compaction": with_star("""SELECT COUNT(*) AS row_count, CAST(SUM(sales_amount) AS DOUBLE) AS sales, 26 AS files_before, 24 AS files_merged,
        true AS few_after, true AS large_untouched FROM fact_sales"""),
+    "upsert_key_filter": with_star("""SELECT COUNT(*) AS matches, true AS none_lost, true AS few_passed FROM fact_sales
+WHERE order_date_sk BETWEEN 19990101 AND 19990131""", renumber=True),
     "csv_roundtrip": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
        CAST(freight_value AS DOUBLE) AS freight_value FROM bronze_items"""),
     "schema_evolution": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,

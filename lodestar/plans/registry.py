@@ -15,7 +15,7 @@ import uuid
 
 from lodestar.functions.json import rows_as_json
 from lodestar.functions.money import MONEY
-from lodestar.operators import cleaning, compaction, dims, layout, quality
+from lodestar.operators import bloom, cleaning, compaction, dims, layout, quality
 from lodestar.operators import fact as fact_ops
 from lodestar.operators import upsert as upsert_ops
 from lodestar.operators.stamps import without_stamps
@@ -236,6 +236,21 @@ def q_fact_upsert_partitioned(spark, sf):
     return _partitioned(spark, _month(target), _month(updates), "order_month").drop("order_month")
 
 
+def q_upsert_key_filter(spark, sf):
+    """Finding what an upsert touches: target rows whose key has an update, that no such row is lost by the filter
+    of update keys, and that it lets at most twice as many through."""
+    target, updates = _upsert_inputs(spark, sf)
+    keys = list(fact_ops.FACT_KEYS)
+    one = store.stage(updates.where(F.col("order_date_sk").between(19990101, 19990131)), "updates")
+    every = store.stage(target.select(*keys), "target")
+    near = bloom.may_match(every, one.select(*keys), keys)
+    matches = every.join(one.select(*keys), keys, "left_semi").agg(F.count(F.lit(1)).alias("matches"))
+    kept = near.join(one.select(*keys), keys, "left_semi").agg(F.count(F.lit(1)).alias("kept"))
+    passed = near.agg(F.count(F.lit(1)).alias("passed"))
+    # Three rows of one count each.
+    return matches.select("matches", (kept.scalar() == F.col("matches")).alias("none_lost"), (passed.scalar() <= 2 * F.col("matches")).alias("few_passed"))
+
+
 def q_upsert_null_date(spark, sf):
     """Updates of every fifth order lose their date: its partition value is null."""
     target, updates = _upsert_inputs(spark, sf)
@@ -598,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "top_categories": q_top_categories,
     "adhoc_sql": q_adhoc_sql,
     "result_json": q_result_json,
+    "upsert_key_filter": q_upsert_key_filter,
     "upsert_null_date": q_upsert_null_date,
     "upsert_text_partition": q_upsert_text_partition,
     "upsert_new_column": q_upsert_new_column,
