@@ -431,6 +431,18 @@ FROM bronze_orders""", dirty=True),
        true AS few_after, true AS large_untouched FROM fact_sales"""),
     "upsert_key_filter": with_star("""SELECT COUNT(*) AS matches, true AS none_lost, true AS few_passed FROM fact_sales
 WHERE order_date_sk BETWEEN 19990101 AND 19990131""", renumber=True),
+    "csv_two_headers": with_star(f"""SELECT {ITEMS_OUT}, CASE WHEN order_item_id % 2 = 0 THEN 'late, ' || order_id END AS note FROM bronze_items"""),
+    "csv_rejects": with_star("""SELECT 'price' AS column_name, '12,50' AS cell, COUNT(*) AS rejected FROM bronze_items WHERE CAST(order_id AS BIGINT) % 10 = 0
+UNION ALL SELECT 'order_item_id', 'first', COUNT(*) FROM bronze_items WHERE CAST(order_id AS BIGINT) % 15 = 0
+UNION ALL SELECT NULL, NULL, COUNT(*) FROM bronze_items WHERE CAST(order_id AS BIGINT) % 1000 = 1"""),
+    "sql_refused": with_star(f"""SELECT 'published view' AS query, COUNT(*) AS row_count FROM ({MONTHLY_SALES}) v
+UNION ALL SELECT 'published table in a subquery', COUNT(*) FROM dim_date WHERE date_sk IN (SELECT order_date_sk FROM fact_sales)
+UNION ALL SELECT 'common table expression', COUNT(*) FROM ({MONTHLY_SALES}) v
+UNION ALL SELECT unnest(['file by its path', 'file in a subquery', 'unpublished view', 'unpublished view behind an inner name']), NULL"""),
+    "limits_refused": with_star(f"""SELECT 'top_customers' AS query, CAST(500 AS BIGINT) AS bound, LEAST(500, COUNT(*)) AS row_count FROM ({CUSTOMER_LTV}) v
+UNION ALL SELECT 'top_customers', unnest([501, 0]), NULL
+UNION ALL SELECT 'category_analysis', 101, NULL UNION ALL SELECT 'category_analysis', 100, LEAST(100, COUNT(*)) FROM ({CATEGORY_FREIGHT}) v
+UNION ALL SELECT 'monthly_trends', 61, NULL UNION ALL SELECT 'monthly_trends', 60, LEAST(60, COUNT(*)) FROM ({MONTHLY_SALES}) v"""),
     "csv_roundtrip": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,
        CAST(freight_value AS DOUBLE) AS freight_value FROM bronze_items"""),
     "schema_evolution": with_star("""SELECT order_id, order_item_id, product_id, seller_id, CAST(price AS DOUBLE) AS price,

@@ -336,6 +336,41 @@ def q_adhoc_sql(spark, sf):
     return sqlguard.read_only_sql(spark, ADHOC_SQL)
 
 
+def q_sql_refused(spark, sf):
+    """Queries held against the published names: rows of the accepted ones, null for the refused."""
+    published = publish_star(spark, star_from_tables(spark, sf), "lodestar_")
+    tables.read_table(spark, sf, "customer").createOrReplaceTempView("lodestar_private")
+    cases = {
+        "published view": "SELECT * FROM lodestar_monthly_sales",
+        "published table in a subquery": "SELECT * FROM lodestar_dim_date WHERE date_sk IN (SELECT order_date_sk FROM lodestar_fact_sales)",
+        "common table expression": "WITH m AS (SELECT * FROM lodestar_monthly_sales) SELECT * FROM m",
+        "file by its path": f"SELECT * FROM parquet.`{sf}/customer.parquet`",
+        "file in a subquery": f"SELECT 1 WHERE EXISTS (SELECT * FROM text.`{sf}/customer.parquet`)",
+        "unpublished view": "SELECT * FROM lodestar_private",
+        "unpublished view behind an inner name": "SELECT p.* FROM lodestar_private p, (WITH lodestar_private AS (SELECT 1) SELECT * FROM lodestar_private)",
+    }
+    rows = []
+    for label, text in cases.items():
+        try:
+            rows.append((label, sqlguard.read_only_sql(spark, text, published=published).count()))
+        except sqlguard.UnsafeSQLError:
+            rows.append((label, None))
+    return spark.createDataFrame(rows, "query string, row_count long")
+
+
+def q_limits_refused(spark, sf):
+    """Limits of the served reads: rows of those within the bounds, null for the refused."""
+    star, rows = star_from_tables(spark, sf), []
+    for read, argument, value in (("top_customers", "limit", 500), ("top_customers", "limit", 501), ("top_customers", "limit", 0),
+                                  ("category_analysis", "limit", 101), ("category_analysis", "limit", 100), ("monthly_trends", "months", 61),
+                                  ("monthly_trends", "months", 60)):
+        try:
+            rows.append((read, value, named.run_named(star, read, **{argument: value}).count()))
+        except ValueError:
+            rows.append((read, value, None))
+    return spark.createDataFrame(rows, "query string, bound long, row_count long")
+
+
 def q_view_scan_all(spark, sf):
     """All rows of a reporting view by its name."""
     publish_star(spark, star_from_tables(spark, sf), "lodestar_")
@@ -458,6 +493,32 @@ def q_csv_reordered(spark, sf):
     return _money_as_double(without_stamps(back), ["price", "freight_value"])
 
 
+def q_csv_two_headers(spark, sf):
+    """A folder whose files hold the columns in different order, one of them with a further column."""
+    items, folder = _items_csv(spark, sf), _scratch(spark, "csv")
+    odd = F.col("order_item_id") % 2 == 1
+    items.where(odd).write.option("header", "true").csv(f"{folder}/order_items.csv")
+    late = items.where(~odd).withColumn("note", F.concat(F.lit("late, "), "order_id"))
+    late.select(*reversed(late.columns)).write.option("header", "true").mode("append").csv(f"{folder}/order_items.csv")
+    back = csv_source.ingest_csv(spark, f"{folder}/order_items.csv", schemas.ORDER_ITEMS)
+    return _money_as_double(without_stamps(back), ["price", "freight_value"])
+
+
+def q_csv_rejects(spark, sf):
+    """Bad cells and a row of another length in a load: how many of each column were rejected, and what they held."""
+    items, folder, prefix = _items_csv(spark, sf), _scratch(spark, "csv"), _name("m") + "_"
+    order = F.col("order_id").cast("long")
+    bad = items.withColumns({"price": F.when(order % 10 == 0, F.lit("12,50")).otherwise(F.col("price").cast("string")),
+                             "order_item_id": F.when(order % 15 == 0, F.lit("first")).otherwise(F.col("order_item_id").cast("string"))})
+    bad.write.option("header", "true").csv(f"{folder}/order_items.csv")
+    short = items.select(F.concat_ws(",", "order_id", "order_item_id").alias("order_id,order_item_id,product_id,seller_id,price,freight_value"))
+    short.where(order % 1000 == 1).write.option("header", "true").option("sep", "\t").mode("append").csv(f"{folder}/order_items.csv")
+    csv_source.ingest_manifest(spark, folder, prefix, {"order_items.csv": ("items", schemas.ORDER_ITEMS)}, path=_scratch(spark, "bronze"))
+    found = spark.table(f"{prefix}rejected_cells").where("table_name = 'items'")
+    cell = F.when(F.col("column_name").isNotNull(), F.col("cell"))
+    return found.groupBy("column_name", cell.alias("cell")).agg(F.count(F.lit(1)).alias("rejected"))
+
+
 def q_csv_new_column(spark, sf):
     """A stored bronze table grows by a column that a later file brings."""
     items, name, path = _items_csv(spark, sf), _name("bronze"), _scratch(spark, "bronze")
@@ -630,6 +691,10 @@ QUERIES: dict[str, Query] = {
     "dq_ledger_dirty": q_dq_ledger_dirty,
     "dq_enforced": q_dq_enforced,
     "csv_reordered": q_csv_reordered,
+    "csv_two_headers": q_csv_two_headers,
+    "csv_rejects": q_csv_rejects,
+    "sql_refused": q_sql_refused,
+    "limits_refused": q_limits_refused,
     "csv_new_column": q_csv_new_column,
     "manifest_ingest": q_manifest_ingest,
     "zorder_skipping": q_zorder_skipping,

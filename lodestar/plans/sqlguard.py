@@ -7,7 +7,9 @@ start with another word (``WITH ... INSERT``, ``/* */ INSERT``,
 ``FROM ... INSERT``), several statements, ``SET`` and blank text.  The nodes of
 the analysed plan decide the rest: script transformations (shell commands) and
 calls of JVM methods by name are refused wherever they stand, whatever the text
-looks like.  ``SHOW``/``DESCRIBE`` statements are admitted through a separate
+looks like.  So do its relations: files named by their path are refused, and,
+given a list of published names, every table and view that is not on it; what
+lies inside a published view is the publisher's choice.  ``SHOW``/``DESCRIBE`` statements are admitted through a separate
 short allow-list, ``EXPLAIN`` when its query is admitted.
 """
 
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,6 +60,50 @@ def _node_names(value) -> set[str]:
     return found
 
 
+# Leaves of a plan that read nothing stored.
+_MADE = frozenset({"OneRowRelation", "LocalRelation", "Range", "CTERelationRef"})
+
+
+def _seq(jvm_seq) -> list:
+    return [jvm_seq.apply(i) for i in range(jvm_seq.size())]
+
+
+def _name(identifier) -> str:
+    """A catalog identifier as ``table`` or ``database.table``, the session's own database left out."""
+    parts = identifier.unquotedString().lower().split(".")
+    return ".".join(parts[1:] if parts[0] == "spark_catalog" else parts).removeprefix("default.")
+
+
+def relations(spark: SparkSession, query: str) -> set[str]:
+    """Names of the tables and views that a query reads, its subqueries included; a nameless one (a file path) as its plan node in brackets."""
+    found, todo = set(), [spark.sql(query)._jdf.queryExecution().analyzed()]
+    while todo:
+        node = todo.pop()
+        kind, children = node.nodeName(), _seq(node.children())
+        if kind == "View":
+            found.add(_name(node.desc().identifier()))
+            continue
+        todo += children + _seq(node.subqueries())
+        if children or kind in _MADE:
+            continue
+        table = node.catalogTable() if kind == "LogicalRelation" else None
+        if table is not None and table.isDefined():
+            found.add(_name(table.get().identifier()))
+        elif kind == "HiveTableRelation":
+            found.add(_name(node.tableMeta().identifier()))
+        else:
+            found.add(f"[{kind}]")
+    return found
+
+
+def _check_relations(spark: SparkSession, query: str, published: Collection[str] | None) -> None:
+    read = relations(spark, query)
+    allowed = None if published is None else {n.lower().removeprefix("default.") for n in published}
+    refused = sorted(n for n in read if n.startswith("[") or allowed is not None and n not in allowed)
+    if refused:
+        raise UnsafeSQLError(f"not published: {refused}")
+
+
 def _check_query(spark: SparkSession, query: str) -> None:
     try:
         plan = spark.sql(f"EXPLAIN EXTENDED CREATE OR REPLACE TEMPORARY VIEW {_VIEW} AS {query}").collect()
@@ -71,8 +118,12 @@ def _check_query(spark: SparkSession, query: str) -> None:
         raise UnsafeSQLError(f"not allowed in read-only SQL: {sorted(denied)}")
 
 
-def check_read_only(spark: SparkSession, text: str) -> str:
-    """Return the statement without trailing ';' or raise ``UnsafeSQLError``."""
+def check_read_only(spark: SparkSession, text: str, published: Collection[str] | None = None) -> str:
+    """Return the statement without trailing ';' or raise ``UnsafeSQLError``.
+
+    ``published``: the only tables and views that a query may name; without it
+    all of the catalog, but no files.
+    """
     if text is None or not text.strip():
         raise UnsafeSQLError("empty statement")
     q = _strip(_without_leading_comments(text))
@@ -81,11 +132,14 @@ def check_read_only(spark: SparkSession, text: str) -> str:
     if _ALLOWED_META.match(q) and ";" not in q:
         return q
     explained = _EXPLAIN.match(q)
-    _check_query(spark, _without_leading_comments(q[explained.end():]) if explained else q)
+    query = _without_leading_comments(q[explained.end():]) if explained else q
+    _check_query(spark, query)
+    _check_relations(spark, query, published)
     return q
 
 
-def read_only_sql(spark: SparkSession, text: str, limit: int | None = None) -> DataFrame:
-    q = check_read_only(spark, text)
+def read_only_sql(spark: SparkSession, text: str, limit: int | None = None,
+                  published: Collection[str] | None = None) -> DataFrame:
+    q = check_read_only(spark, text, published)
     df = spark.sql(q)
     return df.limit(limit) if limit else df

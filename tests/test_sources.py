@@ -94,3 +94,34 @@ def test_bucketed_publish_avoids_order_shuffle(spark):
     assert buf.getvalue().count("Exchange (") == 1   # only the final (m) exchange
     assert sum(r["n"] for r in q.collect()) == sum(
         r["n"] for r in df.groupBy("m").agg(F.count_distinct("order_id").alias("n")).collect())
+
+
+def _put(folder, name, text):
+    import os
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w") as f:
+        f.write(text)
+
+
+def test_files_keep_their_own_headers(spark, scratch):
+    from lodestar.sources.csv import MissingColumnError, headers, read_csv, rejected
+    from pyspark.sql.types import DecimalType, StringType, StructField, StructType
+    kinds = StructType([StructField("order_id", StringType()), StructField("price", DecimalType(18, 2))])
+    folder = f"{scratch}/two heads"
+    _put(folder, "a.csv", "order_id,price\no1,10.00\no2,\"1,5\"\n")
+    _put(folder, "b.csv", "price,order_id,\"a note, quoted\"\n20.00,o3,x\n30.00\n40.00,o5,y,z\n")
+    _put(folder, "c.csv", "")
+    assert {k: len(v) for k, v in headers(spark, folder).items()} == {("order_id", "price"): 1, ("price", "order_id", "a note, quoted"): 1}
+    got = {(r.order_id, None if r.price is None else float(r.price), r["a note, quoted"]) for r in read_csv(spark, folder, kinds).collect()}
+    assert got == {("o1", 10.0, None), ("o2", None, None), ("o3", 20.0, "x"), (None, 30.0, None), ("o5", 40.0, "y")}
+    bad = sorted((r.source_file.rpartition("/")[2], r.column_name or "", r.cell) for r in rejected(spark, folder, kinds).collect())
+    assert bad == [("a.csv", "price", "1,5"), ("b.csv", "", "30.00"), ("b.csv", "", "40.00,o5,y,z")]
+    _put(folder, "d.csv", "order_id\no9\n")
+    with pytest.raises(MissingColumnError, match="d.csv"):
+        read_csv(spark, folder, kinds)
+    _put(f"{scratch}/twice", "a.csv", "x,x\n1,2\n")
+    with pytest.raises(ValueError):
+        headers(spark, f"{scratch}/twice")
+    _put(f"{scratch}/none", "a.csv", "")
+    with pytest.raises(MissingColumnError):
+        read_csv(spark, f"{scratch}/none")

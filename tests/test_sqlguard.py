@@ -54,3 +54,25 @@ def test_refused(spark, view, q):
 
 def test_runs_with_limit(spark, view):
     assert read_only_sql(spark, "SELECT * FROM guard_t ORDER BY id", limit=1).collect()[0]["id"] == 1
+
+
+def test_relations_are_checked(spark, scratch):
+    from lodestar.plans.sqlguard import UnsafeSQLError, read_only_sql, relations
+    spark.range(3).write.parquet(f"{scratch}/f")
+    spark.range(5).createOrReplaceTempView("rel_open")
+    spark.range(7).createOrReplaceTempView("rel_shut")
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW rel_inner AS SELECT * FROM rel_shut")
+    ok = ["SELECT * FROM rel_open", "WITH rel_shut AS (SELECT 1 AS id) SELECT * FROM rel_shut", "SELECT * FROM VALUES (1), (2)",
+          "SELECT id FROM REL_OPEN WHERE id IN (SELECT id FROM rel_open)", "SELECT * FROM range(4)", "SELECT * FROM rel_inner"]
+    for text in ok:
+        read_only_sql(spark, text, published=["rel_open", "rel_inner"]).collect()
+    for text in ["SELECT * FROM rel_shut", "SELECT (SELECT max(id) FROM rel_shut)", "EXPLAIN SELECT * FROM rel_shut",
+                 "SELECT * FROM rel_open WHERE EXISTS (SELECT 1 FROM rel_open o WHERE o.id IN (SELECT id FROM rel_shut))",
+                 f"SELECT * FROM parquet.`{scratch}/f`"]:
+        with pytest.raises(UnsafeSQLError):
+            read_only_sql(spark, text, published=["rel_open", "rel_inner"])
+    with pytest.raises(UnsafeSQLError):  # without a list as well: files are not tables
+        read_only_sql(spark, f"SELECT * FROM text.`{scratch}/f`")
+    assert read_only_sql(spark, "SELECT * FROM rel_shut").count() == 7
+    spark.range(2).write.mode("overwrite").option("path", f"{scratch}/cat").saveAsTable("rel_table")
+    assert relations(spark, "SELECT * FROM default.rel_table t JOIN rel_open USING (id)") == {"rel_table", "rel_open"}
