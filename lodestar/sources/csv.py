@@ -39,15 +39,17 @@ def headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
     return found
 
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
+def read_cells(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     """All cells as text, by column name, whatever the order of columns in each file; ``BROKEN`` and ``FILE`` besides.
 
+    ``whole``: all cells of a row are parsed whichever are used, so that no broken row is missed.
+
     One scan for each distinct header; a column that a file lacks is null in its rows.
     """
     every = None
     for names, files in headers(spark, path).items():
         kinds = StructType([StructField(c, StringType()) for c in (*names, BROKEN)])
-        part = spark.read.option("header", "true").option("columnNameOfCorruptRecord", BROKEN).schema(kinds).csv(files)
+        part = spark.read.option("header", "true").option("columnNameOfCorruptRecord", BROKEN).option("columnPruning", not whole).schema(kinds).csv(files)
         part = part.withColumn(FILE, F.col("_metadata.file_path"))
         every = part if every is None else every.unionByName(part, allowMissingColumns=True)
     if every is None:
@@ -88,7 +90,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
 def rejected(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """(source_file, column_name, cell): cells whose text does not parse as the declared type, and, without a column
     name, the text of rows with more or fewer cells than their header."""
-    cells = read_cells(spark, path)
+    cells = read_cells(spark, path, whole=True)
     kinds = {f.name: f.dataType for f in schema.fields if f.name in cells.columns}
     bad = [F.when(F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(kind).isNull(),
                   F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("cell"))) for c, kind in kinds.items()]
