@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import os
 import tempfile
+import time
 import uuid
 import zipfile
 
@@ -63,10 +64,14 @@ class Scratch:
         """Let go of the shuffle files of finished steps.
 
         Spark deletes them when the driver's garbage collection finds that no
-        frame refers to them; without asking, that may be long after.
+        frame refers to them; without asking, that may be long after.  The
+        first collection frees what held on to the last step's shuffles, the
+        second, a moment later, the shuffles.
         """
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        for _ in range(2):
+            gc.collect()
+            self.spark.sparkContext._jvm.System.gc()
+            time.sleep(0.5)
 
     def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm

@@ -592,7 +592,6 @@ def repeat_spans(docs: DataFrame, scratch: Scratch, key: str, text: str, least:
     runs = near.mapInArrow(_runs(shape, ranges, parts, splitters, np.concatenate([np.zeros(0, np.uint64), *hot])), _RUNS_DDL)
     spans = runs.groupBy("range").applyInArrow(_merged(shape, parts), _SPANS_DDL)
     found = scratch.put(spans.groupBy("part").applyInArrow(_united, "doc_id long, tag long, spans binary"), "spans")
-    scratch.settle()
     scratch.drop("shared")
     return found
 
@@ -603,7 +602,9 @@ def _tag(text: str):
 
 def _with_spans(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
     """The rows and columns of ``docs`` and, last, the spans of their repeats (null: none)."""
-    found = repeat_spans(docs, Scratch(docs.sparkSession, "suffixes"), key, text, least)
+    scratch = Scratch(docs.sparkSession, "suffixes")
+    found = repeat_spans(docs, scratch, key, text, least)
+    scratch.settle()  # here, as nothing refers to the texts' shuffle and the runs any more
     found = found.select(F.col("doc_id").alias("__id_of_spans"), F.col("tag").alias("__tag_of_spans"), F.col("spans").alias("__spans_of_doc"))
     same = (docs[key].cast("long") == F.col("__id_of_spans")) & (_tag(docs[text]) == F.col("__tag_of_spans"))
     return docs.join(found, same, "left").select(*[docs[c] for c in docs.columns], "__spans_of_doc")
