@@ -69,11 +69,14 @@ def touched_partitions(target: DataFrame, updates: DataFrame, keys: Sequence[str
 
     The target's side of the semi join reads keys and partition value only, and
     a Bloom filter of the update keys drops nearly all rows that have no update
-    before they are shuffled; the result is bounded by the number of partitions.
-    ``updates`` is a stored table.
+    before they are shuffled, unless the updates are more than an eighth of the
+    target; the result is bounded by the number of partitions.  Both are stored
+    tables.
     """
     own = updates.select(partition_col)
-    near = bloom.may_match(target.select(*keys, partition_col), updates.select(*keys), keys)
+    near, count = target.select(*keys, partition_col), updates.count()
+    if 8 * count < target.count():
+        near = bloom.may_match(near, updates.select(*keys), keys, count)
     moved = near.join(updates.select(*keys), list(keys), "left_semi").select(partition_col)
     return [r[0] for r in own.distinct().union(moved.distinct()).distinct().collect()]
 

@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Collection, Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,13 +86,9 @@ def write_table(df: DataFrame, name: str, path: str | None = None, partition_by:
     writer.saveAsTable(name)
 
 
-def _described(spark: SparkSession, what: str) -> str:
-    """The first location that ``DESCRIBE TABLE EXTENDED`` names: a partition's own stands before the table's."""
-    return next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {what}").collect() if r[0] == "Location")
-
-
 def location(spark: SparkSession, table: str) -> str:
-    return _described(spark, table)
+    """The folder of a stored table."""
+    return next(r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Location")
 
 
 def _spec(column: str, value: str | None) -> str:
@@ -101,16 +96,22 @@ def _spec(column: str, value: str | None) -> str:
     return f"(`{column}` = {text})"
 
 
-def partition_values(spark: SparkSession, table: str) -> list[str | None]:
-    """The values, as text, of a table's one partition column."""
-    texts = [unquote(r[0].partition("=")[2]) for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return [None if t == "__HIVE_DEFAULT_PARTITION__" else t for t in texts]
+def _partitions(spark: SparkSession, table: str, column: str) -> dict[str | None, str]:
+    """Value, as text, of a table's one partition column -> place of its files: one call of the catalog, no file is opened."""
+    state, jvm = spark._jsparkSession.sessionState(), spark.sparkContext._jvm
+    found = state.catalog().listPartitions(state.sqlParser().parseTableIdentifier(table), jvm.scala.Option.empty())
+    out = {}
+    for i in range(found.size()):
+        value = found.apply(i).spec().apply(column)
+        place = jvm.org.apache.spark.sql.catalyst.catalog.CatalogUtils.URIToString(found.apply(i).location())
+        out[None if value in (None, "__HIVE_DEFAULT_PARTITION__") else value] = place
+    return out
 
 
 def partition_locations(spark: SparkSession, table: str, column: str,
                         without: Collection[str | None] = ()) -> dict[str | None, str]:
-    """Partition value -> place of its files; one catalog look-up a partition, no file is opened."""
-    return {v: _described(spark, f"{table} PARTITION {_spec(column, v)}") for v in partition_values(spark, table) if v not in without}
+    """Partition value -> place of its files, of the partitions that are not ``without``."""
+    return {v: place for v, place in _partitions(spark, table, column).items() if v not in without}
 
 
 def write_next(changed: DataFrame, name: str, base: str, column: str, replaced: Collection[str | None],
@@ -139,7 +140,7 @@ def swap(spark: SparkSession, name: str, following: str, column: str, replaced:
     the old table.
     """
     old = f"{name}__before"
-    gone = {v: _described(spark, f"{name} PARTITION {_spec(column, v)}") for v in partition_values(spark, name) if v in replaced}
+    gone = {v: place for v, place in _partitions(spark, name, column).items() if v in replaced}
     spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
     spark.sql(f"DROP TABLE {old}")
