@@ -1,12 +1,10 @@
 """Global NTILE / DENSE_RANK / ROW_NUMBER without a single-partition window.
 
 A window with ``ORDER BY`` and no ``PARTITION BY`` moves every row into one
-task.  Here the rows are range-partitioned by the total order
+task.  Here the rows are dealt by ranges of the total order
 ``(value desc, tiebreak asc)`` -- ties are split across tasks too, so a hot
-value does not land in one task --, sorted inside each partition and written
-once with their position: ``monotonically_increasing_id`` has the number of the
-task, that is of the range, in its high bits and the row's number inside it in
-the low ones.  The cost of a row does not depend on the number of ranges.
+value does not land in one task -- and ranked inside each range with an
+ordinary partitioned window over that same dealing: one shuffle of the rows.
 Statistics of one row a range give the offsets that turn local ranks into
 global ones:
 
@@ -21,13 +19,13 @@ global ones:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodestar.sources import store
-
-#: Bits of monotonically_increasing_id that number the rows of one task.
-_ROW_BITS = 33
+#: Sampled rows for each range.
+SAMPLE = 20
 
 
 def _tile(rn: Column, n: Column, k: int) -> Column:
@@ -38,18 +36,36 @@ def _tile(rn: Column, n: Column, k: int) -> Column:
         .otherwise(rem + F.ceil((rn - cut) / base)).cast("int")
 
 
-def _positions(df: DataFrame, order: list[Column], parts: int | None) -> DataFrame:
-    """``df`` in ``order``, written once, with its range (``_range``) and place in it (``_at``, from 0).
+def halved(df: DataFrame, keys: Sequence[Column], bounds: Sequence[Column], names: Sequence[str], most: int) -> DataFrame:
+    """``df`` with the number of sorted bounds (``most`` at the most) below each key in the column of that name.
 
-    Without ``parts`` Spark chooses the number of ranges by the data's size.
+    The bounds are halved once a projection, all keys together, so a row costs
+    the logarithm of their number.
+    """
+    placed = df.withColumns({name: F.lit(0) for name in names})
+    for bit in reversed(range(most.bit_length())):
+        step = 1 << bit
+        # A bound past the end is null, and so is the comparison: no step is taken, nor for a null key.
+        above = [F.get(b, F.col(name) + (step - 1)) < key for b, key, name in zip(bounds, keys, names)]
+        placed = placed.withColumns({name: F.col(name) + F.when(more, step).otherwise(0) for name, more in zip(names, above)})
+    return placed
+
+
+def _ranges(df: DataFrame, order: list[Column], identity: Column, parts: int) -> DataFrame:
+    """``df`` dealt to ``parts`` tasks by ranges of ``order``, with the range in ``_range``.
+
+    The bounds come from a sample that depends on the rows alone, not on the
+    order in which tasks finish: the rows with the smallest hashes of
+    ``identity``, ``SAMPLE`` for each range.  Every evaluation of the plan has
+    therefore the same ranges, so nothing needs to be pinned or run while the
+    plan is built.
     """
-    dealt = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
-    placed = dealt.sortWithinPartitions(*order).withColumn("_pos", F.monotonically_increasing_id())
-    if parts:  # several ranges a file, each with its own number, where there are more than the session's tasks
-        placed = placed.coalesce(min(parts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    stored = store.stage(placed, "ranges")
-    place = {"_range": F.shiftright("_pos", _ROW_BITS), "_at": F.col("_pos").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))}
-    return stored.withColumns(place).drop("_pos")
+    key = F.struct(*order)
+    sample = df.select(key.alias("_k"), F.xxhash64(identity).alias("_h")).orderBy("_h", "_k").limit(SAMPLE * parts)
+    picked = F.filter(F.sort_array(F.collect_list("_k")), lambda _, i: (i + 1) % SAMPLE == 0)
+    bounds = sample.agg(picked).scalar()  # at most ``parts`` bounds
+    ranged = halved(df.withColumn("_bounds", bounds), [key], [F.col("_bounds")], ["_range"], parts)
+    return ranged.drop("_bounds").repartitionById(parts + 1, "_range")
 
 
 def _before(stats: DataFrame, count: str, name: str) -> DataFrame:
@@ -63,14 +79,17 @@ def rank_globally(df: DataFrame, value: str, tiebreak: str, tiles: int = 10,
                   row_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """Add ``ntile(tiles)`` over (value desc, tiebreak asc) and ``dense_rank()``
     over (value desc); ``tiebreak`` must make the order total."""
+    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     v, t = F.col(value), F.col(tiebreak)
-    local = (_positions(df, [v.desc(), t.asc()], num_partitions)
-             .withColumn("_ldr", F.dense_rank().over(Window.partitionBy("_range").orderBy(v.desc()))))
+    in_range = Window.partitionBy("_range")
+    local = (_ranges(df, [-v, t], t, n_parts)
+             .withColumn("_lrn", F.row_number().over(in_range.orderBy(v.desc(), t.asc())))
+             .withColumn("_ldr", F.dense_rank().over(in_range.orderBy(v.desc()))))
     stats = local.groupBy("_range").agg(
         F.count(F.lit(1)).alias("_n"),
         F.max("_ldr").alias("_d"),
-        F.min_by(v, F.col("_at")).alias("_first"),
-        F.max_by(v, F.col("_at")).alias("_last"),
+        F.min_by(v, F.col("_lrn")).alias("_first"),
+        F.max_by(v, F.col("_lrn")).alias("_last"),
     )
     w = Window.orderBy("_range")
     # A range that starts with the value the one before ended with adds one distinct value less.
@@ -80,14 +99,14 @@ def rank_globally(df: DataFrame, value: str, tiebreak: str, tiles: int = 10,
     offsets = offsets.select("_range", "_rn_off", (F.col("_dr_off") - F.sum("_overlap").over(upto)).alias("_dr_off"),
                              F.sum("_n").over(Window.partitionBy()).alias("_total"))
     ranked = local.join(F.broadcast(offsets), "_range")  # a row a range
-    rn = F.col("_rn_off") + F.col("_at") + 1
+    rn = F.col("_rn_off") + F.col("_lrn")
     out = ranked.withColumns({
         tile_col: _tile(rn, F.col("_total"), tiles),
         dense_col: (F.col("_dr_off") + F.col("_ldr")).cast("int"),
     })
     if row_col:
         out = out.withColumn(row_col, rn)
-    return out.drop("_range", "_at", "_ldr", "_rn_off", "_dr_off", "_total")
+    return out.drop("_range", "_lrn", "_ldr", "_rn_off", "_dr_off", "_total")
 
 
 def number_within_groups(df: DataFrame, keys: list[str], order: list[str], col: str = "row_in_group",
@@ -95,20 +114,26 @@ def number_within_groups(df: DataFrame, keys: list[str], order: list[str], col:
     """``row_number() over (partition by keys order by order)`` without
     putting a whole group into one task.
 
-    Rows are range-partitioned by (keys, order), so a group holding a third of
-    all rows is split over many tasks, and written once.  Only the first group
-    of a range can continue from earlier ranges; the rows it has there come
-    from one statistics row a range.  ``order`` must make the order total within a
+    Rows are dealt by ranges of (keys, order), so a group holding a third of
+    all rows is split over many tasks.  Only the first group of a range can
+    continue from earlier ranges; the rows it has there come from one
+    statistics row a range.  ``order`` must make the order total within a
     group (or the tied rows be identical).
     """
+    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.struct(*[F.col(k) for k in keys])
-    rows = _positions(df, [F.col(c).asc() for c in [*keys, *order]], num_partitions)
-    first = F.min("_at").over(Window.partitionBy("_range", *keys))
-    local = rows.withColumn("_ln", F.col("_at") - first + 1).withColumn("_key", key)
+    columns = [F.col(c) for c in [*keys, *order]]
+    sort = [c.asc() for c in columns]
+    w = Window.partitionBy("_range")
+    # The sample takes rows by their hash; equal rows have equal hashes and differ by nothing.
+    local = (_ranges(df, columns, F.struct(*columns), n_parts)
+             .withColumn("_rn", F.row_number().over(w.orderBy(*sort)))
+             .withColumn("_ln", F.col("_rn") - F.rank().over(w.orderBy(*[F.col(k).asc() for k in keys])) + 1)
+             .withColumn("_key", key))
     stats = local.groupBy("_range").agg(
-        F.min_by("_key", "_at").alias("_first"),
-        F.max_by("_key", "_at").alias("_last"),
-        F.max_by("_ln", "_at").alias("_tail"))
+        F.min_by("_key", "_rn").alias("_first"),
+        F.max_by("_key", "_rn").alias("_last"),
+        F.max_by("_ln", "_rn").alias("_tail"))
     # Runs of ranges that end with one key: the rows of that key so far, over one row a range.
     order_w = Window.orderBy("_range")
     upto = order_w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -122,4 +147,4 @@ def number_within_groups(df: DataFrame, keys: list[str], order: list[str], col:
         F.lag("_last").over(order_w).eqNullSafe(F.col("_first")), F.lag("_so_far").over(order_w)).alias("_carry"))
     out = local.join(F.broadcast(carry), "_range")  # a row a range
     number = F.col("_ln") + F.when(F.col("_key").eqNullSafe(F.col("_first")), F.coalesce("_carry", F.lit(0))).otherwise(0)
-    return out.withColumn(col, number).drop("_range", "_at", "_ln", "_key", "_first", "_carry")
+    return out.withColumn(col, number).drop("_range", "_rn", "_ln", "_key", "_first", "_carry")
