@@ -20,6 +20,7 @@ _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: Characters at which str.split breaks but the tokenizer does not.
 _ODD = re.compile(r"[\x1c-\x1f]")
 _LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+_MARKS = ".,;:!?"
 _ENDING = re.compile(r"([a-zß-öø-ÿ]+)([.,;:!?]+)")
 #: Words of one generation; a worker remembers two, about 150 MB.
 REMEMBERED = 350_000
@@ -67,23 +68,29 @@ class WordTokenizer:
 
     def _direct(self, words: list[str]) -> list[bytes]:
         tokenize = self.model.tokenize
-        return [array("I", [t.id for t in tokenize(w.encode().decode("latin-1").translate(_BYTE_LETTERS))]).tobytes() for w in words]
+        letters = [w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LETTERS) for w in words]
+        return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in letters]
+
+    def _recall(self, new: set[str]) -> set[str]:
+        """Take words of the older generation over; the others."""
+        known, older = self.known, self.older
+        # Word by word: set operations with a dictionary would walk all of the dictionary.
+        back = [w for w in new if w in older]
+        for word in back:
+            known[word] = older[word]
+        new.difference_update(back)
+        return new
 
     def _meet(self, words: set[str]) -> None:
         """Have all ``words`` in the younger generation."""
         if len(self.known) + len(words) > REMEMBERED:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = words.difference(known)
-        for word in new.intersection(older):
-            known[word] = older[word]
-        new.difference_update(older)
-        composed = [m for m in map(_ENDING.fullmatch, new) if m]
+        known = self.known
+        new = self._recall(words.difference(known))
+        composed = [m for w in new if w[-1] in _MARKS and (m := _ENDING.fullmatch(w))]
         new.difference_update([m[0] for m in composed])
-        parts = {p for m in composed for p in m.groups()}.difference(known)
-        for word in parts.intersection(older):
-            known[word] = older[word]
-        todo = sorted(new.union(parts.difference(older)))
+        parts = self._recall({p for m in composed for p in m.groups()}.difference(known))
+        todo = sorted(new.union(parts))
         plain = [w for w in todo if self.direct and _LETTERS.fullmatch(w)]
         known.update(zip(plain, self._direct(plain)))
         todo = [w for w in todo if w not in known]
