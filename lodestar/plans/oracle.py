@@ -199,6 +199,14 @@ FROM (SELECT category, SUM(items) AS items, SUM(sales) AS sales, SUM(freight) AS
 WHERE sales > 1000"""
 
 
+# March 1997 with doubled prices and line 1 of each of its orders moved to April.
+CORRECTED = """corrected AS (
+  SELECT order_id, order_item_id, customer_sk, product_sk, freight_value,
+         CASE WHEN order_date_sk // 100 = 199703 THEN sales_amount * 2 ELSE sales_amount END AS sales_amount,
+         CASE WHEN order_date_sk // 100 = 199703 AND order_item_id = 1 THEN 19970415 ELSE order_date_sk END AS order_date_sk
+  FROM fact_sales)"""
+
+
 # ---- quality -------------------------------------------------------------------
 
 def uniqueness_sql(table: str, keys: list[str], name: str, severity: str = "CRITICAL") -> str:
@@ -427,6 +435,9 @@ FROM bronze_orders""", dirty=True),
     "pipeline_incremental": with_star("""SELECT order_date_sk // 100 AS order_month, COUNT(*) AS row_count,
        CAST(SUM(CASE WHEN order_date_sk // 100 = 199703 THEN sales_amount * 2 ELSE sales_amount END) AS DOUBLE) AS sales,
        order_date_sk // 100 = 199703 AS written FROM fact_sales GROUP BY order_date_sk // 100""", renumber=True),
+    **{f"rollup_{name}": with_star(view.replace("fact_sales", "corrected"), extra=[CORRECTED], renumber=True) for name, view in {
+        "kpis": EXECUTIVE_KPIS, "monthly_sales": MONTHLY_SALES, "yoy_growth": YOY_GROWTH, "customer_ltv": CUSTOMER_LTV,
+        "category_freight": CATEGORY_FREIGHT}.items()},
     "compaction": with_star("""SELECT COUNT(*) AS row_count, CAST(SUM(sales_amount) AS DOUBLE) AS sales, 26 AS files_before, 24 AS files_merged,
        true AS few_after, true AS large_untouched FROM fact_sales"""),
     "upsert_key_filter": with_star("""SELECT COUNT(*) AS matches, true AS none_lost, true AS few_passed FROM fact_sales

@@ -23,6 +23,7 @@ from lodestar.operators import fact as fact_ops
 from lodestar.operators.layout import cluster_by
 from lodestar.operators.quality import QualityGateError, standard_suite
 from lodestar.operators.upsert import _in, as_text, assert_unique_keys, merge_rows, touched_partitions
+from lodestar.plans import rollups
 from lodestar.sources import store
 from lodestar.sources.store import Releases
 
@@ -52,17 +53,20 @@ class RunResult:
 def run_pipeline(spark: SparkSession, bronze: dict[str, DataFrame], name: str, path: str | None = None,
                  customer_link: str = "deduped", calendar: tuple[str, str] | None = None,
                  as_of=None, cluster: bool = True, fact_keys=fact_ops.FACT_KEYS,
-                 enforce: bool = True, keep: int = 2) -> RunResult:
+                 enforce: bool = True, keep: int = 2, reports: bool = False) -> RunResult:
     """Run everything as the next release of ``name`` (tables under ``path``).
 
+    With ``reports``, the release also holds the monthly states of the views
+    (``rollups.Reports``), refreshed for the months that the run writes.
+
     ``published`` tells whether the release is current now: with failed
     critical checks it is not, whether or not ``enforce`` raises.
     """
     with store.Staging(spark, name) as staging:
-        return _run(spark, bronze, Releases(spark, name, path), staging, customer_link, calendar, as_of, cluster, fact_keys, enforce, keep)
+        return _run(spark, bronze, Releases(spark, name, path), staging, customer_link, calendar, as_of, cluster, fact_keys, enforce, keep, reports)
 
 
-def _run(spark, bronze, releases, staging, customer_link, calendar, as_of, cluster, fact_keys, enforce, keep) -> RunResult:
+def _run(spark, bronze, releases, staging, customer_link, calendar, as_of, cluster, fact_keys, enforce, keep, reports) -> RunResult:
     name, path = releases.name, releases.path
     before, number = releases.current(), releases.begin()
 
@@ -105,6 +109,8 @@ def _run(spark, bronze, releases, staging, customer_link, calendar, as_of, clust
     if failed and enforce:
         raise QualityGateError(f"{len(failed)} critical check(s) failed; gold not published")
     if not failed:
+        if reports:
+            rollups.refresh(releases, number, before, months, MONTH)
         releases.publish(number)
         releases.retire(keep)
     return RunResult(ledger, number, not failed, months)

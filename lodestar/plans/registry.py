@@ -19,7 +19,7 @@ from lodestar.operators import bloom, cleaning, compaction, dims, layout, qualit
 from lodestar.operators import fact as fact_ops
 from lodestar.operators import upsert as upsert_ops
 from lodestar.operators.stamps import without_stamps
-from lodestar.plans import named, pipeline, sqlguard, views
+from lodestar.plans import named, pipeline, rollups, sqlguard, views
 from lodestar.plans.star import publish_star, read_release, star_from_bronze, star_from_tables
 from lodestar.session import scratch_root
 from lodestar.sources import csv as csv_source
@@ -624,6 +624,51 @@ def q_pipeline_incremental(spark, sf):
         F.count(F.lit(1)).alias("row_count"), F.sum("sales_amount").cast("double").alias("sales"), F.max("written").alias("written"))
 
 
+def _rolled(spark, sf):
+    """Reports from monthly states, after a second release with dearer lines in one month and lines that moved to another.
+
+    The correction doubles the prices of March 1997 and moves line 1 of that month's orders to April.
+    """
+    releases = store.Releases(spark, *_pipeline_name(spark))
+    star = star_from_bronze(spark, _renumbered_bronze(spark, sf))
+    month = F.floor(F.col("order_date_sk") / 100).cast("int")
+    first, second = releases.begin(), releases.begin() + 1
+    fact = releases.save_partitioned(star.fact.withColumn(pipeline.MONTH, month), "fact_sales", first, pipeline.MONTH)
+    rollups.refresh(releases, first, None, [], pipeline.MONTH)
+    march = fact.where(F.col(pipeline.MONTH) == 199703)
+    moved = F.when(F.col("order_item_id") == 1, F.lit(19970415)).otherwise(F.col("order_date_sk"))
+    updates = march.withColumn("sales_amount", (F.col("sales_amount") * 2).cast(MONEY)).withColumn("order_date_sk", moved)
+    updates = updates.withColumn(pipeline.MONTH, month)
+    months = [199703, 199704]
+    changed = upsert_ops.merge_rows(fact.where(F.col(pipeline.MONTH).isin(months)), updates, fact_ops.FACT_KEYS)
+    releases.save_partitioned(changed, "fact_sales", second, pipeline.MONTH, first, upsert_ops.as_text(months))
+    rollups.refresh(releases, second, first, months, pipeline.MONTH)
+    return star, rollups.Reports(releases, pipeline.MONTH, second)
+
+
+def q_rollup_kpis(spark, sf):
+    return _rolled(spark, sf)[1].executive_kpis()
+
+
+def q_rollup_monthly_sales(spark, sf):
+    star, reports = _rolled(spark, sf)
+    return reports.monthly_sales(star.dim_date)
+
+
+def q_rollup_yoy_growth(spark, sf):
+    star, reports = _rolled(spark, sf)
+    return reports.yoy_growth(star.dim_date)
+
+
+def q_rollup_customer_ltv(spark, sf):
+    return _rolled(spark, sf)[1].customer_ltv()
+
+
+def q_rollup_category_freight(spark, sf):
+    star, reports = _rolled(spark, sf)
+    return reports.category_freight(star.dim_product)
+
+
 def q_pipeline_bad_rows(spark, sf):
     """Bad rows in the second run: its ledger's failures, and the release that stays published."""
     name, path = _pipeline_name(spark)
@@ -701,6 +746,11 @@ QUERIES: dict[str, Query] = {
     "pipeline_fact": q_pipeline_fact,
     "pipeline_bad_rows": q_pipeline_bad_rows,
     "pipeline_incremental": q_pipeline_incremental,
+    "rollup_kpis": q_rollup_kpis,
+    "rollup_monthly_sales": q_rollup_monthly_sales,
+    "rollup_yoy_growth": q_rollup_yoy_growth,
+    "rollup_customer_ltv": q_rollup_customer_ltv,
+    "rollup_category_freight": q_rollup_category_freight,
     "csv_roundtrip": q_csv_roundtrip,
     "schema_evolution": q_schema_evolution,
     "zorder_layout": q_zorder_layout,
