@@ -1,6 +1,6 @@
 """Preference formatting of conversation pairs, with DataFrame functions only.
 
-A pair is a chosen and a rejected conversation.  The turns they have in common
+A pair is a chosen and a rejected conversation of one key.  The turns they have in common
 from the start (same role, same text) are rendered once as the prompt; what
 follows is rendered as two completions.  Each completion has a mask: runs of
 characters with 1 where the model is trained (the assistant's text and its end
@@ -12,9 +12,11 @@ the output demands.  Turns are ordered by (turn, role, text).
 Results for edge cases: a null role is rendered and compared as an empty one,
 a null text likewise; a turn row without a conversation id belongs to none and
 is left out; repeated turn rows are turns of their own; two equal
-conversations give a prompt and two empty completions; a pair whose other
-conversation is missing has an empty prompt and a null id for it, with an empty
-completion; an empty table gives no rows.
+conversations give a prompt and two empty completions; a key with one
+conversation has a row with an empty prompt, a null id for the other and an
+empty completion; conversations without a key pair with one another; a long text
+is rendered whole; further columns, whatever their names, are not read; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -52,25 +54,21 @@ def preference_pairs(turns: DataFrame, pair: Column, conversation: str = "conv_i
                      text: str = "text") -> DataFrame:
     """(pair_id, chosen_id, rejected_id, prompt_turns, prompt, chosen, rejected, chosen_mask, rejected_mask).
 
-    ``pair`` gives the pair of a turn row.  Of a pair's two smallest
-    conversation ids, the one with more turns is chosen, the smaller id if
-    they have as many.
+    ``pair`` gives the key of a turn row.  Of a key's conversations the one with
+    the most turns is chosen, the smallest id of equals; each other one is
+    rejected against it in a row of its own.  Only a conversation's own turns
+    are collected, so a key may hold any number of conversations.
     """
     rows = turns.where(F.col(conversation).isNotNull()).select(
-        pair.alias("pair_id"),
-        F.struct(F.col(conversation).alias("conv"), F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
+        pair.alias("pair_id"), F.col(conversation).alias("conv"),
+        F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"),
                  F.coalesce(F.col(text), F.lit("")).alias("text")).alias("t"))
-    pairs = rows.groupBy("pair_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    ids = F.array_distinct(F.transform("turns", lambda t: t["conv"]))
-    pairs = pairs.select("pair_id", "turns", F.get(ids, 0).alias("id_a"), F.get(ids, 1).alias("id_b"))
-    pairs = pairs.select("pair_id", "id_a", "id_b",
-                         F.filter("turns", lambda t: t["conv"] == F.col("id_a")).alias("a"),
-                         F.coalesce(F.filter("turns", lambda t: t["conv"] == F.col("id_b")), F.slice("turns", 1, 0)).alias("b"))
-    swap = F.size("b") > F.size("a")
-    pairs = pairs.select(
-        "pair_id", F.when(swap, F.col("id_b")).otherwise(F.col("id_a")).alias("chosen_id"),
-        F.when(swap, F.col("id_a")).otherwise(F.col("id_b")).alias("rejected_id"),
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("c"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("r"))
+    convs = rows.groupBy("pair_id", "conv").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    best = convs.groupBy("pair_id").agg(F.min_by(F.struct("conv", "turns"), F.struct(-F.size("turns"), "conv")).alias("best"))
+    best = best.select("pair_id", F.col("best.conv").alias("chosen_id"), F.col("best.turns").alias("c"))
+    others = convs.select(F.col("pair_id").alias("_pair"), F.col("conv").alias("rejected_id"), F.col("turns").alias("r"))
+    pairs = best.join(others, F.col("pair_id").eqNullSafe(F.col("_pair")) & (F.col("rejected_id") != F.col("chosen_id")), "left")
+    pairs = pairs.select("pair_id", "chosen_id", "rejected_id", "c", F.coalesce("r", F.slice("c", 1, 0)).alias("r"))
     least = F.least(F.size("c"), F.size("r"))
     differ = F.expr("""array_min(filter(sequence(0, greatest(least(size(c), size(r)) - 1, 0)),
         i -> NOT (get(c, i).role <=> get(r, i).role AND get(c, i).text <=> get(r, i).text)))""")

@@ -48,3 +48,15 @@ def test_pairs_equal_brute_force_and_sql(spark):
 
 def test_empty_table(spark):
     assert chat.preference_pairs(spark.createDataFrame([], SCHEMA), F.floor(F.col("conv_id") / 2).cast("long")).count() == 0
+
+
+def test_every_further_conversation_of_a_key_is_rejected_against_the_chosen_one(spark):
+    rows = [(c, t, "user" if t % 2 == 0 else "assistant", "hi" if t == 0 else f"{c}")
+            for c, n in [("k", 2), ("m", 4), ("a", 4), ("z", 1)] for t in range(n)]
+    docs = spark.createDataFrame([(*r, k) for r in rows for k in (None, "key")], "conv_id string, turn int, role string, text string, pair_id string")
+    got = chat.preference_pairs(docs.where("pair_id IS NULL"), F.col("pair_id")).collect()
+    assert {(r.pair_id, r.chosen_id, r.rejected_id, r.prompt_turns) for r in got} == {
+        (None, "a", "k", 1), (None, "a", "m", 1), (None, "a", "z", 1)} and len(got) == 3
+    both = chat.preference_pairs(docs, F.col("pair_id"))
+    assert both.count() == 6
+    assert {r.rejected for r in both.collect() if r.rejected_id == "k"} == {"<|assistant|>\nk<|end|>\n"}
