@@ -12,6 +12,7 @@ from . import (chat, codes, decontamination, html, neardup, oracles, packing, qu
                training_order, whitening)
 
 SHARD_BYTES = 32 << 20
+DEEP_SHARD_BYTES = 256 << 10
 
 
 def _table(spark, sf_dir, name):
@@ -28,6 +29,11 @@ def op1_sharding(spark, sf_dir):
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def sharding_deep(spark, sf_dir):
+    """Shards of at most 256 KB, which part the documents of every given scale at several depths."""
+    return sharding.assign_shards(_table(spark, sf_dir, "documents"), DEEP_SHARD_BYTES)
+
+
 def op2_quality(spark, sf_dir):
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -82,10 +88,11 @@ def op13_whitening(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_sharding, op2_quality, op3_decontamination, op4_minhash, op5_substring, op6_chat, op7_toxicity, op8_packing,
-    op9_html, op10_training_order, op11_codes, op12_suffixes, op13_whitening)}
+    op9_html, op10_training_order, op11_codes, op12_suffixes, op13_whitening, sharding_deep)}
 
 ORACLE_SQL: dict[str, str] = {
     "op1_sharding": oracles.sharding(SHARD_BYTES),
+    "sharding_deep": oracles.sharding(DEEP_SHARD_BYTES),
     "op4_minhash": oracles.NEARDUP,
     "op5_substring": oracles.SUBSTRING,
     "op6_chat": chat.ORACLE,

@@ -92,11 +92,19 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Write ``docs`` as one folder for each shard under ``path``; returns the directory."""
+    """Write ``docs`` as one folder for each shard under ``path``; returns the directory.
+
+    The folders' column is named ``shard``, with underscores appended while
+    ``docs`` has a column of that name.  Rows that no bit can part share a
+    folder, not a task: a folder far above the others gets several files.
+    """
+    folder = "shard"
+    while folder.lower() in (c.lower() for c in docs.columns):
+        folder += "_"
     placed = assign_shards(docs, limit, key, text).select(
-        F.col(key).alias("_shard_key"), F.col("shard").alias("_shard"), "shard_rows", "shard_bytes").distinct()
-    out = docs.join(placed.select("_shard_key", "_shard"), docs[key].eqNullSafe(F.col("_shard_key"))).drop("_shard_key")
-    out.withColumn("shard", F.concat(F.lit("b"), "_shard")).drop("_shard").repartition("shard").write \
-        .partitionBy("shard").parquet(path)
-    return placed.groupBy(F.concat(F.lit("b"), "_shard").alias("shard")).agg(
+        F.col(key).alias("_key"), F.concat(F.lit("b"), "shard").alias(folder), "shard_rows", "shard_bytes").distinct()
+    rows = docs.select(F.col(key).alias("_own"), F.struct("*").alias("_row"))
+    out = rows.join(placed.select("_key", folder), F.col("_own").eqNullSafe(F.col("_key"))).select("_row.*", folder)
+    out.hint("rebalance", F.col(folder)).write.partitionBy(folder).parquet(path)
+    return placed.groupBy(F.col(folder).alias("shard")).agg(
         F.first("shard_rows").alias("shard_rows"), F.first("shard_bytes").alias("shard_bytes"))

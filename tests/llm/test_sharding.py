@@ -42,3 +42,14 @@ def test_written_shards_hold_all_rows(spark, scratch):
     sharding.write_shards(docs, f"{scratch}/out", 2_000)
     back = spark.read.parquet(f"{scratch}/out")
     assert sorted(r.doc_id for r in back.select("doc_id").collect()) == list(range(60))
+
+
+def test_columns_of_the_same_names_are_kept(spark, scratch):
+    docs = frame(spark, [(i, prose(i, 30)) for i in range(40)] + [(None, "x"), (7, "again")])
+    for name in ("shard", "_key", "_row", "_own"):
+        docs = docs.withColumn(name, docs["doc_id"] * 2)
+    directory = sharding.write_shards(docs, f"{scratch}/out", 2_000)
+    back = spark.read.parquet(f"{scratch}/out")
+    assert "shard_" in back.columns and directory.columns == ["shard", "shard_rows", "shard_bytes"]
+    assert sorted(map(str, back.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
+    assert {r["shard_"] for r in back.select("shard_").distinct().collect()} == {r.shard for r in directory.collect()}
