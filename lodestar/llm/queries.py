@@ -12,7 +12,7 @@ from . import (chat, codes, decontamination, html, neardup, oracles, packing, qu
                training_order, whitening)
 
 SHARD_BYTES = 32 << 20
-DEEP_SHARD_BYTES = 256 << 10
+DEEP_SHARD_BYTES = 16 << 10
 
 
 def _table(spark, sf_dir, name):
@@ -30,7 +30,7 @@ def op1_sharding(spark, sf_dir):
 
 
 def sharding_deep(spark, sf_dir):
-    """Shards of at most 256 KB, which part the documents of every given scale at several depths."""
+    """Shards of at most 16 KB, which part the documents of every given scale at several depths."""
     return sharding.assign_shards(_table(spark, sf_dir, "documents"), DEEP_SHARD_BYTES)
 
 
