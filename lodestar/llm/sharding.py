@@ -9,7 +9,9 @@ go on to the next round with deeper cells.  The number of cells, not of rows,
 is what the rounds work on.
 
 Rows, cells and directory stay distributed; the driver sees two numbers a
-round.  Results for edge cases:
+round.  Cells are joined by shuffles alone: their tables compress so well that
+a broadcast, chosen by their stored bytes, would hold millions of them in the
+driver.  Results for edge cases:
 
 * null text counts zero bytes, a null key is hashed as its own value;
 * a row larger than the limit, or rows with one and the same key, cannot be
@@ -68,14 +70,14 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
             "_prefix", F.call_function("shiftright", F.col("_cell"), (F.lit(deepest) - F.col("_depth")).cast("int")))
         sums = up.groupBy("_depth", "_prefix").agg(F.sum("_bytes").alias("_sum"), F.sum("_rows").alias("_n"))
         fits = (F.col("_sum") <= limit) | (F.col("_depth") == BITS)
-        place = up.select("_cell", "_depth", "_prefix").join(sums, ["_depth", "_prefix"]).groupBy("_cell").agg(
+        place = up.select("_cell", "_depth", "_prefix").join(sums.hint("merge"), ["_depth", "_prefix"]).groupBy("_cell").agg(
             F.min(F.when(fits, F.struct("_depth", "_prefix", "_sum", "_n"))).alias("_at"))
         place = scratch.put(place.select(F.lit(deepest).alias("_level"), "_cell", "_at"), f"place{step}")
         places.append((deepest, place.where(F.col("_at").isNotNull())))
         over = place.where(F.col("_at").isNull()).select("_cell")
         if deepest == BITS or over.isEmpty():
             break
-        rest = rest.withColumn("_cell", _prefix(F.col("_hash"), deepest)).join(over, "_cell", "left_semi").drop("_cell")
+        rest = rest.withColumn("_cell", _prefix(F.col("_hash"), deepest)).join(over.hint("merge"), "_cell", "left_semi").drop("_cell")
         floor, deepest, step = deepest, min(BITS, deepest + 8), step + 1
     # A row's cell has its place in one round's table, the round that settled it.
     levels = F.array(*[F.struct(F.lit(d).alias("_level"), _prefix(F.col("_hash"), d).alias("_cell")) for d, _ in places])
@@ -83,7 +85,7 @@ def assign_shards(docs: DataFrame, limit: int, key: str = "doc_id", text: str =
     for _, place in places[1:]:
         every = every.unionByName(place)
     placed = rows.select("_key", "_bytes", F.explode(levels).alias("_l")).select("_key", "_bytes", "_l.*").join(
-        every, ["_level", "_cell"]).select("_key", "_bytes", "_at.*")
+        every.hint("merge"), ["_level", "_cell"]).select("_key", "_bytes", "_at.*")
     return placed.select(
         F.col("_key").alias(key), F.col("_bytes").alias("n_bytes"), F.col("_depth").cast("int").alias("depth"),
         F.col("_prefix").alias("prefix"),

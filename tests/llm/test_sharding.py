@@ -53,3 +53,8 @@ def test_columns_of_the_same_names_are_kept(spark, scratch):
     assert "shard_" in back.columns and directory.columns == ["shard", "shard_rows", "shard_bytes"]
     assert sorted(map(str, back.select(*docs.columns).collect())) == sorted(map(str, docs.collect()))
     assert {r["shard_"] for r in back.select("shard_").distinct().collect()} == {r.shard for r in directory.collect()}
+
+
+def test_cells_are_never_broadcast(spark):
+    plan = sharding.assign_shards(frame(spark, [(i, prose(i, 30)) for i in range(60)]), 2_000)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
