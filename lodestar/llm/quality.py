@@ -8,11 +8,12 @@ n-grams, target over raw, divided by their number.  Documents below a fixed
 threshold of that score are rejected; the decision depends on the document
 and the two tables alone, never on a random draw.
 
-The threshold is fitted on labelled documents: the lowest one that tells nearly as
-many trusted and rejected ones apart as the best, and never so high that more
-than ``LOSS`` of the trusted ones go, each scored as if its own n-grams were
-not among the trusted counts.  The threshold uses at most ``LABELLED`` labelled
-rows (the smallest hashes of their ids); trusted counts use all labelled rows,
+The threshold is fitted on all labelled documents: the lowest one that tells
+nearly as many trusted and rejected ones apart as the best, and never so high
+that more than ``LOSS`` of the trusted ones go, each scored as if its own n-grams
+were not among the trusted counts.  Scores are counted in steps of 1 / ``STEPS``,
+which are also the thresholds to choose from, so the driver holds a table whose
+size is bounded by the range of the scores.  Trusted counts use all labelled rows,
 found by a shuffle join, and corpus counts all documents.
 
 Results for edge cases: null or empty text has no words, so the base rule
@@ -33,8 +34,10 @@ from .shared import Scratch, row_slices, text_bytes
 from .words import U64, Words, mix, odd_constants, solid_bytes, span_hashes, words_of
 
 BUCKETS = 1 << 16
-#: Bound on the labelled rows that fit the threshold; the trusted multinomial counts all.
-LABELLED = 20_000
+#: Bound on the labelled rows that fit the threshold: none, all of them do.
+LABELLED = None
+#: Steps of a score that the threshold is chosen from.
+STEPS = 4096
 #: Share of trusted documents that the threshold may reject at most.
 LOSS = 0.002
 #: Loss of separation that a lower threshold, which keeps more, may cost.
@@ -45,6 +48,8 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 _PAIR = odd_constants(51, 2)
 _COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, score double"
+#: With trusted counts, also the score of a text whose own n-grams are among them.
+_OWN = f"{_COUNTS}, own_score double"
 
 
 def _per_text(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -130,28 +135,26 @@ def _own_share(target: np.ndarray, buckets: np.ndarray, doc: np.ndarray, n: int)
 def _measures(ratio: np.ndarray, place: int, keep_text: bool = False, target: np.ndarray | None = None):
     """The input columns (the text in column ``place`` only if kept), then the base counts and the score.
 
-    With ``target``, rows whose first column is 1 score as if they were not counted in it.
+    With ``target``, also the score as if the text were not counted in it.
     """
+    fields = [f.split()[0] for f in (_COUNTS if target is None else _OWN).split(", ")]
 
     def run(batches):
         for batch in batches:
             parts = []
-            for rows, words in _slices(batch.column(place)):
+            for _, words in _slices(batch.column(place)):
                 n = len(words.first) - 1
                 buckets, doc = gram_buckets(words)
                 grams = np.bincount(doc, minlength=n)
                 score = np.bincount(doc, weights=ratio[buckets], minlength=n) / np.maximum(grams, 1)
-                if target is not None:
-                    counted = np.array(batch.column(0).to_pylist()[rows]) == 1
-                    score -= np.where(counted, _own_share(target, buckets, doc, n), 0.0)
+                own = [] if target is None else [score - _own_share(target, buckets, doc, n)]
                 lead = solid_bytes(words.raw) & ((words.raw & 0xC0) != 0x80)
                 parts.append((words.counts, _per_text(lead, words.bounds), _per_text(_SYMBOL[words.raw], words.bounds),
-                              duplicate_lines(words), repeated_words(words), grams, score))
+                              duplicate_lines(words), repeated_words(words), grams, score, *own))
             columns = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)] if parts else \
-                [pa.array([], pa.int64())] * 6 + [pa.array([], pa.float64())]
+                [pa.array([], pa.int64())] * 6 + [pa.array([], pa.float64())] * (len(fields) - 6)
             kept = [i for i in range(batch.num_columns) if keep_text or i != place]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *columns], names=[
-                *[batch.schema.names[i] for i in kept], *[f.split()[0] for f in _COUNTS.split(", ")]])
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in kept], *columns], names=[*[batch.schema.names[i] for i in kept], *fields])
 
     return run
 
@@ -162,28 +165,30 @@ def _labelled(labels: DataFrame) -> DataFrame:
         F.min("quality").alias("quality"))
 
 
-def _threshold(trusted: np.ndarray, rejected: np.ndarray) -> float:
-    """Where most of the two are told apart, and at most ``LOSS`` of the trusted lie below."""
+def _threshold(trusted: np.ndarray, rejected: np.ndarray, n_trusted: np.ndarray | None = None, n_rejected: np.ndarray | None = None) -> float:
+    """Where most of the two are told apart, and at most ``LOSS`` of the trusted lie below; values may come with their numbers."""
     if not len(trusted) or not len(rejected):
         return -np.inf
-    trusted, rejected = np.sort(trusted), np.sort(rejected)
-    most = trusted[min(len(trusted) - 1, int(LOSS * len(trusted)))]
-    edges = np.unique(np.concatenate([trusted, rejected]))
-    edges = edges[edges <= most]
-    right = np.searchsorted(rejected, edges) / len(rejected) - np.searchsorted(trusted, edges) / len(trusted)
-    best = int(np.flatnonzero(right >= right.max() - CLOSE)[0])  # the lowest that does nearly as well
-    below = max([x for x in (trusted[trusted < edges[best]][-1:], rejected[rejected < edges[best]][-1:]) for x in x], default=edges[best])
-    return float((edges[best] + below) / 2)
+    n_trusted = np.ones(len(trusted), np.int64) if n_trusted is None else n_trusted
+    n_rejected = np.ones(len(rejected), np.int64) if n_rejected is None else n_rejected
+    edges, at = np.unique(np.concatenate([trusted, rejected]), return_inverse=True)
+
+    def upto(at, n):  # rows at the edge or below
+        return np.cumsum(np.bincount(at, weights=n, minlength=len(edges))).astype(np.int64)
+
+    good, bad = upto(at[:len(trusted)], n_trusted), upto(at[len(trusted):], n_rejected)
+    most = int(np.searchsorted(good, min(good[-1] - 1, int(LOSS * good[-1])), side="right"))
+    below = np.concatenate([[0], bad])[:most + 1] / bad[-1] - np.concatenate([[0], good])[:most + 1] / good[-1]
+    best = int(np.flatnonzero(below >= below.max() - CLOSE)[0])  # the lowest that does nearly as well
+    return float((edges[best] + edges[max(best - 1, 0)]) / 2)
 
 
 def _base_failed() -> F.Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[np.ndarray, float]:
-    """The log ratio of each bucket, and the threshold."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "quality")
+def _ratio(docs: DataFrame, labels: DataFrame, scratch: Scratch, key: str, text: str) -> tuple[np.ndarray, np.ndarray, DataFrame]:
+    """The log ratio of each bucket, the trusted count of each, and the labelled ids."""
     own = scratch.put(_labelled(labels), "labelled")
     rows = docs.select(F.col(key).cast("long").alias("labelled"), F.col(text).alias("text"))
     # Every row counts as raw where it lies; the rows of all trusted ids are found by a join and count as target.
@@ -195,22 +200,38 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     raw[counts[:, 0]], target[counts[:, 0]] = counts[:, 1], counts[:, 2]
     if not target.any():
-        return np.zeros(BUCKETS), -np.inf
+        return np.zeros(BUCKETS), target, own
     ratio = np.log((target + SMOOTHING) / (target.sum() + SMOOTHING * BUCKETS)) - np.log((raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS))
-    sample = scratch.put(own.orderBy(F.xxhash64("labelled"), "labelled").limit(LABELLED), "sample")
-    known = rows.join(F.broadcast(sample), "labelled").select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(
-        _measures(ratio, 1, target=target), f"quality int, {_COUNTS}")
-    known = known.where(~_base_failed()).select("quality", "score").toPandas()  # ``LABELLED`` ids at most
-    score, good = known["score"].to_numpy(), known["quality"].to_numpy() == 1
-    return ratio, _threshold(score[good], score[~good])
+    return ratio, target, own
 
 
-def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score)."""
-    ratio, threshold = fit(docs, labels, key, text)
+def _fitted(docs: DataFrame, labels: DataFrame, key: str, text: str) -> tuple[np.ndarray, float, DataFrame]:
+    """The log ratio of each bucket, the threshold, and (key, counts and scores) of all rows, stored."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    ratio, target, own = _ratio(docs, labels, scratch, key, text)
     rows = docs.select(F.col(key), F.col(text))
     name = rows.schema[0].dataType.simpleString()
-    out = rows.mapInArrow(_measures(ratio, 1), f"`{key}` {name}, {_COUNTS}").withColumn("base_failed", _base_failed())
+    scored = scratch.put(rows.mapInArrow(_measures(ratio, 1, target=target), f"`{key}` {name}, {_OWN}"), "scored")
+    if not target.any():
+        return ratio, -np.inf, scored
+    known = scored.where(~_base_failed()).select(F.col(f"`{key}`").cast("long").alias("labelled"), "score", "own_score").join(own, "labelled")
+    step = F.floor(F.when(F.col("quality") == 1, F.col("own_score")).otherwise(F.col("score")) * STEPS)
+    steps = known.groupBy(step.alias("step")).agg(  # a row a step: scores lie between the smallest and the largest log ratio
+        F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad")).toPandas().to_numpy(np.int64)
+    at, good, bad = (steps[:, 0] + 0.5) / STEPS, steps[:, 1], steps[:, 2]  # the middle of a step, so that no step is cut
+    threshold = _threshold(at[good > 0], at[bad > 0], good[good > 0], bad[bad > 0])
+    return ratio, threshold, scored
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[np.ndarray, float]:
+    """The log ratio of each bucket, and the threshold."""
+    return _fitted(docs, labels, key, text)[:2]
+
+
+def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, score)."""
+    _, threshold, scored = _fitted(docs, labels, key, text)
+    out = scored.withColumn("base_failed", _base_failed())
     kept = ~F.col("base_failed") & (F.col("score") >= F.lit(threshold))
     return out.select(key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       kept.alias("kept"), "score")

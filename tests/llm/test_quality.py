@@ -76,3 +76,25 @@ def test_threshold_scores_leave_the_own_text_out():
     got = quality._own_share(count(texts), np.concatenate(texts), doc, 20)
     for i, t in enumerate(texts):
         assert np.isclose(got[i], (log(count(texts)) - log(count(texts[:i] + texts[i + 1:])))[t].mean())
+
+
+def test_threshold_comes_from_every_labelled_document(spark, monkeypatch):
+    seen = []
+    real = quality._threshold
+
+    def spy(trusted, rejected, n_trusted, n_rejected):
+        seen.append((int(n_trusted.sum()), int(n_rejected.sum())))
+        return real(trusted, rejected, n_trusted, n_rejected)
+
+    good, junk = corpus()
+    monkeypatch.setattr(quality, "_threshold", spy)
+    monkeypatch.setattr(quality, "LABELLED", 5, raising=False)  # the bound that once cut the labels
+    quality.fit(frame(spark, good + junk), labels(spark, [(i, 1, 0) for i, _ in good] + [(i, 0, 0) for i, _ in junk]))
+    assert seen == [(60, 40)]
+
+
+def test_threshold_of_counted_scores_is_that_of_single_ones():
+    rng = np.random.default_rng(2)
+    trusted, rejected = rng.integers(-3, 40, 900) / 16, rng.integers(-40, 10, 700) / 16
+    counted = [x for y in (trusted, rejected) for x in np.unique(y, return_counts=True)]
+    assert quality._threshold(trusted, rejected) == quality._threshold(counted[0], counted[2], counted[1], counted[3])
