@@ -553,7 +553,7 @@ def q_schema_evolution(spark, sf):
 
 def q_zorder_layout(spark, sf):
     f = store.stage(without_stamps(star_from_tables(spark, sf).fact), "fact")
-    out = layout.cluster_by(f, pipeline.LAYOUT["fact_sales"], 8)
+    out = layout.cluster_by(f, pipeline.LAYOUT["fact_sales"], max(8, layout.partitions_for(f)))
     return _money_as_double(out, ["sales_amount", "freight_value"])
 
 
