@@ -474,7 +474,7 @@ def _items_csv(spark, sf):
 
 def _csv(spark, df, name):
     folder = _scratch(spark, "csv")
-    df.write.option("header", "true").csv(f"{folder}/{name}")
+    df.write.option("header", "true").option("compression", "gzip").csv(f"{folder}/{name}")
     return folder
 
 
