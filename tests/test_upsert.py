@@ -171,3 +171,17 @@ def test_release_is_current_only_when_published(spark, scratch):
         if value == 1:
             r.publish(n)
     assert r.current() == 1 and r.read("t").count() == r.read("u").count() == 1 and r.begin() == 3
+
+
+@pytest.mark.parametrize("partitioned", [False, True])
+def test_a_first_load_with_repeated_keys_leaves_no_table(spark, scratch, partitioned):
+    import os
+
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 2)], "k string, v int, p int")
+    name = f"first_load_{partitioned}"
+    with pytest.raises(DuplicateKeyError):
+        if partitioned:
+            upsert_partitioned(rows, name, ["k", "v"], "p", scratch)
+        else:
+            upsert(rows, name, ["k", "v"], scratch)
+    assert not spark.sql(f"SHOW TABLES LIKE '{name}*'").collect() and not os.listdir(scratch)
