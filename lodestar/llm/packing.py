@@ -39,12 +39,6 @@ _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _TEXT_BYTES = 1 << 20
 
 
-def _texts(batch: pa.RecordBatch, column: int):
-    _, off = text_bytes(batch.column(column))
-    for first, end in row_slices(off, _TEXT_BYTES):
-        yield first, end, [t or "" for t in batch.column(column).slice(first, end - first).to_pylist()]
-
-
 def _pieces(tokenizer: str, length: int, end_id: int, with_ids: bool):
     """(doc_id, piece, start, length, ids_crc32[, ids]) of rows (doc_id, text)."""
     end = np.array([end_id], "<u4").tobytes()
@@ -53,10 +47,13 @@ def _pieces(tokenizer: str, length: int, end_id: int, with_ids: bool):
     def run(batches):
         tokens = word_tokenizer(tokenizer)
         for batch in batches:
-            for first, _, texts in _texts(batch, 1):
+            raw, off = text_bytes(batch.column(1))
+            for first, stop in row_slices(off, _TEXT_BYTES):
                 doc, piece, start, size, crc, payload = [], [], [], [], [], []
-                for i, ids in enumerate(tokens.ids(texts)):
-                    ids += end
+                found, bounds = tokens.ids(raw[off[first]:off[stop]], off[first:stop + 1] - off[first])
+                bounds = bounds.tolist()
+                for i in range(stop - first):
+                    ids = found[bounds[i]:bounds[i + 1]].tobytes() + end
                     for n, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]
                         doc.append(first + i)

@@ -69,19 +69,25 @@ class Permutation:
 
 
 def _sequences(tokenizer: str, batch: pa.RecordBatch):
-    """(row, piece, ids) of rows (doc_id, text) in order."""
-    end = np.array([END_ID], "<u4").tobytes()
+    """(first row, ids, sequences of each row, start and size of each sequence in the ids) of slices of rows (doc_id, text)."""
     tokens = word_tokenizer(tokenizer)
-    _, off = text_bytes(batch.column(1))
+    raw, off = text_bytes(batch.column(1))
     for first, stop in row_slices(off):
-        texts = [t or "" for t in batch.column(1).slice(first, stop - first).to_pylist()]
-        for i, ids in enumerate(tokens.ids(texts)):
-            ids = np.frombuffer(ids + end, "<u4")
-            if ids.max() > 0xFFFF:
-                raise ValueError("ids of this vocabulary do not fit 16 bits")
-            ids = ids.astype("<u2")
-            for piece, at in enumerate(range(0, len(ids), LENGTH)):
-                yield first + i, piece, ids[at:at + LENGTH]
+        own = off[first:stop + 1] - off[first]
+        ids, bounds = tokens.ids(raw[off[first]:off[stop]], own)
+        ids = np.insert(ids, bounds[1:], END_ID)
+        bounds = bounds + np.arange(len(bounds))
+        if ids.max() > 0xFFFF:
+            raise ValueError("ids of this vocabulary do not fit 16 bits")
+        many = -(-np.diff(bounds) // LENGTH)
+        piece = _ranks(many)
+        start = np.repeat(bounds[:-1], many) + piece * LENGTH
+        yield first, ids.astype("<u2"), many, start, np.minimum(LENGTH, np.repeat(bounds[1:], many) - start)
+
+
+def _ranks(many: np.ndarray) -> np.ndarray:
+    """0 to many[i] - 1 for each i."""
+    return np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
 
 
 def _numbered(tokenizer: str):
@@ -90,18 +96,15 @@ def _numbered(tokenizer: str):
     def run(batches):
         split, inside = TaskContext.get().partitionId(), 0
         for batch in batches:
-            rows, pieces, sizes, sums = [], [], [], []
-            for row, piece, ids in _sequences(tokenizer, batch):
-                rows.append(row)
-                pieces.append(piece)
-                sizes.append(len(ids))
-                sums.append(zlib.crc32(ids.tobytes()))
-            n = len(rows)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, split, np.int32)), pa.array(np.arange(inside, inside + n)),
-                 batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()), pa.array(sizes, pa.int32()),
-                 pa.array(sums, pa.int64())], names=["split", "inside", "doc_id", "piece", "n_tokens", "ids_crc32"])
-            inside += n
+            for first, ids, many, start, size in _sequences(tokenizer, batch):
+                n, data = len(start), memoryview(ids)
+                sums = [zlib.crc32(data[a:b]) for a, b in zip(start.tolist(), (start + size).tolist())]
+                rows = np.repeat(np.arange(first, first + len(many)), many)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, split, np.int32)), pa.array(np.arange(inside, inside + n)),
+                     batch.column(0).take(pa.array(rows)), pa.array(_ranks(many).astype(np.int32)), pa.array(size.astype(np.int32)),
+                     pa.array(sums, pa.int64())], names=["split", "inside", "doc_id", "piece", "n_tokens", "ids_crc32"])
+                inside += n
 
     return run
 
@@ -114,14 +117,15 @@ def _records(tokenizer: str, base: dict[int, tuple[int, int]], order: Permutatio
         first, count = base.get(split, (0, 0))
         done = 0
         for batch in batches:
-            records = []
-            for _, _, ids in _sequences(tokenizer, batch):
-                record = np.full(LENGTH, PAD_ID, "<u2")
-                record[:len(ids)] = ids
-                records.append(record.tobytes())
-            slots = order.slots(np.arange(first + done, first + done + len(records)))
-            done += len(records)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(records, pa.binary())], names=["slot", "record"])
+            for _, ids, _, start, size in _sequences(tokenizer, batch):
+                n = len(start)
+                records = np.full((n, LENGTH), PAD_ID, "<u2")
+                records[np.arange(LENGTH) < size[:, None]] = ids  # sequences take all ids in order
+                slots = order.slots(np.arange(first + done, first + done + n))
+                done += n
+                offsets = np.arange(0, 2 * LENGTH * n + 1, 2 * LENGTH, dtype=np.int32)
+                binary = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(records)])
+                yield pa.RecordBatch.from_arrays([pa.array(slots), binary], names=["slot", "record"])
         if done != count:
             raise RuntimeError(f"split {split} held {count} sequences and now {done}: store the input first")
 
