@@ -2,7 +2,8 @@
 
 1. Files are listed with their sizes by Spark; the small ones of each folder
    are packed, in the order of their names (which is the clustering order of a
-   written table), into bins of about the target size.
+   written table), into bins of about the target size; the last one of a folder
+   goes with the one before it.
 2. The rows of each bin are written by one task, in the order of files and
    rows, into a hidden folder inside the table, which readers skip.  Spark
    prunes all large files from that scan by their size.
@@ -52,8 +53,11 @@ def listed(spark: SparkSession, path: str) -> DataFrame:
 def bins(files: DataFrame, target: int) -> DataFrame:
     """(file, folder, bin): the small files that share a bin with another, bins numbered from 0 over all folders."""
     small = files.where(F.col("size") < int(SMALL * target)).withColumn("folder", F.regexp_extract("file", "^(.*)/", 1))
-    ahead = F.sum("size").over(Window.partitionBy("folder").orderBy("file")) - F.col("size")
-    placed = small.withColumn("nth", F.floor(ahead / target))
+    by_name = Window.partitionBy("folder").orderBy("file")
+    placed = small.withColumn("nth", F.floor((F.sum("size").over(by_name) - F.col("size")) / target))
+    # The last file of a folder goes with the one before it, so that it is not left over alone.
+    last = F.lead("file").over(by_name).isNull()
+    placed = placed.withColumn("nth", F.when(last, F.coalesce(F.lag("nth").over(by_name), F.col("nth"))).otherwise(F.col("nth")))
     shared = placed.withColumn("many", F.count(F.lit(1)).over(Window.partitionBy("folder", "nth"))).where("many > 1")
     # A row a bin: their numbers are ranked in one task.
     numbered = shared.select("folder", "nth").distinct().withColumn("bin", F.row_number().over(Window.orderBy("folder", "nth")) - 1)

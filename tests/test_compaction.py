@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestar.operators import compaction
+from lodestar.plans import registry
 
 
 def stored(path):
@@ -43,6 +44,38 @@ def test_bins_hold_about_the_target(spark):
     assert sum(r.n for r in found) == 100 and all(r.s <= 114 and r.n > 1 for r in found) and sorted(r.bin for r in found) == list(range(len(found)))
 
 
+def test_the_last_small_file_is_not_left_over(spark):
+    files = spark.createDataFrame([("file:/t/1.parquet", 60), ("file:/t/2.parquet", 60), ("file:/t/3.parquet", 60), ("file:/u/1.parquet", 60)],
+                                  "file string, size long")
+    assert sorted((r.file[-11:], r.bin) for r in compaction.bins(files, 100).collect()) == [("t/1.parquet", 0), ("t/2.parquet", 0), ("t/3.parquet", 0)]
+
+
+def star_tables(spark, path, orders):
+    """Orders of two lines each, one in three with a key that 3 divides."""
+    spark.range(1).selectExpr("0 n_nationkey", "'x' n_name").write.parquet(f"{path}/nation.parquet")
+    spark.range(50).selectExpr("id c_custkey", "0 c_nationkey", "'a' c_mktsegment").write.parquet(f"{path}/customer.parquet")
+    spark.range(20).selectExpr("id p_partkey", "'LARGE' p_type", "'n' p_name", "'b' p_brand", "1 p_size").write.parquet(f"{path}/part.parquet")
+    spark.range(orders).selectExpr("id o_orderkey", "id % 50 o_custkey", "'O' o_orderstatus", "date'1997-03-01' + cast(id % 90 as int) o_orderdate") \
+        .write.parquet(f"{path}/orders.parquet")
+    spark.range(2 * orders).selectExpr("id div 2 l_orderkey", "cast(id % 2 as int) l_linenumber", "id * 7 % 20 l_partkey", "id % 5 l_suppkey",
+                                       "cast(id % 100 as double) l_extendedprice", "0.05D l_tax", "0.1D l_discount").write.parquet(f"{path}/lineitem.parquet")
+
+
+@pytest.mark.parametrize("orders", [600, 3000])
+def test_no_file_of_the_query_grows_with_the_fact(spark, scratch, monkeypatch, orders):
+    star_tables(spark, scratch, orders)
+    monkeypatch.setattr(registry, "FOLDER_LINES", 1500, raising=False)
+    real, tables = compaction.compact, []
+    monkeypatch.setattr(compaction, "compact", lambda spark, path, target: tables.append(path) or real(spark, path, target))
+    got = [tuple(r) for r in registry.QUERIES["compaction"](spark, scratch).collect()]
+    assert got == [(2 * orders, sum(i % 100 for i in range(2 * orders)), 26, 24, True, True)]
+    rows = spark.read.parquet(tables[0])
+    files = rows.groupBy(F.col("_metadata.file_path").alias("file_path")).count().collect()
+    assert len({os.path.dirname(r.file_path) for r in files}) == -(-2 * orders // 1500) and max(r["count"] for r in files) <= 750
+    keys = [(r.order_id, r.order_item_id) for r in rows.collect()]
+    assert sorted(keys) == sorted((str(i // 2), i % 2) for i in range(2 * orders))
+
+
 def test_files_of_different_columns(spark, scratch):
     path = f"{scratch}/t"
     spark.range(3).coalesce(1).write.mode("append").parquet(path)
