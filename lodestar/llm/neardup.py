@@ -142,7 +142,8 @@ def _agree(least: float):
 
 
 def _pairs_of_sets(batch):
-    for x, y in zip(batch.column(2), batch.column(3), strict=True):
+    last = batch.num_columns - 1
+    for x, y in zip(batch.column(last - 1), batch.column(last), strict=True):
         yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
 
 
@@ -159,19 +160,20 @@ def _common(batches):
 
 
 def _differences(batches):
-    """(head, doc, feature, probes): what b has beyond a, and lacks of it; the number of features to look up."""
+    """(head, doc, feature, probes, ...): what b has beyond a, and lacks of it; the number of features to look up; the pair's other columns."""
     for batch in batches:
-        heads, docs, features, probes = [], [], [], []
-        for a, b, (x, y) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), _pairs_of_sets(batch), strict=True):
+        features, probes = [], []
+        for x, y in _pairs_of_sets(batch):
             added, missing = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
-            own = np.concatenate([added, mix(missing + U64(1))])
-            features.append(own)
-            many = len(own) - (3 * len(added) + 4 * len(missing)) // 7
-            for column, value in ((heads, a), (docs, b), (probes, many)):
-                column.append(np.full(len(own), value, np.int64))
+            features.append(np.concatenate([added, mix(missing + U64(1))]))
+            probes.append(len(features[-1]) - (3 * len(added) + 4 * len(missing)) // 7)
         if features:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64) if c is not features else np.concatenate(c).view(np.int64))
-                                              for c in (heads, docs, features, probes)], names=["head", "doc", "feature", "probes"])
+            many = np.array([len(f) for f in features], np.int64)
+            pair = pa.array(np.repeat(np.arange(len(many)), many))
+            head, doc, linked, component, home = (batch.column(i).take(pair) for i in range(5))
+            yield pa.RecordBatch.from_arrays(
+                [head, doc, pa.array(np.concatenate(features).view(np.int64)), pa.array(np.repeat(np.array(probes, np.int64), many)),
+                 linked, component, home], names=["head", "doc", "feature", "probes", "linked", "component", "home"])
 
 
 def _members(batches):
@@ -184,9 +186,10 @@ def _members(batches):
 
 
 def _beside(pairs: DataFrame, table: DataFrame, value: str) -> DataFrame:
+    columns = pairs.columns
     for side in ("a", "b"):
         pairs = pairs.join(table.select(F.col("doc").alias(side), F.col(value).alias(f"{side}_value")), side)
-    return pairs.select("a", "b", "a_value", "b_value")
+    return pairs.select(*columns, "a_value", "b_value")
 
 
 def _measured(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, least: float) -> DataFrame:
@@ -200,13 +203,13 @@ def _is_link() -> F.Column:
 
 
 def _sharing(probes: DataFrame, index: DataFrame, on: list[str], apart: str) -> DataFrame:
-    """Distinct pairs (a, b) of a probe and an index row that are equal in ``on``.
+    """Pairs (a, b), once or more, of a probe and an index row that are equal in ``on``.
 
     Both carry doc, component and home; ``apart`` says which pairs p, q matter.
     """
     same = " AND ".join(f"p.{c} = q.{c}" for c in on)
     pairs = probes.alias("p").join(index.alias("q"), F.expr(f"{same} AND p.doc <> q.doc AND p.component <> q.component AND {apart}"))
-    return pairs.select(F.least("p.doc", "q.doc").alias("a"), F.greatest("p.doc", "q.doc").alias("b")).distinct()
+    return pairs.select(F.least("p.doc", "q.doc").alias("a"), F.greatest("p.doc", "q.doc").alias("b"))
 
 
 def _rarest(rows: DataFrame, counts: DataFrame, on: list[str], per: list[str], own: str, many: F.Column) -> DataFrame:
@@ -223,9 +226,9 @@ def _near_heads(stars: DataFrame, sets: DataFrame, tags: DataFrame, scratch: Scr
     """Pairs to verify among members at least half like their head; ``stars`` has (head, doc, linked)."""
     heads = stars.where("NOT linked").select("head").distinct()
     stars = stars.join(heads, "head", "left_semi")
-    rows = _beside(stars.select(F.col("head").alias("a"), F.col("doc").alias("b")), sets, "members").mapInArrow(
-        _differences, "head long, doc long, feature long, probes long")
-    rows = scratch.put(rows.join(stars.join(tags, "doc"), ["head", "doc"]), "differences")
+    pairs = stars.join(tags, "doc").select(F.col("head").alias("a"), F.col("doc").alias("b"), "linked", "component", "home")
+    rows = scratch.put(_beside(pairs, sets, "members").mapInArrow(
+        _differences, "head long, doc long, feature long, probes long, linked boolean, component long, home long"), "differences")
     index = rows.where("NOT linked")
     counts = index.groupBy("head", "feature").agg(F.count("*").alias("n"))
     probes = _rarest(rows.withColumn("own", ~F.col("linked")), counts, ["head", "feature"], ["head", "doc"], "own", F.col("probes"))
@@ -240,10 +243,10 @@ def _far_from_heads(far: DataFrame, others: DataFrame, sets: DataFrame, tags: Da
     every = far.select("doc", F.lit(True).alias("far")).unionAll(others.select("doc", F.lit(False).alias("far")))         .groupBy("doc").agg(F.max("far").alias("far"))
     rows = scratch.put(sets.join(every, "doc", "left_semi").select("doc", "members").mapInArrow(
         _members, "doc long, feature long, size long"), "shingles")
-    counts = scratch.put(rows.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1"), "frequent")
+    counts = scratch.keep(rows.groupBy("feature").agg(F.count("*").alias("n")).where("n > 1"), "frequent")
     # Of each document, how many of its shingles another one has: too few, and it is like none.
     shared = rows.join(counts, "feature").groupBy("doc", "size").agg(F.count("*").alias("n")).where(100 * F.col("n") >= PERCENT * F.col("size"))
-    left = scratch.put(shared.select("doc").join(every, "doc").join(tags, "doc"), "left")
+    left = scratch.keep(shared.select("doc").join(every, "doc").join(tags, "doc"), "left")
     rows = rows.join(left, "doc").withColumn("own", F.lit(True))
     many = F.col("size") - F.ceil(F.col("size") * PERCENT / 100) + 1
     probes = _rarest(rows, counts, ["feature"], ["doc"], "own", many)
@@ -253,8 +256,8 @@ def _far_from_heads(far: DataFrame, others: DataFrame, sets: DataFrame, tags: Da
 def _homes(rays: DataFrame, scratch: Scratch) -> DataFrame:
     """(doc, home): of the heads that a document is half like, or is, the one that most documents are half like."""
     half = rays.where("half").select("head", "doc")
-    # Written out, so that the members of a head with many can be dealt to several tasks.
-    sizes = scratch.put(half.groupBy("head").agg(F.count("*").alias("n")), "homes")
+    # A table of its own, so that the members of a head with many can be dealt to several tasks.
+    sizes = scratch.keep(half.groupBy("head").agg(F.count("*").alias("n")), "homes")
     own = half.unionAll(sizes.select("head", F.col("head").alias("doc")))
     return own.join(sizes, "head").groupBy("doc").agg(F.max(F.struct("n", "head")).alias("top")).select("doc", F.col("top.head").alias("home"))
 
@@ -263,33 +266,35 @@ def components(links: DataFrame, scratch: Scratch, label: str = "stars") -> Data
     """(node, component): the smallest node reachable, by alternating large-star and small-star.
 
     ``links`` has columns a, b.  Each star takes a node's smallest neighbour
-    from a map-side combined minimum, written out before it is joined back, so
-    that a hub's neighbours can be dealt to several tasks.
+    from a map-side combined minimum, a table of its own before it is joined
+    back, so that a hub's neighbours can be dealt to several tasks.
     """
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    edges, step = scratch.put(edges, f"{label}0"), 0
+    edges, step = scratch.put(edges, f"{label}0small"), 0
     while True:
         step += 1
-        both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(
-            edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        low = scratch.put(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), f"{label}{step}low")
+        both = edges.select(F.explode(F.array(
+            F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")),
+            F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("e")).select("e.*")
+        low = scratch.keep(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "low")
         # Large star: neighbours above a node move to its smallest neighbour.
         large = both.where("v > u").join(low, "u").where("v <> m").select(
             F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        large = scratch.put(large, f"{label}{step}large")
-        low = scratch.put(large.groupBy("hi").agg(F.min("lo").alias("m")), f"{label}{step}least")
+        large = scratch.keep(large, "large")
+        least = scratch.keep(large.groupBy("hi").agg(F.min("lo").alias("m")), "least")
         # Small star: a node and its smaller neighbours move to the smallest of these.
-        small = large.join(low, "hi").select(F.explode(F.array(
+        small = large.join(least, "hi").select(F.explode(F.array(
             F.struct(F.col("hi").alias("hi"), F.col("m").alias("lo")),
             F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.*").where("hi <> lo").distinct()
         small = scratch.put(small, f"{label}{step}small")
-        # Done when every edge is a spoke: each node on one edge up, and no hub hangs on another.
-        spokes = small.groupBy("hi").agg(F.count("*").alias("n")).where("n > 1")
-        hubs = small.select(F.col("lo").alias("hi")).join(small, "hi", "left_semi")
-        scratch.drop(f"{label}{step - 1}" if step == 1 else f"{label}{step - 1}small", f"{label}{step}low",
-                     f"{label}{step}large", f"{label}{step}least")
+        scratch.drop("low", "large", "least", f"{label}{step - 1}small")
         edges = small
-        if spokes.isEmpty() and hubs.isEmpty():
+        # Done when every edge is a spoke: each node on one edge up, and no hub hangs on another.
+        ends = edges.select(F.explode(F.array(
+            F.struct(F.col("hi").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+            F.struct(F.col("lo").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e")).select("e.*")
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.where("up > 1 OR up > 0 AND down > 0").isEmpty():
             return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
 
 
@@ -303,7 +308,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     same = ["set1", "set2", "n_shingles"]
     classes = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*same).agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("copies > 1").drop("copies")
-    classes = scratch.put(classes, "classes")
+    classes = scratch.keep(classes, "classes")
     nodes = sketch.join(classes, same, "left").withColumn(
         "rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")))
     first = F.col("rep") == F.col("doc_id")
@@ -313,25 +318,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     scratch.drop("sketch", "classes")
 
     spread = nodes.where("n_shingles > 0 AND rep = doc_id").select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
-    sizes = scratch.put(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-    members = scratch.put(spread.join(sizes, "bucket"), "members")
-    meetings = scratch.put(members.groupBy("doc").agg(F.sum("n").alias("meetings")), "meetings")
+    sizes = scratch.keep(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+    members = scratch.keep(spread.join(sizes, "bucket"), "members")
+    meetings = scratch.keep(members.groupBy("doc").agg(F.sum("n").alias("meetings")), "meetings")
     heads = members.join(meetings, "doc").groupBy("bucket").agg(F.max(F.struct("meetings", (-F.col("doc")).alias("minus"))).alias("top"))
-    heads = scratch.put(heads.select("bucket", (-F.col("top.minus")).alias("head")), "heads")
+    heads = scratch.keep(heads.select("bucket", (-F.col("top.minus")).alias("head")), "heads")
     members = scratch.put(members.join(heads, "bucket"), "headed")
+    scratch.drop("sizes", "members", "heads")
     signatures = scratch.put(nodes.where("signature IS NOT NULL").select(F.col("doc_id").alias("doc"), "signature")
                              .join(meetings, "doc", "left_semi"), "signatures")
     sets = scratch.put(texts.withColumnRenamed("doc_id", "doc").join(meetings, "doc", "left_semi")
                        .select("doc", "text").mapInArrow(_sets, "doc long, members binary"), "sets")
 
     stars = members.where("doc <> head").select(F.col("head").alias("a"), F.col("doc").alias("b")).distinct()
-    measured = scratch.put(_measured(stars, signatures, sets, AGREE_HALF).distinct(), "measured")
+    measured = scratch.put(_measured(stars, signatures, sets, AGREE_HALF), "measured")
     links = measured.where(_is_link()).select("a", "b")
     found = components(links, scratch)
 
     labelled = members.join(found, F.col("doc") == F.col("node"), "left").withColumn("component", F.coalesce("component", "doc"))
     split = labelled.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-    split = scratch.put(split.where("x < y AND n > 2").select("bucket"), "split")
+    split = scratch.keep(split.where("x < y AND n > 2").select("bucket"), "split")
     rays = members.join(split, "bucket", "left_semi").where("doc <> head").select("head", "doc").distinct()
     rays = rays.join(measured.select(F.col("a").alias("head"), F.col("b").alias("doc"), "common", "either")
                      .groupBy("head", "doc").agg(F.max("common").alias("common"), F.min("either").alias("either")), ["head", "doc"], "left")
@@ -343,8 +349,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         rays.where("NOT half").select("doc").distinct(), rays.where("half AND NOT linked").select("doc").distinct(), sets, tags, scratch))
     more = scratch.put(_measured(pairs.distinct(), signatures, sets, AGREE).where(_is_link()).select("a", "b"), "more")
     if not more.isEmpty():
-        found = components(links.unionAll(more), scratch, "again")
-    scratch.drop("sizes", "members", "meetings", "heads", "headed", "signatures", "sets", "measured", "split", "rays", "homes", "tags",
+        found = components(found.toDF("a", "b").unionAll(more), scratch, "again")
+    scratch.drop("meetings", "headed", "signatures", "sets", "measured", "split", "rays", "homes", "tags",
                  "differences", "shingles", "frequent", "left", "more")
 
     out = nodes.select("doc_id", "n_shingles", "rep").join(found, F.col("rep") == F.col("node"), "left")

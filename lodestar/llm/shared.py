@@ -11,6 +11,7 @@ import zipfile
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.session import ensure_checkpoint_dir
@@ -47,19 +48,28 @@ class Scratch:
 
     ``put`` writes a frame as Parquet through Spark's committer and returns a
     frame that reads it back, which cuts the lineage and survives lost
-    executors.  ``drop`` removes a table that nothing reads any more.
+    executors.  ``keep`` holds a short-lived table as blocks on the executors'
+    disks: no file for each task, and lost blocks are computed again; the
+    lineage goes on, so every few steps one table is ``put``.  ``drop`` removes
+    tables that nothing reads any more.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         ship_code(spark)
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        self.kept: dict[str, DataFrame] = {}
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        self.kept[name] = df.persist(StorageLevel.DISK_ONLY)
+        df.count()
+        return df
+
     def settle(self) -> None:
         """Let go of the shuffle files of finished steps.
 
@@ -77,6 +87,9 @@ class Scratch:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in names:
+            if name in self.kept:
+                self.kept.pop(name).unpersist()
+                continue
             path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
             path.getFileSystem(conf).delete(path, True)
 

@@ -68,3 +68,26 @@ def test_filter_keeps_columns(spark):
     assert out.schema == docs.schema
     kept = {i for i, (_, _, k) in brute(awkward()).items() if k}
     assert {r.doc_id for r in out.collect()} == kept | {None}
+
+
+def test_few_tables_are_written(spark, monkeypatch):
+    """Short-lived tables cost no file for each task; every held block is let go."""
+    base = prose(1, 120).split()
+    rows = [(i, " ".join([*base[:3 * i], *(f"w{i}x{j}" for j in range(2)), *base[3 * i + 2:]])) for i in range(30)]
+    written, put = [], Scratch.put
+    monkeypatch.setattr(Scratch, "put", lambda self, df, name: written.append(name) or put(self, df, name))
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    check(spark, rows)
+    assert "more" in written
+    steps = [n for n in written if n.startswith(("stars", "again"))]
+    assert all(n.endswith("small") for n in steps)
+    assert len(written) - len(steps) <= 12
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_repeated_ids_reach_the_differences(spark):
+    """A doc_id with two texts links through either; members of one head are compared among themselves."""
+    base = prose(3, 200).split()
+    rows = [(i, " ".join([*base[:6 * i], f"w{i}", *base[6 * i + 1:]])) for i in range(20)]
+    got = {(r.doc_id, r.component_id) for r in neardup.near_duplicates(frame(spark, [*rows, (5, prose(77, 80)), (40, prose(77, 80))])).collect()}
+    assert got == {(i, 0) for i in [*range(20), 40]}
