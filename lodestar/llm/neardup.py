@@ -320,7 +320,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     spread = nodes.where("n_shingles > 0 AND rep = doc_id").select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("doc"))
     sizes = scratch.keep(spread.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
     members = scratch.keep(spread.join(sizes, "bucket"), "members")
-    meetings = scratch.keep(members.groupBy("doc").agg(F.sum("n").alias("meetings")), "meetings")
+    # Written, as its size on disk tells whether signatures and texts can be filtered without a shuffle.
+    meetings = scratch.put(members.groupBy("doc").agg(F.sum("n").alias("meetings")), "meetings")
     heads = members.join(meetings, "doc").groupBy("bucket").agg(F.max(F.struct("meetings", (-F.col("doc")).alias("minus"))).alias("top"))
     heads = scratch.keep(heads.select("bucket", (-F.col("top.minus")).alias("head")), "heads")
     members = scratch.put(members.join(heads, "bucket"), "headed")
