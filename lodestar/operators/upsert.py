@@ -12,8 +12,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.keys import pack_keys, unpack_keys
@@ -32,8 +33,9 @@ def assert_unique_keys(updates: DataFrame, keys: Sequence[str]) -> None:
     """
     keys = list(keys)
     non_null = updates.dropna(how="any", subset=keys)
-    dup = (non_null.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > 1).limit(1).collect())
+    with store.settled(updates.sparkSession):
+        dup = (non_null.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > 1).limit(1).collect())
     if dup:
         raise DuplicateKeyError(f"update keys {keys} not unique, e.g. {dup[0].asDict()}")
 
@@ -46,12 +48,39 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Da
         raise TypeError(f"columns {changed} have another type in the updates")
     absent = [c for c in target.columns if c not in updates.columns]
     if absent:
-        updates = updates.join(target.select(*keys, *absent), keys, "left")
-    # Packed on both sides, so that a key may be among the packed columns.
-    kept = unpack_keys(pack_keys(target).join(pack_keys(updates.select(*keys)), on=keys, how="left_anti"), target).select(*target.columns)
+        updates = _joined(updates, target.select(*keys, *absent), keys, "left")
+    kept = _joined(target, updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
+#: So many values of the last key, as bits, stay together in a shuffle.
+_BLOCK = 6
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """``left`` joined with ``right`` by the keys, of which it has one copy.
+
+    Rows are dealt by all keys but the low bits of the last one, if that is an
+    integer: lines of an order travel and are written side by side, so that what
+    they share is compressed, and a huge order still goes to many tasks.  With
+    unique keys a row meets at most ``2 ** _BLOCK`` others there.
+    """
+    # Packed on both sides, so that a key may be among the packed columns.
+    a, b = pack_keys(left), pack_keys(right)
+    *first, last = keys
+    if not (first and all(dict(x.dtypes)[last] in ("int", "bigint") for x in (a, b))):
+        both = a.join(b, on=list(keys), how=how)
+    else:
+        other = {k: f"_right_{i}" for i, k in enumerate(keys)}
+        b = b.withColumnsRenamed(other)
+        mine, its = F.col(last), F.col(other[last])
+        on = [F.col(k) == F.col(other[k]) for k in first] + [F.shiftright(mine, _BLOCK) == F.shiftright(its, _BLOCK)]
+        # An equality would be dealt by as well.
+        both = a.join(b, on=reduce(Column.__and__, [*on, mine <= its, mine >= its]), how=how).drop(*other.values())
+    names = [*left.columns, *[c for c in right.columns if c not in left.columns and how != "left_anti"]]
+    return unpack_keys(unpack_keys(both, left), right.drop(*left.columns)).select(*names)
+
+
 def upsert(updates: DataFrame, name: str, keys: Sequence[str], path: str | None = None, **layout) -> DataFrame:
     """Upsert ``updates`` into the stored table ``name``; return its new rows.
 
@@ -82,7 +111,8 @@ def touched_partitions(target: DataFrame, updates: DataFrame, keys: Sequence[str
     if 8 * count < target.count():
         near = bloom.may_match(near, updates.select(*keys), keys, count)
     moved = near.join(updates.select(*keys), list(keys), "left_semi").select(partition_col)
-    return [r[0] for r in own.distinct().union(moved.distinct()).distinct().collect()]
+    with store.settled(updates.sparkSession):
+        return [r[0] for r in own.distinct().union(moved.distinct()).distinct().collect()]
 
 
 def _in(column: str, values: Sequence):

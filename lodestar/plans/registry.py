@@ -182,19 +182,19 @@ UPSERT_TARGET_BEFORE = 20000101   # yesterday's load: orders before 2000
 UPSERT_UPDATES_FROM = 19990101    # today's batch: orders from 1999 on, net of discount
 
 
-def _renumbered_bronze(spark, sf):
+def _renumbered_bronze(spark, sf, staging):
     """Raw roles with lines renumbered per order; the items are written once
     because several steps (key check, writes) read them."""
     bronze = tables.bronze_tables(spark, sf, renumber=True)
-    bronze["order_items"] = store.stage(bronze["order_items"], "items")
+    bronze["order_items"] = staging.put(bronze["order_items"], "items")
     return bronze
 
 
-def _upsert_inputs(spark, sf):
+def _upsert_inputs(spark, sf, staging):
     """Both are made from one copy of the fact's lines by natural keys."""
     s = star_from_bronze(spark, tables.bronze_tables(spark, sf, renumber=True))
     lines = fact_ops.fact_lines(s.silver_orders, s.silver_customers, s.silver_items)
-    lines = store.stage(lines.select(*fact_ops.LINE_PARTS, "discount"), "lines")
+    lines = staging.put(lines.select(*fact_ops.LINE_PARTS, "discount"), "lines")
     target = without_stamps(fact_ops.keyed_fact(lines)).where(F.col("order_date_sk") < UPSERT_TARGET_BEFORE)
     net = (F.col("price") * (F.lit(1) - F.col("discount"))).cast(MONEY)
     restated = fact_ops.keyed_fact(lines, sales_amount=net)
@@ -212,12 +212,13 @@ def _name(label):
 
 
 def _fact_upsert(spark, sf, runs):
-    target, updates = _upsert_inputs(spark, sf)
     name, path = _name("fact"), _scratch(spark, "fact_upsert")
-    upsert_ops.upsert(target, name, fact_ops.FACT_KEYS, path)
-    out = None
-    for _ in range(runs):
-        out = upsert_ops.upsert(updates, name, fact_ops.FACT_KEYS, path)
+    with store.Staging(spark, "upsert_inputs") as staging:
+        target, updates = _upsert_inputs(spark, sf, staging)
+        upsert_ops.upsert(target, name, fact_ops.FACT_KEYS, path)
+        out = None
+        for _ in range(runs):
+            out = upsert_ops.upsert(updates, name, fact_ops.FACT_KEYS, path)
     return _money_as_double(out, ["sales_amount", "freight_value"])
 
 
@@ -225,27 +226,30 @@ def _month(df):
     return df.withColumn("order_month", (F.col("order_date_sk") / 100).cast("int"))
 
 
-def _partitioned(spark, target, updates, column):
+def _partitioned(spark, sf, inputs, column):
+    """What ``inputs`` makes of the target and the updates, upserted into a table partitioned by ``column``."""
     name, path = _name("fact"), _scratch(spark, "fact_upsert_partitioned")
-    upsert_ops.upsert_partitioned(target, name, fact_ops.FACT_KEYS, column, path)
-    out = upsert_ops.upsert_partitioned(updates, name, fact_ops.FACT_KEYS, column)
+    with store.Staging(spark, "upsert_inputs") as staging:
+        target, updates = inputs(*_upsert_inputs(spark, sf, staging))
+        upsert_ops.upsert_partitioned(target, name, fact_ops.FACT_KEYS, column, path)
+        out = upsert_ops.upsert_partitioned(updates, name, fact_ops.FACT_KEYS, column)
     return _money_as_double(out, ["sales_amount", "freight_value"])
 
 
 def q_fact_upsert_partitioned(spark, sf):
     """Same result; the table is partitioned by month and only touched months
     (including months a corrected row moves out of) are rewritten."""
-    target, updates = _upsert_inputs(spark, sf)
-    return _partitioned(spark, _month(target), _month(updates), "order_month").drop("order_month")
+    return _partitioned(spark, sf, lambda target, updates: (_month(target), _month(updates)), "order_month").drop("order_month")
 
 
 def q_upsert_key_filter(spark, sf):
     """Finding what an upsert touches: target rows whose key has an update, that no such row is lost by the filter
     of update keys, and that it lets at most twice as many through."""
-    target, updates = _upsert_inputs(spark, sf)
     keys = list(fact_ops.FACT_KEYS)
-    one = store.stage(updates.where(F.col("order_date_sk").between(19990101, 19990131)), "updates")
-    every = store.stage(target.select(*keys), "target")
+    with store.Staging(spark, "upsert_inputs") as staging:
+        target, updates = _upsert_inputs(spark, sf, staging)
+        one = store.stage(updates.where(F.col("order_date_sk").between(19990101, 19990131)), "updates")
+        every = store.stage(target.select(*keys), "target")
     near = bloom.may_match(every, one.select(*keys), keys)
     matches = every.join(one.select(*keys), keys, "left_semi").agg(F.count(F.lit(1)).alias("matches"))
     kept = near.join(one.select(*keys), keys, "left_semi").agg(F.count(F.lit(1)).alias("kept"))
@@ -256,37 +260,38 @@ def q_upsert_key_filter(spark, sf):
 
 def q_upsert_null_date(spark, sf):
     """Updates of every fifth order lose their date: its partition value is null."""
-    target, updates = _upsert_inputs(spark, sf)
     gone = F.col("order_id").cast("long") % 5 == 0
-    updates = updates.withColumn("order_date_sk", F.when(~gone, F.col("order_date_sk")))
-    return _partitioned(spark, _month(target), _month(updates), "order_month")
+
+    def inputs(target, updates):
+        return _month(target), _month(updates.withColumn("order_date_sk", F.when(~gone, F.col("order_date_sk"))))
+
+    return _partitioned(spark, sf, inputs, "order_month")
 
 
 def q_upsert_text_partition(spark, sf):
     """Partition values are text with leading zeros."""
-    target, updates = _upsert_inputs(spark, sf)
     month = F.lpad(((F.col("order_date_sk") / 100).cast("int") % 100).cast("string"), 2, "0")
-    return _partitioned(spark, target.withColumn("month", month), updates.withColumn("month", month), "month")
+    return _partitioned(spark, sf, lambda target, updates: (target.withColumn("month", month), updates.withColumn("month", month)), "month")
 
 
 def q_upsert_new_column(spark, sf):
     """The updates bring a column that the table lacks."""
-    target, updates = _upsert_inputs(spark, sf)
-    return _partitioned(spark, _month(target), _month(updates).withColumn("note", F.concat(F.lit("net "), "order_id")), "order_month")
+    note = F.concat(F.lit("net "), "order_id")
+    return _partitioned(spark, sf, lambda target, updates: (_month(target), _month(updates).withColumn("note", note)), "order_month")
 
 
 def q_upsert_missing_column(spark, sf):
     """The updates lack a column: matched rows keep its value, new rows have none."""
-    target, updates = _upsert_inputs(spark, sf)
-    return _partitioned(spark, _month(target), _month(updates.drop("freight_value")), "order_month")
+    return _partitioned(spark, sf, lambda target, updates: (_month(target), _month(updates.drop("freight_value"))), "order_month")
 
 
 def q_upsert_moved_rows(spark, sf):
     """Corrections move all rows of one month to the next: the month is empty then."""
-    target, _ = _upsert_inputs(spark, sf)
-    target = _month(target)
-    moved = target.where("order_month = 199703").withColumn("order_month", F.lit(199704))
-    return _partitioned(spark, target, moved, "order_month")
+    def inputs(target, _):
+        target = _month(target)
+        return target, target.where("order_month = 199703").withColumn("order_month", F.lit(199704))
+
+    return _partitioned(spark, sf, inputs, "order_month")
 
 
 def q_fact_upsert(spark, sf):
@@ -629,18 +634,20 @@ def _pipeline_name(spark):
 
 
 def q_pipeline_run(spark, sf):
-    res = pipeline.run_pipeline(spark, _renumbered_bronze(spark, sf), *_pipeline_name(spark))
+    with store.Staging(spark, "bronze") as staging:
+        res = pipeline.run_pipeline(spark, _renumbered_bronze(spark, sf, staging), *_pipeline_name(spark))
     return _ledger_out(res.ledger)
 
 
 def q_pipeline_fact(spark, sf):
     """The published fact, read back after a run and a second one with corrected prices for part of the orders."""
     name, path = _pipeline_name(spark)
-    bronze = _renumbered_bronze(spark, sf)
-    pipeline.run_pipeline(spark, bronze, name, path)
-    third = F.col("order_id").cast("long") % 3 == 0
-    bronze["order_items"] = bronze["order_items"].where(third).withColumn("price", (F.col("price") * 2).cast(MONEY))
-    pipeline.run_pipeline(spark, bronze, name, path)
+    with store.Staging(spark, "bronze") as staging:
+        bronze = _renumbered_bronze(spark, sf, staging)
+        pipeline.run_pipeline(spark, bronze, name, path)
+        third = F.col("order_id").cast("long") % 3 == 0
+        bronze["order_items"] = bronze["order_items"].where(third).withColumn("price", (F.col("price") * 2).cast(MONEY))
+        pipeline.run_pipeline(spark, bronze, name, path)
     out = read_release(spark, name).fact
     return _money_as_double(without_stamps(out), ["sales_amount", "freight_value"])
 
@@ -651,11 +658,12 @@ def q_pipeline_incremental(spark, sf):
     A month was written when its files lie under the second release's table.
     """
     name, path = _pipeline_name(spark)
-    bronze = _renumbered_bronze(spark, sf)
-    pipeline.run_pipeline(spark, bronze, name, path)
-    orders = bronze["orders"].where(F.col("order_purchase_timestamp").startswith("1997-03")).select("order_id")
-    bronze["order_items"] = bronze["order_items"].join(orders, "order_id", "left_semi").withColumn("price", (F.col("price") * 2).cast(MONEY))
-    pipeline.run_pipeline(spark, bronze, name, path)
+    with store.Staging(spark, "bronze") as staging:
+        bronze = _renumbered_bronze(spark, sf, staging)
+        pipeline.run_pipeline(spark, bronze, name, path)
+        orders = bronze["orders"].where(F.col("order_purchase_timestamp").startswith("1997-03")).select("order_id")
+        bronze["order_items"] = bronze["order_items"].join(orders, "order_id", "left_semi").withColumn("price", (F.col("price") * 2).cast(MONEY))
+        pipeline.run_pipeline(spark, bronze, name, path)
     fact = store.Releases(spark, name).read("fact_sales")
     written = F.contains(F.col("_metadata.file_path"), F.lit("fact_sales__r2/"))
     return fact.withColumn("written", written).groupBy("order_month").agg(
@@ -668,10 +676,11 @@ def _rolled(spark, sf):
     The correction doubles the prices of March 1997 and moves line 1 of that month's orders to April.
     """
     releases = store.Releases(spark, *_pipeline_name(spark))
-    star = star_from_bronze(spark, _renumbered_bronze(spark, sf))
     month = F.floor(F.col("order_date_sk") / 100).cast("int")
     first, second = releases.begin(), releases.begin() + 1
-    fact = releases.save_partitioned(star.fact.withColumn(pipeline.MONTH, month), "fact_sales", first, pipeline.MONTH)
+    with store.Staging(spark, "bronze") as staging:
+        star = star_from_bronze(spark, _renumbered_bronze(spark, sf, staging))
+        fact = releases.save_partitioned(star.fact.withColumn(pipeline.MONTH, month), "fact_sales", first, pipeline.MONTH)
     rollups.refresh(releases, first, None, [], pipeline.MONTH)
     march = fact.where(F.col(pipeline.MONTH) == 199703)
     moved = F.when(F.col("order_item_id") == 1, F.lit(19970415)).otherwise(F.col("order_date_sk"))
@@ -710,7 +719,8 @@ def q_rollup_category_freight(spark, sf):
 def q_pipeline_bad_rows(spark, sf):
     """Bad rows in the second run: its ledger's failures, and the release that stays published."""
     name, path = _pipeline_name(spark)
-    pipeline.run_pipeline(spark, _renumbered_bronze(spark, sf), name, path)
+    with store.Staging(spark, "bronze") as staging:
+        pipeline.run_pipeline(spark, _renumbered_bronze(spark, sf, staging), name, path)
     try:
         pipeline.run_pipeline(spark, _dirty_bronze(spark, sf), name, path)
         refused = False

@@ -185,3 +185,51 @@ def test_a_first_load_with_repeated_keys_leaves_no_table(spark, scratch, partiti
         else:
             upsert(rows, name, ["k", "v"], scratch)
     assert not spark.sql(f"SHOW TABLES LIKE '{name}*'").collect() and not os.listdir(scratch)
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(found.apply(i).getName().startswith("shuffle_") for i in range(found.size()))
+
+
+def test_shuffle_files_go_with_the_step_that_made_them(spark, scratch):
+    import time
+
+    rows = spark.range(5000).selectExpr("cast(id as string) order_id", "1 order_item_id", "cast(id % 8 as int) month")
+    before, name = shuffle_files(spark), fresh()
+    kept = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None)
+    store.stage(rows.repartition(6, "order_id"))
+    upsert(rows, name, KEYS, scratch)
+    upsert(rows.where("month = 1"), name, KEYS, scratch)
+    for _ in range(50):
+        if shuffle_files(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) == kept
+
+
+def test_lines_of_an_order_travel_together_and_match_by_their_number(spark):
+    t = spark.createDataFrame([("hot", i, i) for i in range(300)] + [("b", None, 1), (None, 3, 1), ("c", -1, 1)], SCHEMA)
+    u = spark.createDataFrame([("hot", i, -i) for i in range(150, 310)] + [("b", None, 2), (None, 3, 2), ("c", -1, 2), ("c", 63, 2)], SCHEMA)
+    out = merge_rows(t, u, KEYS)
+    want = [("hot", i, i) for i in range(150)] + [("b", None, 1), (None, 3, 1)] + [tuple(r) for r in u.collect()]
+    assert sorted(map(str, rows_of(out))) == sorted(map(str, want))
+    partial = merge_rows(t.withColumn("x_sk", F.lit("ab" * 32)), u, KEYS)
+    assert {r.order_id for r in partial.where("x_sk is not null").collect()} == {"hot", "b", "c", None}
+    assert partial.where("order_id = 'hot' and x_sk is null").count() == 10
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "shiftright(order_item_id" in plan and "LeftAnti" in plan
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_a_copy_can_go_before_its_run_ends(spark):
+    with store.Staging(spark, "t") as staging:
+        a, b = staging.put(spark.range(3), "a"), staging.put(spark.range(4), "b")
+        staging.drop("a")
+        assert b.count() == 4
+        with pytest.raises(Exception):
+            a.count()
