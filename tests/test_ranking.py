@@ -104,3 +104,14 @@ def test_cost_of_a_row_does_not_grow_with_the_ranges(spark, tmp_path):
         tasks = min(seconds(few_rows, 1000, make), seconds(few_rows, 1000, make))
         few = min(seconds(rows, 8, make), seconds(rows, 8, make))
         assert min(seconds(rows, 1000, make), seconds(rows, 1000, make)) - tasks <= 2 * few + 1
+
+
+def test_numbering_sorts_the_dealt_rows_once(spark):
+    from lodestar.operators.ranking import number_within_groups
+    rows = [(None, i, "n") for i in range(400)] + [(g, i, None) for g in range(30) for i in range(4)] + [(7, 1, "x")] * 3
+    df = spark.createDataFrame(rows, "g int, o int, x string")
+    out = number_within_groups(df, ["g"], ["o", "x"], num_partitions=8)
+    wide = [x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [row_number" in x or "Window [rank" in x]
+    assert len(wide) == 1, wide
+    want = df.withColumn("row_in_group", F.row_number().over(Window.partitionBy("g").orderBy("o", "x")))
+    assert sorted(map(str, out.select(want.columns).collect())) == sorted(map(str, want.collect()))
